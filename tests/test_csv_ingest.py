@@ -1,0 +1,223 @@
+"""CSV folders and positional loads, against the public pandas and csv readers."""
+
+import csv
+import io
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from dustline import ingest_folder, positional_load
+from dustline.operators.text_tables import RAW, as_text, export_csv
+from dustline.plans.ingest import read_csv_text
+from dustline.sources.csv_files import csv_source, list_csv, read_head
+
+SPLITTING = {"spark.sql.files.maxPartitionBytes": "64b", "spark.sql.files.openCostInBytes": "1b"}
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    before = {key: spark.conf.get(key) for key in SPLITTING}
+    for key, value in SPLITTING.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def write(folder, name, text):
+    path = folder / name
+    path.write_bytes(text.encode("utf-8"))
+    return str(path)
+
+
+def by_pandas(text):
+    frame = pd.read_csv(io.StringIO(text, newline=""), dtype=str).fillna("")
+    return sorted(map(tuple, frame.values.tolist()))
+
+
+def by_spark(spark, path, split_bytes=None):
+    df = read_csv_text(spark, path, split_bytes=split_bytes).drop(RAW)
+    assert all(t == "string" for _, t in df.dtypes)
+    return sorted(map(tuple, df.collect()))
+
+
+TEXTS = {
+    "plain": "k,v\n1,a\n2,b\n",
+    "no_last_newline": "k,v\n1,a\n2,b",
+    "quotes": 'k,v\n1,"a ""q"" b"\n2,"x,y"\n3,""\n4,""""\n',
+    "lines": 'k,v\n1,"a\nb"\n2,"\n\n"\n3,c\n4,"d\n""e""\n,f"\n"5\n",g\n',
+    "blank_lines": "k,v\n\n1,a\n   \n2,b\n\n\n3,c\n",
+    "blank_in_quotes": 'k,v\n1,"a\n\n  \nb"\n\n2,c\n',
+    "short": "k,v,w\n1\n2,b\n3,c,d\n",
+    "tokens": 'k,v\n1,NA\nNaN,x\n3,null\n"N/A",y\n5,na\n',
+    "blanks_kept": "k,v\n1, a \n2,\xa0b\xa0\n 3 ,\tc\n",
+    "crlf": 'k,v\r\n1,a\r\n2,"b\r\nc"\r\n3,d\r\n',
+    "crlf_wide": 'k,v,"w"\r\n1\r\n2,"b\nc","d"\r\n3,d,\r\n',
+    "cr_only": 'k,v\r1,a\r2,"b\rc"\r3,"d\n"\r4,e',
+    "cr_in_quotes": 'k,v\n1,"a\rb"\n2,c\n',
+    "literal_quotes": 'k,v\n1,5" pipe\n2,a"b"c\n4,"z\nz"\n',
+    "literal_then_open": 'k,v\n1,x\n5" pipe,"open\nclose"\n2,y\n',
+    "bom": "﻿k,v\n1,a\n",
+    "one_column": 'k\n1\n"two\nlines"\n\nNA\n3\n',
+    "header_with_newline": '"k\nk",v\n1,a\n2,"b\nc"\n',
+    "blank_before_header": "\n\nk,v\n1,a\n",
+    "header_only": "k,v\n",
+    "unicode": 'k,v\nñ,"日本\n語"\n2,é\n',
+    "empty_rows": "k,v\n,\n1,\n,\n",
+    "backslash": 'k,v\n1,a\\\n2,"b\\"\n3,"c\\\nd"\n4,\\"e\n',
+}
+
+
+@pytest.mark.parametrize("name", TEXTS)
+def test_reads_like_pandas_whole_and_in_splits(spark, tmp_path, tiny_splits, name):
+    text = TEXTS[name]
+    path = write(tmp_path, f"{name}.csv", text)
+    expected = by_pandas(text.removeprefix("﻿"))
+    assert by_spark(spark, path, split_bytes=1 << 30) == expected
+    assert by_spark(spark, path, split_bytes=0) == expected
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_random_files_in_splits(spark, tmp_path, tiny_splits, seed):
+    rng = random.Random(seed)
+    pieces = ["a", " ", ",", '"', "\n", "\n\n", '""', "word", "\r\n", ",\"", '",']
+    out = io.StringIO(newline="")
+    writer = csv.writer(out, lineterminator=rng.choice(["\n", "\r\n"]))
+    writer.writerow(["k", "v", "w"])
+    for i in range(rng.choice([30, 200])):
+        cells = ["".join(rng.choices(pieces, k=rng.randrange(6))) for _ in range(2)]
+        writer.writerow([str(i), *cells])
+    path = write(tmp_path, "random.csv", out.getvalue())
+    expected = by_pandas(out.getvalue())
+    assert by_spark(spark, path, split_bytes=0) == expected
+    assert by_spark(spark, path) == expected
+
+
+def test_splits_are_many(spark, tmp_path, tiny_splits):
+    path = write(tmp_path, "many.csv", "k,v\n" + "".join(f'{i},"a\nb"\n' for i in range(200)))
+    scan = spark.read.option("lineSep", "\n").text(path)
+    assert scan.rdd.getNumPartitions() > 10
+    assert len(by_spark(spark, path, split_bytes=0)) == 200
+
+
+def test_many_parts_each_with_header(spark, tmp_path, tiny_splits):
+    df = spark.range(300).select("id", F.concat(F.lit('x\n"'), F.col("id")).alias("t"))
+    path = str(tmp_path / "parts.csv")
+    export_csv(df.repartition(3), path)
+    expected = sorted((str(i), f'x\n"{i}') for i in range(300))
+    assert by_spark(spark, path, split_bytes=0) == expected
+    assert by_spark(spark, path, split_bytes=1 << 30) == expected
+
+
+def test_unclosed_quote_is_an_error(spark, tmp_path, tiny_splits):
+    path = write(tmp_path, "open.csv", 'k,v\n1,"a\n2,b\n3,c\n')
+    with pytest.raises(ValueError, match="never closed"):
+        by_spark(spark, path, split_bytes=0)
+
+
+def test_header_cells(spark, tmp_path):
+    def header(text):
+        return read_head(spark, csv_source(spark, write(tmp_path, "h.csv", text))).cells
+
+    assert header('a,,"b\nc",a\n1,2,3,4\n') == ["a", "", "b\nc", "a"]
+    assert header("one\n1\n") == ["one"]
+    with pytest.raises(ValueError, match="no header"):
+        header("\n \n")
+
+
+def test_folder(spark, database, tmp_path):
+    write(tmp_path, "2020 x.csv", "Größe (kg),3-Letter Code\n1,a \n2,\xa0b\n")
+    write(tmp_path, "export.csv", 'True,True,True\n1,"a\nb",\n,,\n')
+    write(tmp_path, "N. America.csv.csv", "k\nv\n")
+    write(tmp_path, "odd[1]{2}.csv", "k\n1\n2\n")
+    write(tmp_path, "long.csv", "a,b\n1\n1,2\n1,2,3\n")
+    write(tmp_path, "trailing.csv", "a,b\n1,2,\n")
+    write(tmp_path, "clash.csv", "a b,a-b\n1,2\n")
+    write(tmp_path, "empty.csv", "\n\n")
+    write(tmp_path, "UPPER.CSV", "k\n1\n")
+    write(tmp_path, "notes.txt", "k\n1\n")
+    (tmp_path / "below").mkdir()
+    write(tmp_path / "below", "deep.csv", "k\n1\n")
+    spark.sql(f"DROP TABLE IF EXISTS {database}.long")
+    spark.range(1).write.saveAsTable(f"{database}.long")
+
+    status = {r.table: r for r in ingest_folder(spark, str(tmp_path), database).collect()}
+    assert {t: r.rows for t, r in status.items()} == {
+        "_2020_x": 2,
+        "export": 2,
+        "N__America_csv": 1,
+        "odd_1__2_": 2,
+        "long": None,
+        "trailing": None,
+        "clash": None,
+        "empty": None,
+    }
+    assert "1 records with more than 2 fields" in status["long"].error
+    assert "more than 2 fields" in status["trailing"].error
+    assert "collide" in status["clash"].error
+    assert "no header" in status["empty"].error
+    assert spark.table(f"{database}.long").columns == ["id"]  # old table still there
+
+    x = spark.table(f"{database}._2020_x")
+    assert x.columns == ["Größe_kg_", "3_Letter_Code"]
+    assert sorted(map(tuple, x.collect())) == [("1", "a "), ("2", "\xa0b")]
+    export = spark.table(f"{database}.export")
+    assert export.columns == ["True", "True_1", "True_2"]
+    assert sorted(map(tuple, export.collect())) == [("", "", ""), ("1", "a\nb", "")]
+
+    write(tmp_path, "export.csv", "True\nnew\n")  # create-or-replace
+    ingest_folder(spark, str(tmp_path), database)
+    spark.catalog.refreshTable(f"{database}.export")
+    assert [tuple(r) for r in spark.table(f"{database}.export").collect()] == [("new",)]
+
+
+def test_files_that_are_one_table_stop_the_run(spark, database, tmp_path):
+    write(tmp_path, "c d.csv", "k\n1\n")
+    write(tmp_path, "C-d.csv", "k\n1\n")
+    with pytest.raises(ValueError, match="collide"):
+        ingest_folder(spark, str(tmp_path), database)
+    assert not spark.catalog.tableExists(f"{database}.c_d")
+
+
+def test_listing_knows_files_and_part_folders(spark, tmp_path):
+    folder = tmp_path / "in.csv"
+    folder.mkdir()
+    write(folder, "a b.csv", "k\n1\n")
+    export_csv(spark.range(5).repartition(2), str(folder / "spark.csv"))
+    export_csv(spark.range(5), str(folder / "file=x%3A1.csv"))
+    found = {s.name: len(s.parts) for s in list_csv(spark, str(folder) + "/")}
+    assert found.keys() == {"a b.csv", "spark.csv", "x:1.csv"}
+    assert found["spark.csv"] >= 2
+
+
+def test_own_null_tokens(spark, tmp_path):
+    path = write(tmp_path, "t.csv", "k,v\nNA,-\n")
+    assert [tuple(r)[:2] for r in read_csv_text(spark, path, ["-"]).collect()] == [("NA", "")]
+    assert [tuple(r)[:2] for r in read_csv_text(spark, path, []).collect()] == [("NA", "-")]
+
+
+PLACES = ["Country", "Abreviation", "Capital_City", "Continent"]
+
+
+def test_positional_load(spark, database, tmp_path):
+    path = write(tmp_path, "p.csv", 'True,True,x,y\nPerú,PE,Lima,"S, A"\n,"",NA\n')
+    loaded = positional_load(spark, path, PLACES, "places", database)
+    assert loaded.columns == PLACES and all(t == "string" for _, t in loaded.dtypes)
+    rows = sorted(map(tuple, loaded.collect()), key=str)
+    assert rows == [("Perú", "PE", "Lima", "S, A"), (None, None, "NA", None)]
+    bad = write(tmp_path, "q.csv", "a,b,c,d\n1,2,3,4,5\n")
+    with pytest.raises(ValueError, match="more than 4"):
+        positional_load(spark, bad, PLACES, "places", database)
+    assert spark.table(f"{database}.places").count() == 2
+
+
+def test_export_reads_back(spark, tmp_path):
+    cells = [(1, ' pad "x"\n'), (2, "a,b"), (3, "\\"), (4, None), (5, "#c"), (6, "'")]
+    df = spark.createDataFrame(cells, "k int, v string")
+    path = str(tmp_path / "out.csv")
+    export_csv(df, path)
+    export_csv(df, path)  # replaces
+    back = read_csv_text(spark, path).drop(RAW)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, as_text(df).collect()))

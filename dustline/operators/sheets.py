@@ -5,15 +5,25 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StructField
 
 from dustline.functions.names import quoted
 
 
 def drop_empty_rows(sheet: DataFrame) -> DataFrame:
     """Without the rows that have no value at all."""
-    return sheet.dropna(how="all") if sheet.columns else sheet
+    if not sheet.columns:
+        return sheet
+    return sheet.dropna(how="all", subset=[quoted(name) for name in sheet.columns])
+
+
+def _has_value(field: StructField) -> Column:
+    cell = F.col(quoted(field.name))
+    if isinstance(field.dataType, (DoubleType, FloatType)):
+        return cell.isNotNull() & ~F.isnan(cell)  # as dropna has it
+    return cell.isNotNull()
 
 
 def drop_empty_columns(sheet: DataFrame) -> DataFrame:
@@ -25,8 +35,8 @@ def drop_empty_columns(sheet: DataFrame) -> DataFrame:
         return sheet
     filled = sheet.agg(
         *[
-            F.coalesce(F.bool_or(F.col(quoted(name)).isNotNull()), F.lit(False)).alias(str(i))
-            for i, name in enumerate(sheet.columns)
+            F.coalesce(F.bool_or(_has_value(field)), F.lit(False)).alias(str(i))
+            for i, field in enumerate(sheet.schema)
         ]
     ).first()
     return sheet.select(*[quoted(name) for name, keep in zip(sheet.columns, filled) if keep])

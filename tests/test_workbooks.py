@@ -1,0 +1,271 @@
+"""Workbooks: what a cell becomes, odd files, and the way to CSV and tables."""
+
+import io
+import zipfile
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+import recipes
+from dustline import (
+    all_sheets,
+    combine_sheets,
+    drop_empty_columns,
+    drop_empty_rows,
+    first_sheet,
+    ingest_folder,
+    ingest_workbooks,
+    scan_workbooks,
+)
+from dustline.sources.workbooks import sheet_rows
+
+
+def save(folder, name, content):
+    path = folder / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(content if isinstance(content, bytes) else recipes.workbook_bytes(content))
+    return str(path)
+
+
+def changed(sheets, **parts):
+    """A workbook with some of its parts replaced (``None`` leaves a part out)."""
+    changes = {name.replace("__", "/") + ".xml": text for name, text in parts.items()}
+    source = zipfile.ZipFile(io.BytesIO(recipes.workbook_bytes(sheets)))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for name in source.namelist():
+            if name not in changes:
+                archive.writestr(name, source.read(name))
+        for name, text in changes.items():
+            if text is not None:
+                archive.writestr(name, text)
+    return packed.getvalue()
+
+
+def sheet_xml(rows, namespace=recipes.MAIN):
+    return f'<worksheet xmlns="{namespace}"><sheetData>{rows}</sheetData></worksheet>'
+
+
+def cells(spark, path, first_only=True):
+    rows = sheet_rows(scan_workbooks(spark, path), first_only).collect()
+    assert all(r.error is None for r in rows), rows
+    return [r.cells for r in sorted(rows, key=lambda r: (r.sheet_no, r.row))]
+
+
+def test_values(spark, tmp_path):
+    rows = [
+        ["n", "t", "d", "b", "f"],
+        [1, "a", date(2020, 2, 29), True, 1.5],
+        [2.0, " b\n", datetime(2020, 1, 1, 13, 5, 6), False, 1e20],
+        [-3, "", None, None, 0.1],
+    ]
+    path = save(tmp_path, "v.xlsx", {"s": rows})
+    assert cells(spark, path) == [
+        ["n", "t", "d", "b", "f"],
+        ["1", "a", "2020-02-29", "True", "1.5"],
+        ["2", " b\n", "2020-01-01 13:05:06", "False", "100000000000000000000"],
+        ["-3", None, None, None, "0.1"],
+    ]
+
+
+def test_header_gaps_and_extent(spark, tmp_path):
+    rows = [["x", None, "x"], [None, "1"], [None] * 3, [None] * 3, ["2", None, None, "far"], [None]]
+    path = save(tmp_path, "g.xlsx", {"s": rows})
+    assert cells(spark, path) == [
+        ["x", "Unnamed: 1", "x.1", "Unnamed: 3"],
+        [None, "1", None, None],
+        [None] * 4,
+        [None] * 4,
+        ["2", None, None, "far"],
+    ]
+
+
+def test_odd_markup(spark, tmp_path):
+    rows = (
+        '<row><c t="inlineStr"><is><r><t>ri</t></r><r><t>ch</t></r><rPh><t>no</t></rPh></is></c>'
+        '<c t="str"><v>formula</v></c><c t="e"><v>#DIV/0!</v></c></row>'
+        '<row r="2"><c r="B2" t="d"><v>2021-05-06T07:08:09</v></c><c r="AA2"><f>1+1</f><v>2</v></c>'
+        '<c r="AB2"/><c r="AC2" t="inlineStr"><is><t></t></is></c></row>'
+        '<row r="9"><c r="A9" s="1"/></row>'
+    )
+    book = changed(
+        {"s": [["k"]]},
+        xl__worksheets__sheet1=sheet_xml(rows, "http://purl.oclc.org/ooxml/spreadsheetml/main"),
+        xl__sharedStrings=None,
+        xl__styles=None,
+        **{
+            "xl___rels__workbook.xml.rels": None,
+        },
+    )
+    # Without the shared parts the links must not name them either.
+    archive = zipfile.ZipFile(io.BytesIO(book))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for name in archive.namelist():
+            if name != "xl/_rels/workbook.xml.rels":
+                out.writestr(name, archive.read(name))
+        out.writestr(
+            "xl/_rels/workbook.xml.rels",
+            recipes._links([("s1", "worksheet", "/xl/worksheets/sheet1.xml")]),
+        )
+    found = cells(spark, save(tmp_path, "o.xlsx", packed.getvalue()))
+    assert len(found) == 2 and all(len(row) == 27 for row in found)
+    assert found[0][:4] == ["rich", "formula", "Unnamed: 2", "Unnamed: 3"]
+    assert (found[1][1], found[1][26]) == ("2021-05-06 07:08:09", "2")
+
+
+def styled(code, serial, calendar=""):
+    styles = (
+        f'<styleSheet xmlns="{recipes.MAIN}"><numFmts><numFmt numFmtId="170" formatCode="{code}"/>'
+        '</numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="170"/><xf numFmtId="14"/>'
+        '<xf numFmtId="46"/></cellXfs></styleSheet>'
+    )
+    style = 1 if code else 2
+    rows = f'<row r="1"><c r="A1" s="{style}"><v>{serial}</v></c></row>'
+    book = (
+        f'<workbook xmlns="{recipes.MAIN}" xmlns:r="{recipes.OFFICE}">{calendar}'
+        '<sheets><sheet name="s" r:id="s1"/></sheets></workbook>'
+    )
+    return changed(
+        {"s": [["k"]]},
+        xl__styles=styles,
+        xl__worksheets__sheet1=sheet_xml(rows),
+        xl__workbook=book,
+    )
+
+
+@pytest.mark.parametrize(
+    ("code", "serial", "text"),
+    [
+        ("", "43890", "2020-02-29"),
+        ("", "59", "1900-02-28"),
+        ("", "61", "1900-03-01"),
+        ("yyyy-mm-dd hh:mm", "43890.5", "2020-02-29 12:00:00"),
+        ("[$-409]d-mmm", "43890", "2020-02-29"),
+        ("h:mm", "0.75", "18:00:00"),
+        ("[h]:mm:ss", "1.5", "1 days 12:00:00"),
+        ("0.00", "43890", "43890"),
+        ("&quot;day&quot; 0", "43890.25", "43890.25"),
+        ("[Red]0", "7", "7"),
+        ("\\d0", "7", "7"),
+    ],
+)
+def test_number_formats(spark, tmp_path, code, serial, text):
+    assert cells(spark, save(tmp_path, "f.xlsx", styled(code, serial))) == [[text]]
+
+
+def test_calendar_of_1904(spark, tmp_path):
+    book = styled("", "42428", '<workbookPr date1904="1"/>')
+    assert cells(spark, save(tmp_path, "m.xlsx", book)) == [["2020-02-29"]]
+
+
+def test_scan_finds_and_prunes(spark, tmp_path):
+    save(tmp_path, "a.xlsx", {"s": [["k"]]})
+    deep = save(tmp_path, "x/y/b c.xlsx", {"s": [["k"], [1]]})
+    save(tmp_path, "c.xls", b"old")
+    save(tmp_path, "d.XLSX", b"other case")
+    found = scan_workbooks(spark, str(tmp_path))
+    assert {r.path.rsplit("/", 1)[1] for r in found.select("path").collect()} == {
+        "a.xlsx",
+        "b c.xlsx",
+    }
+    assert [r.path for r in scan_workbooks(spark, deep).collect()] == [f"file:{deep}"]
+    plan = found.select("path", "length")._jdf.queryExecution().toString()
+    assert "content" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_first_sheet_and_tokens(spark, tmp_path):
+    book = {"one": [["k", "v"], ["NA", "x"], [1, "nan"]], "two": [["z"], [3]]}
+    table = first_sheet(spark, save(tmp_path, "w.xlsx", book))
+    assert table.columns == ["k", "v"]
+    assert sorted(map(str, map(tuple, table.collect()))) == ["('1', None)", "(None, 'x')"]
+    sheets = all_sheets(spark, str(tmp_path / "w.xlsx"))
+    assert list(sheets) == ["one", "two"]
+    assert [tuple(r) for r in sheets["two"].collect()] == [("3",)]
+    save(tmp_path, "other.xlsx", {"one": [["other"]]})
+    with pytest.raises(ValueError, match="differ"):
+        first_sheet(spark, str(tmp_path))
+    save(tmp_path, "bad/broken.xlsx", b"PK nothing")
+    with pytest.raises(ValueError, match="BadZipFile"):
+        first_sheet(spark, str(tmp_path / "bad"))
+
+
+def test_large_sheet_comes_in_batches(spark, tmp_path):
+    rows = [["k", "v"]] + [[i, f"text {i}"] for i in range(12_000)]
+    table = first_sheet(spark, save(tmp_path, "large.xlsx", {"s": rows}))
+    assert table.agg(F.count("*"), F.sum(F.col("k").cast("long"))).first()[:] == (
+        12_000,
+        sum(range(12_000)),
+    )
+
+
+def test_workbooks_to_csv_to_tables(spark, database, tmp_path):
+    books, out = tmp_path / "books", tmp_path / "out"
+    texts = [["Größe (kg)", "x", "x"], [1, 'say "a, b"', None], [2, "two\nlines", "NA"]]
+    save(books, "2020 a=b.xlsx", {"s": texts, "t": [["unused"]]})
+    save(books, "wide.xlsx", {"s": [["a", "b", "c"], [None, None, "1"], [None] * 3, [1]]})
+    save(books, "single.xlsx", {"s": [["only"], ["x"], [None], ["y"]]})
+    save(books, "p/same.xlsx", {"s": [["k"], ["first"]]})
+    save(books, "q/same.xlsx", {"s": [["k"], ["second"], ["third"]]})
+    save(books, "r/same.xlsx", b"broken, so the one before stays")
+    save(books, "broken.xlsx", b"not a workbook")
+    save(books, "empty.xlsx", {"s": []})
+    save(out, "earlier.csv", b"k\nkept\n")
+
+    for _ in range(2):  # a second run replaces the first
+        status = ingest_workbooks(spark, str(books), str(out)).collect()
+    found = {r.path.rsplit("books/", 1)[1]: (r.csv, r.rows, r.error) for r in status}
+    assert len(found) == 8
+    assert found["2020 a=b.xlsx"] == ("2020 a=b.csv", 2, None)
+    assert found["wide.xlsx"] == ("wide.csv", 3, None)
+    assert found["q/same.xlsx"] == ("same.csv", 2, None)
+    assert "replaced by" in found["p/same.xlsx"][2]
+    assert "BadZipFile" in found["broken.xlsx"][2] and found["broken.xlsx"][1] == 0
+    assert "BadZipFile" in found["r/same.xlsx"][2]
+
+    loaded = {r.table: r for r in ingest_folder(spark, str(out), database).collect()}
+    assert {t: r.rows for t, r in loaded.items()} == {
+        "_2020_a_b": 2,
+        "wide": 3,
+        "single": 3,
+        "same": 2,
+        "earlier": 1,
+        "empty": None,
+    }
+    table = spark.table(f"{database}._2020_a_b")
+    assert table.columns == ["Größe_kg_", "x", "x_1"]
+    assert [tuple(r) for r in table.collect()] == [
+        ("1", 'say "a, b"', ""),
+        ("2", "two\nlines", ""),
+    ]
+    assert [r.only for r in spark.table(f"{database}.single").collect()] == ["x", "", "y"]
+
+
+def test_clean_sheets(spark):
+    schema = "a string, `b.1` int, `Unnamed: 2` string"
+    sheet = spark.createDataFrame(
+        [("x", None, None), (None, None, None), ("", 1, None)], schema
+    )
+    assert drop_empty_rows(sheet).count() == 2
+    assert drop_empty_columns(drop_empty_rows(sheet)).columns == ["a", "b.1"]
+    nothing = spark.createDataFrame([(None,)], "z string")
+    assert drop_empty_columns(drop_empty_rows(nothing)).columns == []
+    assert drop_empty_columns(spark.createDataFrame([], "z string")).columns == []
+
+
+def test_combine(spark):
+    one = spark.createDataFrame([(1, "x"), (None, None)], "a int, b string")
+    two = spark.createDataFrame([("y", 2.5, None)], "b string, `c.x` double, d string")
+    three = spark.createDataFrame([("text",)], "a string")
+    nothing = spark.createDataFrame([(None,)], "z string")
+    combined = combine_sheets({"1": one, "2": two, "0": nothing, "3": three})
+    assert combined.dtypes == [("a", "string"), ("b", "string"), ("c.x", "double")]
+    assert sorted(map(str, map(tuple, combined.collect()))) == [
+        "('1', 'x', None)",
+        "('text', None, None)",
+        "(None, 'y', 2.5)",
+    ]
+    assert combine_sheets([nothing]).columns == []
+    with pytest.raises(ValueError):
+        combine_sheets([])

@@ -49,21 +49,18 @@ def replace_table(records: DataFrame, database: str, name: str, location: str) -
     columns = [column for column in records.columns if column != RAW]
     seen = Observation()
     path = f"{location}/{name}/{new_folder(spark, name).rsplit('-', 1)[1]}"
-    (
-        records.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.count(F.when(too_long(len(columns)), 1)).alias("faults"),
-        )
-        .select(*[quoted(column) for column in columns])
-        .write.parquet(path)
-    )
+    rows = records.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(too_long(len(columns)), 1)).alias("faults"),
+    ).select(*[quoted(column) for column in columns])
+    rows.write.parquet(path)
     counts = seen.get
     if counts["faults"]:
         raise ValueError(f"{counts['faults']} records with more than {len(columns)} fields")
     full_name = quoted(database, name)
     spark.sql(f"DROP TABLE IF EXISTS {full_name}")
-    spark.catalog.createTable(full_name, path=path, source="parquet")
+    spark.catalog.createTable(full_name, path=path, source="parquet", schema=rows.schema)
     return counts["rows"]
 
 

@@ -37,6 +37,7 @@ def usage_with_fan_out(history: DataFrame, ddl_only: bool = True) -> DataFrame:
     the same aggregate gives the join's multiplicity from one scan and no join.
     """
     is_use = F.col("object_modified_by_ddl").isNotNull() if ddl_only else F.lit(True)
+    met = F.when(F.col("base_object_name").isNull(), F.lit(1)).otherwise(F.col("rows_of_pair"))
     return (
         history.where(F.col("user_name").isNotNull())
         .groupBy(*_pair())
@@ -46,11 +47,7 @@ def usage_with_fan_out(history: DataFrame, ddl_only: bool = True) -> DataFrame:
             F.count("*").alias("rows_of_pair"),
         )
         .where(F.col("usage_count") > 0)
-        .withColumn(
-            "fan_out",
-            F.when(F.col("base_object_name").isNull(), F.lit(1)).otherwise(F.col("rows_of_pair")),
-        )
-        .drop("rows_of_pair")
+        .select(*PAIR, "last_usage", "usage_count", met.alias("fan_out"))
     )
 
 
@@ -65,12 +62,13 @@ def repeat_rows(df: DataFrame, times: str, block: int = 100_000) -> DataFrame:
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [name for name in df.columns if name != times]
-    last_block = F.floor((F.col(times) - 1) / block)
-    copies = F.least(F.lit(block), F.col(times) - F.col("_block") * block).cast("int")
+    count = F.col(times)
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((count - 1) / block))
+    copies = F.least(F.lit(block), count - F.col("_block") * block).cast("int")
     return (
-        df.where(F.col(times) > 0)
-        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+        df.where(count > 0)
+        .select(*df.columns, F.explode(blocks).alias("_block"))
         .repartition(partitions, *columns, "_block")
         .select(*columns, F.explode(F.array_repeat(F.lit(True), copies)).alias("_copy"))
-        .drop("_copy")
+        .select(*columns)
     )

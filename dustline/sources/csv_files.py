@@ -1,7 +1,8 @@
 """CSV files as text: listing, header, records.
 
-A file is read by Spark's CSV reader in its multi-line mode, which gives a whole file
-to one task. Files beyond a size are read by :mod:`dustline.sources.csv_split` instead.
+Spark's CSV reader finds line breaks within quoted fields in its multi-line mode, which
+gives a whole file to one task. That is for files of bounded size; larger ones are read
+in splits, with :mod:`dustline.sources.csv_split` where records span lines.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dustline.sources.csv_split import read_split
+from dustline.sources.csv_split import assemble_records, lines_are_records, scan_lines
 
 RAW = "_raw"
 CSV_OPTIONS = {
@@ -132,26 +133,34 @@ def read_records(
     """Records below the header as columns ``c0..`` and ``_raw``.
 
     Fields a short record lacks are null. ``_raw`` holds the text of a record that has
-    more or fewer fields than ``width`` and is null for all others. A source with a
-    part larger than ``split_bytes`` (by default the session's split size) is read in
-    splits; the result is the same.
+    more or fewer fields than ``width`` and is null for all others.
+
+    However a source is read, the records are the same. Small files go whole to a task
+    each. Files whose every line is a record are cut at lines. Of files with records that
+    span lines, those up to ``split_bytes`` (by default the session's split size) go
+    whole to a task each, larger ones are put together from their lines.
     """
     schema = ", ".join([f"c{i} string" for i in range(width)] + [f"{RAW} string"])
     paths = [_as_pattern(path) for path, _ in source.parts]
     if split_bytes is None:
-        split_bytes = _split_size(spark)
-    if source.largest > split_bytes:
-        records = read_split(spark, paths, width, schema, CSV_OPTIONS, newline)
+        split_bytes = _bytes(spark, "spark.sql.files.maxPartitionBytes")
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS, header=True, enforceSchema=True)
+    lines = scan_lines(spark, paths, newline)
+    if source.largest <= min(split_bytes, _bytes(spark, "spark.sql.files.openCostInBytes")):
+        records = reader.options(multiLine=True, lineSep=newline).csv(paths)
+    elif lines_are_records(lines, newline):
+        records = reader.options(lineSep=newline[-1]).csv(paths)
+    elif source.largest <= split_bytes:
+        records = reader.options(multiLine=True, lineSep=newline).csv(paths)
     else:
-        reader = spark.read.options(
-            **CSV_OPTIONS, header=True, enforceSchema=True, multiLine=True, lineSep=newline
-        )
-        records = reader.schema(schema).csv(paths)
+        assembled = assemble_records(lines, width, newline).where(F.col("number") > 1)
+        parsed = F.from_csv("record", schema, CSV_OPTIONS)
+        return assembled.select(parsed.alias("r")).select("r.*")
     blank = F.col(RAW).isNotNull() & (F.trim(RAW) == "")
     return records.where(~blank)
 
 
-def _split_size(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes").lower()
-    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", text).groups()
+def _bytes(spark: SparkSession, setting: str) -> int:
+    text = spark.conf.get(setting).lower()
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", text).groups()
     return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]

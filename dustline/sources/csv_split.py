@@ -9,7 +9,7 @@ only the pieces of records that span lines are grouped.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,32 +18,24 @@ from dustline.functions.text import ends_inside
 from dustline.sources.shared import staged
 
 
-def read_split(
-    spark: SparkSession,
-    paths: Sequence[str],
-    width: int,
-    schema: str,
-    options: Mapping[str, str],
-    newline: str = "\n",
-) -> DataFrame:
-    """Records below each file's header, parsed to ``schema``."""
-    cut, other = ("\r", "\n") if newline == "\r" else ("\n", "\r")
-    lines = spark.read.option("lineSep", cut).text(list(paths))
-    spanning = lines.where(ends_inside(F.col("value"), False) | F.col("value").contains(other))
-    if spanning.isEmpty():
-        # Every line is a record: no line, entered outside quotes, is left inside.
-        return (
-            spark.read.options(**options, header=True, enforceSchema=True, lineSep=cut)
-            .schema(schema)
-            .csv(list(paths))
-        )
-    records = assemble_records(lines, width, cut)
-    parsed = F.from_csv("record", schema, dict(options))
-    return records.where(F.col("number") > 1).select(parsed.alias("r")).select("r.*")
+def scan_lines(spark: SparkSession, paths: Sequence[str], newline: str) -> DataFrame:
+    """The lines of files, in splits. Of ``\\r\\n`` the first half stays with the line."""
+    return spark.read.option("lineSep", newline[-1]).text(list(paths))
+
+
+def lines_are_records(lines: DataFrame, newline: str) -> bool:
+    """Whether no record spans lines, so that files may be cut at any line.
+
+    True when no line that is entered outside quotes is left inside them; the search
+    ends at the first that is. Lines with the other line-break character do not qualify.
+    """
+    other = "\n" if newline == "\r" else "\r"
+    value = F.col("value")
+    return lines.where(value.contains(other) | ends_inside(value, False)).isEmpty()
 
 
-def assemble_records(lines: DataFrame, width: int, cut: str) -> DataFrame:
-    """Rows ``(file, number, record)`` from a text scan cut at ``cut`` only."""
+def assemble_records(lines: DataFrame, width: int, newline: str) -> DataFrame:
+    """Rows ``(file, number, record)`` from scanned lines; a file's header is number 1."""
     in_split = ["file", "split"]
     value = F.col("value")
     # Within a task lines keep their order; the split's offset orders the splits.
@@ -117,7 +109,7 @@ def assemble_records(lines: DataFrame, width: int, cut: str) -> DataFrame:
     joined = (
         placed.where(~whole)
         .groupBy("file", "number")
-        .agg(F.array_join(F.transform(pieces, lambda piece: piece["value"]), cut).alias("record"))
+        .agg(F.array_join(F.transform(pieces, lambda piece: piece["value"]), newline[-1]).alias("record"))
     )
     record = F.col("record")
     without_cr = F.when(record.endswith("\r"), F.substring(record, F.lit(1), F.length(record) - 1))

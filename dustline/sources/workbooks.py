@@ -6,6 +6,7 @@ the cells of each sheet into rows of text.
 
 from __future__ import annotations
 
+import functools
 import posixpath
 import re
 import sys
@@ -31,6 +32,7 @@ for _module in (__name__, names.__name__):
 
 SHEET_ROWS = "path string, sheet string, sheet_no int, row int, cells array<string>, error string"
 BATCH_ROWS = 5_000
+HELD_CELLS = 2_000_000  # per workbook
 
 # Fixed values of the file format: built-in number formats that are dates or times,
 # what makes a custom format one, and day 0 of the two calendars.
@@ -38,6 +40,7 @@ DATE_FORMATS = frozenset([*range(14, 23), *range(45, 48)])
 FORMAT_NOISE = re.compile(r'"[^"]*"|\\.|_.|\*.|\[(?!hh?\]|mm?\]|ss?\])[^\]]*\]')
 DATE_LETTERS = re.compile("[dmyhs]", re.IGNORECASE)
 ELAPSED = re.compile(r"\[(hh?|mm?|ss?)\]", re.IGNORECASE)
+DIGITS = "0123456789"
 DAY_ZERO = {False: datetime(1899, 12, 30), True: datetime(1904, 1, 1)}
 
 
@@ -121,29 +124,36 @@ def _workbook_batches(path: str, content, first_only: bool) -> Iterator[pa.Recor
         fields = ["path", "sheet", "sheet_no", "row", "cells", "error"]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], fields)
 
+    def batches(book, sheet, number, part, extent, kept):
+        rows, cells = [], []
+        for row, values in book.filled_rows(part, *extent, kept):
+            rows.append(row)
+            cells.append(unique_header(values) if row == 0 else values)
+            if len(rows) == BATCH_ROWS:
+                yield batch(sheet, number, rows, cells)
+                rows, cells = [], []
+        yield batch(sheet, number, rows, cells)
+
     try:
         with zipfile.ZipFile(pa.BufferReader(content)) as archive:
             book = _Workbook(archive)
-            sheets = book.sheets[:1] if first_only else book.sheets
-            extents = [book.extent(part) for _, part in sheets]  # reads all before any row is out
-            for number, ((sheet, part), (height, width)) in enumerate(zip(sheets, extents)):
-                rows, cells = [], []
-                for row, values in book.filled_rows(part, height, width):
-                    rows.append(row)
-                    cells.append(unique_header(values) if row == 0 else values)
-                    if len(rows) == BATCH_ROWS:
-                        yield batch(sheet, number, rows, cells)
-                        rows, cells = [], []
-                yield batch(sheet, number, rows, cells)
+            # All sheets are read before any row goes out: a bad one spoils the workbook.
+            sheets = [
+                (sheet, number, part, *book.measure(part))
+                for number, (sheet, part) in enumerate(book.sheets[: 1 if first_only else None])
+            ]
+            for sheet in sheets:
+                yield from batches(book, *sheet)
     except Exception as problem:  # whatever is wrong with it is reported, not raised
         yield batch(None, None, [None], [None], f"{type(problem).__name__}: {problem}")
 
 
 class _Workbook:
-    """Cell values of an open workbook. Sheets are streamed, never held."""
+    """Cell values of an open workbook. Sheets are streamed; small ones are also held."""
 
     def __init__(self, archive: zipfile.ZipFile):
         self.archive = archive
+        self.room = HELD_CELLS
         root = next(
             target
             for kind, target in self._links("", "").values()
@@ -222,37 +232,33 @@ class _Workbook:
         return kinds
 
     def _value(self, cell: ElementTree.Element) -> str | None:
-        kind, raw, inline = cell.get("t", "n"), None, None
+        kind, raw = cell.get("t", "n"), None
         for child in cell:
-            tag = child.tag.rsplit("}", 1)[-1]
-            if tag == "v":
+            if child.tag.endswith("}v"):
                 raw = child.text
-            elif tag == "is":
-                inline = self._text(child)
-        if kind == "inlineStr":
-            return inline or None
-        if raw is None or kind == "e":
+            elif child.tag.endswith("}is"):
+                return self._text(child) or None
+        if raw is None:
             return None
+        if kind == "n":
+            style = int(cell.get("s", 0))
+            form = self.formats[style] if style < len(self.formats) else "number"
+            return self._number(raw) if form == "number" else self._moment(float(raw), form)
         if kind == "s":
             return self.shared[int(raw)] or None
         if kind == "b":
             return "True" if raw.strip() in ("1", "true") else "False"
         if kind == "d":
             return str(datetime.fromisoformat(raw))
-        if kind != "n":
-            return raw
-        style = int(cell.get("s", 0))
-        form = self.formats[style] if style < len(self.formats) else "number"
-        if form == "number":
-            return self._number(raw)
-        return self._moment(float(raw), form)
+        return None if kind == "e" else raw
 
     @staticmethod
     def _number(raw: str) -> str:
-        if re.fullmatch(r"\s*[+-]?\d+\s*", raw):
+        try:
             return str(int(raw))
-        value = float(raw)
-        return str(int(value)) if value.is_integer() else repr(value)
+        except ValueError:
+            value = float(raw)
+            return str(int(value)) if value.is_integer() else repr(value)
 
     def _moment(self, serial: float, form: str) -> str:
         if form == "elapsed":
@@ -268,39 +274,45 @@ class _Workbook:
 
     def _rows(self, part: str) -> Iterator[tuple[int, dict[int, str]]]:
         """Row number (from 0) and its cells that hold a value, by column."""
-        row, parents = -1, []
+        row = -1
         with self.archive.open(part) as stream:
-            for event, node in ElementTree.iterparse(stream, events=("start", "end")):
-                tag = node.tag.rsplit("}", 1)[-1]
-                if event == "start":
-                    if tag == "sheetData":
-                        parents.append(node)
-                elif tag == "row":
-                    row = int(node.get("r", row + 2)) - 1
-                    column, values = -1, {}
-                    for cell in node:
-                        place = cell.get("r")
-                        column = _column_index(place) if place else column + 1
-                        value = self._value(cell)
-                        if value is not None:
-                            values[column] = value
-                    yield row, values
-                    parents[-1].clear()  # drop what has been read
-
-    def extent(self, part: str) -> tuple[int, int]:
-        """Rows and columns up to the last that holds a value."""
+            for _, node in ElementTree.iterparse(stream):
+                if not node.tag.endswith("}row"):
+                    continue
+                row = int(node.get("r", row + 2)) - 1
+                column, values = -1, {}
+                for cell in node:
+                    place = cell.get("r")
+                    column = _column_index(place.rstrip(DIGITS)) if place else column + 1
+                    value = self._value(cell)
+                    if value is not None:
+                        values[column] = value
+                yield row, values
+                node.clear()  # of a row that has been read only its empty shell stays
+
+    def measure(self, part: str) -> tuple[tuple[int, int], list | None]:
+        """Rows and columns up to the last that holds a value, and the rows read.
+
+        The rows of a sheet that is too large to hold are not kept but read again.
+        """
         height = width = 0
+        kept: list | None = []
         for row, values in self._rows(part):
             if values:
                 height, width = max(height, row + 1), max(width, max(values) + 1)
-        return height, width
+                self.room -= len(values)
+                if self.room < 0:
+                    kept = None
+                if kept is not None:
+                    kept.append((row, values))
+        return (height, width), kept
 
     def filled_rows(
-        self, part: str, height: int, width: int
+        self, part: str, height: int, width: int, kept: list | None
     ) -> Iterator[tuple[int, list[str | None]]]:
         """All rows of the extent, those the file leaves out as empty ones."""
         due = 0
-        for row, values in self._rows(part):
+        for row, values in self._rows(part) if kept is None else kept:
             if row >= height:
                 break
             while due < row:
@@ -312,10 +324,9 @@ class _Workbook:
             yield 0, []
 
 
-def _column_index(place: str) -> int:
+@functools.cache
+def _column_index(letters: str) -> int:
     index = 0
-    for letter in place:
-        if not letter.isalpha():
-            break
-        index = index * 26 + ord(letter.upper()) - ord("A") + 1
+    for letter in letters.upper():
+        index = index * 26 + ord(letter) - ord("A") + 1
     return index - 1

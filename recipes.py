@@ -88,9 +88,12 @@ def csv_folder(spark: SparkSession, exports: Mapping[str, DataFrame]) -> str:
 def workbook_folder(df: DataFrame, sheets: Mapping[str, Sequence[str]], key: str) -> str:
     """A folder of workbooks that together hold ``df``, one per Arrow batch.
 
-    Each sheet holds the named columns. The name of a workbook comes from the first key
-    in it, so a task that runs again writes the same files again.
+    Each sheet holds the named columns. Rows are spread and sorted by the key and the
+    name of a workbook comes from the first key in it, so a task that runs again makes
+    the same batches and writes the same files again.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.repartition(partitions, key).sortWithinPartitions(key)
     folder = new_folder(df.sparkSession, "workbooks")
     place = folder.removeprefix("file://").removeprefix("file:").replace("s3a://", "s3://")
 
@@ -109,7 +112,7 @@ def workbook_folder(df: DataFrame, sheets: Mapping[str, Sequence[str]], key: str
                 stream.write(workbook_bytes(book))
             yield pa.RecordBatch.from_pydict({"n": pa.array([len(rows)], pa.int64())})
 
-    df.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    spread.mapInArrow(write, "n long").agg(F.sum("n")).collect()
     return folder
 
 

@@ -76,6 +76,9 @@ def test_reads_like_pandas_whole_and_in_splits(spark, tmp_path, tiny_splits, nam
     path = write(tmp_path, f"{name}.csv", text)
     expected = by_pandas(text.removeprefix("﻿"))
     assert by_spark(spark, path, split_bytes=1 << 30) == expected
+    spark.conf.set("spark.sql.files.openCostInBytes", "1m")  # small enough to go whole
+    assert by_spark(spark, path, split_bytes=1 << 30) == expected
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
     assert by_spark(spark, path, split_bytes=0) == expected
 
 

@@ -18,6 +18,7 @@ from dustline import (
     ingest_workbooks,
     scan_workbooks,
 )
+from dustline.sources import workbooks
 from dustline.sources.workbooks import sheet_rows
 
 
@@ -200,6 +201,15 @@ def test_large_sheet_comes_in_batches(spark, tmp_path):
     )
 
 
+def test_sheets_too_large_to_hold_are_read_again(spark, tmp_path, monkeypatch):
+    book = {"s": [["k"]] + [[i] for i in range(50)], "t": [["z"], [None], [1]]}
+    path = save(tmp_path, "held.xlsx", book)
+    held = cells(spark, path, first_only=False)
+    monkeypatch.setattr(workbooks, "HELD_CELLS", 10)
+    assert cells(spark, path, first_only=False) == held
+    assert len(held) == 54
+
+
 def test_workbooks_to_csv_to_tables(spark, database, tmp_path):
     books, out = tmp_path / "books", tmp_path / "out"
     texts = [["Größe (kg)", "x", "x"], [1, 'say "a, b"', None], [2, "two\nlines", "NA"]]

@@ -61,46 +61,47 @@ def csv_line(cells: Column) -> Column:
     return F.when((F.size(cells) == 1) & (line == ""), F.lit('""')).otherwise(line)
 
 
-def _quote_scan(text: Column, starts_inside: bool) -> Column:
+def quote_scan(text: Column) -> Column:
     """Follow the quotes of a CSV text from left to right.
 
-    The text is cut at its quote characters and folded over. ``state`` is 0 outside
-    quotes, 1 inside, 2 after a quote met inside, which either ends the field or is
-    the first half of a doubled quote. Outside, a quote opens a field only where one
-    starts. The comma put in front makes the start of the text the start of a field,
-    so counting commas outside quotes counts fields.
+    The text is cut at its quote characters and folded over once for both states it may
+    be entered with. A state is 0 outside quotes, 1 inside, 2 after a quote met inside,
+    which either ends the field or is the first half of a doubled quote. Outside, a quote
+    opens a field only where one starts. The comma put in front makes the start of the
+    text the start of a field, so counting commas outside quotes counts fields.
     """
     pieces = F.split(F.concat(F.lit(","), text), '"', -1)
-    head = F.element_at(pieces, 1)
-
-    def commas(piece: Column) -> Column:
-        return F.length(piece) - F.length(F.replace(piece, F.lit(",")))
 
     def step(seen: Column, piece: Column) -> Column:
-        doubled = (seen["state"] == 2) & (seen["piece"] == "")
-        at_field_start = (seen["state"] != 1) & seen["piece"].endswith(",")
-        state = F.when(seen["state"] == 1, 2).when(doubled | at_field_start, 1).otherwise(0)
+        before = seen["piece"]
+
+        def after_quote(state: Column) -> Column:
+            opens = (state == 2) & (before == "") | (state != 1) & before.endswith(",")
+            return F.when(before.isNull(), state).when(state == 1, 2).when(opens, 1).otherwise(0)
+
+        commas = F.length(piece) - F.length(F.replace(piece, F.lit(",")))
+        from_outside = after_quote(seen["from_outside"])
         return F.struct(
-            state.alias("state"),
+            from_outside.alias("from_outside"),
+            after_quote(seen["from_inside"]).alias("from_inside"),
+            (seen["fields"] + F.when(from_outside == 1, 0).otherwise(commas)).alias("fields"),
             piece.alias("piece"),
-            (seen["fields"] + F.when(state == 1, 0).otherwise(commas(piece))).alias("fields"),
         )
 
     start = F.struct(
-        F.lit(int(starts_inside)).alias("state"),
-        head.alias("piece"),
-        (F.lit(0) if starts_inside else commas(head)).alias("fields"),
+        F.lit(0).alias("from_outside"),
+        F.lit(1).alias("from_inside"),
+        F.lit(0).alias("fields"),
+        F.lit(None).cast("string").alias("piece"),
     )
-    return F.aggregate(F.slice(pieces, 2, F.size(pieces)), start, step)
+    return F.aggregate(pieces, start, step)
 
 
-def ends_inside(line: Column, starts_inside: bool) -> Column:
-    """Whether the end of the line lies within a quoted field."""
-    return F.when(line.contains('"'), _quote_scan(line, starts_inside)["state"] == 1).otherwise(
-        F.lit(starts_inside)
-    )
+def ends_inside(line: Column) -> Column:
+    """Whether a line, entered outside quotes, ends within a quoted field."""
+    return line.contains('"') & (quote_scan(line)["from_outside"] == 1)
 
 
 def field_count(record: Column) -> Column:
     """Number of fields of one CSV record."""
-    return _quote_scan(record, False)["fields"]
+    return quote_scan(record)["fields"]

@@ -137,13 +137,14 @@ def read_records(
 
     However a source is read, the records are the same. Small files go whole to a task
     each. Files whose every line is a record are cut at lines. Of files with records that
-    span lines, those up to ``split_bytes`` (by default the session's split size) go
-    whole to a task each, larger ones are put together from their lines.
+    span lines, those up to ``split_bytes`` (by default four splits of the session) are
+    streamed whole by a task each, larger ones are put together from their lines.
     """
     schema = ", ".join([f"c{i} string" for i in range(width)] + [f"{RAW} string"])
     paths = [_as_pattern(path) for path, _ in source.parts]
+    cut = _bytes(spark, "spark.sql.files.maxPartitionBytes")
     if split_bytes is None:
-        split_bytes = _bytes(spark, "spark.sql.files.maxPartitionBytes")
+        split_bytes = 4 * cut
     reader = spark.read.schema(schema).options(**CSV_OPTIONS, header=True, enforceSchema=True)
     lines = scan_lines(spark, paths, newline)
     if source.largest <= min(split_bytes, _bytes(spark, "spark.sql.files.openCostInBytes")):
@@ -153,9 +154,9 @@ def read_records(
     elif source.largest <= split_bytes:
         records = reader.options(multiLine=True, lineSep=newline).csv(paths)
     else:
-        assembled = assemble_records(lines, width, newline).where(F.col("number") > 1)
+        assembled = assemble_records(spark, paths, width, newline, cut)
         parsed = F.from_csv("record", schema, CSV_OPTIONS)
-        return assembled.select(parsed.alias("r")).select("r.*")
+        return assembled.where(F.col("number") > 1).select(parsed.alias("r")).select("r.*")
     blank = F.col(RAW).isNotNull() & (F.trim(RAW) == "")
     return records.where(~blank)
 

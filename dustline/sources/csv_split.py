@@ -1,22 +1,38 @@
 """CSV files of any size, read in splits although fields may hold line breaks.
 
 Where a line starts inside or outside a quoted field depends on all lines before it.
-Each line maps the state it is entered with to the state it leaves; such maps compose,
-so they are composed per split first, then over the (few) splits of a file, and every
-line's entry state follows. Lines that form a record by themselves go on as they are;
-only the pieces of records that span lines are grouped.
+Each line maps the state it is entered with to the state it leaves, and such maps
+compose. A first scan composes them per split, for both states a split may be entered
+with. Over the splits of a file, one small row each, the true states follow. A second
+scan then puts the records of each split together where they lie: no line is shuffled.
+Records that cross splits are joined from the pieces the first scan found at the edges.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dustline.functions.text import ends_inside
+from dustline.functions.text import ends_inside, quote_scan
 from dustline.sources.shared import staged
 
+# Tasks get this code with the job, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+SPLIT_BYTES = 32 << 20
+EDGES = (
+    "file string, split long, out0 boolean, out1 boolean, starts0 long, starts1 long, "
+    "head string, tail0 string, tail1 string"
+)
+RECORDS = "file string, number long, record string"
+
 
 def scan_lines(spark: SparkSession, paths: Sequence[str], newline: str) -> DataFrame:
     """The lines of files, in splits. Of ``\\r\\n`` the first half stays with the line."""
@@ -31,110 +47,252 @@ def lines_are_records(lines: DataFrame, newline: str) -> bool:
     """
     other = "\n" if newline == "\r" else "\r"
     value = F.col("value")
-    return lines.where(value.contains(other) | ends_inside(value, False)).isEmpty()
+    return lines.where(value.contains(other) | ends_inside(value)).isEmpty()
 
 
-def assemble_records(lines: DataFrame, width: int, newline: str) -> DataFrame:
-    """Rows ``(file, number, record)`` from scanned lines; a file's header is number 1."""
-    in_split = ["file", "split"]
-    value = F.col("value")
-    # Within a task lines keep their order; the split's offset orders the splits.
-    tagged = lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("pos"),
-        "value",
-        ends_inside(value, False).alias("out0"),
-        ends_inside(value, True).alias("out1"),
-    )
-    blank = (value == "") if width == 1 else (F.trim(F.regexp_replace(value, "[\t\r]", "")) == "")
-    running = Window.partitionBy(*in_split).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    stated = (
-        entry_states(tagged, in_split, "pos")
-        .withColumn("blank", blank)
-        .withColumn("starts0", F.sum((~F.col("in0") & ~F.col("blank")).cast("long")).over(running))
-        .withColumn("starts1", F.sum((~F.col("in1") & ~F.col("blank")).cast("long")).over(running))
-    )
-    # Written once: both the summary of the splits and the records start from it, and
-    # the numbering of lines must not depend on a second scan making the same splits.
-    stated = staged(stated, "csv-lines")
-
-    def left(entered: str) -> Column:
-        return F.when(F.col(entered), F.col("out1")).otherwise(F.col("out0"))
-
-    # One row per split of the file: its size is the file's divided by the split size.
-    splits = stated.groupBy(*in_split).agg(
-        F.max_by(left("in0"), F.col("pos")).alias("out0"),
-        F.max_by(left("in1"), F.col("pos")).alias("out1"),
-        F.max("starts0").alias("starts0"),
-        F.max("starts1").alias("starts1"),
-    )
-    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    starts = F.when(F.col("in0"), F.col("starts1")).otherwise(F.col("starts0"))
-    # Written as well, so that joining it back is sized by what was really written.
-    splits = staged(
-        entry_states(splits, ["file"], "split").select(
-            *in_split,
-            F.col("in0").alias("enters_inside"),
-            left("in0").alias("leaves_inside"),
-            F.coalesce(F.sum(starts).over(earlier), F.lit(0)).alias("records_before"),
-        ),
-        "csv-splits",
+def assemble_records(
+    spark: SparkSession, paths: Sequence[str], width: int, newline: str, split_bytes: int
+) -> DataFrame:
+    """Rows ``(file, number, record)``; the header of a file is its number 1."""
+    lines = _tagged_lines(spark, paths, width, newline, split_bytes)
+    narrow = ["file", "split", "value", "out0", "out1", "blank"]
+    joint = newline[-1]
+    edges = staged(
+        lines.select(*narrow).mapInArrow(lambda batches: _edges(batches, joint), EDGES),
+        "csv-edges",
     )
+    splits = _true_states(edges)
     unclosed = splits.groupBy("file").agg(F.max_by("leaves_inside", "split").alias("open"))
     unclosed_file = unclosed.where("open").select("file").first()
     if unclosed_file:
         raise ValueError(f"quote is never closed in {unclosed_file['file']}")
 
-    inside = F.col("enters_inside")
-    placed = (
-        stated.join(splits, in_split)
-        .withColumn("in", F.when(inside, F.col("in1")).otherwise(F.col("in0")))
-        .withColumn("starts", F.when(inside, F.col("starts1")).otherwise(F.col("starts0")))
-        .select(
-            "file",
-            (F.col("records_before") + F.col("starts")).alias("number"),
-            "split",
-            "pos",
-            "value",
-            "in",
-            left("in").alias("out"),
-            "blank",
-        )
-        .where(F.col("in") | ~F.col("blank"))
+    # Written for itself, so that Spark knows its size when it joins it to the lines.
+    entries = staged(splits.select("file", "split", "enters_inside", "records_before"), "csv-splits")
+    known = F.coalesce(
+        "enters_inside", F.raise_error(F.lit("a split of the second scan was not in the first"))
     )
-    whole = ~F.col("in") & ~F.col("out")
-    single = placed.where(whole).select("file", "number", F.col("value").alias("record"))
-    pieces = F.array_sort(F.collect_list(F.struct("split", "pos", "value")))
-    joined = (
-        placed.where(~whole)
-        .groupBy("file", "number")
-        .agg(F.array_join(F.transform(pieces, lambda piece: piece["value"]), newline[-1]).alias("record"))
+    within = (
+        entries.join(lines, ["file", "split"], "right")
+        .withColumn("enters_inside", known)
+        .sortWithinPartitions("file", "split", "pos")
+        .select(*narrow, "enters_inside", "records_before")
+        .mapInArrow(lambda batches: _records(batches, joint), RECORDS)
     )
+    crossing = _crossing_records(splits, joint)
     record = F.col("record")
     without_cr = F.when(record.endswith("\r"), F.substring(record, F.lit(1), F.length(record) - 1))
-    return single.unionByName(joined).withColumn("record", without_cr.otherwise(record))
+    return within.unionByName(crossing).withColumn("record", without_cr.otherwise(record))
+
+
+def _tagged_lines(
+    spark: SparkSession, paths: Sequence[str], width: int, newline: str, split_bytes: int
+) -> DataFrame:
+    """Lines with file, split, place and what they do to the state.
+
+    Both scans must cut the files alike. By default Spark cuts by the number of cores it
+    has at the time, so the lines are scanned in a session of their own that does not.
+    """
+    fixed = spark.newSession()
+    fixed.conf.set("spark.sql.files.minPartitionNum", "1")
+    fixed.conf.set("spark.sql.files.maxPartitionBytes", str(min(split_bytes, SPLIT_BYTES)))
+    fixed.conf.set(
+        "spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.openCostInBytes")
+    )
+    value = F.col("value")
+    spaces = "\r" if width == 1 else " \t\r"
+    quotes = F.when(value.contains('"'), quote_scan(value))
+    return (
+        scan_lines(fixed, paths, newline)
+        .select(
+            F.col("_metadata.file_name").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("pos"),
+            "value",
+            (F.btrim(value, F.lit(spaces)) == "").alias("blank"),
+            quotes.alias("quotes"),
+        )
+        .select(
+            "*",
+            F.coalesce(F.col("quotes.from_outside") == 1, F.lit(False)).alias("out0"),
+            F.coalesce(F.col("quotes.from_inside") == 1, F.lit(True)).alias("out1"),
+        )
+    )
 
 
-def entry_states(df: DataFrame, group: Sequence[str], order: str) -> DataFrame:
-    """Add ``in0`` and ``in1``: the state each row is entered with.
+def _true_states(edges: DataFrame) -> DataFrame:
+    """The states each split is really entered with and leaves, and records before it.
 
-    ``out0``/``out1`` say whether a row is left inside quotes when entered outside or
-    inside. ``in0``/``in1`` answer for the group being entered outside or inside. A row
-    that leaves one state whatever it was entered with fixes the state; the rows after
-    it only flip it, so the last such row and the number of flips since decide.
+    ``out0``/``out1`` say whether a split is left inside quotes when entered outside or
+    inside. A split that leaves one state whatever it was entered with fixes the state;
+    those after it only flip it, so the last such split and the flips since decide. A
+    file has as many rows here as splits.
     """
-    ordered = Window.partitionBy(*group).orderBy(order)
+    ordered = Window.partitionBy("file").orderBy("split")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     flips = (F.col("out0") & ~F.col("out1")).cast("long")
-    fixed = F.col("out0") == F.col("out1")
-    counted = df.withColumn("_flips", F.coalesce(F.sum(flips).over(before), F.lit(0)))
-    fixing = F.when(fixed, (F.col("out0").cast("long") + F.col("_flips")) % 2)
-    anchored = counted.withColumn("_fixed", F.last(fixing, ignorenulls=True).over(before))
+    fixing = F.when(
+        F.col("out0") == F.col("out1"), (F.col("out0").cast("long") + F.col("flips")) % 2
+    )
+    enters = (F.coalesce(F.last(fixing, ignorenulls=True).over(before), F.lit(0)) + F.col("flips")) % 2
 
-    def entered(start: int) -> Column:
-        return (F.coalesce(F.col("_fixed"), F.lit(start)) + F.col("_flips")) % 2 == 1
+    def by_entry(outside: str, inside: str) -> Column:
+        return F.when(F.col("enters_inside"), F.col(inside)).otherwise(F.col(outside))
 
     return (
-        anchored.withColumn("in0", entered(0)).withColumn("in1", entered(1)).drop("_flips", "_fixed")
+        edges.withColumn("flips", F.coalesce(F.sum(flips).over(before), F.lit(0)))
+        .withColumn("enters_inside", enters == 1)
+        .withColumn("starts", by_entry("starts0", "starts1"))
+        .select(
+            "file",
+            "split",
+            "enters_inside",
+            by_entry("out0", "out1").alias("leaves_inside"),
+            "starts",
+            F.coalesce(F.sum("starts").over(before), F.lit(0)).alias("records_before"),
+            "head",
+            by_entry("tail0", "tail1").alias("tail"),
+        )
+    )
+
+
+def _crossing_records(splits: DataFrame, joint: str) -> DataFrame:
+    """Records that begin in one split and end in a later one."""
+    continued = splits.where("enters_inside").select(
+        "file", F.col("records_before").alias("number"), "split", F.col("head").alias("piece")
+    )
+    begun = splits.where("leaves_inside AND starts > 0").select(
+        "file", (F.col("records_before") + F.col("starts")).alias("number"), "split", "tail"
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("split", "piece")))
+    return (
+        continued.union(begun)
+        .groupBy("file", "number")
+        .agg(F.array_join(F.transform(in_order, lambda p: p["piece"]), joint).alias("record"))
     )
+
+
+# In tasks. The lines of a split come one after the other, in order.
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """Batches cut where a split ends, each with whether it begins a split."""
+    last = None
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            file, split = batch.column("file")[at].as_py(), batch.column("split")[at].as_py()
+            same = pc.and_(
+                pc.equal(batch.column("file"), file), pc.equal(batch.column("split"), split)
+            )
+            rest = np.flatnonzero(~same.to_numpy(zero_copy_only=False)[at:])
+            end = at + int(rest[0]) if rest.size else batch.num_rows
+            yield (file, split) != last, batch.slice(at, end - at)
+            last, at = (file, split), end
+
+
+def _bools(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _inside(batch: pa.RecordBatch, entered: bool) -> tuple[np.ndarray, bool]:
+    """For each line whether it begins inside quotes, and whether the last ends there."""
+    out0, out1 = _bools(batch, "out0"), _bools(batch, "out1")
+    flips = np.cumsum(out0 & ~out1)
+    fixed = np.maximum.accumulate(np.where(out0 == out1, np.arange(len(out0)), -1))
+    anchored = out0[fixed] ^ ((flips[fixed] & 1) == 1)
+    after = np.where(fixed >= 0, anchored, entered) ^ ((flips & 1) == 1)
+    return np.concatenate([[entered], after[:-1]]), bool(after[-1])
+
+
+def _edges(batches: Iterator[pa.RecordBatch], joint: str) -> Iterator[pa.RecordBatch]:
+    """One row per split, for both states it may be entered with."""
+    seen = None
+    for begins, batch in _runs(batches):
+        if begins:
+            if seen:
+                yield _edge_row(seen, joint)
+            seen = {
+                "file": batch.column("file")[0].as_py(),
+                "split": batch.column("split")[0].as_py(),
+                "state": [False, True],
+                "starts": [0, 0],
+                "head": [],
+                "tail": [[], []],
+            }
+        blank, value = _bools(batch, "blank"), batch.column("value")
+        for entry in (0, 1):
+            inside, seen["state"][entry] = _inside(batch, seen["state"][entry])
+            starts = np.flatnonzero(~inside & ~blank)
+            if entry and not seen["starts"][1]:
+                until = starts[0] if starts.size else len(inside)
+                seen["head"] += value.take(pa.array(np.flatnonzero(inside[:until]))).to_pylist()
+            since = starts[-1] if starts.size else 0
+            kept = inside[since:].copy()
+            if starts.size:
+                kept[0], seen["tail"][entry] = True, []
+            if starts.size or seen["starts"][entry]:
+                lines = since + np.flatnonzero(kept)
+                seen["tail"][entry] += value.take(pa.array(lines)).to_pylist()
+            seen["starts"][entry] += starts.size
+    if seen:
+        yield _edge_row(seen, joint)
+
+
+def _edge_row(seen: dict, joint: str) -> pa.RecordBatch:
+    tails = [
+        joint.join(lines) if inside else None for lines, inside in zip(seen["tail"], seen["state"])
+    ]
+    values = [
+        seen["file"],
+        seen["split"],
+        *seen["state"],
+        *seen["starts"],
+        joint.join(seen["head"]),
+        *tails,
+    ]
+    names = ["file", "split", "out0", "out1", "starts0", "starts1", "head", "tail0", "tail1"]
+    text, number, flag = pa.string(), pa.int64(), pa.bool_()
+    types = [text, number, flag, flag, number, number, text, text, text]
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
+
+
+def _records(batches: Iterator[pa.RecordBatch], joint: str) -> Iterator[pa.RecordBatch]:
+    """The records that lie within a split.
+
+    The last record seen is held back until the next begins or its split ends; one that
+    the split leaves open is not for here, nor are the lines before the first record.
+    """
+    held, inside_now, number, file = None, False, 0, None
+
+    def out(first: int, records: pa.Array) -> pa.RecordBatch:
+        numbers = pa.array(np.arange(first, first + len(records)), pa.int64())
+        files = pa.array([file] * len(records), pa.string())
+        return pa.RecordBatch.from_arrays([files, numbers, records], ["file", "number", "record"])
+
+    for begins, batch in _runs(batches):
+        if begins:
+            if held is not None and not inside_now:
+                yield out(number, pa.array([held], pa.string()))
+            held, file = None, batch.column("file")[0].as_py()
+            inside_now = batch.column("enters_inside")[0].as_py()
+            number = batch.column("records_before")[0].as_py()
+        inside, inside_now = _inside(batch, inside_now)
+        starts = ~inside & ~_bools(batch, "blank")
+        of_record = np.flatnonzero(starts | inside)
+        value = batch.column("value").take(pa.array(of_record))
+        begin = np.flatnonzero(starts[of_record])
+        if held is not None:
+            value = pa.concat_arrays([pa.array([held], pa.string()), value])
+            begin = np.concatenate([[0], begin + 1])
+        else:
+            number += 1 if begin.size else 0
+        if not begin.size:
+            continue
+        bounds = pa.array(np.append(begin, len(value)), pa.int32())
+        records = pc.binary_join(pa.ListArray.from_arrays(bounds, value), joint)
+        yield out(number, records[:-1])
+        number += len(records) - 1
+        held = records[-1].as_py()
+    if held is not None and not inside_now:
+        yield out(number, pa.array([held], pa.string()))

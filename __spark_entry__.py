@@ -22,8 +22,10 @@ from dustline import (  # noqa: E402
     all_sheets,
     check_table,
     combine_sheets,
+    combine_workbook,
     data_check,
     dim_access_history,
+    export_csv,
     first_sheet,
     ingest_folder,
     ingest_workbooks,
@@ -31,13 +33,14 @@ from dustline import (  # noqa: E402
     object_mentions,
     object_usage,
     positional_load,
+    read_csv_text,
+    save_as_text,
     scan_workbooks,
     stale_rows,
     unused_objects,
 )
 from dustline.functions.text import NULL_TOKENS  # noqa: E402
-from dustline.operators.text_tables import RAW, export_csv  # noqa: E402
-from dustline.plans.ingest import read_csv_text  # noqa: E402
+from dustline.operators.text_tables import RAW  # noqa: E402
 from dustline.sources.shared import new_folder  # noqa: E402
 
 USAGE_AS_OF = datetime(2024, 4, 20, 12)
@@ -135,6 +138,16 @@ def _csv_folder_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_folder(spark, folder, recipes.run_database(spark)).drop("path")
 
 
+def _text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    priority = F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority"))
+    orders = recipes.given(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order key"),
+        F.col("o_custkey").alias("3-customer"),
+        priority.alias("priority (open)"),
+    )
+    return save_as_text(orders, "orders_text", recipes.run_database(spark))
+
+
 def _positional_load(empty_below: int) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind = F.when(F.col("p_size") < empty_below, "").otherwise(F.col("p_type"))
@@ -213,6 +226,12 @@ def _workbook_all_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.unionByName(owners, allowMissingColumns=True)
 
 
+def _workbook_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_folder(spark, "combined")
+    combine_workbook(spark, _order_books(spark, sf_dir), out)
+    return read_csv_text(spark, out).drop(RAW)
+
+
 def _workbook_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Workbooks to CSV to tables; the rows each step reports, in all."""
     out = new_folder(spark, "from-workbooks")
@@ -250,12 +269,14 @@ def queries() -> dict[str, Query]:
         "csv_ingest_in_splits": _csv_ingest(0),
         "csv_roundtrip": _csv_roundtrip,
         "csv_folder_ingest": _csv_folder_ingest,
+        "text_table": _text_table,
         "positional_load": _positional_load(0),
         "positional_load_nulls": _positional_load(10),
         "sheet_union_clean": _sheet_union_clean,
         "workbook_scan": _workbook_scan,
         "workbook_first_sheet": _workbook_first_sheet,
         "workbook_all_sheets": _workbook_all_sheets,
+        "workbook_combined": _workbook_combined,
         "workbook_ingest": _workbook_ingest,
     }
 
@@ -331,6 +352,13 @@ def oracle_sql() -> dict[str, str]:
         FROM orders"""
     owners = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
             CAST(o_custkey AS VARCHAR) AS o_custkey, 'owners' AS sheet FROM orders"""
+    sheet_columns = ["o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+    sheet_columns += ["is_open", "o_custkey"]
+    combined = """SELECT {} FROM ({} UNION ALL BY NAME
+        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+               CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders)""".format(
+        ", ".join(f"{text(column)} AS {column}" for column in sheet_columns), orders.format("")
+    )
     steps = " UNION ALL ".join(
         f"""SELECT '{step}' AS step, count(*) AS "rows", 0 AS errors FROM orders"""
         for step in ["csv", "table"]
@@ -353,11 +381,16 @@ def oracle_sql() -> dict[str, str]:
             {text("o_custkey")} AS o_custkey, {text("o_orderstatus")} AS o_orderstatus,
             {text("o_orderpriority")} AS o_orderpriority FROM orders""",
         "csv_folder_ingest": loaded,
+        "text_table": f"""SELECT {text("o_orderkey")} AS order_key,
+            {text("o_custkey")} AS "3_customer",
+            CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority ELSE '' END AS priority_open_
+            FROM orders""",
         "positional_load": places("p_type"),
         "positional_load_nulls": places("CASE WHEN p_size < 10 THEN '' ELSE p_type END"),
         "sheet_union_clean": sheets,
         "workbook_first_sheet": orders.format(""),
         "workbook_all_sheets": f"{orders.format(', ' + repr('orders') + ' AS sheet')}"
         f" UNION ALL BY NAME {owners}",
+        "workbook_combined": combined,
         "workbook_ingest": steps,
     }

@@ -2,21 +2,33 @@
 
 from dustline.operators.checks import object_mentions, stale_rows
 from dustline.operators.sheets import combine_sheets, drop_empty_columns, drop_empty_rows
+from dustline.operators.text_tables import as_text, export_csv
 from dustline.operators.usage import object_usage
 from dustline.plans.audit import check_table, data_check, unused_objects
-from dustline.plans.ingest import ingest_folder, ingest_workbooks, positional_load
+from dustline.plans.ingest import (
+    combine_workbook,
+    ingest_folder,
+    ingest_workbooks,
+    positional_load,
+    read_csv_text,
+    save_as_text,
+)
 from dustline.plans.models import access_history, dim_access_history, materialize
-from dustline.sources.workbooks import all_sheets, first_sheet, scan_workbooks
+from dustline.sources.tables import table
+from dustline.sources.workbooks import all_sheets, first_sheet, scan_workbooks, sheet_rows
 
 __all__ = [
     "access_history",
     "all_sheets",
+    "as_text",
     "check_table",
     "combine_sheets",
+    "combine_workbook",
     "data_check",
     "dim_access_history",
     "drop_empty_columns",
     "drop_empty_rows",
+    "export_csv",
     "first_sheet",
     "ingest_folder",
     "ingest_workbooks",
@@ -24,7 +36,11 @@ __all__ = [
     "object_mentions",
     "object_usage",
     "positional_load",
+    "read_csv_text",
+    "save_as_text",
     "scan_workbooks",
+    "sheet_rows",
     "stale_rows",
+    "table",
     "unused_objects",
 ]

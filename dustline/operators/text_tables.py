@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 from dustline.functions.names import quoted
 from dustline.functions.text import NULL_TOKENS, field_count, null_if_token
 from dustline.sources.csv_files import RAW
-from dustline.sources.shared import new_folder
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def too_long(width: int) -> Column:
     return F.col(RAW).isNotNull() & (field_count(F.col(RAW)) > width)
 
 
-def replace_table(records: DataFrame, database: str, name: str, location: str) -> int:
+def replace_table(records: DataFrame, database: str, name: str, location: str | None) -> int:
     """Write records as the table's new content and return their number.
 
     The rows go to a folder of their own and the table is pointed to it afterwards, so
@@ -47,13 +47,15 @@ def replace_table(records: DataFrame, database: str, name: str, location: str) -
     """
     spark = records.sparkSession
     columns = [column for column in records.columns if column != RAW]
+    faulty = too_long(len(columns)) if RAW in records.columns else F.lit(False)
     seen = Observation()
-    path = f"{location}/{name}/{new_folder(spark, name).rsplit('-', 1)[1]}"
     rows = records.observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(too_long(len(columns)), 1)).alias("faults"),
+        F.count(F.when(faulty, 1)).alias("faults"),
     ).select(*[quoted(column) for column in columns])
+    base = location or spark.catalog.getDatabase(database).locationUri
+    path = f"{base.rstrip('/')}/{name}/{uuid.uuid4().hex}"
     rows.write.parquet(path)
     counts = seen.get
     if counts["faults"]:

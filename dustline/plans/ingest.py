@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dustline.functions.names import column_names, first_clash, table_name
+from dustline.functions.names import column_names, first_clash, quoted, table_name
 from dustline.functions.text import NULL_TOKENS, csv_line
-from dustline.operators.text_tables import RAW, replace_table, text_columns
+from dustline.operators.sheets import combine_sheets
+from dustline.operators.text_tables import RAW, as_text, export_csv, replace_table, text_columns
 from dustline.sources.csv_files import CsvSource, csv_source, list_csv, read_head, read_records
 from dustline.sources.shared import staged
-from dustline.sources.workbooks import scan_workbooks, sheet_rows
+from dustline.sources.workbooks import all_sheets, scan_workbooks, sheet_rows
 
 STATUS = "path string, table string, rows long, error string"
 
@@ -54,20 +56,35 @@ def ingest_folder(
     clash = first_clash(tables)
     if clash:
         raise ValueError(f"files collide in table {clash}")
-    base = (location or spark.catalog.getDatabase(database).locationUri).rstrip("/")
 
     def load(source: CsvSource, table: str) -> tuple[str, str, int | None, str | None]:
         try:
             records = read_csv_text(spark, source, null_tokens, split_bytes)
-            return source.path, table, replace_table(records, database, table, base), None
-        except (PySparkException, ValueError) as problem:
-            return source.path, table, None, str(problem).strip().split("\n")[0]
+            return source.path, table, replace_table(records, database, table, location), None
+        except (PySparkException, Py4JJavaError, ValueError) as problem:
+            return source.path, table, None, _first_line(problem)
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         status = list(pool.map(load, sources, tables))
     return spark.createDataFrame(status, STATUS)
 
 
+def _first_line(problem: Exception) -> str:
+    cause = problem.java_exception.toString() if isinstance(problem, Py4JJavaError) else problem
+    return str(cause).strip().split("\n")[0]
+
+
+def save_as_text(
+    df: DataFrame, table: str, database: str, location: str | None = None
+) -> DataFrame:
+    """Create or replace an all-text table from any DataFrame, with clean column names.
+
+    Missing values become empty text.
+    """
+    replace_table(as_text(df.toDF(*column_names(df.columns))), database, table, location)
+    return df.sparkSession.table(quoted(database, table))
+
+
 def positional_load(
     spark: SparkSession,
     path: str,
@@ -86,9 +103,8 @@ def positional_load(
     newline = read_head(spark, source).newline
     records = read_records(spark, source, len(columns), newline, split_bytes)
     named = records.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], RAW)
-    base = (location or spark.catalog.getDatabase(database).locationUri).rstrip("/")
-    replace_table(named, database, table, base)
-    return spark.table(f"`{database}`.`{table}`")
+    replace_table(named, database, table, location)
+    return spark.table(quoted(database, table))
 
 
 def ingest_workbooks(spark: SparkSession, path: str, out: str) -> DataFrame:
@@ -128,3 +144,15 @@ def ingest_workbooks(spark: SparkSession, path: str, out: str) -> DataFrame:
     return books.join(kept.withColumnRenamed("path", "kept"), "csv", "left").select(
         "path", "csv", "rows", F.coalesce("error", replaced).alias("error")
     )
+
+
+def combine_workbook(
+    spark: SparkSession, path: str, out: str, null_tokens: Sequence[str] = NULL_TOKENS
+) -> DataFrame:
+    """All sheets of a workbook, cleaned and under each other, written as one CSV.
+
+    Returns the combined sheets; ``out`` is replaced.
+    """
+    combined = combine_sheets(all_sheets(spark, path, null_tokens))
+    export_csv(combined, out)
+    return combined

@@ -8,9 +8,15 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from dustline import ingest_folder, positional_load
-from dustline.operators.text_tables import RAW, as_text, export_csv
-from dustline.plans.ingest import read_csv_text
+from dustline import (
+    as_text,
+    export_csv,
+    ingest_folder,
+    positional_load,
+    read_csv_text,
+    save_as_text,
+)
+from dustline.operators.text_tables import RAW
 from dustline.sources.csv_files import csv_source, list_csv, read_head
 
 SPLITTING = {"spark.sql.files.maxPartitionBytes": "64b", "spark.sql.files.openCostInBytes": "1b"}
@@ -84,6 +90,7 @@ def test_reads_like_pandas_whole_and_in_splits(spark, tmp_path, tiny_splits, nam
 
 @pytest.mark.parametrize("seed", range(5))
 def test_random_files_in_splits(spark, tmp_path, tiny_splits, seed):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300b")
     rng = random.Random(seed)
     pieces = ["a", " ", ",", '"', "\n", "\n\n", '""', "word", "\r\n", ",\"", '",']
     out = io.StringIO(newline="")
@@ -99,6 +106,7 @@ def test_random_files_in_splits(spark, tmp_path, tiny_splits, seed):
 
 
 def test_splits_are_many(spark, tmp_path, tiny_splits):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150b")
     path = write(tmp_path, "many.csv", "k,v\n" + "".join(f'{i},"a\nb"\n' for i in range(200)))
     scan = spark.read.option("lineSep", "\n").text(path)
     assert scan.rdd.getNumPartitions() > 10
@@ -106,6 +114,7 @@ def test_splits_are_many(spark, tmp_path, tiny_splits):
 
 
 def test_many_parts_each_with_header(spark, tmp_path, tiny_splits):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500b")
     df = spark.range(300).select("id", F.concat(F.lit('x\n"'), F.col("id")).alias("t"))
     path = str(tmp_path / "parts.csv")
     export_csv(df.repartition(3), path)
@@ -176,6 +185,24 @@ def test_folder(spark, database, tmp_path):
     assert [tuple(r) for r in spark.table(f"{database}.export").collect()] == [("new",)]
 
 
+def test_a_load_that_cannot_write_is_reported(spark, database, tmp_path):
+    write(tmp_path, "fine.csv", "k\n1\n")
+    location = write(tmp_path, "a_file", "not a folder")
+    status = ingest_folder(spark, str(tmp_path), database, location=location).collect()
+    assert [(r.table, r.rows) for r in status] == [("fine", None)] and status[0].error
+    assert not spark.catalog.tableExists(f"{database}.fine")
+
+
+def test_any_frame_as_text_table(spark, database, tmp_path):
+    df = spark.createDataFrame([(1, None, True), (None, "x", None)], "`a b` int, `a/b.c` string, z boolean")
+    for _ in range(2):
+        kept = save_as_text(df, "any_frame", database, str(tmp_path))
+    assert kept.columns == ["a_b", "a_b_c", "z"]
+    assert sorted(map(tuple, kept.collect())) == [("", "x", ""), ("1", "", "true")]
+    with pytest.raises(ValueError, match="collide"):
+        save_as_text(spark.createDataFrame([(1, 2)], "`a b` int, `a-b` int"), "any_frame", database)
+
+
 def test_files_that_are_one_table_stop_the_run(spark, database, tmp_path):
     write(tmp_path, "c d.csv", "k\n1\n")
     write(tmp_path, "C-d.csv", "k\n1\n")

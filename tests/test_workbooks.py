@@ -11,15 +11,17 @@ import recipes
 from dustline import (
     all_sheets,
     combine_sheets,
+    combine_workbook,
     drop_empty_columns,
     drop_empty_rows,
     first_sheet,
     ingest_folder,
     ingest_workbooks,
+    read_csv_text,
     scan_workbooks,
+    sheet_rows,
 )
 from dustline.sources import workbooks
-from dustline.sources.workbooks import sheet_rows
 
 
 def save(folder, name, content):
@@ -252,6 +254,19 @@ def test_workbooks_to_csv_to_tables(spark, database, tmp_path):
     assert [r.only for r in spark.table(f"{database}.single").collect()] == ["x", "", "y"]
 
 
+def test_combine_workbook(spark, tmp_path):
+    book = {
+        "one": [["a", "b", None], [1, "x"], [None] * 3, ["NA", None]],
+        "blank": [["z"]],
+        "two": [["b", "c"], ["y", True]],
+    }
+    out = str(tmp_path / "combined.csv")
+    combined = combine_workbook(spark, save(tmp_path, "w.xlsx", book), out)
+    assert combined.columns == ["a", "b", "c"]
+    expected = [("", "y", "True"), ("1", "x", "")]
+    assert sorted(map(tuple, read_csv_text(spark, out).drop("_raw").collect())) == expected
+
+
 def test_clean_sheets(spark):
     schema = "a string, `b.1` int, `Unnamed: 2` string"
     sheet = spark.createDataFrame(

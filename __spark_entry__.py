@@ -135,7 +135,8 @@ def _csv_folder_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = recipes.csv_folder(
         spark, {name: recipes.given(spark, sf_dir, table) for name, table in names.items()}
     )
-    return ingest_folder(spark, folder, recipes.run_database(spark)).drop("path")
+    status = ingest_folder(spark, folder, recipes.run_database(spark))
+    return status.select("table", "rows", F.col("error").isNull().alias("loaded"))
 
 
 def _text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,7 +325,7 @@ def oracle_sql() -> dict[str, str]:
         {read("lang")} AS "2_letter_lang", {read("source")} AS source,
         {text("n_chars")} AS "Größe" FROM documents"""
     loaded = " UNION ALL ".join(
-        f"""SELECT '{name}' AS "table", count(*) AS "rows", CAST(NULL AS VARCHAR) AS error
+        f"""SELECT '{name}' AS "table", count(*) AS "rows", true AS loaded
             FROM {table}"""
         for name, table in [
             ("_2024_events_log", "events"),
@@ -360,7 +361,7 @@ def oracle_sql() -> dict[str, str]:
         ", ".join(f"{text(column)} AS {column}" for column in sheet_columns), orders.format("")
     )
     steps = " UNION ALL ".join(
-        f"""SELECT '{step}' AS step, count(*) AS "rows", 0 AS errors FROM orders"""
+        f"""SELECT '{step}' AS step, count(*) AS "rows", CAST(0 AS BIGINT) AS errors FROM orders"""
         for step in ["csv", "table"]
     )
     return {

@@ -38,6 +38,10 @@ class CsvSource:
     def largest(self) -> int:
         return max(size for _, size in self.parts)
 
+    @property
+    def total(self) -> int:
+        return sum(size for _, size in self.parts)
+
     @property
     def first_part(self) -> str:
         return next((path for path, size in self.parts if size), self.parts[0][0])
@@ -154,7 +158,7 @@ def read_records(
     elif source.largest <= split_bytes:
         records = reader.options(multiLine=True, lineSep=newline).csv(paths)
     else:
-        assembled = assemble_records(spark, paths, width, newline, cut)
+        assembled = assemble_records(spark, paths, source.total, width, newline, cut)
         parsed = F.from_csv("record", schema, CSV_OPTIONS)
         return assembled.where(F.col("number") > 1).select(parsed.alias("r")).select("r.*")
     blank = F.col(RAW).isNotNull() & (F.trim(RAW) == "")

@@ -26,7 +26,8 @@ from dustline.sources.shared import staged
 # Tasks get this code with the job, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SPLIT_BYTES = 32 << 20
+SMALL_SPLIT = 32 << 20
+MANY_SPLITS = 10_000
 EDGES = (
     "file string, split long, out0 boolean, out1 boolean, starts0 long, starts1 long, "
     "head string, tail0 string, tail1 string"
@@ -51,9 +52,18 @@ def lines_are_records(lines: DataFrame, newline: str) -> bool:
 
 
 def assemble_records(
-    spark: SparkSession, paths: Sequence[str], width: int, newline: str, split_bytes: int
+    spark: SparkSession,
+    paths: Sequence[str],
+    total_bytes: int,
+    width: int,
+    newline: str,
+    split_bytes: int,
 ) -> DataFrame:
-    """Rows ``(file, number, record)``; the header of a file is its number 1."""
+    """Rows ``(file, number, record)``; the header of a file is its number 1.
+
+    Splits are small while they are not many, and never larger than ``split_bytes``.
+    """
+    split_bytes = min(split_bytes, max(SMALL_SPLIT, total_bytes // MANY_SPLITS))
     lines = _tagged_lines(spark, paths, width, newline, split_bytes)
     narrow = ["file", "split", "value", "out0", "out1", "blank"]
     joint = newline[-1]
@@ -95,7 +105,7 @@ def _tagged_lines(
     """
     fixed = spark.newSession()
     fixed.conf.set("spark.sql.files.minPartitionNum", "1")
-    fixed.conf.set("spark.sql.files.maxPartitionBytes", str(min(split_bytes, SPLIT_BYTES)))
+    fixed.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     fixed.conf.set(
         "spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.openCostInBytes")
     )

@@ -214,7 +214,8 @@ def _order_books(spark: SparkSession, sf_dir: str) -> str:
 
 def _workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     books = scan_workbooks(spark, _order_books(spark, sf_dir))
-    return books.select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"), "length")
+    name = F.regexp_extract("path", "([^/]*)$", 1).alias("name")
+    return books.select(name, (F.col("length") > 0).alias("filled"))
 
 
 def _workbook_first_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,6 +390,9 @@ def oracle_sql() -> dict[str, str]:
         "positional_load": places("p_type"),
         "positional_load_nulls": places("CASE WHEN p_size < 10 THEN '' ELSE p_type END"),
         "sheet_union_clean": sheets,
+        "workbook_scan": f"""SELECT DISTINCT true AS filled,
+            'book ' || CAST(o_orderkey // {recipes.BOOK_ROWS} AS VARCHAR) || '.xlsx' AS name
+            FROM orders""",
         "workbook_first_sheet": orders.format(""),
         "workbook_all_sheets": f"{orders.format(', ' + repr('orders') + ' AS sheet')}"
         f" UNION ALL BY NAME {owners}",

@@ -90,34 +90,33 @@ def csv_folder(spark: SparkSession, exports: Mapping[str, DataFrame]) -> str:
     return folder
 
 
+BOOK_ROWS = 5_000
+
+
 def workbook_folder(df: DataFrame, sheets: Mapping[str, Sequence[str]], key: str) -> str:
-    """A folder of workbooks that together hold ``df``, one per Arrow batch.
+    """A folder of workbooks that together hold ``df``, one per range of a unique key.
 
-    Each sheet holds the named columns. Rows are spread and sorted by the key and the
-    name of a workbook comes from the first key in it, so a task that runs again makes
-    the same batches and writes the same files again.
+    Each sheet holds the named columns. The name and the content of a workbook depend on
+    its range only, so a task that runs again writes the same files again.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = df.repartition(partitions, key).sortWithinPartitions(key)
     folder = new_folder(df.sparkSession, "workbooks")
     place = folder.removeprefix("file://").removeprefix("file:").replace("s3a://", "s3://")
 
-    def write(batches):
+    def write(table: pa.Table) -> pa.Table:
         files, root = pyarrow.fs.FileSystem.from_uri(place)
         files.create_dir(root, recursive=True)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = batch.to_pylist()
-            book = {
-                sheet: [list(columns)] + [[row[c] for c in columns] for row in rows]
-                for sheet, columns in sheets.items()
-            }
-            with files.open_output_stream(f"{root}/book {rows[0][key]:012d}.xlsx") as stream:
-                stream.write(workbook_bytes(book))
-            yield pa.RecordBatch.from_pydict({"n": pa.array([len(rows)], pa.int64())})
-
-    spread.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+        rows = table.sort_by(key).to_pylist()
+        book = {
+            sheet: [list(columns)] + [[row[c] for c in columns] for row in rows]
+            for sheet, columns in sheets.items()
+        }
+        with files.open_output_stream(f"{root}/book {rows[0]['book']}.xlsx") as stream:
+            stream.write(workbook_bytes(book))
+        return pa.table({"n": pa.array([len(rows)], pa.int64())})
+
+    books = df.withColumn("book", F.floor(F.col(key) / BOOK_ROWS)).repartition(partitions, "book")
+    books.groupBy("book").applyInArrow(write, "n long").agg(F.sum("n")).collect()
     return folder
 
 

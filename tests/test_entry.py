@@ -37,11 +37,7 @@ def test_same_as_sql(spark, oracle, name, sf):
     found = registered.queries()[name](spark, folder)
     collected = [tuple(r) for r in found.collect()]
     assert collected
-    sql = registered.oracle_sql().get(name)
-    if sql is None:
-        assert name == "workbook_scan"
-        return
-    expected = oracle(folder).sql(sql)
+    expected = oracle(folder).sql(registered.oracle_sql()[name])
     assert sorted(found.columns) == sorted(expected.columns)
     assert rows(found.columns, collected) == rows(expected.columns, expected.fetchall())
 
@@ -69,4 +65,4 @@ def test_entry(spark):
 
 
 def test_registered_alike():
-    assert set(registered.oracle_sql()) == set(registered.queries()) - {"workbook_scan"}
+    assert set(registered.oracle_sql()) == set(registered.queries())

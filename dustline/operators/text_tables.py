@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from dustline.functions.names import quoted
 from dustline.functions.text import NULL_TOKENS, field_count, null_if_token
-from dustline.sources.csv_files import RAW
+from dustline.sources.csv_files import ADDRESS, RAW
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -24,18 +24,22 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 def text_columns(
-    records: DataFrame, names: Sequence[str], null_tokens: Sequence[str] = NULL_TOKENS
+    records: DataFrame,
+    names: Sequence[str],
+    null_tokens: Sequence[str] = NULL_TOKENS,
+    *more: str,
 ) -> DataFrame:
     """Records ``c0..`` under their names, null tokens and missing cells as empty text."""
     cells = [null_if_token(F.col(f"c{i}"), null_tokens) for i in range(len(names))]
     return records.select(
-        *[F.coalesce(cell, F.lit("")).alias(name) for cell, name in zip(cells, names)], RAW
+        *[F.coalesce(cell, F.lit("")).alias(name) for cell, name in zip(cells, names)], quoted(RAW), *more
     )
 
 
 def too_long(width: int) -> Column:
     """Whether a record has more fields than the header."""
-    return F.col(RAW).isNotNull() & (field_count(F.col(RAW)) > width)
+    raw = F.col(quoted(RAW))
+    return raw.isNotNull() & (field_count(raw) > width)
 
 
 def replace_table(records: DataFrame, database: str, name: str, location: str | None) -> int:
@@ -54,18 +58,73 @@ def replace_table(records: DataFrame, database: str, name: str, location: str |
         F.count(F.lit(1)).alias("rows"),
         F.count(F.when(faulty, 1)).alias("faults"),
     ).select(*[quoted(column) for column in columns])
-    base = location or spark.catalog.getDatabase(database).locationUri
-    path = f"{base.rstrip('/')}/{name}/{uuid.uuid4().hex}"
+    path = new_content(spark, database, name, location)
     rows.write.parquet(path)
     counts = seen.get
     if counts["faults"]:
-        raise ValueError(f"{counts['faults']} records with more than {len(columns)} fields")
-    full_name = quoted(database, name)
-    spark.sql(f"DROP TABLE IF EXISTS {full_name}")
-    spark.catalog.createTable(full_name, path=path, source="parquet", schema=rows.schema)
+        raise ValueError(fault_text(counts["faults"], len(columns)))
+    point_table(database, name, path, rows)
     return counts["rows"]
 
 
+def replace_tables(
+    records: DataFrame,
+    names: Sequence[str],
+    tables: Mapping[str, str],
+    database: str,
+    location: str | None,
+) -> dict[str, tuple[int | None, str | None]]:
+    """:func:`replace_table` for many tables of the same columns, in one write.
+
+    ``tables`` gives the table for each ``file-address`` in the records. Returns rows and
+    error by table; a table none of whose records is here is not in the result.
+    """
+    spark = records.sparkSession
+    # Neither column can be one of the files', whose names have no hyphen.
+    target = spark.createDataFrame(list(tables.items()), f"`{ADDRESS}` string, `in-table` string")
+    rows = records.join(target, ADDRESS).select(
+        *[quoted(name) for name in names], too_long(len(names)).alias("too-long"), "in-table"
+    )
+    path = new_content(spark, database, "together", location)
+    rows.write.partitionBy("in-table").parquet(path)
+    counts = (
+        spark.read.schema("`too-long` boolean, `in-table` string")
+        .parquet(path)
+        .groupBy("in-table")
+        .agg(F.count(F.lit(1)).alias("rows"), F.count_if("too-long").alias("faults"))
+    )
+
+    def point(row: Row) -> tuple[str, tuple[int | None, str | None]]:
+        if row["faults"]:
+            return row["in-table"], (None, fault_text(row["faults"], len(names)))
+        point_table(
+            database,
+            row["in-table"],
+            f"{path}/in-table={row['in-table']}",
+            rows.select(*[quoted(name) for name in names]),
+        )
+        return row["in-table"], (row["rows"], None)
+
+    return dict(map(point, counts.collect()))
+
+
+def new_content(spark: SparkSession, database: str, name: str, location: str | None) -> str:
+    """A folder of its own for new content of a table."""
+    base = location or spark.catalog.getDatabase(database).locationUri
+    return f"{base.rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+
+def point_table(database: str, name: str, path: str, like: DataFrame) -> None:
+    """Make the table, new or old, the one whose content is at the path."""
+    spark, full_name = like.sparkSession, quoted(database, name)
+    spark.sql(f"DROP TABLE IF EXISTS {full_name}")
+    spark.catalog.createTable(full_name, path=path, source="parquet", schema=like.schema)
+
+
+def fault_text(faults: int, width: int) -> str:
+    return f"{faults} records with more than {width} fields"
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Write as CSV with header, replacing an earlier export; cells keep their blanks."""
     (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
@@ -13,8 +13,26 @@ from pyspark.sql import functions as F
 from dustline.functions.names import column_names, first_clash, quoted, table_name
 from dustline.functions.text import NULL_TOKENS, csv_line
 from dustline.operators.sheets import combine_sheets
-from dustline.operators.text_tables import RAW, as_text, export_csv, replace_table, text_columns
-from dustline.sources.csv_files import CsvSource, csv_source, list_csv, read_head, read_records
+from dustline.operators.text_tables import (
+    RAW,
+    as_text,
+    export_csv,
+    replace_table,
+    replace_tables,
+    text_columns,
+)
+from dustline.sources.csv_files import (
+    ADDRESS,
+    CsvSource,
+    Head,
+    csv_source,
+    is_small,
+    list_csv,
+    read_head,
+    read_plain_heads,
+    read_records,
+    read_small,
+)
 from dustline.sources.shared import staged
 from dustline.sources.workbooks import all_sheets, scan_workbooks, sheet_rows
 
@@ -27,7 +45,10 @@ def read_csv_text(
     null_tokens: Sequence[str] = NULL_TOKENS,
     split_bytes: int | None = None,
 ) -> DataFrame:
-    """A CSV file as text columns with clean names, plus ``_raw`` (see ``read_records``)."""
+    """A CSV file as text columns with clean names, plus the text of misfit records.
+
+    That last column, ``raw-record``, is null for records that fit (see ``read_records``).
+    """
     source = path if isinstance(path, CsvSource) else csv_source(spark, path)
     head = read_head(spark, source)
     names = column_names(head.cells)
@@ -48,25 +69,57 @@ def ingest_folder(
 
     Returns one row per file: path, table, rows, error. A file that cannot be loaded is
     reported and the others go on. Two files that would be one table stop the run
-    before anything is written. Each load is a Spark job; ``parallel`` of them are
-    submitted at a time, so many small files fill the cluster as one large file does.
+    before anything is written. Small files with the same header are loaded together,
+    in one Spark job for all of them; any other file is a job of its own, of which
+    ``parallel`` are submitted at a time.
     """
-    sources = list_csv(spark, folder)
-    tables = [table_name(source.name) for source in sources]
-    clash = first_clash(tables)
+    listed = list_csv(spark, folder)
+    clash = first_clash(table_name(source.name) for source in listed)
     if clash:
         raise ValueError(f"files collide in table {clash}")
+    sources = {table_name(source.name): source for source in listed}
 
-    def load(source: CsvSource, table: str) -> tuple[str, str, int | None, str | None]:
+    def alone(table: str) -> tuple[int | None, str | None]:
         try:
-            records = read_csv_text(spark, source, null_tokens, split_bytes)
-            return source.path, table, replace_table(records, database, table, location), None
+            records = read_csv_text(spark, sources[table], null_tokens, split_bytes)
+            return replace_table(records, database, table, location), None
         except (PySparkException, Py4JJavaError, ValueError) as problem:
-            return source.path, table, None, _first_line(problem)
+            return None, _first_line(problem)
 
+    def together(head: Head, tables: Sequence[str]) -> dict[str, tuple[int | None, str | None]]:
+        try:
+            names = column_names(head.cells)
+            members = [sources[table] for table in tables]
+            records = read_small(spark, members, len(names), head.newline)
+            by_address = {a: table for table in tables for a in sources[table].addresses}
+            text = text_columns(records, names, null_tokens, quoted(ADDRESS))
+            return replace_tables(text, names, by_address, database, location)
+        except (PySparkException, Py4JJavaError, ValueError):
+            return {}  # each is tried alone, and the one at fault reported
+
+    status: dict[str, tuple[int | None, str | None]] = {}
+    for head, tables in _alike(spark, sources, split_bytes).items():
+        status |= together(head, tables)
+    rest = [table for table in sources if table not in status]
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        status = list(pool.map(load, sources, tables))
-    return spark.createDataFrame(status, STATUS)
+        status |= dict(zip(rest, pool.map(alone, rest)))
+    rows = [(source.path, table, *status[table]) for table, source in sources.items()]
+    return spark.createDataFrame(rows, STATUS)
+
+
+def _alike(
+    spark: SparkSession, sources: Mapping[str, CsvSource], split_bytes: int | None
+) -> dict[Head, list[str]]:
+    """Tables of small files by their common head, where there is more than one."""
+    small = {table: source for table, source in sources.items() if is_small(spark, source)}
+    if len(small) < 2 or split_bytes == 0:
+        return {}
+    heads = read_plain_heads(spark, list(small.values()))
+    groups: dict[Head, list[str]] = {}
+    for table, source in small.items():
+        if source.path in heads:
+            groups.setdefault(heads[source.path], []).append(table)
+    return {head: tables for head, tables in groups.items() if len(tables) > 1}
 
 
 def _first_line(problem: Exception) -> str:
@@ -102,7 +155,7 @@ def positional_load(
     source = csv_source(spark, path)
     newline = read_head(spark, source).newline
     records = read_records(spark, source, len(columns), newline, split_bytes)
-    named = records.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], RAW)
+    named = records.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], quoted(RAW))
     replace_table(named, database, table, location)
     return spark.table(quoted(database, table))
 

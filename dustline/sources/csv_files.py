@@ -10,14 +10,18 @@ from __future__ import annotations
 import csv
 import io
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
+from dustline.functions.names import quoted
 from dustline.sources.csv_split import assemble_records, lines_are_records, scan_lines
 
-RAW = "_raw"
+# Columns beside those of a file, whose clean names have no hyphen.
+RAW = "raw-record"
+ADDRESS = "file-address"
 CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
@@ -28,30 +32,37 @@ CSV_OPTIONS = {
 
 @dataclass(frozen=True)
 class CsvSource:
-    """One table's worth of CSV: a file, or a folder of part files named like one."""
+    """One table's worth of CSV: a file, or a folder of part files named like one.
+
+    Of each part it knows the path, the size, and the address by which rows name it.
+    """
 
     name: str
     path: str
-    parts: tuple[tuple[str, int], ...]
+    parts: tuple[tuple[str, int, str], ...]
 
     @property
-    def largest(self) -> int:
-        return max(size for _, size in self.parts)
+    def paths(self) -> list[str]:
+        return [_as_pattern(path) for path, _, _ in self.parts]
 
     @property
-    def total(self) -> int:
-        return sum(size for _, size in self.parts)
+    def addresses(self) -> list[str]:
+        return [address for _, _, address in self.parts]
+
+    @property
+    def largest(self) -> int:
+        return max(size for _, size, _ in self.parts)
 
     @property
-    def first_part(self) -> str:
-        return next((path for path, size in self.parts if size), self.parts[0][0])
+    def total(self) -> int:
+        return sum(size for _, size, _ in self.parts)
 
 
 @dataclass(frozen=True)
 class Head:
     """How a CSV begins: the cells of its header, and what ends a line."""
 
-    cells: list[str | None]
+    cells: tuple[str | None, ...]
     newline: str
 
 
@@ -71,17 +82,19 @@ def _unescaped(name: str) -> str:
     return re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), name[len("file=") :])
 
 
+def _listed(spark: SparkSession, pattern: str) -> list[tuple[str, int, str]]:
+    files = spark.read.format("binaryFile").load(pattern)
+    return sorted(map(tuple, files.select("path", "length", "_metadata.file_path").collect()))
+
+
 def list_csv(spark: SparkSession, folder: str) -> list[CsvSource]:
     """Every ``.csv`` directly below a folder, by name. Reads names and sizes only."""
     root = _without_scheme(folder).rstrip("/") + "/"
-    listing = (
-        spark.read.format("binaryFile").load(f"{_as_pattern(folder.rstrip('/'))}/*.csv").select("path", "length")
-    )
-    found: dict[str, list[tuple[str, int]]] = {}
-    for path, length in sorted(tuple(row) for row in listing.collect()):
-        before, _, below = path.partition(root)
+    found: dict[str, list[tuple[str, int, str]]] = {}
+    for part in _listed(spark, f"{_as_pattern(folder.rstrip('/'))}/*.csv"):
+        before, _, below = part[0].partition(root)
         entry = below.split("/")[0]
-        found.setdefault(f"{before}{root}{entry}", []).append((path, length))
+        found.setdefault(f"{before}{root}{entry}", []).append(part)
     return [
         CsvSource(_unescaped(path.rsplit("/", 1)[1]), path, tuple(parts))
         for path, parts in sorted(found.items())
@@ -90,8 +103,7 @@ def list_csv(spark: SparkSession, folder: str) -> list[CsvSource]:
 
 def csv_source(spark: SparkSession, path: str) -> CsvSource:
     """A single file or folder of part files as a source."""
-    listing = spark.read.format("binaryFile").load(_as_pattern(path)).select("path", "length")
-    parts = tuple(sorted(tuple(row) for row in listing.collect()))
+    parts = tuple(_listed(spark, _as_pattern(path)))
     if not parts:
         raise ValueError(f"no file at {path}")
     return CsvSource(path.rstrip("/").rsplit("/", 1)[-1], path, parts)
@@ -99,7 +111,7 @@ def csv_source(spark: SparkSession, path: str) -> CsvSource:
 
 def read_head(spark: SparkSession, source: CsvSource) -> Head:
     """The cells of the first record and what ends a line; reads no further."""
-    path = _as_pattern(source.first_part)
+    path = source.paths[0]
     line = F.col("value")
     first = (
         spark.read.option("lineSep", "\n")
@@ -109,22 +121,73 @@ def read_head(spark: SparkSession, source: CsvSource) -> Head:
     )
     if first is None:
         raise ValueError("no header")
-    before_quote, quote, _ = first["value"].partition('"')
-    text, carriage_return, rest = before_quote.partition("\r")
-    if carriage_return or not quote:
-        newline = "\n" if not carriage_return else "\r" if rest or quote else "\r\n"
-        return Head(text.split(","), newline)
+    plain = _plain_head(first["value"])
+    if plain:
+        return plain
     # With quotes around, cells may hold commas and line breaks of their own.
     newline = "\r\n" if first["value"].endswith("\r") else "\n"
     record = (
         spark.read.options(**CSV_OPTIONS, header=False, multiLine=True)
-        .schema(f"cell string, {RAW} string")
+        .schema(f"cell string, `{RAW}` string")
         .csv(path)
         .first()
     )
     if record[RAW] is None:  # exactly one cell
-        return Head([record["cell"]], newline)
-    return Head(next(csv.reader(io.StringIO(record[RAW], newline=""))), newline)
+        return Head((record["cell"],), newline)
+    return Head(tuple(next(csv.reader(io.StringIO(record[RAW], newline="")))), newline)
+
+
+def _plain_head(line: str) -> Head | None:
+    """The head, from the first line, unless quotes in it need a CSV reader."""
+    before_quote, quote, _ = line.partition('"')
+    text, carriage_return, rest = before_quote.partition("\r")
+    if quote and not carriage_return:
+        return None
+    newline = "\n" if not carriage_return else "\r" if rest or quote else "\r\n"
+    return Head(tuple(text.split(",")), newline)
+
+
+def read_plain_heads(spark: SparkSession, sources: Sequence[CsvSource]) -> dict[str, Head]:
+    """The heads of many small files at once, by path, where no quotes are involved."""
+    paths = [path for source in sources for path in source.paths]
+    lines = spark.read.option("lineSep", "\n").text(paths)
+    firsts = (
+        lines.where(F.btrim("value", F.lit(" \t\r")) != "")
+        .select(
+            F.col("_metadata.file_path").alias("address"),
+            F.monotonically_increasing_id().alias("pos"),
+            "value",
+        )
+        .groupBy("address")
+        .agg(F.min_by("value", "pos").alias("line"))
+    )
+    heads = {row["address"]: _plain_head(row["line"]) for row in firsts.collect()}
+    found = {source.path: heads.get(source.addresses[0]) for source in sources}
+    return {path: head for path, head in found.items() if head and head.newline != "\r"}
+
+
+def is_small(spark: SparkSession, source: CsvSource) -> bool:
+    """Small enough to go whole to a task together with others."""
+    return source.total <= _bytes(spark, "spark.sql.files.openCostInBytes")
+
+
+def read_small(
+    spark: SparkSession, sources: Sequence[CsvSource], width: int, newline: str
+) -> DataFrame:
+    """Records of many small files of one width, with the ``file-address`` each comes from."""
+    paths = [path for source in sources for path in source.paths]
+    records = _whole_reader(spark, width, newline).csv(paths)
+    return without_blank_lines(records.select("*", F.col("_metadata.file_path").alias(ADDRESS)))
+
+
+def _schema(width: int) -> str:
+    return ", ".join([f"c{i} string" for i in range(width)] + [f"`{RAW}` string"])
+
+
+def _whole_reader(spark: SparkSession, width: int, newline: str) -> DataFrameReader:
+    return spark.read.schema(_schema(width)).options(
+        **CSV_OPTIONS, header=True, enforceSchema=True, multiLine=True, lineSep=newline
+    )
 
 
 def read_records(
@@ -134,9 +197,9 @@ def read_records(
     newline: str = "\n",
     split_bytes: int | None = None,
 ) -> DataFrame:
-    """Records below the header as columns ``c0..`` and ``_raw``.
+    """Records below the header as columns ``c0..`` and ``raw-record``.
 
-    Fields a short record lacks are null. ``_raw`` holds the text of a record that has
+    Fields a short record lacks are null. ``raw-record`` holds the text of a record that has
     more or fewer fields than ``width`` and is null for all others.
 
     However a source is read, the records are the same. Small files go whole to a task
@@ -144,25 +207,27 @@ def read_records(
     span lines, those up to ``split_bytes`` (by default four splits of the session) are
     streamed whole by a task each, larger ones are put together from their lines.
     """
-    schema = ", ".join([f"c{i} string" for i in range(width)] + [f"{RAW} string"])
-    paths = [_as_pattern(path) for path, _ in source.parts]
+    paths = source.paths
     cut = _bytes(spark, "spark.sql.files.maxPartitionBytes")
     if split_bytes is None:
         split_bytes = 4 * cut
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS, header=True, enforceSchema=True)
-    lines = scan_lines(spark, paths, newline)
+    whole = _whole_reader(spark, width, newline)
     if source.largest <= min(split_bytes, _bytes(spark, "spark.sql.files.openCostInBytes")):
-        records = reader.options(multiLine=True, lineSep=newline).csv(paths)
-    elif lines_are_records(lines, newline):
-        records = reader.options(lineSep=newline[-1]).csv(paths)
+        records = whole.csv(paths)
+    elif lines_are_records(scan_lines(spark, paths, newline), newline):
+        records = whole.options(multiLine=False, lineSep=newline[-1]).csv(paths)
     elif source.largest <= split_bytes:
-        records = reader.options(multiLine=True, lineSep=newline).csv(paths)
+        records = _whole_reader(spark, width, newline).csv(paths)
     else:
         assembled = assemble_records(spark, paths, source.total, width, newline, cut)
-        parsed = F.from_csv("record", schema, CSV_OPTIONS)
+        parsed = F.from_csv("record", _schema(width), CSV_OPTIONS)
         return assembled.where(F.col("number") > 1).select(parsed.alias("r")).select("r.*")
-    blank = F.col(RAW).isNotNull() & (F.trim(RAW) == "")
-    return records.where(~blank)
+    return without_blank_lines(records)
+
+
+def without_blank_lines(records: DataFrame) -> DataFrame:
+    raw = F.col(quoted(RAW))
+    return records.where(~(raw.isNotNull() & (F.trim(raw) == "")))
 
 
 def _bytes(spark: SparkSession, setting: str) -> int:

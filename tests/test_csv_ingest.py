@@ -16,7 +16,8 @@ from dustline import (
     read_csv_text,
     save_as_text,
 )
-from dustline.operators.text_tables import RAW
+from dustline.operators.text_tables import RAW, replace_table
+from dustline.plans import ingest
 from dustline.sources.csv_files import csv_source, list_csv, read_head
 
 SPLITTING = {"spark.sql.files.maxPartitionBytes": "64b", "spark.sql.files.openCostInBytes": "1b"}
@@ -133,8 +134,8 @@ def test_header_cells(spark, tmp_path):
     def header(text):
         return read_head(spark, csv_source(spark, write(tmp_path, "h.csv", text))).cells
 
-    assert header('a,,"b\nc",a\n1,2,3,4\n') == ["a", "", "b\nc", "a"]
-    assert header("one\n1\n") == ["one"]
+    assert header('a,,"b\nc",a\n1,2,3,4\n') == ("a", "", "b\nc", "a")
+    assert header("one\n1\n") == ("one",)
     with pytest.raises(ValueError, match="no header"):
         header("\n \n")
 
@@ -185,6 +186,44 @@ def test_folder(spark, database, tmp_path):
     assert [tuple(r) for r in spark.table(f"{database}.export").collect()] == [("new",)]
 
 
+def test_small_files_alike_are_loaded_together(spark, database, tmp_path, monkeypatch):
+    folder = tmp_path / "b c"
+    folder.mkdir()
+    for i in range(6):
+        write(folder, f"like {i}.csv", f'address,Größe,raw record\n{i},"a\nb",NA\n\n{i},c\n')
+    for i in range(3):
+        write(folder, f"crlf{i}.csv", 'k,v\r\n1,"a\r\nb"\r\n')
+    for i in range(2):
+        write(folder, f"lf{i}.csv", "k,v\n1,a\n2,b\n")
+        write(folder, f"clash{i}.csv", "a b,a-b\n1,2\n")
+        write(folder, f"quoted{i}.csv", 'k,"v, w"\n1,2\n')
+    write(folder, "lf2.csv", "k,v\n1,a,x\n2,b\n3,c,x\n")
+    write(folder, "lf3.csv", "k,v\n")
+    export_csv(spark.range(10).selectExpr("id k", "id v").repartition(2), str(folder / "lf4.csv"))
+    spark.range(1).write.mode("overwrite").saveAsTable(f"{database}.lf2")
+
+    loads = []
+    monkeypatch.setattr(
+        ingest, "replace_table", lambda df, d, t, at: loads.append(t) or replace_table(df, d, t, at)
+    )
+    status = {r.table: r for r in ingest_folder(spark, str(folder), database).collect()}
+    assert sorted(loads) == ["lf3", "quoted0", "quoted1"]
+    rows = {f"like_{i}": 2 for i in range(6)} | {f"crlf{i}": 1 for i in range(3)}
+    rows |= {"lf0": 2, "lf1": 2, "lf2": None, "lf3": 0, "lf4": 10}
+    rows |= {"clash0": None, "clash1": None, "quoted0": 1, "quoted1": 1}
+    assert {t: r.rows for t, r in status.items()} == rows
+    assert status["lf2"].error == "2 records with more than 2 fields"
+    assert "collide" in status["clash1"].error
+    assert all((r.error is None) == (r.rows is not None) for r in status.values())
+    like = spark.table(f"{database}.like_3")
+    assert like.columns == ["address", "Größe", "raw_record"]
+    assert sorted(map(tuple, like.collect())) == [("3", "a\nb", ""), ("3", "c", "")]
+    assert [tuple(r) for r in spark.table(f"{database}.crlf1").collect()] == [("1", "a\r\nb")]
+    assert spark.table(f"{database}.lf3").collect() == []
+    assert spark.table(f"{database}.lf2").columns == ["id"]
+    assert spark.table(f"{database}.lf4").count() == 10
+
+
 def test_a_load_that_cannot_write_is_reported(spark, database, tmp_path):
     write(tmp_path, "fine.csv", "k\n1\n")
     location = write(tmp_path, "a_file", "not a folder")

@@ -264,7 +264,7 @@ def test_combine_workbook(spark, tmp_path):
     combined = combine_workbook(spark, save(tmp_path, "w.xlsx", book), out)
     assert combined.columns == ["a", "b", "c"]
     expected = [("", "y", "True"), ("1", "x", "")]
-    assert sorted(map(tuple, read_csv_text(spark, out).drop("_raw").collect())) == expected
+    assert sorted(map(tuple, read_csv_text(spark, out).drop("raw-record").collect())) == expected
 
 
 def test_clean_sheets(spark):

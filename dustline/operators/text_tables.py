@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,7 @@ def replace_tables(
     tables: Mapping[str, str],
     database: str,
     location: str | None,
+    parallel: int,
 ) -> dict[str, tuple[int | None, str | None]]:
     """:func:`replace_table` for many tables of the same columns, in one write.
 
@@ -94,18 +96,16 @@ def replace_tables(
         .agg(F.count(F.lit(1)).alias("rows"), F.count_if("too-long").alias("faults"))
     )
 
+    columns = rows.select(*[quoted(name) for name in names])
+
     def point(row: Row) -> tuple[str, tuple[int | None, str | None]]:
         if row["faults"]:
             return row["in-table"], (None, fault_text(row["faults"], len(names)))
-        point_table(
-            database,
-            row["in-table"],
-            f"{path}/in-table={row['in-table']}",
-            rows.select(*[quoted(name) for name in names]),
-        )
+        point_table(database, row["in-table"], f"{path}/in-table={row['in-table']}", columns)
         return row["in-table"], (row["rows"], None)
 
-    return dict(map(point, counts.collect()))
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return dict(pool.map(point, counts.collect()))
 
 
 def new_content(spark: SparkSession, database: str, name: str, location: str | None) -> str:

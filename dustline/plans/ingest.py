@@ -93,7 +93,7 @@ def ingest_folder(
             records = read_small(spark, members, len(names), head.newline)
             by_address = {a: table for table in tables for a in sources[table].addresses}
             text = text_columns(records, names, null_tokens, quoted(ADDRESS))
-            return replace_tables(text, names, by_address, database, location)
+            return replace_tables(text, names, by_address, database, location, parallel)
         except (PySparkException, Py4JJavaError, ValueError):
             return {}  # each is tried alone, and the one at fault reported
 

@@ -13,6 +13,8 @@ from dustline.functions.names import quoted
 from dustline.functions.text import NULL_TOKENS, field_count, null_if_token
 from dustline.sources.csv_files import ADDRESS, RAW
 
+BROADCAST_NAMES = 100_000  # pairs of short names, some 20 MB
+
 
 def as_text(df: DataFrame) -> DataFrame:
     """Every column as text, missing values as empty text."""
@@ -84,6 +86,8 @@ def replace_tables(
     spark = records.sparkSession
     # Neither column can be one of the files', whose names have no hyphen.
     target = spark.createDataFrame(list(tables.items()), f"`{ADDRESS}` string, `in-table` string")
+    if len(tables) <= BROADCAST_NAMES:
+        target = F.broadcast(target)
     rows = records.join(target, ADDRESS).select(
         *[quoted(name) for name in names], too_long(len(names)).alias("too-long"), "in-table"
     )

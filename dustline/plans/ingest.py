@@ -86,7 +86,10 @@ def ingest_folder(
         except (PySparkException, Py4JJavaError, ValueError) as problem:
             return None, _first_line(problem)
 
-    def together(head: Head, tables: Sequence[str]) -> dict[str, tuple[int | None, str | None]]:
+    def together(
+        group: tuple[Head, Sequence[str]],
+    ) -> dict[str, tuple[int | None, str | None]]:
+        head, tables = group
         try:
             names = column_names(head.cells)
             members = [sources[table] for table in tables]
@@ -98,10 +101,10 @@ def ingest_folder(
             return {}  # each is tried alone, and the one at fault reported
 
     status: dict[str, tuple[int | None, str | None]] = {}
-    for head, tables in _alike(spark, sources, split_bytes).items():
-        status |= together(head, tables)
-    rest = [table for table in sources if table not in status]
     with ThreadPoolExecutor(max_workers=parallel) as pool:
+        for loaded in pool.map(together, _alike(spark, sources, split_bytes).items()):
+            status |= loaded
+        rest = [table for table in sources if table not in status]
         status |= dict(zip(rest, pool.map(alone, rest)))
     rows = [(source.path, table, *status[table]) for table, source in sources.items()]
     return spark.createDataFrame(rows, STATUS)

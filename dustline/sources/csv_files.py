@@ -13,6 +13,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,7 +92,13 @@ def list_csv(spark: SparkSession, folder: str) -> list[CsvSource]:
     """Every ``.csv`` directly below a folder, by name. Reads names and sizes only."""
     root = _without_scheme(folder).rstrip("/") + "/"
     found: dict[str, list[tuple[str, int, str]]] = {}
-    for part in _listed(spark, f"{_as_pattern(folder.rstrip('/'))}/*.csv"):
+    try:
+        parts = _listed(spark, f"{_as_pattern(folder.rstrip('/'))}/*.csv")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        parts = []  # a folder without any
+    for part in parts:
         before, _, below = part[0].partition(root)
         entry = below.split("/")[0]
         found.setdefault(f"{before}{root}{entry}", []).append(part)

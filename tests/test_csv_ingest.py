@@ -16,6 +16,7 @@ from dustline import (
     read_csv_text,
     save_as_text,
 )
+from dustline.operators import text_tables
 from dustline.operators.text_tables import RAW, replace_table
 from dustline.plans import ingest
 from dustline.sources.csv_files import csv_source, list_csv, read_head
@@ -232,6 +233,19 @@ def test_a_load_that_cannot_write_is_reported(spark, database, tmp_path):
     assert not spark.catalog.tableExists(f"{database}.fine")
 
 
+def test_a_folder_without_csv(spark, database, tmp_path):
+    write(tmp_path, "notes.txt", "k\n1\n")
+    assert ingest_folder(spark, str(tmp_path), database).collect() == []
+
+
+def test_many_names_are_not_broadcast(spark, database, tmp_path, monkeypatch):
+    for i in range(3):
+        write(tmp_path, f"n{i}.csv", f"k\n{i}\n")
+    monkeypatch.setattr(text_tables, "BROADCAST_NAMES", 1)
+    assert [r.rows for r in ingest_folder(spark, str(tmp_path), database).collect()] == [1, 1, 1]
+    assert spark.table(f"{database}.n2").first()[0] == "2"
+
+
 def test_any_frame_as_text_table(spark, database, tmp_path):
     df = spark.createDataFrame([(1, None, True), (None, "x", None)], "`a b` int, `a/b.c` string, z boolean")
     for _ in range(2):

@@ -101,14 +101,16 @@ def _tagged_lines(
     """Lines with file, split, place and what they do to the state.
 
     Both scans must cut the files alike. By default Spark cuts by the number of cores it
-    has at the time, so the lines are scanned in a session of their own that does not.
+    has at the time, so the lines are scanned in a session of their own, with the same
+    settings but for that.
     """
     fixed = spark.newSession()
+    usual = fixed.conf.getAll
+    for setting, value in spark.conf.getAll.items():
+        if usual.get(setting) != value:
+            fixed.conf.set(setting, value)
     fixed.conf.set("spark.sql.files.minPartitionNum", "1")
     fixed.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
-    fixed.conf.set(
-        "spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.openCostInBytes")
-    )
     value = F.col("value")
     spaces = "\r" if width == 1 else " \t\r"
     quotes = F.when(value.contains('"'), quote_scan(value))

@@ -6,7 +6,6 @@ the cells of each sheet into rows of text.
 
 from __future__ import annotations
 
-import functools
 import posixpath
 import re
 import sys
@@ -154,6 +153,7 @@ class _Workbook:
     def __init__(self, archive: zipfile.ZipFile):
         self.archive = archive
         self.room = HELD_CELLS
+        self.columns: dict[str, int] = {}
         root = next(
             target
             for kind, target in self._links("", "").values()
@@ -283,7 +283,13 @@ class _Workbook:
                 column, values = -1, {}
                 for cell in node:
                     place = cell.get("r")
-                    column = _column_index(place.rstrip(DIGITS)) if place else column + 1
+                    if place:
+                        letters = place.rstrip(DIGITS)
+                        if letters not in self.columns:
+                            self.columns[letters] = _column_index(letters)
+                        column = self.columns[letters]
+                    else:
+                        column += 1
                     value = self._value(cell)
                     if value is not None:
                         values[column] = value
@@ -324,7 +330,6 @@ class _Workbook:
             yield 0, []
 
 
-@functools.cache
 def _column_index(letters: str) -> int:
     index = 0
     for letter in letters.upper():

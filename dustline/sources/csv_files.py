@@ -233,8 +233,9 @@ def read_records(
 
 
 def without_blank_lines(records: DataFrame) -> DataFrame:
-    raw = F.col(quoted(RAW))
-    return records.where(~(raw.isNotNull() & (F.trim(raw) == "")))
+    """Without lines of blanks only. Also looks at a cell, as Spark reads no misfits alone."""
+    empty = (F.trim(quoted(RAW)) == "") & (F.trim(F.coalesce("c0", F.lit(""))) == "")
+    return records.where(~F.coalesce(empty, F.lit(False)))
 
 
 def _bytes(spark: SparkSession, setting: str) -> int:

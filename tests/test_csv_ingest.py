@@ -107,6 +107,18 @@ def test_random_files_in_splits(spark, tmp_path, tiny_splits, seed):
     assert by_spark(spark, path) == expected
 
 
+@pytest.mark.parametrize("split_bytes", [None, 1 << 30, 0])
+@pytest.mark.parametrize("opened", ["1b", "4m"])
+def test_any_part_of_the_columns(spark, tmp_path, tiny_splits, opened, split_bytes):
+    spark.conf.set("spark.sql.files.openCostInBytes", opened)
+    text = 'k,v,w\n1,"a\nb",x\n   \n2\n\n,,\n3,c,d\n'
+    df = read_csv_text(spark, write(tmp_path, "part.csv", text), split_bytes=split_bytes)
+    assert df.count() == df.drop(RAW).count() == 4
+    assert sorted(r.v for r in df.select("v").collect()) == ["", "", "a\nb", "c"]
+    assert sorted(r.w for r in df.select("w").collect()) == ["", "", "d", "x"]
+    assert [r[RAW] for r in df.where("k = '2'").select(f"`{RAW}`").collect()] == ["2"]
+
+
 def test_splits_are_many(spark, tmp_path, tiny_splits):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "150b")
     path = write(tmp_path, "many.csv", "k,v\n" + "".join(f'{i},"a\nb"\n' for i in range(200)))

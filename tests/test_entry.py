@@ -36,7 +36,7 @@ def test_same_as_sql(spark, oracle, name, sf):
     folder = str(DATA / sf)
     found = registered.queries()[name](spark, folder)
     collected = [tuple(r) for r in found.collect()]
-    assert collected
+    assert collected and found.count() == len(collected)
     expected = oracle(folder).sql(registered.oracle_sql()[name])
     assert sorted(found.columns) == sorted(expected.columns)
     assert rows(found.columns, collected) == rows(expected.columns, expected.fetchall())

@@ -43,6 +43,13 @@ from dustline.functions.text import NULL_TOKENS  # noqa: E402
 from dustline.operators.text_tables import RAW  # noqa: E402
 from dustline.sources.shared import new_folder  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from dustline.llm import oracles as corpus_oracles
+    from dustline.llm import queries as corpus_queries
+except ImportError:  # the operators on a corpus are a part that can be left out
+    corpus_pipeline = None
+
 USAGE_AS_OF = datetime(2024, 4, 20, 12)
 CHECK_AS_OF = datetime(1998, 1, 1)
 CHECK_INTERVAL = timedelta(days=90)
@@ -250,6 +257,23 @@ def _workbook_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
+    found = usage_and_ingest()
+    if corpus_pipeline:
+        found |= corpus_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    """The same results as SQL on the given tables, where SQL can express them."""
+    found = usage_and_ingest_sql()
+    if corpus_pipeline:
+        found |= corpus_oracles.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def usage_and_ingest() -> dict[str, Query]:
     relational: dict[str, Query] = {
         "access_history_projection": _history,
         "object_usage": lambda spark, sf_dir: object_usage(_history(spark, sf_dir)),
@@ -292,8 +316,7 @@ def queries() -> dict[str, Query]:
     return {name: in_utc(query) for name, query in (relational | ingest).items()}
 
 
-def oracle_sql() -> dict[str, str]:
-    """The same results as SQL on the given tables."""
+def usage_and_ingest_sql() -> dict[str, str]:
     history = f"WITH history AS ({recipes.HISTORY_SQL})"
     usage = f"""{history}, object_usage AS (
         SELECT base_object_name AS base_object_name, user_name AS user_name,

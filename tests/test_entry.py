@@ -31,7 +31,7 @@ def rows(names, records):
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", registered.usage_and_ingest())
 def test_same_as_sql(spark, oracle, name, sf):
     folder = str(DATA / sf)
     found = registered.queries()[name](spark, folder)
@@ -65,4 +65,5 @@ def test_entry(spark):
 
 
 def test_registered_alike():
-    assert set(registered.oracle_sql()) == set(registered.queries())
+    assert set(registered.usage_and_ingest_sql()) == set(registered.usage_and_ingest())
+    assert set(registered.oracle_sql()) <= set(registered.queries())

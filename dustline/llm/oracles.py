@@ -51,5 +51,17 @@ FROM taken GROUP BY doc_id, source, size, source_size, target
 """
 
 
+EXACT_DEDUP = f"""
+WITH d AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n_points,
+           sha256(regexp_replace(coalesce(text, ''), '{SPACE}', '', 'g')) AS text_sha256
+    FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, text_sha256,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER w = 1 AS kept
+FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_points DESC, doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": MIX}
+    return {"op1_mix_sources": MIX, "op2_exact_dedup": EXACT_DEDUP}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dustline.llm import mixing, sharding
+from dustline.llm import exact_dedup, mixing, sharding, simhash
 from dustline.llm.common import ROW, documents, numbered
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(sized).drop(ROW)
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.find_copies(documents(spark, sf_dir))
+
+
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.find_near_copies(documents(spark, sf_dir))
+
+
 def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir), [1.0] * sharding.SHARDS)
 
@@ -26,5 +34,7 @@ def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_exact_dedup": op2_exact_dedup,
+        "op5_simhash_dedup": op5_simhash_dedup,
         "op8_rendezvous_shards": op8_rendezvous_shards,
     }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from dustline.llm import quality_rules as rules
 from dustline.llm.mixing import MAX_REPEATS, WEIGHTS
+from dustline.llm.secret_scan import BASE, RULES
 
 #: As a regular expression of DuckDB; white space that parts words, and a word.
 SPACE = r"[\x20\x09-\x0D]"
@@ -63,5 +65,120 @@ FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_points DESC, doc_id)
 """
 
 
+#: The measures as whole numbers of their bins.
+BINS = {
+    "symbols": "1000 * n_symbols // word_chars",
+    "lines": "1000 * n_dup_lines // n_lines",
+    "repeats": "1000 * n_repeat_words // n_words",
+    "length": f"least({rules.LONGEST}, 100 * word_chars // n_words)",
+}
+LEVELS = {"f": ["lang", "source"], "l": ["lang"], "a": []}
+
+
+def _limits(level: str, measure: str) -> str:
+    """Fences of one measure: by what LEVELS names, from exact quantiles of the bins."""
+    by = "".join(f"{name}, " for name in LEVELS[level])
+    part = f"PARTITION BY {by.rstrip(', ')}" if by else ""
+    tolerance = rules.TOLERANCE[measure]
+    return f"""{level}_{measure} AS (
+        SELECT {by} count(*) AS n,
+            min(CASE WHEN 4 * place >= n THEN bin END) AS q1,
+            min(CASE WHEN 4 * place >= 3 * n THEN bin END) AS q3,
+            greatest({rules.FENCE} * (q3 - q1), {tolerance}) AS fence
+        FROM (SELECT {by} {BINS[measure]} AS bin, count(*) OVER ({part}) AS n,
+                  row_number() OVER ({part} ORDER BY {BINS[measure]}) AS place
+              FROM m WHERE NOT base_failed)
+        {"GROUP BY ALL" if by else ""})"""
+
+
+def _beyond(measure: str) -> str:
+    def limit(sign: str, quartile: str) -> str:
+        return f"""CASE WHEN f_{measure}.n >= {rules.MIN_DOCS}
+                THEN f_{measure}.{quartile} {sign} f_{measure}.fence
+            WHEN l_{measure}.n >= {rules.MIN_DOCS}
+                THEN l_{measure}.{quartile} {sign} l_{measure}.fence
+            ELSE (SELECT {quartile} {sign} fence FROM a_{measure}) END"""
+
+    beyond = f"{BINS[measure]} > {limit('+', 'q3')}"
+    if measure == "length":
+        beyond += f" OR {BINS[measure]} < {limit('-', 'q1')}"
+    return f"CASE WHEN {beyond} THEN '{measure}' END"
+
+
+QUALITY_RULES = f"""
+WITH d AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS t,
+           regexp_extract_all(t, '{WORD}') AS w,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines
+    FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+triples AS (
+    SELECT doc_id, i, word, lead(word) OVER o AS b, lead(word, 2) OVER o AS c
+    FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+repeated AS (
+    SELECT * FROM triples WHERE c IS NOT NULL
+    QUALIFY count(*) OVER (PARTITION BY doc_id, word, b, c) > 1),
+covered AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated, range({rules.WINDOW}) AS r(k)
+    GROUP BY doc_id),
+c AS (
+    SELECT doc_id, lang, source, len(w) AS n_words,
+           length(regexp_replace(t, '{SPACE}', '', 'g')) AS word_chars,
+           length(t) - length(regexp_replace(t, '{rules.SYMBOLS}', '', 'g')) AS n_symbols,
+           len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           coalesce(n, 0) AS n_repeat_words
+    FROM d LEFT JOIN covered USING (doc_id)),
+m AS (
+    SELECT *, n_words < {rules.MIN_WORDS}
+              OR 100 * n_repeat_words > {rules.MAX_REPEATED} * n_words AS base_failed
+    FROM c),
+{", ".join(_limits(level, measure) for level in LEVELS for measure in BINS)},
+j AS (
+    SELECT m.*, CASE WHEN base_failed THEN '' ELSE concat_ws(',',
+        {", ".join(map(_beyond, BINS))}) END AS failed
+    FROM m
+    {" ".join(f"LEFT JOIN f_{x} ON m.lang IS NOT DISTINCT FROM f_{x}.lang AND m.source IS NOT DISTINCT FROM f_{x}.source LEFT JOIN l_{x} ON m.lang IS NOT DISTINCT FROM l_{x}.lang" for x in BINS)})
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words,
+       base_failed, failed, NOT base_failed AND failed = '' AS kept
+FROM j
+"""
+
+
+def _spans(place: int) -> str:
+    rule = RULES[place]
+    pattern = rule.pattern.replace("'", "''")
+    return f"""SELECT doc_id, {place} AS place, '{rule.kind}' AS kind, s AS e, s - length(own) AS b
+        FROM (
+            SELECT doc_id, own, tested, sum(length(gap) + length(own)) OVER (
+                       PARTITION BY doc_id ORDER BY i {RUNNING}) AS s
+            FROM (
+                SELECT doc_id, unnest(owns) AS own, generate_subscripts(owns, 1) AS i,
+                       unnest(regexp_extract_all(t, '{pattern}', {rule.tested})) AS tested,
+                       unnest(string_split_regex(t, '{pattern}')[:len(owns)]) AS gap
+                FROM (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS owns FROM d)))
+        WHERE length(tested) >= {rule.least}"""
+
+
+BASE_KINDS = ", ".join(f"'{kind}'" for kind in BASE)
+SECRETS = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(_spans(place) for place in range(len(RULES)))}),
+listed AS (
+    SELECT doc_id, string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, place) AS spans,
+        string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, place)
+            FILTER (WHERE kind IN ({BASE_KINDS})) AS base,
+        {", ".join(f"count(*) FILTER (WHERE kind = '{kind}') AS n_{kind}" for kind in BASE)}
+    FROM found GROUP BY doc_id)
+SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in BASE)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN listed USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": MIX, "op2_exact_dedup": EXACT_DEDUP}
+    return {
+        "op1_mix_sources": MIX,
+        "op2_exact_dedup": EXACT_DEDUP,
+        "op4_quality_rules": QUALITY_RULES,
+        "op6_secret_scan": SECRETS,
+    }

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dustline.llm import exact_dedup, mixing, sharding, simhash
+from dustline.llm import exact_dedup, mixing, quality_rules, secret_scan, sharding, simhash
 from dustline.llm.common import ROW, documents, numbered
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,10 +23,35 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(documents(spark, sf_dir))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir)).withColumn(
+        "failed", F.array_join("failed", ",")
+    )
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.find_near_copies(documents(spark, sf_dir))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(documents(spark, sf_dir))
+
+    def listed(findings: Column) -> Column:
+        each = F.transform(findings, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))
+        return F.array_join(each, ",")
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long")
+
+    base = F.filter("findings", lambda x: x["kind"].isin(*secret_scan.BASE))
+    return found.select(
+        "doc_id",
+        *[of(kind).alias(f"n_{kind}") for kind in secret_scan.BASE],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("findings")).alias("spans"),
+    )
+
+
 def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir), [1.0] * sharding.SHARDS)
 
@@ -35,6 +60,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_exact_dedup": op2_exact_dedup,
+        "op4_quality_rules": op4_quality_rules,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op6_secret_scan": op6_secret_scan,
         "op8_rendezvous_shards": op8_rendezvous_shards,
     }

@@ -36,7 +36,7 @@ MIN_DOCS = 100
 #: Distances between quartiles that a measure may lie off them.
 FENCE = 3
 #: Bins that the fence spans at least: thousandths of a share, hundredths of a code point.
-TOLERANCE = {"symbols": 100, "lines": 300, "repeats": 300, "length": 150}
+TOLERANCE = {"symbols": 50, "lines": 400, "repeats": 300, "length": 150}
 #: The last bin of word lengths has all from 64 code points on.
 LONGEST = 6400
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]

@@ -7,12 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dustline.llm import exact_dedup, mixing, quality_rules, secret_scan, sharding, simhash
+from dustline.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash,
+    token_lengths,
+)
 from dustline.llm.common import ROW, documents, numbered
 
+#: The tokenizer of the registered queries; the operators take the path of any.
+TOKENIZER = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = mixing.word_count(F.col("text")).alias("size")
     sized = numbered(documents(spark, sf_dir).select("doc_id", "source", size), "mix-sized")
@@ -23,6 +43,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(documents(spark, sf_dir))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).withColumn(
         "failed", F.array_join("failed", ",")
@@ -52,16 +76,40 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.transcode(documents(spark, sf_dir), tokenizer(), ["doc_id"])
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir), [1.0] * sharding.SHARDS)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = labels.select("doc_id", F.col("quality").alias("label"))
+    return quality_classifier.classify(documents(spark, sf_dir), labels)
+
+
+def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_lengths.token_lengths(documents(spark, sf_dir), tokenizer())
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_language_id": op3_language_id,
         "op4_quality_rules": op4_quality_rules,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op6_secret_scan": op6_secret_scan,
+        "op7_bpe": op7_bpe,
         "op8_rendezvous_shards": op8_rendezvous_shards,
+        "op9_quality_classifier": op9_quality_classifier,
+        "op10_token_lengths": op10_token_lengths,
     }

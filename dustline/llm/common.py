@@ -15,6 +15,8 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: The number of a row, see numbered().
 ROW = "__row"
+#: Rows of a few numbers that make a file worth its while.
+ROWS_OF_FILE = 100_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +37,14 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
     return staged(df.drop(ROW).withColumn(ROW, F.monotonically_increasing_id()), label)
 
 
+def staged_small(df: DataFrame, label: str, rows: int) -> DataFrame:
+    """``df`` written in no more files than ``rows`` narrow rows need, the most it can have.
+
+    Tables that a job writes in each of many steps may be tiny; what they cost is files.
+    """
+    return staged(df.coalesce(max(1, -(-rows // ROWS_OF_FILE))), label)
+
+
 def in_ranges(df: DataFrame, order: list[Column], label: str) -> DataFrame:
     """``df`` written in ranges of ``order``, with the number of its range in ``__range``.
 

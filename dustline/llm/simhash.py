@@ -33,7 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dustline.llm.common import ROW, numbered
+from dustline.llm.common import ROW, numbered, staged_small
 from dustline.sources.shared import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -206,16 +206,15 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> Data
 
     ``shard`` is 256 at least, which is what is left of a shard that is parted twice.
     """
-    found, shard = [], max(shard, 256)
+    found, shard, most = [], max(shard, 256), distinct.count()
     todo, masks = distinct.select(F.lit(0).cast("long").alias("mask"), "fingerprint"), [0]
     while masks:
         finer = {mask: finer_masks(mask, radius) for mask in masks}
         rows = _sharded(todo, finer)
-        sizes = staged(
-            rows.groupBy("mask", "bits").agg(F.count("*").alias("size")).where("size > 1"),
-            "simhash-shards",
-        )
-        members = staged(rows.join(sizes, ["mask", "bits"]), "simhash-members")
+        most *= max(map(len, finer.values()))
+        sizes = rows.groupBy("mask", "bits").agg(F.count("*").alias("size")).where("size > 1")
+        sizes = staged_small(sizes, "simhash-shards", most)
+        members = staged_small(rows.join(sizes, ["mask", "bits"]), "simhash-members", most)
         trees = members.where(F.col("size") <= shard).select("mask", "bits", "fingerprint")
         trees = trees.repartition("mask", "bits").sortWithinPartitions("mask", "bits")
         found.append(trees.mapInArrow(link_batches(radius), "a long, b long"))
@@ -226,7 +225,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> Data
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
-    return staged(out.distinct(), "simhash-links")
+    return staged_small(out.distinct(), "simhash-links", most)
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -245,16 +244,19 @@ def stars(edges: DataFrame) -> DataFrame:
     reach the driver.
     """
     state = _state(edges)
-    while state[0]:
+    while rows := state[0]:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("least"))
-        least = staged(least.select("a", F.least("a", "least").alias("least")), "stars-least")
+        least = least.select("a", F.least("a", "least").alias("least"))
+        least = staged_small(least, "stars-least", 2 * rows)
         large = both.where("b > a").join(least, "a").where("least <> b")
-        large = staged(large.select(F.col("least").alias("a"), "b").distinct(), "stars-large")
-        least = staged(large.groupBy("b").agg(F.min("a").alias("least")), "stars-least")
+        large = large.select(F.col("least").alias("a"), "b").distinct()
+        large = staged_small(large, "stars-large", 2 * rows)
+        least = large.groupBy("b").agg(F.min("a").alias("least"))
+        least = staged_small(least, "stars-least", 2 * rows)
         small = large.join(least, "b").where("least <> a").select("least", "a")
         small = small.union(least.select("least", "b")).distinct().toDF("a", "b")
-        edges = staged(small, "stars-small")
+        edges = staged_small(small, "stars-small", 2 * rows)
         new = _state(edges)
         if new == state:
             break
@@ -268,17 +270,18 @@ def components(slim: DataFrame, radius: int = RADIUS) -> DataFrame:
     member = F.struct(
         F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc"), F.col(ROW).alias("row")
     )
-    distinct = staged(
-        slim.groupBy("fingerprint").agg(F.min(member).alias("first")), "simhash-distinct"
-    )
+    most = slim.count()
+    distinct = slim.groupBy("fingerprint").agg(F.min(member).alias("first"))
+    distinct = staged_small(distinct, "simhash-distinct", most)
     found = stars(links(distinct.select("fingerprint"), radius))
     group = F.coalesce("a", "fingerprint").alias("group")
     grouped = distinct.join(found, F.col("fingerprint") == F.col("b"), "left")
-    grouped = staged(grouped.select("fingerprint", group, "first"), "simhash-grouped")
-    firsts = staged(grouped.groupBy("group").agg(F.min("first").alias("least")), "simhash-firsts")
-    named = staged(
-        grouped.join(firsts, "group").select("fingerprint", "least"), "simhash-components"
-    )
+    grouped = grouped.select("fingerprint", group, "first")
+    grouped = staged_small(grouped, "simhash-grouped", most)
+    firsts = grouped.groupBy("group").agg(F.min("first").alias("least"))
+    firsts = staged_small(firsts, "simhash-firsts", most)
+    named = grouped.join(firsts, "group").select("fingerprint", "least")
+    named = staged_small(named, "simhash-components", most)
     return slim.join(named, "fingerprint").select(
         *slim.columns,
         F.col("least.doc").alias("component_id"),

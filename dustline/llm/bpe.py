@@ -34,6 +34,7 @@ import regex
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -230,11 +231,11 @@ def coding_batches(tables, kept: list[str], outputs: list[str]):
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
-                ids = [coder.encode(t.as_py() or "") for t in batch.column("__text")]
+                ids = [coder.encode(t.as_py() or "") for t in batch.column(len(kept))]
                 made = {"n_tokens": lambda: pa.array([len(i) // 4 for i in ids], pa.int64())}
                 made["ids"] = lambda: pa.array(ids, pa.binary())
                 made["decoded"] = lambda: pa.array([coder.decode(i) for i in ids], pa.string())
-                columns = [batch.column(name) for name in kept] + [made[n]() for n in outputs]
+                columns = [*batch.columns[:-1], *(made[name]() for name in outputs)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, *outputs])
 
     return run
@@ -255,7 +256,7 @@ def transcode(
     tables = spark.sparkContext.broadcast(read_tokenizer(tokenizer))
     kept = [name for name in kept if name not in outputs]
     rows = docs.select(*[F.col(f"`{name}`") for name in kept], F.col("text").alias("__text"))
-    schema = rows.drop("__text").schema
+    schema = StructType(rows.schema.fields[:-1])
     for name in outputs:
         schema = schema.add(name, OUTPUTS[name])
     return rows.mapInArrow(coding_batches(tables, kept, list(outputs)), schema)
@@ -276,4 +277,4 @@ def decode_ids(encoded: DataFrame, tokenizer: str) -> DataFrame:
             )
 
     rows = encoded.drop("decoded")
-    return rows.mapInArrow(run, rows.schema.add("decoded", "string"))
+    return rows.mapInArrow(run, StructType([*rows.schema.fields]).add("decoded", "string"))

@@ -37,6 +37,13 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
     return staged(df.drop(ROW).withColumn(ROW, F.monotonically_increasing_id()), label)
 
 
+def packed(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` written, each row whole in ``__doc`` beside its number: no column's name clashes
+    with those that an operator adds."""
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("__doc")
+    return numbered(docs.select(whole), label)
+
+
 def staged_small(df: DataFrame, label: str, rows: int) -> DataFrame:
     """``df`` written in no more files than ``rows`` narrow rows need, the most it can have.
 

@@ -10,7 +10,7 @@ again: they are grouped by their bytes, so that a fingerprint shared by chance p
 
 Of equal texts the row with the most code points in the original stays, then the smallest
 doc_id (null last), then the first row. Repeated rows are copies like any other. Other columns
-of the input play no part. An empty table gives an empty result.
+of the input play no part and pass through, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dustline.llm.common import ROW, SPACE, numbered
+from dustline.llm.common import ROW, SPACE, numbered, packed
 from dustline.sources.shared import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -179,7 +179,8 @@ def find_copies(docs: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    rows = numbered(docs, "dedup-documents")
-    slim = staged(digests(rows), "dedup-digests")
-    gone = staged(copies(rows, slim).where(~F.col("kept")).select(ROW), "dedup-gone")
-    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
+    rows = packed(docs, "dedup-documents")
+    texts = rows.select(ROW, "__doc.doc_id", "__doc.text")
+    slim = staged(digests(texts), "dedup-digests")
+    gone = staged(copies(texts, slim).where(~F.col("kept")).select(ROW), "dedup-gone")
+    return rows.join(gone, ROW, "left_anti").select("__doc.*")

@@ -8,8 +8,7 @@ its share to the others in proportion to their weights, which is what the target
 
 Null and empty texts have no words; they have a place in the order and take no words. A null
 source is a source of its own, last in order. Equal rows are told apart by a row number. An
-empty table gives an empty mix. Columns of the input that carry the operator's names are
-replaced; others pass through.
+empty table gives an empty mix. All columns of the input pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dustline.llm.common import ROW, WORD, in_ranges, numbered, range_starts, running_total
+from dustline.llm.common import ROW, WORD, in_ranges, packed, range_starts, running_total
 from dustline.sources.shared import staged
 
 WEIGHTS = (5, 2, 1)
@@ -158,14 +157,10 @@ def mix(
     max_repeats: int = MAX_REPEATS,
 ) -> DataFrame:
     """The documents of the mix with all their columns, each as often as the mix takes it."""
-    rows = numbered(docs, "mix-documents")
-    sized = staged(
-        rows.select("doc_id", "source", word_count(F.col("text")).alias("size"), ROW), "mix-sized"
-    )
+    rows = packed(docs, "mix-documents")
+    size = word_count(F.col("__doc.text")).alias("size")
+    sized = staged(rows.select(ROW, "__doc.doc_id", "__doc.source", size), "mix-sized")
     copies = mix_plan(sized, weights, max_repeats).where(F.col("copies") > 0)
     copies = copies.select(ROW, F.sequence(F.lit(1), F.col("copies")).alias("__copies"))
-    return (
-        rows.join(copies, ROW)
-        .select(*docs.columns, F.explode("__copies").alias("__copy"))
-        .select(*docs.columns)
-    )
+    taken = rows.join(copies, ROW).select("__doc", F.explode("__copies"))
+    return taken.select("__doc.*")

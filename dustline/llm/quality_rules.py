@@ -235,6 +235,6 @@ def judge(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 def keep(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("__doc")
-    rows = docs.select("lang", "source", "text", whole)
-    rows = staged(measured(rows, ["lang", "source", "__doc"]), "quality-documents")
-    return judged(rows, min_docs).where("kept").select("__doc.*")
+    rows = measured(docs.select("lang", "source", "text", whole), ["lang", "source", "__doc"])
+    found = judged(staged(rows, "quality-documents"), min_docs)
+    return found.where("kept").select("__doc.*")

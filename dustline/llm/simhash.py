@@ -17,7 +17,7 @@ links as it takes to join what belongs together, not all pairs.
 Texts that are null or without words have fingerprint zero, which is linked like any other.
 Fewer words than a shingle has make one shingle. A group is named by its smallest doc_id, null
 if it has none; the row with that doc_id stays, of several the first. Other columns of the
-input play no part. An empty table gives an empty result.
+input play no part and pass through, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dustline.llm.common import ROW, numbered, staged_small
+from dustline.llm.common import ROW, packed, staged_small
 from dustline.sources.shared import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -305,7 +305,7 @@ def find_near_copies(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
 
 def deduplicate(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of each group of ``docs``, with all columns."""
-    rows = numbered(docs, "simhash-documents")
-    found = groups(rows, size, radius)
+    rows = packed(docs, "simhash-documents")
+    found = groups(rows.select(ROW, "__doc.doc_id", "__doc.text"), size, radius)
     gone = staged(found.where(F.col(ROW) != F.col("__first_row")).select(ROW), "simhash-gone")
-    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
+    return rows.join(gone, ROW, "left_anti").select("__doc.*")

@@ -1,0 +1,94 @@
+"""The registered queries: their columns, their SQL, and the pipeline stage by stage."""
+
+import collections
+import pathlib
+import re
+
+import pytest
+from conftest import plain
+from test_operators import classes, counted, simhash_of, words
+
+import corpus_pipeline
+from dustline.llm import mixing, oracles, queries, quality_rules
+from pyspark.sql import functions as F
+
+duckdb = pytest.importorskip("duckdb")
+DATA = pathlib.Path("/root/testdata")
+pytestmark = pytest.mark.skipif(not DATA.exists(), reason="given tables are not here")
+
+CONTRACTS = {
+    "op1": "doc_id size source_size target taken",
+    "op2": "doc_id keep_id group_size kept text_sha256",
+    "op3": "doc_id held_out lang_pred score",
+    "op4": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op5": "doc_id fingerprint component_id",
+    "op6": "doc_id n_assign n_access n_hex base_sha256 spans",
+    "op7": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op8": "doc_id size text_crc32 law shard slot grown_shard",
+    "op9": "doc_id held_out score predicted",
+    "op10": "length n_docs",
+}
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    folder = str(DATA / "sf0.001")
+    return {name: query(spark, folder).persist() for name, query in queries.queries().items()}
+
+
+def test_columns(results):
+    assert {name.split("_")[0] for name in results} == set(CONTRACTS)
+    for name, df in results.items():
+        assert set(CONTRACTS[name.split("_")[0]].split()) <= set(df.columns), name
+        if "doc_id" in df.columns:
+            assert df.count() == df.select("doc_id").distinct().count() == 200, name
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("name", oracles.oracle_sql())
+def test_same_as_sql(spark, results, name, sf):
+    df = results[name] if sf == "sf0.001" else queries.queries()[name](spark, str(DATA / sf))
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{DATA / sf}/documents.parquet'")
+    expected = connection.sql(oracles.oracle_sql()[name])
+    assert sorted(df.columns) == sorted(expected.columns)
+    order = [expected.columns.index(name) for name in df.columns]
+    assert plain(df) == sorted((tuple(r[i] for i in order) for r in expected.fetchall()), key=repr)
+
+
+def test_stages(spark):
+    """Each stage against a plain version of it, on what the one before kept."""
+    folder = str(DATA / "sf0.001")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    given, kept = docs.columns, [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        kept.append(stage(spark, kept[-1], folder).persist())
+    assert all(df.columns == given for df in kept[:-1])
+    texts = [{r["doc_id"]: r["text"] for r in df.collect()} for df in kept[:-1]]
+
+    def base(text):
+        n, *_, repeated = counted(text)
+        return n >= quality_rules.MIN_WORDS and 100 * repeated <= 50 * n
+
+    passed = {i for i, text in texts[0].items() if base(text)}
+    assert set(texts[1]) <= passed and len(texts[1]) > 0.9 * len(passed)
+    first = {}
+    for i, text in texts[1].items():
+        key = re.sub(r"[\x20\x09-\x0D]", "", text)
+        best = first.get(key)
+        if best is None or (-len(text), i) < (-len(texts[1][best]), best):
+            first[key] = i
+    assert set(texts[2]) == set(first.values())
+    ids = sorted(texts[2])
+    top = classes([simhash_of(texts[2][i]) for i in ids], 2)
+    assert set(texts[3]) == {ids[t] for t in top}
+    copies = collections.Counter(r["doc_id"] for r in kept[4].collect())
+    size = mixing.word_count(F.col("text")).alias("size")
+    plan = mixing.mix_plan(mixing.packed(kept[3], "t").select("__row", "__doc.*", size)).collect()
+    assert copies == +collections.Counter({r["doc_id"]: r["copies"] for r in plan})
+    budget = sum(len(words(text)) for text in texts[3].values())
+    mixed = sum(n * len(words(texts[3][i])) for i, n in copies.items())
+    assert budget - max(len(words(t)) for t in texts[3].values()) < mixed <= budget
+    assert kept[5].count() == sum(copies.values())
+    run = corpus_pipeline.run(spark, folder)
+    assert plain(run) == plain(kept[5])

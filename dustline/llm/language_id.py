@@ -45,7 +45,7 @@ GRAMS = 60_000
 #: Added to every count.
 SMOOTHING = 0.5
 #: Unknown words that a worker remembers the scores of.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 ASCII_WORD = re.compile("[a-z]+")
 LETTERS = regex.compile(r"\p{L}+")
@@ -153,22 +153,25 @@ class Scorer(dict):
 
     def __init__(self, model: dict) -> None:
         super().__init__((word, place) for place, word in enumerate(model["words"]))
-        self.languages, self.grams = model["languages"], model["grams"]
+        self.languages = model["languages"]
+        self.grams = {gram: place for place, gram in enumerate(model["grams"])}
+        self.gram_table = np.array(list(model["grams"].values()))
         self.known = len(self)
         self.table = np.zeros((self.known + REMEMBERED, len(self.languages)))
         if self.known:
             self.table[: self.known] = list(model["words"].values())
 
     def backed_off(self, word: str) -> np.ndarray:
-        padded, found, start = f" {word} ", [], 0
-        while start < len(padded):
-            for size in range(min(LONGEST_GRAM, len(padded) - start), 0, -1):
-                scores = self.grams.get(padded[start : start + size])
-                if scores is not None:
-                    found.append(scores)
+        padded, found = f" {word} ", []
+        for start in range(len(padded)):
+            for end in range(min(start + LONGEST_GRAM, len(padded)), start, -1):
+                place = self.grams.get(padded[start:end])
+                if place is not None:
+                    found.append(place)
                     break
-            start += 1
-        return np.mean(found, axis=0) if found else np.zeros(len(self.languages))
+        if not found:
+            return np.zeros(len(self.languages))
+        return self.gram_table[found].sum(axis=0) / len(found)
 
     def __missing__(self, word: str) -> int:
         place = len(self)
@@ -192,9 +195,16 @@ class Scorer(dict):
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
+def scorer_of(model: dict) -> Scorer:
+    """The scorer of a model that was sent to a worker, which keeps it for its later tasks."""
+    if "scorer" not in model:
+        model["scorer"] = Scorer(model)
+    return model["scorer"]
+
+
 def predict_batches(model):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.value)
+        scorer = scorer_of(model.value)
         for batch in batches:
             found = [scorer.predict(text.as_py()) for text in batch.column("__text")]
             names = batch.schema.names[:-1]

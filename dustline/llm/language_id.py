@@ -89,16 +89,21 @@ def counted_batches(kind: str):
 
 
 def sample(rows: DataFrame) -> DataFrame:
-    """A bounded sample of ``rows`` (lang, text), written."""
+    """A bounded sample of ``rows`` (lang, text, and doc_id to draw by), written.
+
+    Rows are drawn by their hash. Should rows that are all alike then be more than the bounds
+    allow, so many of them are left out at random.
+    """
     counts = staged(rows.groupBy("lang").agg(F.count("*").alias("docs")), "langid-counts")
-    draw = F.pmod(F.xxhash64("lang", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = rows.join(counts, "lang").where(draw * F.col("docs") < SAMPLE_EACH)
     totals = drawn.agg(
         F.count("*").alias("docs"), F.sum(F.octet_length("text")).alias("bytes")
     ).first()
-    share = min(1.0, SAMPLE_DOCS / max(1, totals["docs"]), SAMPLE_BYTES / max(1, totals["bytes"] or 0))
-    again = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return staged(drawn.where(again < share).select("lang", "text"), "langid-sample")
+    shares = [SAMPLE_DOCS / max(1, totals["docs"]), SAMPLE_BYTES / max(1, totals["bytes"] or 0)]
+    if min(shares) < 1:
+        drawn = drawn.where(F.rand(7) < min(shares))
+    return staged(drawn.select("lang", "text"), "langid-sample")
 
 
 def _frequent(counts: DataFrame, most: int) -> dict[str, dict[str, int]]:
@@ -115,7 +120,7 @@ def _frequent(counts: DataFrame, most: int) -> dict[str, dict[str, int]]:
 
 
 def fit(rows: DataFrame) -> dict:
-    """A model of ``rows`` (lang, text), neither null."""
+    """A model of ``rows`` (lang and text, neither null, and doc_id)."""
     drawn = sample(rows)
     schema = "lang string, gram string, n long"
     total = F.sum("n").cast("long").alias("n")
@@ -234,6 +239,6 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred and score; learned from the rows that are not held out."""
     held = fold(F.col("doc_id"), folds) == held_out
     learned = docs.where(~held & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    model = fit(learned.select("lang", "text"))
+    model = fit(learned.select("doc_id", "lang", "text"))
     rows = docs.select("doc_id", "text", held.alias("held_out"))
     return predict(rows, model, ["doc_id", "held_out"])

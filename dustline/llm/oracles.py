@@ -5,6 +5,7 @@ from __future__ import annotations
 from dustline.llm import quality_rules as rules
 from dustline.llm.mixing import MAX_REPEATS, WEIGHTS
 from dustline.llm.secret_scan import BASE, RULES
+from dustline.llm.sharding import DIGITS, SHARDS
 
 #: As a regular expression of DuckDB; white space that parts words, and a word.
 SPACE = r"[\x20\x09-\x0D]"
@@ -175,10 +176,42 @@ FROM documents LEFT JOIN listed USING (doc_id)
 """
 
 
+def _shard(shards: int) -> str:
+    """The place of the least draw among so many shards of weight 1."""
+    digits = f"substr(md5(k || ':' || s), 1, {DIGITS})"
+    draw = f"-ln((CAST('0x' || {digits} AS BIGINT) + 0.5) / {16**DIGITS})"
+    draws = f"list_transform(range({shards}), lambda s: {draw})"
+    return f"CAST(list_position({draws}, list_min({draws})) - 1 AS INT)"
+
+
+#: CRC-32 by its polynomial: a table of bytes by eight shifts each, then byte by byte.
+SHARDED = f"""
+WITH crc AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1
+               THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(i AS BIGINT)) ORDER BY i) AS t
+    FROM range(256) AS r(i)),
+d AS (
+    SELECT doc_id, coalesce(text, '') AS x, coalesce(CAST(doc_id AS VARCHAR), '') AS k
+    FROM documents),
+bytes AS (
+    SELECT doc_id, k, octet_length(encode(x)) AS n, list_transform(
+               regexp_extract_all(hex(encode(x)), '..'), lambda b: CAST('0x' || b AS BIGINT)) AS b
+    FROM d),
+placed AS (
+    SELECT doc_id, CAST(n + 1 AS BIGINT) AS size,
+           xor(list_reduce(b, lambda c, v: xor(c >> 8, t[1 + (xor(c, v) & 255)]), 4294967295),
+               4294967295) AS text_crc32,
+           'key' AS law, {_shard(SHARDS)} AS shard, {_shard(SHARDS + 1)} AS grown_shard
+    FROM bytes, crc)
+SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot FROM placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mix_sources": MIX,
         "op2_exact_dedup": EXACT_DEDUP,
         "op4_quality_rules": QUALITY_RULES,
         "op6_secret_scan": SECRETS,
+        "op8_rendezvous_shards": SHARDED,
     }

@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import odd_rows, plain, sentence
+from samples import odd_rows, plain, sentence
 from pyspark.sql import functions as F
 
 from dustline.llm import bpe, language_id, quality_classifier, token_lengths
@@ -174,7 +174,7 @@ def test_languages(voices):
 
 
 def test_unknown_words_fall_back(voices):
-    model = language_id.fit(voices.select("lang", "text"))
+    model = language_id.fit(voices)
     model["words"] = {}
     scorer = language_id.Scorer(model)
     draw = random.Random(6)
@@ -207,7 +207,11 @@ def test_languages_of_odd_rows(odd, empty, clashing):
 
 def test_sample_is_bounded(voices, monkeypatch):
     monkeypatch.setattr(language_id, "SAMPLE_EACH", 50)
-    assert 60 < language_id.sample(voices.select("lang", "text")).count() < 240
+    assert 60 < language_id.sample(voices).count() < 240
+    alike = voices.withColumn("text", F.lit("the same")).withColumn("doc_id", F.lit(1))
+    monkeypatch.setattr(language_id, "SAMPLE_EACH", 10_000)
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 100)
+    assert 50 < language_id.sample(alike).count() < 160
 
 
 # 9: quality

@@ -8,7 +8,7 @@ import zlib
 
 import pytest
 import xxhash
-from conftest import CLASHING, odd_rows, plain
+from samples import CLASHING, odd_rows, plain
 from pyspark.sql import functions as F
 
 from dustline.llm import (

@@ -5,7 +5,7 @@ import pathlib
 import re
 
 import pytest
-from conftest import plain
+from samples import plain
 from test_operators import classes, counted, simhash_of, words
 
 import corpus_pipeline

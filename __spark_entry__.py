@@ -6,6 +6,7 @@ same key on the same tables. Moments are fixed, so results do not depend on the
 
 from __future__ import annotations
 
+import functools
 import pathlib
 import sys
 from collections.abc import Callable
@@ -36,10 +37,12 @@ from dustline import (  # noqa: E402
     read_csv_text,
     save_as_text,
     scan_workbooks,
+    sheet_rows,
     stale_rows,
     unused_objects,
 )
-from dustline.functions.text import NULL_TOKENS  # noqa: E402
+from dustline.functions.names import table_name  # noqa: E402
+from dustline.functions.text import NULL_TOKENS, csv_line  # noqa: E402
 from dustline.operators.text_tables import RAW  # noqa: E402
 from dustline.sources.shared import new_folder  # noqa: E402
 
@@ -53,7 +56,7 @@ except ImportError:  # the operators on a corpus are a part that can be left out
 USAGE_AS_OF = datetime(2024, 4, 20, 12)
 CHECK_AS_OF = datetime(1998, 1, 1)
 CHECK_INTERVAL = timedelta(days=90)
-PLACES = ["Country", "Abreviation", "Capital_City", "Continent"]
+PARTS = ["p_partkey", "p_name", "p_brand", "p_type"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,19 +134,102 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_text(spark, path, null_tokens=[]).drop(RAW)
 
 
+#: Tables by the file they come from, with three columns that read alike as text anywhere.
+EXPORTS = {
+    "2024 events-log.csv": ("events", ["event_id", "user_id", "event_type"]),
+    "customer (main).csv": ("customer", ["c_custkey", "c_name", "c_mktsegment"]),
+    "docs.v1.csv.csv": ("documents", ["doc_id", "text", "lang"]),
+    "line items.csv": ("lineitem", ["l_orderkey", "l_linenumber", "l_returnflag"]),
+    "orders.csv": ("orders", ["o_orderkey", "o_custkey", "o_orderpriority"]),
+}
+
+
 def _csv_folder_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = {
-        "2024 events-log.csv": "events",
-        "customer (main).csv": "customer",
-        "docs.v1.csv.csv": "documents",
-        "line items.csv": "lineitem",
-        "orders.csv": "orders",
-    }
+    """The rows of all loaded tables."""
     folder = recipes.csv_folder(
-        spark, {name: recipes.given(spark, sf_dir, table) for name, table in names.items()}
+        spark,
+        {name: recipes.given(spark, sf_dir, table) for name, (table, _) in EXPORTS.items()},
     )
-    status = ingest_folder(spark, folder, recipes.run_database(spark))
-    return status.select("table", "rows", F.col("error").isNull().alias("loaded"))
+    database = recipes.run_database(spark)
+    status = ingest_folder(spark, folder, database).where("error IS NULL").collect()
+    columns = {table_name(name): columns for name, (_, columns) in EXPORTS.items()}
+    loaded = [
+        spark.table(f"{database}.{row['table']}").select(
+            F.lit(row["table"]).alias("table"),
+            F.lit(row["rows"]).alias("rows"),
+            *[F.col(name).alias(f"column_{i}") for i, name in enumerate(columns[row["table"]])],
+        )
+        for row in status
+    ]
+    return functools.reduce(DataFrame.unionByName, loaded)
+
+
+def _csv_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line ends of all kinds, in files whose lines end in all kinds."""
+    text = F.expr(
+        "replace(text, '\\n', CASE doc_id % 3 WHEN 0 THEN '\\n' WHEN 1 THEN '\\r' ELSE '\\r\\n' END)"
+    )
+    cells = F.array(F.col("doc_id").cast("string"), text, F.col("lang"))
+    lines = recipes.given(spark, sf_dir, "documents").select("doc_id", csv_line(cells).alias("line"))
+    # Two documents to a line feed: the first ends in a carriage return, the second in either.
+    pairs = lines.groupBy(F.floor(F.col("doc_id") / 2).alias("key")).agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("doc_id", "line")))["line"], "\r").alias("line")
+    )
+    end = F.when(F.col("key") % 2 == 0, "\n").otherwise("\r\n")
+    folder = new_folder(spark, "csv")
+    ended = pairs.select("key", F.concat("line", end).alias("line"))
+    recipes.csv_lines(ended, "doc_id,text,lang\r\n", f"{folder}/line ends.csv")
+    database = recipes.run_database(spark)
+    ingest_folder(spark, folder, database)
+    return spark.table(f"{database}.line_ends")
+
+
+def _csv_repeated_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A header that names two columns alike and leaves one without a name."""
+    cells = [F.col(c).cast("string") for c in ("n_nationkey", "n_name", "n_regionkey", "n_name")]
+    nations = recipes.given(spark, sf_dir, "nation")
+    lines = nations.select(
+        F.col("n_nationkey").cast("long").alias("key"),
+        F.concat(csv_line(F.array(*cells)), F.lit("\n")).alias("line"),
+    )
+    folder = new_folder(spark, "csv")
+    recipes.csv_lines(lines, "key,name,,name\n", f"{folder}/nation.csv")
+    database = recipes.run_database(spark)
+    ingest_folder(spark, folder, database)
+    return spark.table(f"{database}.nation")
+
+
+def _csv_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with a file that cannot be loaded and one that is no CSV."""
+    orders = recipes.given(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    folder = recipes.csv_folder(spark, {"good.csv": orders, "notes.txt": orders})
+    more = F.when(F.col("o_orderkey") % 2 == 0, ",more").otherwise("")
+    cells = F.array(F.col("o_orderkey").cast("string"), F.col("o_orderstatus"))
+    lines = orders.select(
+        F.col("o_orderkey").cast("long").alias("key"),
+        F.concat(csv_line(cells), more, F.lit("\n")).alias("line"),
+    )
+    recipes.csv_lines(lines, "o_orderkey,o_orderstatus\n", f"{folder}/bad.csv")
+    return ingest_folder(spark, folder, recipes.run_database(spark)).select(
+        "table", "rows", "error"
+    )
+
+
+def _csv_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that was loaded, read, and loaded again with other content."""
+    database = recipes.run_database(spark)
+    customer = recipes.given(spark, sf_dir, "customer")
+    supplier = recipes.given(spark, sf_dir, "supplier")
+    contents = [
+        customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")),
+        supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")),
+    ]
+    rows = []
+    for content in contents:
+        folder = recipes.csv_folder(spark, {"party.csv": content})
+        ingest_folder(spark, folder, database, split_bytes=0)
+        rows.append(spark.table(f"{database}.party").count())
+    return spark.table(f"{database}.party").withColumn("rows_before", F.lit(rows[0]).cast("long"))
 
 
 def _text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +250,7 @@ def _positional_load(empty_below: int) -> Query:
         )
         folder = recipes.csv_folder(spark, {"part.csv": parts})
         return positional_load(
-            spark, f"{folder}/part.csv", PLACES, "places", recipes.run_database(spark)
+            spark, f"{folder}/part.csv", PARTS, "parts", recipes.run_database(spark)
         )
 
     return run
@@ -220,9 +306,15 @@ def _order_books(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    books = scan_workbooks(spark, _order_books(spark, sf_dir))
+    """Every workbook with the rows of its first sheet."""
+    rows = sheet_rows(scan_workbooks(spark, _order_books(spark, sf_dir)))
     name = F.regexp_extract("path", "([^/]*)$", 1).alias("name")
-    return books.select(name, (F.col("length") > 0).alias("filled"))
+    return rows.where("row > 0").groupBy(name).agg(F.count("*").alias("rows"))
+
+
+def _workbook_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One workbook of the folder, by its name."""
+    return first_sheet(spark, f"{_order_books(spark, sf_dir)}/book 0.xlsx")
 
 
 def _workbook_first_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,27 +334,30 @@ def _workbook_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _workbook_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Workbooks to CSV to tables; the rows each step reports, in all."""
-    out = new_folder(spark, "from-workbooks")
-    books = ingest_workbooks(spark, _order_books(spark, sf_dir), out)
-    tables = ingest_folder(spark, out, recipes.run_database(spark))
-
-    def total(status: DataFrame, step: str) -> DataFrame:
-        return status.agg(F.sum("rows").alias("rows"), F.count("error").alias("errors")).select(
-            F.lit(step).alias("step"), "rows", "errors"
-        )
-
-    return total(books, "csv").unionByName(total(tables, "table"))
+    """Workbooks to CSV to tables; the rows of all tables."""
+    out, database = new_folder(spark, "from-workbooks"), recipes.run_database(spark)
+    ingest_workbooks(spark, _order_books(spark, sf_dir), out).count()
+    status = ingest_folder(spark, out, database).where("error IS NULL").collect()
+    loaded = [
+        spark.table(f"{database}.{row['table']}").withColumn("table", F.lit(row["table"]))
+        for row in status
+    ]
+    return functools.reduce(DataFrame.unionByName, loaded)
 
 
 def queries() -> dict[str, Query]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
     found = usage_and_ingest()
     if corpus_pipeline:
-        found |= corpus_queries.queries() | {"pipeline": corpus_pipeline.run}
+        corpus = corpus_queries.queries() | {"pipeline": corpus_pipeline.run}
+        found |= {name: _with_folder(query) for name, query in corpus.items()}
     return found
 
 
+def _with_folder(query: Query) -> Query:
+    return lambda spark, sf_dir: query(recipes.ready(spark), sf_dir)
+
+
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL on the given tables, where SQL can express them."""
     found = usage_and_ingest_sql()
@@ -295,11 +390,16 @@ def usage_and_ingest() -> dict[str, Query]:
         "csv_ingest_in_splits": _csv_ingest(0),
         "csv_roundtrip": _csv_roundtrip,
         "csv_folder_ingest": _csv_folder_ingest,
+        "csv_line_ends": _csv_line_ends,
+        "csv_repeated_headers": _csv_repeated_headers,
+        "csv_report": _csv_report,
+        "csv_reload": _csv_reload,
         "text_table": _text_table,
         "positional_load": _positional_load(0),
         "positional_load_nulls": _positional_load(10),
         "sheet_union_clean": _sheet_union_clean,
         "workbook_scan": _workbook_scan,
+        "workbook_one": _workbook_one,
         "workbook_first_sheet": _workbook_first_sheet,
         "workbook_all_sheets": _workbook_all_sheets,
         "workbook_combined": _workbook_combined,
@@ -308,8 +408,12 @@ def usage_and_ingest() -> dict[str, Query]:
 
     def in_utc(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            zone = spark.conf.get("spark.sql.session.timeZone")
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return query(spark, sf_dir)
+            try:
+                return query(recipes.ready(spark), sf_dir)
+            finally:
+                spark.conf.set("spark.sql.session.timeZone", zone)
 
         return run
 
@@ -318,17 +422,14 @@ def usage_and_ingest() -> dict[str, Query]:
 
 def usage_and_ingest_sql() -> dict[str, str]:
     history = f"WITH history AS ({recipes.HISTORY_SQL})"
-    usage = f"""{history}, object_usage AS (
-        SELECT base_object_name AS base_object_name, user_name AS user_name,
-               max(query_start_time) AS last_usage, count(*) AS usage_count
+    usage = """SELECT base_object_name AS base_object_name, user_name AS user_name, max(query_start_time) AS last_usage,
+            count(*) AS usage_count
         FROM history
         WHERE user_name IS NOT NULL AND object_modified_by_ddl IS NOT NULL
-        GROUP BY base_object_name, user_name)"""
-    unused = f"""{usage}, unused_objects AS (
-        SELECT ou.base_object_name, ou.user_name, ou.last_usage, ou.usage_count
-        FROM object_usage ou LEFT JOIN history obj
-          ON ou.base_object_name = obj.base_object_name AND ou.user_name = obj.user_name
-        WHERE date_diff('day', ou.last_usage, TIMESTAMP '2024-04-20 12:00:00') > 90)"""
+        GROUP BY base_object_name, user_name"""
+    days = "date_diff('day', used.last_usage, TIMESTAMP '2024-04-20 12:00:00')"
+    report = recipes.UNUSED_SQL.format(history="history", days=days)
+    unused = f"{history}, unused_objects AS ({report})"
     log = recipes.QUERY_LOG_SQL.format("DB.SALES")
     mentions = f"""SELECT max(end_time) AS last_usage, count(*) AS query_count
         FROM ({log}) WHERE query_text ILIKE '%db.sales.click%'"""
@@ -349,20 +450,23 @@ def usage_and_ingest_sql() -> dict[str, str]:
         {read("lang")} AS "2_letter_lang", {read("source")} AS source,
         {text("n_chars")} AS "Größe" FROM documents"""
     loaded = " UNION ALL ".join(
-        f"""SELECT '{name}' AS "table", count(*) AS "rows", true AS loaded
+        f"""SELECT '{table_name(file)}' AS "table", (SELECT count(*) FROM {table}) AS "rows",
+            {", ".join(f"{read(f'CAST({name} AS VARCHAR)')} AS column_{i}" for i, name in enumerate(columns))}
             FROM {table}"""
-        for name, table in [
-            ("_2024_events_log", "events"),
-            ("customer__main_", "customer"),
-            ("docs_v1_csv", "documents"),
-            ("line_items", "lineitem"),
-            ("orders", "orders"),
-        ]
+        for file, (table, columns) in EXPORTS.items()
     )
 
+    def ended(text: str) -> str:
+        return f"""replace({text}, chr(10), CASE doc_id % 3 WHEN 0 THEN chr(10)
+            WHEN 1 THEN chr(13) ELSE chr(13) || chr(10) END)"""
+
+    report_rows = """SELECT 'good' AS "table", count(*) AS "rows", NULL AS error FROM orders
+        UNION ALL SELECT 'bad', NULL, CAST(count(*) AS VARCHAR) || ' records with more than 2 fields'
+        FROM orders WHERE o_orderkey % 2 = 0"""
+
     def places(kind: str) -> str:
-        return f"""SELECT CAST(p_partkey AS VARCHAR) AS "Country", p_name AS "Abreviation",
-            p_brand AS "Capital_City", nullif({kind}, '') AS "Continent" FROM part"""
+        return f"""SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand,
+            nullif({kind}, '') AS p_type FROM part"""
 
     sheets = f"""SELECT {text("key")} AS key, {text("name")} AS name,
             {text("segment")} AS segment, {text("nation")} AS nation
@@ -384,13 +488,10 @@ def usage_and_ingest_sql() -> dict[str, str]:
                CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders)""".format(
         ", ".join(f"{text(column)} AS {column}" for column in sheet_columns), orders.format("")
     )
-    steps = " UNION ALL ".join(
-        f"""SELECT '{step}' AS step, count(*) AS "rows", CAST(0 AS BIGINT) AS errors FROM orders"""
-        for step in ["csv", "table"]
-    )
+    book = f"CAST(o_orderkey // {recipes.BOOK_ROWS} AS VARCHAR)"
     return {
         "access_history_projection": recipes.HISTORY_SQL,
-        "object_usage": f"{usage} SELECT * FROM object_usage",
+        "object_usage": f"{history} {usage}",
         "unused_objects": f"{unused} SELECT * FROM unused_objects",
         "unused_objects_counted": f"""{unused} SELECT *, count(*) AS fan_out
             FROM unused_objects GROUP BY ALL""",
@@ -406,6 +507,13 @@ def usage_and_ingest_sql() -> dict[str, str]:
             {text("o_custkey")} AS o_custkey, {text("o_orderstatus")} AS o_orderstatus,
             {text("o_orderpriority")} AS o_orderpriority FROM orders""",
         "csv_folder_ingest": loaded,
+        "csv_line_ends": f"""SELECT {text("doc_id")} AS doc_id, {ended(read("text"))} AS text,
+            {read("lang")} AS lang FROM documents""",
+        "csv_repeated_headers": f"""SELECT {text("n_nationkey")} AS key, {text("n_name")} AS name,
+            {text("n_regionkey")} AS "Unnamed_2", {text("n_name")} AS name_1 FROM nation""",
+        "csv_report": report_rows,
+        "csv_reload": f"""SELECT {text("s_suppkey")} AS key, s_name AS name,
+            (SELECT count(*) FROM customer) AS rows_before FROM supplier""",
         "text_table": f"""SELECT {text("o_orderkey")} AS order_key,
             {text("o_custkey")} AS "3_customer",
             CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority ELSE '' END AS priority_open_
@@ -413,12 +521,12 @@ def usage_and_ingest_sql() -> dict[str, str]:
         "positional_load": places("p_type"),
         "positional_load_nulls": places("CASE WHEN p_size < 10 THEN '' ELSE p_type END"),
         "sheet_union_clean": sheets,
-        "workbook_scan": f"""SELECT DISTINCT true AS filled,
-            'book ' || CAST(o_orderkey // {recipes.BOOK_ROWS} AS VARCHAR) || '.xlsx' AS name
-            FROM orders""",
+        "workbook_scan": f"""SELECT 'book ' || {book} || '.xlsx' AS name, count(*) AS "rows"
+            FROM orders GROUP BY ALL""",
+        "workbook_one": f"{orders.format('')} WHERE o_orderkey // {recipes.BOOK_ROWS} = 0",
         "workbook_first_sheet": orders.format(""),
         "workbook_all_sheets": f"{orders.format(', ' + repr('orders') + ' AS sheet')}"
         f" UNION ALL BY NAME {owners}",
         "workbook_combined": combined,
-        "workbook_ingest": steps,
+        "workbook_ingest": orders.format(f""", 'book_' || {book} AS "table" """),
     }

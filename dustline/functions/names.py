@@ -39,7 +39,7 @@ def column_names(header: Sequence[str | None]) -> list[str]:
     """Clean column names; raises when two of them would be one column to Spark."""
     names = [COLUMN_JUNK.sub("_", name) for name in unique_header(header)]
     clash = first_clash(names)
-    if clash:
+    if clash is not None:
         raise ValueError(f"columns collide after cleaning: {clash}")
     return names
 

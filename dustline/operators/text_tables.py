@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dustline.functions.names import quoted
-from dustline.functions.text import NULL_TOKENS, field_count, null_if_token
-from dustline.sources.csv_files import ADDRESS, RAW
+from dustline.functions.text import NULL_TOKENS, field_count
+from dustline.sources.csv_files import FILE, RAW
+from dustline.sources.csv_split import file_id
 
 BROADCAST_NAMES = 100_000  # pairs of short names, some 20 MB
 
@@ -33,10 +36,18 @@ def text_columns(
     *more: str,
 ) -> DataFrame:
     """Records ``c0..`` under their names, null tokens and missing cells as empty text."""
-    cells = [null_if_token(F.col(f"c{i}"), null_tokens) for i in range(len(names))]
-    return records.select(
-        *[F.coalesce(cell, F.lit("")).alias(name) for cell, name in zip(cells, names)], quoted(RAW), *more
-    )
+    # One text for each cell, not a tree of calls: files may have hundreds of columns.
+    tokens = ", ".join(literal(token) for token in null_tokens if token)
+    kept = f"CASE WHEN {{0}} IN ({tokens}) THEN '' ELSE coalesce({{0}}, '') END"
+    cell = kept if tokens else "coalesce({0}, '')"
+    cells = [f"{cell.format(f'c{i}')} AS {quoted(name)}" for i, name in enumerate(names)]
+    return records.selectExpr(*cells, quoted(RAW), *more)
+
+
+def literal(text: str) -> str:
+    """A text as SQL."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def too_long(width: int) -> Column:
@@ -45,15 +56,18 @@ def too_long(width: int) -> Column:
     return raw.isNotNull() & (field_count(raw) > width)
 
 
-def replace_table(records: DataFrame, database: str, name: str, location: str | None) -> int:
+def replace_table(
+    spark: SparkSession, records: DataFrame, database: str, name: str, location: str | None
+) -> int:
     """Write records as the table's new content and return their number.
 
+    ``spark`` is the session whose table it is; the records may come from another.
+
     The rows go to a folder of their own and the table is pointed to it afterwards, so
     a load that fails, or finds a record with too many fields, leaves the old table as
     it is. Rows and faults are counted by the write itself.
     """
-    spark = records.sparkSession
-    columns = [column for column in records.columns if column != RAW]
+    columns = [column for column in records.columns if column not in (RAW, FILE)]
     faulty = too_long(len(columns)) if RAW in records.columns else F.lit(False)
     seen = Observation()
     rows = records.observe(
@@ -66,11 +80,12 @@ def replace_table(records: DataFrame, database: str, name: str, location: str |
     counts = seen.get
     if counts["faults"]:
         raise ValueError(fault_text(counts["faults"], len(columns)))
-    point_table(database, name, path, rows)
+    point_table(spark, database, name, path, rows.schema)
     return counts["rows"]
 
 
 def replace_tables(
+    spark: SparkSession,
     records: DataFrame,
     names: Sequence[str],
     tables: Mapping[str, str],
@@ -80,15 +95,16 @@ def replace_tables(
 ) -> dict[str, tuple[int | None, str | None]]:
     """:func:`replace_table` for many tables of the same columns, in one write.
 
-    ``tables`` gives the table for each ``file-address`` in the records. Returns rows and
+    ``tables`` gives the table for each address of a file in the records. Returns rows and
     error by table; a table none of whose records is here is not in the result.
     """
-    spark = records.sparkSession
     # Neither column can be one of the files', whose names have no hyphen.
-    target = spark.createDataFrame(list(tables.items()), f"`{ADDRESS}` string, `in-table` string")
+    target = records.sparkSession.createDataFrame(
+        list(tables.items()), "address string, `in-table` string"
+    ).select(file_id(F.col("address")).alias(FILE), "`in-table`")
     if len(tables) <= BROADCAST_NAMES:
         target = F.broadcast(target)
-    rows = records.join(target, ADDRESS).select(
+    rows = records.join(target, FILE).select(
         *[quoted(name) for name in names], too_long(len(names)).alias("too-long"), "in-table"
     )
     path = new_content(spark, database, "together", location)
@@ -105,7 +121,8 @@ def replace_tables(
     def point(row: Row) -> tuple[str, tuple[int | None, str | None]]:
         if row["faults"]:
             return row["in-table"], (None, fault_text(row["faults"], len(names)))
-        point_table(database, row["in-table"], f"{path}/in-table={row['in-table']}", columns)
+        place = f"{path}/in-table={row['in-table']}"
+        point_table(spark, database, row["in-table"], place, columns.schema)
         return row["in-table"], (row["rows"], None)
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
@@ -118,11 +135,57 @@ def new_content(spark: SparkSession, database: str, name: str, location: str | N
     return f"{base.rstrip('/')}/{name}/{uuid.uuid4().hex}"
 
 
-def point_table(database: str, name: str, path: str, like: DataFrame) -> None:
-    """Make the table, new or old, the one whose content is at the path."""
-    spark, full_name = like.sparkSession, quoted(database, name)
-    spark.sql(f"DROP TABLE IF EXISTS {full_name}")
-    spark.catalog.createTable(full_name, path=path, source="parquet", schema=like.schema)
+def point_table(
+    spark: SparkSession, database: str, name: str, path: str, schema: StructType
+) -> None:
+    """Make the table, new or old, the one whose content is at the path.
+
+    A table of the same columns changes its place in one step and is there all the time. One
+    of other columns is dropped and made anew; in between readers do not find it.
+    """
+    full_name = quoted(database, name)
+    if spark.catalog.tableExists(full_name):
+        same = [(f.name, f.dataType) for f in spark.table(full_name).schema]
+        if same == [(f.name, f.dataType) for f in schema] and _is_external_parquet(spark, full_name):
+            spark.sql(f"ALTER TABLE {full_name} SET LOCATION {literal(path)}")
+            spark.catalog.refreshTable(full_name)
+            return
+        spark.sql(f"DROP TABLE {full_name}")
+    spark.catalog.createTable(full_name, path=path, source="parquet", schema=schema)
+
+
+def _described(spark: SparkSession, full_name: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}").collect()
+    return {row["col_name"]: row["data_type"] for row in rows}
+
+
+def _is_external_parquet(spark: SparkSession, full_name: str) -> bool:
+    said = _described(spark, full_name)
+    return said.get("Type") == "EXTERNAL" and said.get("Provider", "").lower() == "parquet"
+
+
+def remove_superseded(
+    spark: SparkSession, database: str, name: str, location: str | None = None
+) -> list[str]:
+    """Remove the folders of content that the table had before, and return them.
+
+    For tables written one by one, and when nobody reads the old content any more.
+    """
+    base = location or spark.catalog.getDatabase(database).locationUri
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}")
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    current = _described(spark, quoted(database, name))["Location"].rstrip("/")
+    if not files.exists(folder):
+        return []
+    gone = []
+    for entry in files.listStatus(folder):
+        path = entry.getPath()
+        is_content = re.fullmatch("[0-9a-f]{32}", path.getName())
+        if entry.isDirectory() and is_content and path.getName() not in current.split("/"):
+            files.delete(path, True)
+            gone.append(path.toString())
+    return gone
 
 
 def fault_text(faults: int, width: int) -> str:

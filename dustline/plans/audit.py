@@ -56,8 +56,10 @@ def data_check(
         "last_usage", "query_count", F.lit(0).cast("long").alias("unused_data_count")
     )
     stale = stale_rows(target, interval, as_of).agg(F.count("*").alias("unused_data_count"))
+    # Of the log's own type: widening a zoneless time would move it.
+    kind = mentions.schema["last_usage"].dataType
     stale = stale.select(
-        F.lit(None).cast("timestamp").alias("last_usage"),
+        F.lit(None).cast(kind).alias("last_usage"),
         F.lit(0).cast("long").alias("query_count"),
         "unused_data_count",
     )

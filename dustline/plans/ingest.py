@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from dustline.functions.names import column_names, first_clash, quoted, table_name
 from dustline.functions.text import NULL_TOKENS, csv_line
-from dustline.operators.sheets import combine_sheets
 from dustline.operators.text_tables import (
     RAW,
     as_text,
@@ -22,19 +21,17 @@ from dustline.operators.text_tables import (
     text_columns,
 )
 from dustline.sources.csv_files import (
-    ADDRESS,
+    FILE,
     CsvSource,
-    Head,
     csv_source,
-    is_small,
     list_csv,
     read_head,
-    read_plain_heads,
+    read_heads,
     read_records,
-    read_small,
+    whole_bytes,
 )
 from dustline.sources.shared import staged
-from dustline.sources.workbooks import all_sheets, scan_workbooks, sheet_rows
+from dustline.sources.workbooks import combined_sheets, scan_workbooks, sheet_rows
 
 STATUS = "path string, table string, rows long, error string"
 
@@ -50,10 +47,18 @@ def read_csv_text(
     That last column, ``raw-record``, is null for records that fit (see ``read_records``).
     """
     source = path if isinstance(path, CsvSource) else csv_source(spark, path)
-    head = read_head(spark, source)
-    names = column_names(head.cells)
-    records = read_records(spark, source, len(names), head.newline, split_bytes)
-    return text_columns(records, names, null_tokens)
+    return _text(spark, source, read_head(spark, source), null_tokens, split_bytes)
+
+
+def _text(
+    spark: SparkSession,
+    source: CsvSource,
+    head: Sequence[str],
+    null_tokens: Sequence[str],
+    split_bytes: int | None,
+) -> DataFrame:
+    names = column_names(head)
+    return text_columns(read_records(spark, source, len(names), split_bytes), names, null_tokens)
 
 
 def ingest_folder(
@@ -68,41 +73,46 @@ def ingest_folder(
     """Every ``.csv`` of a folder becomes its own all-text table.
 
     Returns one row per file: path, table, rows, error. A file that cannot be loaded is
-    reported and the others go on. Two files that would be one table stop the run
-    before anything is written. Small files with the same header are loaded together,
-    in one Spark job for all of them; any other file is a job of its own, of which
-    ``parallel`` are submitted at a time.
+    reported and the others go on. Two files that would be one table, or one that would be a
+    table without a name, stop the run before anything is written. One job reads all
+    headers, and files with the same header that are a task's work each are loaded together
+    in another; a larger file is a job of its own, of which ``parallel`` are submitted at a time.
     """
     listed = list_csv(spark, folder)
     clash = first_clash(table_name(source.name) for source in listed)
-    if clash:
+    if clash is not None:
         raise ValueError(f"files collide in table {clash}")
     sources = {table_name(source.name): source for source in listed}
+    if "" in sources:
+        raise ValueError(f"no table name in {sources[''].path}")
+    heads = read_heads(spark, listed)
 
     def alone(table: str) -> tuple[int | None, str | None]:
         try:
-            records = read_csv_text(spark, sources[table], null_tokens, split_bytes)
-            return replace_table(records, database, table, location), None
+            source = sources[table]
+            if source.path not in heads:
+                raise ValueError("no header")
+            records = _text(spark, source, heads[source.path], null_tokens, split_bytes)
+            return replace_table(spark, records, database, table, location), None
         except (PySparkException, Py4JJavaError, ValueError) as problem:
             return None, _first_line(problem)
 
     def together(
-        group: tuple[Head, Sequence[str]],
+        group: tuple[tuple[str, ...], Sequence[str]],
     ) -> dict[str, tuple[int | None, str | None]]:
         head, tables = group
         try:
-            names = column_names(head.cells)
-            members = [sources[table] for table in tables]
-            records = read_small(spark, members, len(names), head.newline)
+            names = column_names(head)
+            records = read_records(spark, [sources[table] for table in tables], len(names))
             by_address = {a: table for table in tables for a in sources[table].addresses}
-            text = text_columns(records, names, null_tokens, quoted(ADDRESS))
-            return replace_tables(text, names, by_address, database, location, parallel)
+            text = text_columns(records, names, null_tokens, quoted(FILE))
+            return replace_tables(spark, text, names, by_address, database, location, parallel)
         except (PySparkException, Py4JJavaError, ValueError):
             return {}  # each is tried alone, and the one at fault reported
 
     status: dict[str, tuple[int | None, str | None]] = {}
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        for loaded in pool.map(together, _alike(spark, sources, split_bytes).items()):
+        for loaded in pool.map(together, _alike(spark, sources, heads, split_bytes).items()):
             status |= loaded
         rest = [table for table in sources if table not in status]
         status |= dict(zip(rest, pool.map(alone, rest)))
@@ -111,16 +121,16 @@ def ingest_folder(
 
 
 def _alike(
-    spark: SparkSession, sources: Mapping[str, CsvSource], split_bytes: int | None
-) -> dict[Head, list[str]]:
-    """Tables of small files by their common head, where there is more than one."""
-    small = {table: source for table, source in sources.items() if is_small(spark, source)}
-    if len(small) < 2 or split_bytes == 0:
-        return {}
-    heads = read_plain_heads(spark, list(small.values()))
-    groups: dict[Head, list[str]] = {}
-    for table, source in small.items():
-        if source.path in heads:
+    spark: SparkSession,
+    sources: Mapping[str, CsvSource],
+    heads: Mapping[str, tuple[str, ...]],
+    split_bytes: int | None,
+) -> dict[tuple[str, ...], list[str]]:
+    """Tables of files that are a task's work each by their header, where several share it."""
+    most = whole_bytes(spark) if split_bytes is None else split_bytes
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for table, source in sources.items():
+        if source.path in heads and source.largest <= most:
             groups.setdefault(heads[source.path], []).append(table)
     return {head: tables for head, tables in groups.items() if len(tables) > 1}
 
@@ -137,7 +147,8 @@ def save_as_text(
 
     Missing values become empty text.
     """
-    replace_table(as_text(df.toDF(*column_names(df.columns))), database, table, location)
+    text = as_text(df.toDF(*column_names(df.columns)))
+    replace_table(df.sparkSession, text, database, table, location)
     return df.sparkSession.table(quoted(database, table))
 
 
@@ -156,10 +167,11 @@ def positional_load(
     with more fields than columns fails the load and leaves the old table.
     """
     source = csv_source(spark, path)
-    newline = read_head(spark, source).newline
-    records = read_records(spark, source, len(columns), newline, split_bytes)
-    named = records.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], quoted(RAW))
-    replace_table(named, database, table, location)
+    records = read_records(spark, source, len(columns), split_bytes)
+    named = records.select(
+        *[F.nullif(F.col(f"c{i}"), F.lit("")).alias(c) for i, c in enumerate(columns)], quoted(RAW)
+    )
+    replace_table(spark, named, database, table, location)
     return spark.table(quoted(database, table))
 
 
@@ -209,6 +221,6 @@ def combine_workbook(
 
     Returns the combined sheets; ``out`` is replaced.
     """
-    combined = combine_sheets(all_sheets(spark, path, null_tokens))
+    combined = combined_sheets(spark, path, null_tokens)
     export_csv(combined, out)
     return combined

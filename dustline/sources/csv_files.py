@@ -1,8 +1,7 @@
-"""CSV files as text: listing, header, records.
+"""CSV files as text: listing, headers, records.
 
-Spark's CSV reader finds line breaks within quoted fields in its multi-line mode, which
-gives a whole file to one task. That is for files of bounded size; larger ones are read
-in splits, with :mod:`dustline.sources.csv_split` where records span lines.
+What a record is does not depend on how a file is read, see :mod:`dustline.sources.csv_split`.
+Files up to a bound are a task's work each, larger ones are read in splits.
 """
 
 from __future__ import annotations
@@ -14,20 +13,27 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dustline.functions.names import quoted
-from dustline.sources.csv_split import assemble_records, lines_are_records, scan_lines
+from dustline.sources.csv_split import file_id, first_records, split_records, whole_records
 
 # Columns beside those of a file, whose clean names have no hyphen.
 RAW = "raw-record"
-ADDRESS = "file-address"
+FILE = "file-id"
+#: More columns than this, and longer cells, are an error of Spark's parser.
+MAX_COLUMNS = 100_000
 CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": RAW,
+    "maxColumns": str(MAX_COLUMNS),
+    "maxCharsPerColumn": "-1",
+    # Line ends in a record are within quotes and stay as they are.
+    "multiLine": "true",
+    "lineSep": "\n",
 }
 
 
@@ -35,7 +41,7 @@ CSV_OPTIONS = {
 class CsvSource:
     """One table's worth of CSV: a file, or a folder of part files named like one.
 
-    Of each part it knows the path, the size, and the address by which rows name it.
+    Of each part it knows the path, the size, and the address from which lines get its number.
     """
 
     name: str
@@ -59,23 +65,11 @@ class CsvSource:
         return sum(size for _, size, _ in self.parts)
 
 
-@dataclass(frozen=True)
-class Head:
-    """How a CSV begins: the cells of its header, and what ends a line."""
-
-    cells: tuple[str | None, ...]
-    newline: str
-
-
 def _as_pattern(path: str) -> str:
     """A path that Spark, which takes paths for glob patterns, takes for itself."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def _without_scheme(path: str) -> str:
-    return re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", path)
-
-
 def _unescaped(name: str) -> str:
     """File name from a partition folder ``file=NAME``, whose odd characters are ``%XX``."""
     if not name.startswith("file="):
@@ -83,159 +77,127 @@ def _unescaped(name: str) -> str:
     return re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), name[len("file=") :])
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The one full name of a path: with scheme, absolute, without ``.`` and doubled ``/``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    uri = files.makeQualified(hadoop).toUri().normalize().toString()
+    # Back to a path, whose odd characters are not escaped.
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        spark.sparkContext._jvm.java.net.URI(uri)
+    ).toString()
+
+
+def entry_of(path: str, folder: str) -> str:
+    """The entry of a folder that a file is, or lies below; both are qualified paths."""
+    root = folder.rstrip("/") + "/"
+    if not path.startswith(root) or path == root:
+        raise ValueError(f"{path} is not below {folder}")
+    return path[len(root) :].split("/")[0]
+
+
 def _listed(spark: SparkSession, pattern: str) -> list[tuple[str, int, str]]:
-    files = spark.read.format("binaryFile").load(pattern)
+    # Without partitions to infer, folders like a=1 are folders like any other.
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
     return sorted(map(tuple, files.select("path", "length", "_metadata.file_path").collect()))
 
 
 def list_csv(spark: SparkSession, folder: str) -> list[CsvSource]:
     """Every ``.csv`` directly below a folder, by name. Reads names and sizes only."""
-    root = _without_scheme(folder).rstrip("/") + "/"
+    root = qualified(spark, folder)
     found: dict[str, list[tuple[str, int, str]]] = {}
     try:
-        parts = _listed(spark, f"{_as_pattern(folder.rstrip('/'))}/*.csv")
+        parts = _listed(spark, f"{_as_pattern(root.rstrip('/'))}/*.csv")
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         parts = []  # a folder without any
     for part in parts:
-        before, _, below = part[0].partition(root)
-        entry = below.split("/")[0]
-        found.setdefault(f"{before}{root}{entry}", []).append(part)
+        found.setdefault(entry_of(part[0], root), []).append(part)
     return [
-        CsvSource(_unescaped(path.rsplit("/", 1)[1]), path, tuple(parts))
-        for path, parts in sorted(found.items())
+        CsvSource(_unescaped(entry), f"{root.rstrip('/')}/{entry}", tuple(parts))
+        for entry, parts in sorted(found.items())
     ]
 
 
 def csv_source(spark: SparkSession, path: str) -> CsvSource:
     """A single file or folder of part files as a source."""
-    parts = tuple(_listed(spark, _as_pattern(path)))
+    full = qualified(spark, path)
+    parts = tuple(_listed(spark, _as_pattern(full)))
     if not parts:
         raise ValueError(f"no file at {path}")
-    return CsvSource(path.rstrip("/").rsplit("/", 1)[-1], path, parts)
-
-
-def read_head(spark: SparkSession, source: CsvSource) -> Head:
-    """The cells of the first record and what ends a line; reads no further."""
-    path = source.paths[0]
-    line = F.col("value")
-    first = (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .where(F.trim(F.regexp_replace(line, "[\t\r]", "")) != "")
-        .first()
-    )
-    if first is None:
+    return CsvSource(full.rsplit("/", 1)[-1], full, parts)
+
+
+def read_heads(spark: SparkSession, sources: Sequence[CsvSource]) -> dict[str, tuple[str, ...]]:
+    """The cells of each source's header, by path, in one job for all; none where there is none."""
+    firsts = {source.addresses[0]: source for source in sources}
+    if not firsts:
+        return {}
+    paths = [source.paths[0] for source in sources]
+    addresses = spark.createDataFrame([(a,) for a in firsts], "address string")
+    addresses = addresses.select("address", file_id(F.col("address")).alias("file"))
+    by_file = {row["file"]: row["address"] for row in addresses.collect()}
+    if len(by_file) < len(firsts):
+        raise ValueError("two files have the same number")
+    heads = first_records(spark, paths).select("file", "record").collect()
+    return {firsts[by_file[file]].path: _cells(record) for file, record in heads}
+
+
+def read_head(spark: SparkSession, source: CsvSource) -> tuple[str, ...]:
+    """The cells of the first record; reads little further."""
+    heads = read_heads(spark, [source])
+    if source.path not in heads:
         raise ValueError("no header")
-    plain = _plain_head(first["value"])
-    if plain:
-        return plain
-    # With quotes around, cells may hold commas and line breaks of their own.
-    newline = "\r\n" if first["value"].endswith("\r") else "\n"
-    record = (
-        spark.read.options(**CSV_OPTIONS, header=False, multiLine=True)
-        .schema(f"cell string, `{RAW}` string")
-        .csv(path)
-        .first()
-    )
-    if record[RAW] is None:  # exactly one cell
-        return Head((record["cell"],), newline)
-    return Head(tuple(next(csv.reader(io.StringIO(record[RAW], newline="")))), newline)
+    return heads[source.path]
 
 
-def _plain_head(line: str) -> Head | None:
-    """The head, from the first line, unless quotes in it need a CSV reader."""
-    before_quote, quote, _ = line.partition('"')
-    text, carriage_return, rest = before_quote.partition("\r")
-    if quote and not carriage_return:
-        return None
-    newline = "\n" if not carriage_return else "\r" if rest or quote else "\r\n"
-    return Head(tuple(text.split(",")), newline)
-
-
-def read_plain_heads(spark: SparkSession, sources: Sequence[CsvSource]) -> dict[str, Head]:
-    """The heads of many small files at once, by path, where no quotes are involved."""
-    paths = [path for source in sources for path in source.paths]
-    lines = spark.read.option("lineSep", "\n").text(paths)
-    firsts = (
-        lines.where(F.btrim("value", F.lit(" \t\r")) != "")
-        .select(
-            F.col("_metadata.file_path").alias("address"),
-            F.monotonically_increasing_id().alias("pos"),
-            "value",
-        )
-        .groupBy("address")
-        .agg(F.min_by("value", "pos").alias("line"))
-    )
-    heads = {row["address"]: _plain_head(row["line"]) for row in firsts.collect()}
-    found = {source.path: heads.get(source.addresses[0]) for source in sources}
-    return {path: head for path, head in found.items() if head and head.newline != "\r"}
-
-
-def is_small(spark: SparkSession, source: CsvSource) -> bool:
-    """Small enough to go whole to a task together with others."""
-    return source.total <= _bytes(spark, "spark.sql.files.openCostInBytes")
-
-
-def read_small(
-    spark: SparkSession, sources: Sequence[CsvSource], width: int, newline: str
-) -> DataFrame:
-    """Records of many small files of one width, with the ``file-address`` each comes from."""
-    paths = [path for source in sources for path in source.paths]
-    records = _whole_reader(spark, width, newline).csv(paths)
-    return without_blank_lines(records.select("*", F.col("_metadata.file_path").alias(ADDRESS)))
+def _cells(record: str) -> tuple[str, ...]:
+    record = record.removeprefix("﻿")
+    if '"' not in record:
+        return tuple(record.split(","))
+    csv.field_size_limit(1 << 30)
+    return tuple(next(csv.reader(io.StringIO(record, newline=""))))
 
 
 def _schema(width: int) -> str:
     return ", ".join([f"c{i} string" for i in range(width)] + [f"`{RAW}` string"])
 
 
-def _whole_reader(spark: SparkSession, width: int, newline: str) -> DataFrameReader:
-    return spark.read.schema(_schema(width)).options(
-        **CSV_OPTIONS, header=True, enforceSchema=True, multiLine=True, lineSep=newline
-    )
+def whole_bytes(spark: SparkSession) -> int:
+    """Up to this size a file is one task's work."""
+    return _bytes(spark, "spark.sql.files.maxPartitionBytes")
 
 
 def read_records(
     spark: SparkSession,
-    source: CsvSource,
+    sources: CsvSource | Sequence[CsvSource],
     width: int,
-    newline: str = "\n",
     split_bytes: int | None = None,
 ) -> DataFrame:
-    """Records below the header as columns ``c0..`` and ``raw-record``.
+    """Records below the headers as columns ``c0..``, ``raw-record`` and ``file-id``.
 
     Fields a short record lacks are null. ``raw-record`` holds the text of a record that has
     more or fewer fields than ``width`` and is null for all others.
 
-    However a source is read, the records are the same. Small files go whole to a task
-    each. Files whose every line is a record are cut at lines. Of files with records that
-    span lines, those up to ``split_bytes`` (by default four splits of the session) are
-    streamed whole by a task each, larger ones are put together from their lines.
+    Files are read whole, a task each, up to ``split_bytes`` (by default a split of the
+    session), and beyond that in splits. The records are the same.
     """
-    paths = source.paths
-    cut = _bytes(spark, "spark.sql.files.maxPartitionBytes")
-    if split_bytes is None:
-        split_bytes = 4 * cut
-    whole = _whole_reader(spark, width, newline)
-    if source.largest <= min(split_bytes, _bytes(spark, "spark.sql.files.openCostInBytes")):
-        records = whole.csv(paths)
-    elif lines_are_records(scan_lines(spark, paths, newline), newline):
-        records = whole.options(multiLine=False, lineSep=newline[-1]).csv(paths)
-    elif source.largest <= split_bytes:
-        records = _whole_reader(spark, width, newline).csv(paths)
+    sources = [sources] if isinstance(sources, CsvSource) else sources
+    paths = [path for source in sources for path in source.paths]
+    total = sum(source.total for source in sources)
+    largest = max(source.largest for source in sources)
+    cut = whole_bytes(spark)
+    if largest <= (cut if split_bytes is None else split_bytes):
+        records = whole_records(spark, paths, largest, total, width)
     else:
-        assembled = assemble_records(spark, paths, source.total, width, newline, cut)
-        parsed = F.from_csv("record", _schema(width), CSV_OPTIONS)
-        return assembled.where(F.col("number") > 1).select(parsed.alias("r")).select("r.*")
-    return without_blank_lines(records)
-
-
-def without_blank_lines(records: DataFrame) -> DataFrame:
-    """Without lines of blanks only. Also looks at a cell, as Spark reads no misfits alone."""
-    empty = (F.trim(quoted(RAW)) == "") & (F.trim(F.coalesce("c0", F.lit(""))) == "")
-    return records.where(~F.coalesce(empty, F.lit(False)))
+        records = split_records(spark, paths, total, width, cut)
+    parsed = F.from_csv("record", _schema(width), CSV_OPTIONS).alias("r")
+    return (
+        records.where(F.col("number") > 1)
+        .select(F.col("file").alias(FILE), parsed)
+        .select("r.*", quoted(FILE))
+    )
 
 
 def _bytes(spark: SparkSession, setting: str) -> int:

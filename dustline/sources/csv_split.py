@@ -1,17 +1,22 @@
-"""CSV files of any size, read in splits although fields may hold line breaks.
-
-Where a line starts inside or outside a quoted field depends on all lines before it.
-Each line maps the state it is entered with to the state it leaves, and such maps
-compose. A first scan composes them per split, for both states a split may be entered
-with. Over the splits of a file, one small row each, the true states follow. A second
-scan then puts the records of each split together where they lie: no line is shuffled.
-Records that cross splits are joined from the pieces the first scan found at the edges.
+"""The lines of CSV files, and the records they make.
+
+One rule holds for files of any size: a record ends at a line end, be it ``\\n``, ``\\r\\n`` or
+``\\r``, that is not within a quoted field, where line ends belong to the field as they are.
+
+Where a line starts inside or outside quotes depends on all lines before it. Each line maps
+the state it is entered with to the state it leaves, and such maps compose. A file that is one
+split is entered outside, and its records are put together as its lines go by. In a larger
+file a first scan composes the maps of each split, for both states it may be entered with, and
+keeps numbers only. Over the splits of a file, one small row each, the true states follow. A
+second scan, which knows them, puts together the records that lie in a split; where a record
+crosses splits, one more scan takes its lines from their edges. No line goes through a join
+that shuffles it.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,89 +25,34 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dustline.functions.text import ends_inside, quote_scan
+from dustline.functions.text import quote_scan
 from dustline.sources.shared import staged
 
 # Tasks get this code with the job, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SMALL_SPLIT = 32 << 20
-MANY_SPLITS = 10_000
+#: Splits of one load, about; beyond these, splits grow. The driver holds three numbers of each.
+MANY_SPLITS = 50_000
+#: How far into a file its header must end.
+HEAD_BYTES = 4 << 20
+LINES = ["file", "split", "pos", "value", "out0", "out1", "blank"]
 EDGES = (
-    "file string, split long, out0 boolean, out1 boolean, starts0 long, starts1 long, "
-    "head string, tail0 string, tail1 string"
+    "file long, split long, out0 boolean, out1 boolean, starts0 long, starts1 long, "
+    "inside_until long, last0 long, last1 long"
 )
-RECORDS = "file string, number long, record string"
+RECORDS = "file long, number long, record string"
 
 
-def scan_lines(spark: SparkSession, paths: Sequence[str], newline: str) -> DataFrame:
-    """The lines of files, in splits. Of ``\\r\\n`` the first half stays with the line."""
-    return spark.read.option("lineSep", newline[-1]).text(list(paths))
+def file_id(address: Column) -> Column:
+    """The number by which lines and records name their file, from its full address."""
+    return F.xxhash64(address)
 
 
-def lines_are_records(lines: DataFrame, newline: str) -> bool:
-    """Whether no record spans lines, so that files may be cut at any line.
+def _own_session(spark: SparkSession, split_bytes: int, **more: str) -> SparkSession:
+    """A session with the same settings, but splits that do not depend on the cores it has.
 
-    True when no line that is entered outside quotes is left inside them; the search
-    ends at the first that is. Lines with the other line-break character do not qualify.
-    """
-    other = "\n" if newline == "\r" else "\r"
-    value = F.col("value")
-    return lines.where(value.contains(other) | ends_inside(value)).isEmpty()
-
-
-def assemble_records(
-    spark: SparkSession,
-    paths: Sequence[str],
-    total_bytes: int,
-    width: int,
-    newline: str,
-    split_bytes: int,
-) -> DataFrame:
-    """Rows ``(file, number, record)``; the header of a file is its number 1.
-
-    Splits are small while they are not many, and never larger than ``split_bytes``.
-    """
-    split_bytes = min(split_bytes, max(SMALL_SPLIT, total_bytes // MANY_SPLITS))
-    lines = _tagged_lines(spark, paths, width, newline, split_bytes)
-    narrow = ["file", "split", "value", "out0", "out1", "blank"]
-    joint = newline[-1]
-    edges = staged(
-        lines.select(*narrow).mapInArrow(lambda batches: _edges(batches, joint), EDGES),
-        "csv-edges",
-    )
-    splits = _true_states(edges)
-    unclosed = splits.groupBy("file").agg(F.max_by("leaves_inside", "split").alias("open"))
-    unclosed_file = unclosed.where("open").select("file").first()
-    if unclosed_file:
-        raise ValueError(f"quote is never closed in {unclosed_file['file']}")
-
-    # Written for itself, so that Spark knows its size when it joins it to the lines.
-    entries = staged(splits.select("file", "split", "enters_inside", "records_before"), "csv-splits")
-    known = F.coalesce(
-        "enters_inside", F.raise_error(F.lit("a split of the second scan was not in the first"))
-    )
-    within = (
-        entries.join(lines, ["file", "split"], "right")
-        .withColumn("enters_inside", known)
-        .sortWithinPartitions("file", "split", "pos")
-        .select(*narrow, "enters_inside", "records_before")
-        .mapInArrow(lambda batches: _records(batches, joint), RECORDS)
-    )
-    crossing = _crossing_records(splits, joint)
-    record = F.col("record")
-    without_cr = F.when(record.endswith("\r"), F.substring(record, F.lit(1), F.length(record) - 1))
-    return within.unionByName(crossing).withColumn("record", without_cr.otherwise(record))
-
-
-def _tagged_lines(
-    spark: SparkSession, paths: Sequence[str], width: int, newline: str, split_bytes: int
-) -> DataFrame:
-    """Lines with file, split, place and what they do to the state.
-
-    Both scans must cut the files alike. By default Spark cuts by the number of cores it
-    has at the time, so the lines are scanned in a session of their own, with the same
-    settings but for that.
+    All scans of a file must cut it alike.
     """
     fixed = spark.newSession()
     usual = fixed.conf.getAll
@@ -110,18 +60,51 @@ def _tagged_lines(
         if usual.get(setting) != value:
             fixed.conf.set(setting, value)
     fixed.conf.set("spark.sql.files.minPartitionNum", "1")
-    fixed.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    fixed.conf.set("spark.sql.files.maxPartitionBytes", str(max(1, split_bytes)))
+    for setting, value in more.items():
+        fixed.conf.set(setting.replace("__", "."), value)
+    return fixed
+
+
+def _with_ends(line: Column) -> Column:
+    """The lines, each with its end, of a text that was cut at ``\\n``."""
+
+    def parted() -> Column:
+        parts = F.split(line, "\r", -1)
+        # A carriage return before the cut is the first half of the end.
+        whole = (F.element_at(parts, -1) == "").cast("int")
+        last = F.size(parts) - whole - 1
+        end = F.when(whole == 1, "\r\n").otherwise("\n")
+        return F.transform(
+            F.slice(parts, F.lit(1), last + 1),
+            lambda part, i: F.concat(part, F.when(i < last, "\r").otherwise(end)),
+        )
+
+    return F.when(line.contains("\r"), parted()).otherwise(F.array(F.concat(line, F.lit("\n"))))
+
+
+def scan_lines(spark: SparkSession, paths: Sequence[str], width: int) -> DataFrame:
+    """Lines with file, split, place, what they do to the state, and the split's length.
+
+    A line of blanks is none, but for a single column, where it is a cell.
+    """
     value = F.col("value")
-    spaces = "\r" if width == 1 else " \t\r"
+    ends = "\r\n" if width == 1 else " \t\r\n"
     quotes = F.when(value.contains('"'), quote_scan(value))
     return (
-        scan_lines(fixed, paths, newline)
+        spark.read.option("lineSep", "\n")
+        .option("recursiveFileLookup", "true")
+        .text(list(paths))
         .select(
-            F.col("_metadata.file_name").alias("file"),
+            file_id(F.col("_metadata.file_path")).alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
+            F.col("_metadata.file_block_length").alias("length"),
+            F.explode(_with_ends(value)).alias("value"),
+        )
+        .select(
+            "*",
             F.monotonically_increasing_id().alias("pos"),
-            "value",
-            (F.btrim(value, F.lit(spaces)) == "").alias("blank"),
+            (F.btrim(value, F.lit(ends)) == "").alias("blank"),
             quotes.alias("quotes"),
         )
         .select(
@@ -132,13 +115,58 @@ def _tagged_lines(
     )
 
 
+def first_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Rows ``(file, number, record)`` with number 1: the header of each file.
+
+    Files are cut into small splits, and a task stops when no split of its own can hold a
+    header any more, so of a large file little more than the first lines is read.
+    """
+    fixed = _own_session(
+        spark, HEAD_BYTES, spark__sql__execution__arrow__maxRecordsPerBatch="256"
+    )
+    lines = scan_lines(fixed, paths, 2).select(*LINES, "length")
+    return lines.mapInArrow(lambda batches: _heads(batches, HEAD_BYTES), RECORDS)
+
+
+def whole_records(spark: SparkSession, paths: Sequence[str], largest: int, total: int, width: int) -> DataFrame:
+    """Rows ``(file, number, record)`` of files that are a split each."""
+    cores = spark.sparkContext.defaultParallelism
+    lines = scan_lines(_own_session(spark, max(largest, total // cores)), paths, width)
+    return lines.select(*LINES).mapInArrow(lambda batches: _records(batches, None), RECORDS)
+
+
+def split_records(
+    spark: SparkSession, paths: Sequence[str], total: int, width: int, split_bytes: int
+) -> DataFrame:
+    """Rows ``(file, number, record)`` of files in splits; the header of a file is its number 1.
+
+    Splits are small while they are not many.
+    """
+    size = min(split_bytes, max(SMALL_SPLIT, total // MANY_SPLITS))
+    fixed = _own_session(spark, max(size, total // MANY_SPLITS))
+    lines = scan_lines(fixed, paths, width).select(*LINES)
+    edges = staged(lines.mapInArrow(_edges, EDGES), "csv-edges")
+    splits = staged(_true_states(edges), "csv-splits")
+    unclosed = splits.groupBy("file").agg(F.max_by("leaves_inside", "split").alias("open"))
+    if not unclosed.where("open").isEmpty():
+        raise ValueError("a quote is never closed")
+    entries = {
+        (row["file"], row["split"]): (row["enters_inside"], row["records_before"])
+        for row in splits.select("file", "split", "enters_inside", "records_before").collect()
+    }
+    within = lines.mapInArrow(lambda batches: _records(batches, entries), RECORDS)
+    if not any(inside for inside, _ in entries.values()):
+        return within
+    return within.unionByName(_crossing_records(lines, splits))
+
+
 def _true_states(edges: DataFrame) -> DataFrame:
     """The states each split is really entered with and leaves, and records before it.
 
     ``out0``/``out1`` say whether a split is left inside quotes when entered outside or
     inside. A split that leaves one state whatever it was entered with fixes the state;
     those after it only flip it, so the last such split and the flips since decide. A
-    file has as many rows here as splits.
+    file has as many rows here as splits, each of a few numbers.
     """
     ordered = Window.partitionBy("file").orderBy("split")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -162,26 +190,31 @@ def _true_states(edges: DataFrame) -> DataFrame:
             by_entry("out0", "out1").alias("leaves_inside"),
             "starts",
             F.coalesce(F.sum("starts").over(before), F.lit(0)).alias("records_before"),
-            "head",
-            by_entry("tail0", "tail1").alias("tail"),
+            "inside_until",
+            by_entry("last0", "last1").alias("last"),
         )
     )
 
 
-def _crossing_records(splits: DataFrame, joint: str) -> DataFrame:
-    """Records that begin in one split and end in a later one."""
-    continued = splits.where("enters_inside").select(
-        "file", F.col("records_before").alias("number"), "split", F.col("head").alias("piece")
+def _crossing_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """Records that begin in one split and end in a later one, from the lines at the edges.
+
+    The splits, as many as there are at most, are small enough to broadcast to the lines.
+    """
+    held = lines.join(
+        F.broadcast(splits.where("enters_inside OR leaves_inside")), ["file", "split"]
     )
-    begun = splits.where("leaves_inside AND starts > 0").select(
-        "file", (F.col("records_before") + F.col("starts")).alias("number"), "split", "tail"
+    in_head = F.col("enters_inside") & (
+        F.col("inside_until").isNull() | (F.col("pos") < F.col("inside_until"))
     )
-    in_order = F.array_sort(F.collect_list(F.struct("split", "piece")))
-    return (
-        continued.union(begun)
-        .groupBy("file", "number")
-        .agg(F.array_join(F.transform(in_order, lambda p: p["piece"]), joint).alias("record"))
+    in_tail = F.col("leaves_inside") & (F.col("starts") > 0) & (F.col("pos") >= F.col("last"))
+    number = F.col("records_before") + F.when(in_tail, F.col("starts")).otherwise(0)
+    pieces = held.where(in_head | in_tail).select(
+        "file", number.alias("number"), F.struct("split", "pos", "value").alias("piece")
     )
+    in_order = F.sort_array(F.collect_list("piece"))
+    record = F.array_join(F.transform(in_order, lambda piece: piece["value"]), "")
+    return pieces.groupBy("file", "number").agg(F.rtrim(record, F.lit("\r\n")).alias("record"))
 
 
 # In tasks. The lines of a split come one after the other, in order.
@@ -191,16 +224,15 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBa
     """Batches cut where a split ends, each with whether it begins a split."""
     last = None
     for batch in batches:
-        at = 0
-        while at < batch.num_rows:
-            file, split = batch.column("file")[at].as_py(), batch.column("split")[at].as_py()
-            same = pc.and_(
-                pc.equal(batch.column("file"), file), pc.equal(batch.column("split"), split)
-            )
-            rest = np.flatnonzero(~same.to_numpy(zero_copy_only=False)[at:])
-            end = at + int(rest[0]) if rest.size else batch.num_rows
-            yield (file, split) != last, batch.slice(at, end - at)
-            last, at = (file, split), end
+        if not batch.num_rows:
+            continue
+        file, split = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("file", "split"))
+        change = (file[1:] != file[:-1]) | (split[1:] != split[:-1])
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            key = (int(file[start]), int(split[start]))
+            yield key != last, batch.slice(start, end - start)
+            last = key
 
 
 def _bools(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -217,82 +249,79 @@ def _inside(batch: pa.RecordBatch, entered: bool) -> tuple[np.ndarray, bool]:
     return np.concatenate([[entered], after[:-1]]), bool(after[-1])
 
 
-def _edges(batches: Iterator[pa.RecordBatch], joint: str) -> Iterator[pa.RecordBatch]:
-    """One row per split, for both states it may be entered with."""
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of numbers per split, for both states it may be entered with.
+
+    ``starts`` counts the records that begin in it and ``last`` is the line where the last of
+    them does; ``inside_until`` is the first line that begins outside, if entered inside.
+    """
     seen = None
     for begins, batch in _runs(batches):
         if begins:
             if seen:
-                yield _edge_row(seen, joint)
-            seen = {
-                "file": batch.column("file")[0].as_py(),
-                "split": batch.column("split")[0].as_py(),
-                "state": [False, True],
-                "starts": [0, 0],
-                "head": [],
-                "tail": [[], []],
-            }
-        blank, value = _bools(batch, "blank"), batch.column("value")
+                yield _edge_row(seen)
+            key = [batch.column("file")[0].as_py(), batch.column("split")[0].as_py()]
+            seen = {"key": key, "state": [False, True], "starts": [0, 0], "until": None, "last": [None, None]}
+        blank, pos = _bools(batch, "blank"), batch.column("pos").to_numpy(zero_copy_only=False)
         for entry in (0, 1):
             inside, seen["state"][entry] = _inside(batch, seen["state"][entry])
+            outside = np.flatnonzero(~inside)
+            if entry and seen["until"] is None and outside.size:
+                seen["until"] = int(pos[outside[0]])
             starts = np.flatnonzero(~inside & ~blank)
-            if entry and not seen["starts"][1]:
-                until = starts[0] if starts.size else len(inside)
-                seen["head"] += value.take(pa.array(np.flatnonzero(inside[:until]))).to_pylist()
-            since = starts[-1] if starts.size else 0
-            kept = inside[since:].copy()
+            seen["starts"][entry] += int(starts.size)
             if starts.size:
-                kept[0], seen["tail"][entry] = True, []
-            if starts.size or seen["starts"][entry]:
-                lines = since + np.flatnonzero(kept)
-                seen["tail"][entry] += value.take(pa.array(lines)).to_pylist()
-            seen["starts"][entry] += starts.size
+                seen["last"][entry] = int(pos[starts[-1]])
     if seen:
-        yield _edge_row(seen, joint)
-
-
-def _edge_row(seen: dict, joint: str) -> pa.RecordBatch:
-    tails = [
-        joint.join(lines) if inside else None for lines, inside in zip(seen["tail"], seen["state"])
-    ]
-    values = [
-        seen["file"],
-        seen["split"],
-        *seen["state"],
-        *seen["starts"],
-        joint.join(seen["head"]),
-        *tails,
-    ]
-    names = ["file", "split", "out0", "out1", "starts0", "starts1", "head", "tail0", "tail1"]
-    text, number, flag = pa.string(), pa.int64(), pa.bool_()
-    types = [text, number, flag, flag, number, number, text, text, text]
-    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
-
-
-def _records(batches: Iterator[pa.RecordBatch], joint: str) -> Iterator[pa.RecordBatch]:
+        yield _edge_row(seen)
+
+
+def _edge_row(seen: dict) -> pa.RecordBatch:
+    values = [*seen["key"], *seen["state"], *seen["starts"], seen["until"], *seen["last"]]
+    names = ["file", "split", "out0", "out1", "starts0", "starts1", "inside_until", "last0", "last1"]
+    types = [pa.bool_() if name.startswith("out") else pa.int64() for name in names]
+    arrays = [pa.array([v], t) for v, t in zip(values, types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names)
+
+
+def _records(
+    batches: Iterator[pa.RecordBatch], entries: Mapping[tuple[int, int], tuple[bool, int]] | None
+) -> Iterator[pa.RecordBatch]:
     """The records that lie within a split.
 
-    The last record seen is held back until the next begins or its split ends; one that
-    the split leaves open is not for here, nor are the lines before the first record.
+    ``entries`` says of each split whether it is entered inside quotes and how many records
+    begin before it; without, each file is one split. The last record seen is held back until
+    the next begins or its split ends; one that the split leaves open is not for here, nor are
+    the lines before the first record.
     """
     held, inside_now, number, file = None, False, 0, None
 
     def out(first: int, records: pa.Array) -> pa.RecordBatch:
         numbers = pa.array(np.arange(first, first + len(records)), pa.int64())
-        files = pa.array([file] * len(records), pa.string())
-        return pa.RecordBatch.from_arrays([files, numbers, records], ["file", "number", "record"])
+        files = pa.array(np.full(len(records), file), pa.int64())
+        texts = pc.utf8_rtrim(records, characters="\r\n")
+        return pa.RecordBatch.from_arrays([files, numbers, texts], ["file", "number", "record"])
+
+    def rest() -> Iterator[pa.RecordBatch]:
+        if inside_now and entries is None:
+            raise ValueError("a quote is never closed")
+        if held is not None and not inside_now:
+            yield out(number, pa.array([held], pa.string()))
 
     for begins, batch in _runs(batches):
         if begins:
-            if held is not None and not inside_now:
-                yield out(number, pa.array([held], pa.string()))
+            yield from rest()
             held, file = None, batch.column("file")[0].as_py()
-            inside_now = batch.column("enters_inside")[0].as_py()
-            number = batch.column("records_before")[0].as_py()
+            split = batch.column("split")[0].as_py()
+            if entries is None and split:
+                raise ValueError("a file that was taken for whole is cut")
+            inside_now, number = entries[file, split] if entries is not None else (False, 0)
         inside, inside_now = _inside(batch, inside_now)
         starts = ~inside & ~_bools(batch, "blank")
         of_record = np.flatnonzero(starts | inside)
-        value = batch.column("value").take(pa.array(of_record))
+        value = batch.column("value")
+        if len(of_record) < len(value):
+            value = value.take(pa.array(of_record))
         begin = np.flatnonzero(starts[of_record])
         if held is not None:
             value = pa.concat_arrays([pa.array([held], pa.string()), value])
@@ -301,10 +330,46 @@ def _records(batches: Iterator[pa.RecordBatch], joint: str) -> Iterator[pa.Recor
             number += 1 if begin.size else 0
         if not begin.size:
             continue
-        bounds = pa.array(np.append(begin, len(value)), pa.int32())
-        records = pc.binary_join(pa.ListArray.from_arrays(bounds, value), joint)
-        yield out(number, records[:-1])
-        number += len(records) - 1
-        held = records[-1].as_py()
-    if held is not None and not inside_now:
-        yield out(number, pa.array([held], pa.string()))
+        if len(begin) < len(value):
+            bounds = pa.array(np.append(begin, len(value)), pa.int32())
+            value = pc.binary_join(pa.ListArray.from_arrays(bounds, value), "")
+        yield out(number, value[:-1])
+        number += len(value) - 1
+        held = value[-1].as_py()
+    yield from rest()
+
+
+def _heads(batches: Iterator[pa.RecordBatch], split_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The first record of each file whose beginning is here."""
+    held, inside, done = None, False, True
+    for begins, batch in _runs(batches):
+        if begins:
+            if held is not None and not inside:
+                yield _head(*held)
+            first = batch.column("split")[0].as_py() == 0
+            held, inside, done = None, False, not first
+        if not done:
+            before, inside = _inside(batch, inside)
+            starts = np.flatnonzero(~before & ~_bools(batch, "blank"))
+            wanted = before.copy()
+            if held is None and starts.size:
+                held = (batch.column("file")[0].as_py(), [])
+                wanted[: starts[0]], wanted[starts[0]], starts = False, True, starts[1:]
+            if held is not None:
+                end = int(starts[0]) if starts.size else len(wanted)
+                lines = np.flatnonzero(wanted[:end])
+                held[1].extend(batch.column("value").take(pa.array(lines)).to_pylist())
+                if starts.size:
+                    yield _head(*held)
+                    held, done = None, True
+        if done and batch.column("length")[0].as_py() >= split_bytes:
+            return  # a split of full size has its task to itself
+    if held is not None and not inside:
+        yield _head(*held)
+
+
+def _head(file: int, lines: list[str]) -> pa.RecordBatch:
+    values = [[file], [1], ["".join(lines).rstrip("\r\n")]]
+    types = [pa.int64(), pa.int64(), pa.string()]
+    arrays = [pa.array(v, t) for v, t in zip(values, types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, ["file", "number", "record"])

@@ -17,7 +17,7 @@ from xml.etree import ElementTree
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dustline.functions import names
@@ -83,14 +83,69 @@ def first_sheet(
 def all_sheets(
     spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS
 ) -> dict[str, DataFrame]:
-    """Every sheet of a workbook by name, in order; same-named sheets are stacked."""
-    rows = _readable(staged(sheet_rows(scan_workbooks(spark, path), False), "all-sheets"))
-    sheets = rows.groupBy("sheet").agg(F.min("sheet_no").alias("at")).orderBy("at", "sheet")
-    tables = {}
-    for sheet in [row["sheet"] for row in sheets.collect()]:
-        of_sheet = rows.where(F.col("sheet") == sheet)
-        tables[sheet] = _as_table(of_sheet, _one_header(of_sheet), null_tokens)
-    return tables
+    """Every sheet of a workbook by name, in order; same-named sheets are stacked.
+
+    One job reads the workbooks and one finds all headers, however many sheets there are.
+    """
+    rows = sheets_of(spark, path)
+    return {
+        sheet: _as_table(rows.where(F.col("sheet") == sheet), header, null_tokens)
+        for sheet, header in sheet_headers(rows).items()
+    }
+
+
+def combined_sheets(
+    spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS
+) -> DataFrame:
+    """All sheets without empty rows and columns, one under the other by column name.
+
+    The columns that hold a value are found for all sheets in one job, and one scan gives the
+    result: a map says for each column where it stands in a sheet.
+    """
+    rows = sheets_of(spark, path)
+    headers = sheet_headers(rows)
+    data = rows.where(F.col("row") > 0).withColumn(
+        "cells", F.transform("cells", lambda cell: null_if_token(cell, null_tokens))
+    )
+    filled = data.select("sheet", F.posexplode("cells").alias("place", "cell"))
+    filled = filled.where(F.col("cell").isNotNull()).select("sheet", "place").distinct()
+    # As many rows as the sheets have columns.
+    used = {(row["sheet"], row["place"]) for row in filled.collect()}
+    columns: dict[str, tuple[str, dict[str, int]]] = {}
+    for sheet, header in headers.items():
+        for place, name in enumerate(header):
+            if (sheet, place) in used:
+                _, places = columns.setdefault(name.lower(), (name, {}))
+                if sheet in places:
+                    raise ValueError(f"columns collide in sheet {sheet}: {name}")
+                places[sheet] = place
+    data = data.where(F.exists("cells", lambda cell: cell.isNotNull()))
+
+    def cell_of(places: dict[str, int]) -> Column:
+        entries = [F.lit(x) for sheet, place in places.items() for x in (sheet, place)]
+        return F.get("cells", F.create_map(*entries)[F.col("sheet")])
+
+    return data.select(*[cell_of(places).alias(name) for name, places in columns.values()])
+
+
+def sheets_of(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all sheets, written so that a sheet is read without the others."""
+    return _readable(
+        staged(sheet_rows(scan_workbooks(spark, path), False), "all-sheets", ["sheet"])
+    )
+
+
+def sheet_headers(rows: DataFrame) -> dict[str, list[str]]:
+    """The header of every sheet, in order of the sheets."""
+    heads = rows.where(F.col("row") == 0).groupBy("sheet")
+    heads = heads.agg(
+        F.min("sheet_no").alias("at"), F.min("cells").alias("cells"), F.max("cells").alias("last")
+    )
+    found = sorted(heads.collect(), key=lambda row: (row["at"], row["sheet"]))
+    for row in found:
+        if row["cells"] != row["last"]:
+            raise ValueError(f"sheets differ in their header: {row['sheet']}")
+    return {row["sheet"]: row["cells"] for row in found}
 
 
 def _readable(rows: DataFrame) -> DataFrame:

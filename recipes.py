@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import io
 import sys
+import tempfile
 import zipfile
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
@@ -62,6 +63,30 @@ QUERY_LOG_SQL = """
 AUDITED_SQL = "SELECT o_orderdate AS last_accessed_timestamp FROM orders"
 
 
+# The usage report as a join: a pair once per history row with the same names. {days} counts
+# the days from last_usage to the moment asked for.
+UNUSED_SQL = """
+    SELECT used.base_object_name AS base_object_name, used.user_name AS user_name,
+           used.last_usage AS last_usage, used.usage_count AS usage_count
+    FROM (
+        SELECT base_object_name, user_name, max(query_start_time) AS last_usage,
+               count(*) AS usage_count
+        FROM {history}
+        WHERE user_name IS NOT NULL AND object_modified_by_ddl IS NOT NULL
+        GROUP BY base_object_name, user_name) AS used
+    LEFT JOIN {history} AS rows_of_pair USING (base_object_name, user_name)
+    WHERE {days} > 90
+"""
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """A local session that names no shared folder, as in tests, gets one of its own."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dustline-"))
+    return spark
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -90,6 +115,29 @@ def csv_folder(spark: SparkSession, exports: Mapping[str, DataFrame]) -> str:
     return folder
 
 
+FILE_ROWS = 4_000
+
+
+def csv_lines(lines: DataFrame, header: str, path: str) -> None:
+    """A CSV as a folder of part files from ``lines`` (key, line), each line with its end.
+
+    Of every file the header is the first line; ``header`` has its end, too. Files hold ranges
+    of the key in folders of their own, so all parts have the same name.
+    """
+    ranges = lines.withColumn("part", F.floor(F.col("key") / FILE_ROWS))
+    heads = ranges.select("part").distinct().select(
+        F.lit(-1).cast("long").alias("key"), F.lit(header).alias("line"), "part"
+    )
+    (
+        ranges.unionByName(heads)
+        .repartition("part")
+        .sortWithinPartitions("part", "key")
+        .select(F.expr("left(line, length(line) - 1)").alias("value"), "part")
+        .write.partitionBy("part")
+        .text(path)
+    )
+
+
 BOOK_ROWS = 5_000
 
 

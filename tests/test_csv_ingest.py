@@ -3,6 +3,7 @@
 import csv
 import io
 import random
+import time
 
 import pandas as pd
 import pytest
@@ -19,7 +20,9 @@ from dustline import (
 from dustline.operators import text_tables
 from dustline.operators.text_tables import RAW, replace_table
 from dustline.plans import ingest
-from dustline.sources.csv_files import csv_source, list_csv, read_head
+from dustline.sources import csv_split
+from dustline.sources.csv_files import csv_source, entry_of, list_csv, read_head, read_records
+from dustline.sources.shared import staged
 
 SPLITTING = {"spark.sql.files.maxPartitionBytes": "64b", "spark.sql.files.openCostInBytes": "1b"}
 
@@ -74,6 +77,11 @@ TEXTS = {
     "header_only": "k,v\n",
     "unicode": 'k,v\nñ,"日本\n語"\n2,é\n',
     "empty_rows": "k,v\n,\n1,\n,\n",
+    "verdict_mixed": "id,name\r\n1,x\n2,y\r\n3,z\n",
+    "verdict_late_crlf": "id,name\n1,x\r\n2,y\n3,z\r\n",
+    "verdict_one_column": "name\r\nx\ny\r\nz\n",
+    "mixed_ends": 'k,v\r1,"a\r\nb"\n2,"c\rd"\r\n3,e\r4,"\n"\r\r\n5,f\n\r6,g',
+    "quote_after_cr": 'k,v\n"1",a\r"2","b\r"\r"3",c\n',
     "backslash": 'k,v\n1,a\\\n2,"b\\"\n3,"c\\\nd"\n4,\\"e\n',
 }
 
@@ -107,6 +115,70 @@ def test_random_files_in_splits(spark, tmp_path, tiny_splits, seed):
     assert by_spark(spark, path) == expected
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_random_line_ends(spark, tmp_path, tiny_splits, seed):
+    """Whole and in splits, records and cells are those of pandas, whatever ends a line."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200b")
+    rng = random.Random(seed)
+    pieces = ["a", " ", ",", "word", "\n", "\r", "\r\n", '""', "é"]
+    lines = []
+    for i in range(40):
+        cells = [str(i)]
+        for _ in range(2):
+            cell = "".join(rng.choices(pieces, k=rng.randrange(5)))
+            odd = any(c in cell for c in ',\n\r"')
+            cells.append(f'"{cell}"' if odd or rng.random() < 0.2 else cell)
+        lines.append(",".join(cells[: rng.choice([3, 3, 3, 2])]))
+        lines += ["   "] * (rng.random() < 0.1)
+    text = "k,v,w" + "".join(rng.choice(["\n", "\r", "\r\n"]) + line for line in lines)
+    path = write(tmp_path, "ends.csv", text)
+    expected = by_pandas(text)
+    assert by_spark(spark, path, split_bytes=0) == expected
+    assert by_spark(spark, path, split_bytes=1 << 30) == expected
+
+
+def test_same_named_parts(spark, tmp_path, tiny_splits):
+    folder = tmp_path / "part.csv"
+    for part, rows in [("a=1", "1,x\n2,y\n3,z\n"), ("a=2", '4,"p\nq"\n5,r\n6,s\n')]:
+        (folder / part).mkdir(parents=True)
+        write(folder / part, "part-0.csv", "id,t\n" + rows)
+    expected = [("1", "x"), ("2", "y"), ("3", "z"), ("4", "p\nq"), ("5", "r"), ("6", "s")]
+    for split_bytes in (0, None, 1 << 30):
+        assert by_spark(spark, str(folder), split_bytes) == expected
+
+
+def test_edges_hold_numbers_only(spark, tmp_path, monkeypatch):
+    """One field of many lines at the top does not put a split's text into its row."""
+    monkeypatch.setattr(csv_split, "SMALL_SPLIT", 20_000)
+    rows = "".join(f"{i},{'x' * 50}\n" for i in range(2000))
+    path = write(tmp_path, "top.csv", 'k,v\n0,"two\nlines"\n' + rows)
+    written = []
+    monkeypatch.setattr(csv_split, "staged", lambda df, label: written.append(staged(df, label)) or written[-1])
+    assert len(by_spark(spark, path, split_bytes=0)) == 2001
+    for df in written:
+        assert not {"string", "binary"} & {kind for _, kind in df.dtypes}
+        assert 4 < df.count() < 10
+
+
+@pytest.mark.parametrize("split_bytes", [0, None])
+def test_a_reload_is_seen(spark, tmp_path, split_bytes):
+    database = "reloads" if split_bytes is None else "reloads_in_splits"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    write(tmp_path, "again.csv", "k,v\n1,a\n")
+    ingest_folder(spark, str(tmp_path), database, split_bytes=split_bytes)
+    table = f"{database}.again"
+    assert [tuple(r) for r in spark.table(table).collect()] == [("1", "a")]
+    write(tmp_path, "again.csv", 'k,v\n2,"b\nc"\n3,d\n')
+    ingest_folder(spark, str(tmp_path), database, split_bytes=split_bytes)
+    assert sorted(map(tuple, spark.table(table).collect())) == [("2", "b\nc"), ("3", "d")]
+    assert len(text_tables.remove_superseded(spark, database, "again")) == 1
+    assert spark.table(table).count() == 2
+    assert text_tables.remove_superseded(spark, database, "again") == []
+    write(tmp_path, "again.csv", "other\n4\n")
+    ingest_folder(spark, str(tmp_path), database, split_bytes=split_bytes)
+    assert [tuple(r) for r in spark.table(table).collect()] == [("4",)]
+
+
 @pytest.mark.parametrize("split_bytes", [None, 1 << 30, 0])
 @pytest.mark.parametrize("opened", ["1b", "4m"])
 def test_any_part_of_the_columns(spark, tmp_path, tiny_splits, opened, split_bytes):
@@ -145,7 +217,7 @@ def test_unclosed_quote_is_an_error(spark, tmp_path, tiny_splits):
 
 def test_header_cells(spark, tmp_path):
     def header(text):
-        return read_head(spark, csv_source(spark, write(tmp_path, "h.csv", text))).cells
+        return read_head(spark, csv_source(spark, write(tmp_path, "h.csv", text)))
 
     assert header('a,,"b\nc",a\n1,2,3,4\n') == ("a", "", "b\nc", "a")
     assert header("one\n1\n") == ("one",)
@@ -217,10 +289,10 @@ def test_small_files_alike_are_loaded_together(spark, database, tmp_path, monkey
 
     loads = []
     monkeypatch.setattr(
-        ingest, "replace_table", lambda df, d, t, at: loads.append(t) or replace_table(df, d, t, at)
+        ingest, "replace_table", lambda s, *of: loads.append(of[2]) or replace_table(s, *of)
     )
     status = {r.table: r for r in ingest_folder(spark, str(folder), database).collect()}
-    assert sorted(loads) == ["lf3", "quoted0", "quoted1"]
+    assert loads == ["lf3"]  # none of its records is there to be seen
     rows = {f"like_{i}": 2 for i in range(6)} | {f"crlf{i}": 1 for i in range(3)}
     rows |= {"lf0": 2, "lf1": 2, "lf2": None, "lf3": 0, "lf4": 10}
     rows |= {"clash0": None, "clash1": None, "quoted0": 1, "quoted1": 1}
@@ -287,6 +359,48 @@ def test_listing_knows_files_and_part_folders(spark, tmp_path):
     assert found["spark.csv"] >= 2
 
 
+@pytest.mark.parametrize("form", ["csv", "./csv", "/csv", "csv/", "csv//", "x/../csv"])
+def test_a_folder_by_any_name(spark, tmp_path, monkeypatch, form):
+    folder = tmp_path / "mycsv" / "csv"
+    folder.mkdir(parents=True)
+    for name in ("a.csv", "b.csv"):
+        write(folder, name, "k\n1\n")
+    export_csv(spark.range(2), str(folder / "csv.csv"))
+    found = list_csv(spark, f"{tmp_path}/mycsv/{form}")
+    assert [s.name for s in found] == ["a.csv", "b.csv", "csv.csv"]
+    assert {len(s.paths) for s in found[:2]} == {1}
+
+
+def test_entries_of_qualified_folders():
+    assert entry_of("s3a://csv/csv/a.csv", "s3a://csv/csv") == "a.csv"
+    assert entry_of("s3a://csv/csv/b.csv/part-0", "s3a://csv/csv/") == "b.csv"
+    assert entry_of("s3a://bucket/a.csv", "s3a://bucket/") == "a.csv"
+    assert entry_of("s3a://bucket/a.csv", "s3a://bucket") == "a.csv"
+    with pytest.raises(ValueError, match="not below"):
+        entry_of("s3a://bucket/a.csv", "s3a://buck")
+
+
+def test_an_odd_entry_leaves_the_others(spark, database, tmp_path):
+    write(tmp_path, "fine.csv", "k\n1\n")
+    write(tmp_path, "open.csv", 'k\n"1\n')
+    (tmp_path / "parted.csv" / "a=1").mkdir(parents=True)
+    write(tmp_path / "parted.csv" / "a=1", "part-0.csv", "k\n2\n")
+    status = {r.table: r for r in ingest_folder(spark, str(tmp_path), database).collect()}
+    assert {t: r.rows for t, r in status.items()} == {"fine": 1, "open": None, "parted": 1}
+    assert status["open"].error
+
+
+def test_wide_files(spark, tmp_path):
+    width = 400
+    names, row = [f"column {i}" for i in range(width)], ["NA", *map(str, range(1, width))]
+    path = write(tmp_path, "wide.csv", ",".join(names) + "\n" + ",".join(row) + "\n")
+    records = read_records(spark, csv_source(spark, path), width)
+    start = time.perf_counter()
+    found = text_tables.text_columns(records, [f"c_{i}" for i in range(width)])
+    assert time.perf_counter() - start < 5
+    assert list(found.first())[:-1] == ["", *row[1:]]
+
+
 def test_own_null_tokens(spark, tmp_path):
     path = write(tmp_path, "t.csv", "k,v\nNA,-\n")
     assert [tuple(r)[:2] for r in read_csv_text(spark, path, ["-"]).collect()] == [("NA", "")]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,6 +16,7 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: The number of a row, see numbered().
 ROW = "__row"
+ROW_TYPE = "struct<file:bigint,row:bigint>"
 #: Rows of a few numbers that make a file worth its while.
 ROWS_OF_FILE = 100_000
 
@@ -34,13 +36,28 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
     Rows may be equal in all columns, so no key of theirs tells them apart. The numbers are
     written with the rows: a task that runs again reads the same ones.
     """
-    return staged(df.drop(ROW).withColumn(ROW, F.monotonically_increasing_id()), label)
+    return staged(df.drop(ROW).withColumn(ROW, row_of(F.lit(0), F.monotonically_increasing_id())), label)
+
+
+def row_of(file: Column, row: Column) -> Column:
+    """A row's number: that of its file, and its place there."""
+    return F.struct(file.cast("long").alias("file"), row.cast("long").alias("row"))
 
 
 def packed(docs: DataFrame, label: str) -> DataFrame:
-    """``docs`` written, each row whole in ``__doc`` beside its number: no column's name clashes
-    with those that an operator adds."""
+    """Each row of ``docs`` whole in ``__doc`` beside its number: no column's name clashes with
+    those that an operator adds.
+
+    Rows of a written table have a place in a file, which is their number; they are not written
+    again. Rows of any other frame are, as :func:`numbered` does.
+    """
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("__doc")
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        place = row_of(F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index"))
+        try:
+            return docs.select(whole, place.alias(ROW))
+        except AnalysisException:  # a format without places of rows, or a column of that name
+            pass
     return numbered(docs.select(whole), label)
 
 

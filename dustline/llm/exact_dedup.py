@@ -141,22 +141,25 @@ def copies(docs: DataFrame, slim: DataFrame) -> DataFrame:
         .where(F.col("group_size") > 1)
         .select("fingerprint", F.sha2("__bytes", 256).alias("text_sha256"), "group_size")
     )
-    # The complement of a number turns the order round without an overflow.
+    # The least: most code points, then the smallest doc_id, null last, then the first row.
     rank = F.struct(
-        "n_points", F.bitwise_not("doc_id").alias("doc"), F.bitwise_not(ROW).alias("row")
+        (-F.col("n_points")).alias("points"),
+        F.col("doc_id").isNull().alias("none"),
+        F.col("doc_id").alias("doc"),
+        F.col(ROW).alias("row"),
     )
     keepers = (
         slim.join(suspect, "fingerprint", "left_semi")
         .groupBy("fingerprint", "text_sha256")
-        .agg(F.max(rank).alias("__keep"))
+        .agg(F.min(rank).alias("__keep"))
     )
     groups = staged(
         by_bytes.join(keepers, ["fingerprint", "text_sha256"]).select(
             "fingerprint",
             "text_sha256",
             "group_size",
-            F.bitwise_not("__keep.doc").alias("__keep_id"),
-            F.bitwise_not("__keep.row").alias("__keep_row"),
+            F.col("__keep.doc").alias("__keep_id"),
+            F.col("__keep.row").alias("__keep_row"),
         ),
         "dedup-groups",
     )

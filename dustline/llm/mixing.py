@@ -17,7 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dustline.llm.common import ROW, WORD, in_ranges, packed, range_starts, running_total
+from dustline.llm.common import (
+    ROW,
+    WORD,
+    in_ranges,
+    packed,
+    range_starts,
+    row_of,
+    running_total,
+)
 from dustline.sources.shared import staged
 
 WEIGHTS = (5, 2, 1)
@@ -124,7 +132,10 @@ def mix_plan(
     else:
         start = starts.where(F.col("__range") == last).first()["__start"]
         stop = _first_beyond(ranged.where(F.col("__range") == last), names, budget - start)
-        beyond = F.struct(*[F.lit(stop[name]).alias(name) for name in names])
+        row = row_of(F.lit(stop[ROW]["file"]), F.lit(stop[ROW]["row"]))
+        beyond = F.struct(
+            *[row.alias(ROW) if name == ROW else F.lit(stop[name]).alias(name) for name in names]
+        )
         # Spark compares structs field by field, as the sort does.
         copies = sum(
             (

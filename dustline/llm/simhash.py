@@ -33,7 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dustline.llm.common import ROW, packed, staged_small
+from dustline.llm.common import ROW, ROW_TYPE, packed, row_of, staged_small
 from dustline.sources.shared import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -88,7 +88,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, ``__row`` and fingerprint of each row of ``docs``, which is numbered."""
     return docs.select(
         F.col("doc_id").cast("long"), ROW, F.col("text").cast("binary").alias("__text")
-    ).mapInArrow(fingerprint_batches(size), f"doc_id long, {ROW} long, fingerprint long")
+    ).mapInArrow(fingerprint_batches(size), f"doc_id long, {ROW} {ROW_TYPE}, fingerprint long")
 
 
 class BKTree:
@@ -297,7 +297,8 @@ def groups(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFr
 
 def find_near_copies(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (hexadecimal) and component_id: a row for each row of ``docs``."""
-    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias(ROW))
+    row = row_of(F.lit(0), F.monotonically_increasing_id()).alias(ROW)
+    rows = docs.select("doc_id", "text", row)
     found = groups(rows, size, radius)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")

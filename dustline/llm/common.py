@@ -61,22 +61,28 @@ def packed(docs: DataFrame, label: str) -> DataFrame:
     return numbered(docs.select(whole), label)
 
 
+def files_for(rows: int) -> int:
+    """Files that so many narrow rows need."""
+    return max(1, -(-rows // ROWS_OF_FILE))
+
+
 def staged_small(df: DataFrame, label: str, rows: int) -> DataFrame:
     """``df`` written in no more files than ``rows`` narrow rows need, the most it can have.
 
     Tables that a job writes in each of many steps may be tiny; what they cost is files.
     """
-    return staged(df.coalesce(max(1, -(-rows // ROWS_OF_FILE))), label)
+    return staged(df.coalesce(files_for(rows)), label)
 
 
-def in_ranges(df: DataFrame, order: list[Column], label: str) -> DataFrame:
+def in_ranges(df: DataFrame, order: list[Column], label: str, rows: int) -> DataFrame:
     """``df`` written in ranges of ``order``, with the number of its range in ``__range``.
 
     Ranges hold about equal numbers of rows if ``order`` tells all rows apart. They are
     written, as their bounds come from a sample that a second run might draw otherwise.
+    ``rows`` is the most that ``df`` can have.
     """
     ranged = df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
-    return staged(ranged, label)
+    return staged_small(ranged, label, rows)
 
 
 def range_starts(ranged: DataFrame, value: str) -> DataFrame:
@@ -88,15 +94,16 @@ def range_starts(ranged: DataFrame, value: str) -> DataFrame:
 
 
 def running_total(
-    df: DataFrame, order: list[Column], value: str, name: str, label: str
+    df: DataFrame, order: list[Column], value: str, name: str, label: str, rows: int
 ) -> DataFrame:
     """``df`` with the sum of ``value`` over all rows up to this one, in one order of all rows.
 
     No window spans all rows: the frame is cut into ranges, each range is summed, and a row
     gets the sum of the ranges before its own beside the running sum in its own. The only
     rows that meet in one task are one for each range, as many as there are partitions.
+    ``rows`` is the most that ``df`` can have.
     """
-    ranged = in_ranges(df, order, label)
+    ranged = in_ranges(df, order, label, rows)
     starts = F.broadcast(range_starts(ranged, value).select("__range", "__start"))
     inside = Window.partitionBy("__range").orderBy(*order)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)

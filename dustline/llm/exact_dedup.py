@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dustline.llm.common import ROW, SPACE, numbered, packed
+from dustline.llm.common import ROW, SPACE, numbered, packed, staged_small
 from dustline.sources.shared import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -116,9 +116,9 @@ def merge_runs(bits: int):
     return merge
 
 
-def suspects(fingerprints: DataFrame) -> DataFrame:
+def suspects(fingerprints: DataFrame, rows: int) -> DataFrame:
     """Fingerprints that occur more than once, and how often; ``fingerprints`` has one column."""
-    bits = max(0, (fingerprints.count() // RUN).bit_length())
+    bits = max(0, (rows // RUN).bit_length())
     filters = fingerprints.mapInArrow(build_filters(bits), FILTER)
     return filters.groupBy("quotient").applyInPandas(
         merge_runs(bits), "fingerprint long, rows long"
@@ -131,7 +131,9 @@ def copies(docs: DataFrame, slim: DataFrame) -> DataFrame:
     Copies are grouped where they lie before a row for each group and task is shuffled, so
     a text that makes up much of the corpus is no burden on one task.
     """
-    suspect = staged(suspects(slim.select("fingerprint")).select("fingerprint"), "dedup-suspects")
+    rows = slim.count()
+    suspect = suspects(slim.select("fingerprint"), rows).select("fingerprint")
+    suspect = staged_small(suspect, "dedup-suspects", rows)
     text = normalised(F.col("text"))
     by_bytes = (
         docs.select(F.xxhash64(text).alias("fingerprint"), text.alias("__bytes"))
@@ -185,5 +187,6 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     rows = packed(docs, "dedup-documents")
     texts = rows.select(ROW, "__doc.doc_id", "__doc.text")
     slim = staged(digests(texts), "dedup-digests")
-    gone = staged(copies(texts, slim).where(~F.col("kept")).select(ROW), "dedup-gone")
+    gone = copies(texts, slim).where(~F.col("kept")).select(ROW)
+    gone = staged_small(gone, "dedup-gone", slim.count())
     return rows.join(gone, ROW, "left_anti").select("__doc.*")

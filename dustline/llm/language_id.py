@@ -45,7 +45,7 @@ GRAMS = 60_000
 #: Added to every count.
 SMOOTHING = 0.5
 #: Unknown words that a worker remembers the scores of.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 ASCII_WORD = re.compile("[a-z]+")
 LETTERS = regex.compile(r"\p{L}+")

@@ -25,6 +25,7 @@ from dustline.llm.common import (
     range_starts,
     row_of,
     running_total,
+    staged_small,
 )
 from dustline.sources.shared import staged
 
@@ -57,12 +58,12 @@ def source_targets(
     order of (limit / weight), those that reach their limit come first, and the common level
     of the others, in words for each unit of weight, is the largest over all such cuts.
     """
-    sources = staged(
-        sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.lit(1).alias("__one")),
-        "mix-sources",
-    )
-    ranked = running_total(sources, [_by_source()], "__one", "__rank", "mix-rank")
-    ranked = running_total(ranked, [_by_source()], "source_size", "__end", "mix-start")
+    sources = sized.groupBy("source")
+    sources = sources.agg(F.sum("size").alias("source_size"), F.lit(1).alias("__one"))
+    sources = staged_small(sources, "mix-sources", sized.count())
+    most = sources.count()
+    ranked = running_total(sources, [_by_source()], "__one", "__rank", "mix-rank", most)
+    ranked = running_total(ranked, [_by_source()], "source_size", "__end", "mix-start", most)
     turn = F.array(*[F.lit(float(w)) for w in weights])
     ranked = ranked.select(
         "source",
@@ -72,10 +73,9 @@ def source_targets(
         (F.col("source_size") * max_repeats).alias("__limit"),
     )
     by_level = [F.col("__limit") / F.col("weight"), _by_source()]
-    filled = running_total(ranked, by_level, "__limit", "__limits", "mix-limits")
-    filled = staged(
-        running_total(filled, by_level, "weight", "__weights", "mix-weights"), "mix-levels"
-    )
+    filled = running_total(ranked, by_level, "__limit", "__limits", "mix-limits", most)
+    filled = running_total(filled, by_level, "weight", "__weights", "mix-weights", most)
+    filled = staged_small(filled, "mix-levels", most)
     totals = filled.agg(F.sum("source_size").alias("all"), F.sum("weight").alias("w")).first()
     left = F.lit(totals["all"]).cast("double") - (F.col("__limits") - F.col("__limit"))
     sharing = F.lit(totals["w"]).cast("double") - (F.col("__weights") - F.col("weight"))
@@ -97,11 +97,12 @@ def mix_plan(
     for it is read more than once. ``copies`` says how often the mix holds the document,
     ``taken`` how many words that makes.
     """
-    sources = staged(source_targets(sized, weights, max_repeats), "mix-targets")
+    rows = sized.count()
+    sources = staged_small(source_targets(sized, weights, max_repeats), "mix-targets", rows)
     placed = sized.withColumn("__key", shuffled(F.col("doc_id")))
     order = [_by_source(), F.col("__key"), F.col(ROW)]
-    placed = running_total(placed, order, "size", "__total", "mix-queues").alias("d")
-    queued = staged(
+    placed = running_total(placed, order, "size", "__total", "mix-queues", rows).alias("d")
+    queued = staged_small(
         placed.join(sources.alias("s"), F.expr("d.source <=> s.source")).select(
             "d.*",
             "s.source_size",
@@ -110,6 +111,7 @@ def mix_plan(
             (F.col("__total") - F.col("source_start")).alias("__served"),
         ),
         "mix-queued",
+        rows,
     )
 
     def place(repeat: Column) -> list[Column]:
@@ -122,9 +124,10 @@ def mix_plan(
         "*", F.explode(F.sequence(F.lit(0), repeats)).alias("__repeat")
     ).select("size", *place(F.col("__repeat")))
     names = ["__finish", "__key", ROW, "__repeat"]
-    ranged = in_ranges(entries, [F.col(name) for name in names], "mix-entries")
+    order = [F.col(name) for name in names]
+    ranged = in_ranges(entries, order, "mix-entries", rows * max_repeats)
     budget = sized.agg(F.sum("size")).first()[0] or 0
-    starts = staged(range_starts(ranged, "size"), "mix-starts")
+    starts = staged_small(range_starts(ranged, "size"), "mix-starts", 1)
     # The range in which the budget is used up is the only one to be looked at row by row.
     last = starts.where(F.col("__start") + F.col("__sum") > budget).agg(F.min("__range")).first()[0]
     if last is None:

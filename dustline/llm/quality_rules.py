@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dustline.llm.common import SPACE, WORD, bound
+from dustline.llm.common import SPACE, WORD, bound, staged_small
 from dustline.sources.shared import staged
 
 MIN_WORDS = 50
@@ -175,9 +175,11 @@ def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
 
 def thresholds(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The thresholds to use for each lang and source: a struct for each measure."""
-    sketch = staged(sketches(rows), "quality-sketches")
+    sketch = staged_small(sketches(rows), "quality-sketches", len(TOLERANCE) * rows.count())
+    groups = sketch.count()
     fine = fences(sketch, ["lang", "source"]).alias("f")
-    by_lang = staged(fences(merged(sketch, ["lang"]), ["lang"]), "quality-languages").alias("l")
+    by_lang = fences(merged(sketch, ["lang"]), ["lang"])
+    by_lang = staged_small(by_lang, "quality-languages", groups).alias("l")
     total = fences(merged(sketch, []), []).first()
     joined = fine.join(by_lang, F.expr("f.lang <=> l.lang"))
 
@@ -194,7 +196,8 @@ def thresholds(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         )
 
     limits = F.struct(*[chosen(name) for name in TOLERANCE]).alias("__t")
-    return staged(joined.select("f.lang", "f.source", limits), "quality-thresholds")
+    chosen_limits = joined.select("f.lang", "f.source", limits)
+    return staged_small(chosen_limits, "quality-thresholds", groups)
 
 
 def judged(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dustline.llm.common import bound
+from dustline.llm.common import bound, files_for, staged_small
 from dustline.sources.shared import new_folder, staged
 
 PAIRS = "blob string, rule string"
@@ -84,10 +84,10 @@ class Ledger:
         """Each finding once, also if a run wrote findings and was lost before their pairs."""
         return self._read("findings", FINDINGS).distinct()
 
-    def add(self, pairs: DataFrame, findings: DataFrame) -> None:
+    def add(self, pairs: DataFrame, findings: DataFrame, files: int) -> None:
         """Findings first: a pair that is in the ledger has all its findings there."""
-        findings.write.mode("append").parquet(f"{self.path}/findings")
-        pairs.write.mode("append").parquet(f"{self.path}/pairs")
+        findings.coalesce(files).write.mode("append").parquet(f"{self.path}/findings")
+        pairs.coalesce(files).write.mode("append").parquet(f"{self.path}/pairs")
 
 
 def _matches(text: Column, rule: Rule) -> Column:
@@ -154,7 +154,8 @@ def scan(docs: DataFrame, ledger: Ledger, rules: list[Rule] = RULES) -> None:
     findings = placed.where(F.col("m.tested") >= least[F.col("rule")]).select(
         "blob", "rule", (F.col("end") - F.col("m.own")).alias("start"), "end"
     )
-    ledger.add(scanned.select("blob", F.explode("due").alias("rule")), findings)
+    pairs = scanned.select("blob", F.explode("due").alias("rule"))
+    ledger.add(pairs, findings, files_for(scanned.count() * len(rules)))
 
 
 def find_secrets(
@@ -174,9 +175,8 @@ def find_secrets(
         "start", place[F.col("rule")].alias("place"), kinds[F.col("rule")].alias("kind"), "end"
     )
     by_blob = ledger.findings().where(F.col("rule").isin(names)).groupBy("blob")
-    by_blob = staged(
-        by_blob.agg(F.sort_array(F.collect_list(finding)).alias("findings")), "secret-findings"
-    )
+    by_blob = by_blob.agg(F.sort_array(F.collect_list(finding)).alias("findings"))
+    by_blob = staged_small(by_blob, "secret-findings", ledger.pairs().count())
     none = F.array().cast(by_blob.schema["findings"].dataType)
     held = docs.select("doc_id", blob_of(F.col("text")).alias("blob"))
     return held.join(by_blob, "blob", "left").select(

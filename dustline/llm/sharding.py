@@ -56,7 +56,7 @@ def slots(placed: DataFrame) -> DataFrame:
     """
     order = [F.col(name) for name in ("shard", "doc_id", ROW)]
     one = placed.withColumn("__one", F.lit(1).cast("long"))
-    counted = running_total(one, order, "__one", "__count", "shard-slots")
+    counted = running_total(one, order, "__one", "__count", "shard-slots", placed.count())
     # As many rows as shards.
     shards = placed.groupBy("shard").agg(F.count("*").alias("__rows")).collect()
     before, total = [], 0

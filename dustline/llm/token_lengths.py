@@ -41,8 +41,9 @@ def suffix_sums(lengths: DataFrame) -> DataFrame:
     """
     counted = lengths.withColumn("__tokens", F.col("length") * F.col("n_docs"))
     order = [F.col("length").desc()]
-    sums = running_total(counted, order, "n_docs", "docs_from", "lengths-docs")
-    sums = running_total(sums, order, "__tokens", "tokens_from", "lengths-tokens")
+    most = lengths.count()
+    sums = running_total(counted, order, "n_docs", "docs_from", "lengths-docs", most)
+    sums = running_total(sums, order, "__tokens", "tokens_from", "lengths-tokens", most)
     total = counted.agg(F.sum("n_docs").alias("docs"), F.sum("__tokens").alias("tokens")).first()
     docs, tokens = total["docs"] or 0, total["tokens"] or 0
     within = F.lit(docs) - F.col("docs_from") + F.col("n_docs")

@@ -40,10 +40,10 @@ def wide(found, docs):
 
 def test_running_total_spans_all_ranges(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("v")).repartition(5)
-    found = running_total(df, [F.col("id").desc()], "v", "total", "t").orderBy(F.desc("id"))
+    found = running_total(df, [F.col("id").desc()], "v", "total", "t", 1000).orderBy(F.desc("id"))
     totals = list(itertools.accumulate(i % 7 for i in range(999, -1, -1)))
     assert [r["total"] for r in found.collect()] == totals
-    assert running_total(df.limit(0), [F.col("id")], "v", "total", "t").count() == 0
+    assert running_total(df.limit(0), [F.col("id")], "v", "total", "t", 1000).count() == 0
 
 
 # 1: mixing

@@ -92,3 +92,14 @@ def test_stages(spark):
     assert kept[5].count() == sum(copies.values())
     run = corpus_pipeline.run(spark, folder)
     assert plain(run) == plain(kept[5])
+
+
+@pytest.mark.parametrize("kind", ["clashing", "empty"])
+def test_stages_on_odd_rows(spark, request, kind):
+    docs = request.getfixturevalue(kind)
+    given = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "").persist()
+        assert docs.columns == given
+    coded = corpus_pipeline.STAGES[-1][1](spark, docs, "")
+    assert coded.count() == docs.count() and (kind == "empty") == (docs.count() == 0)

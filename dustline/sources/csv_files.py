@@ -180,15 +180,19 @@ def read_records(
     Fields a short record lacks are null. ``raw-record`` holds the text of a record that has
     more or fewer fields than ``width`` and is null for all others.
 
-    Files are read whole, a task each, up to ``split_bytes`` (by default a split of the
-    session), and beyond that in splits. The records are the same.
+    Files are read whole, a task each, up to ``split_bytes``, and beyond that in splits. By
+    default files are read whole if that keeps all cores busy and none is larger than a split
+    of the session. The records are the same.
     """
     sources = [sources] if isinstance(sources, CsvSource) else sources
     paths = [path for source in sources for path in source.paths]
     total = sum(source.total for source in sources)
     largest = max(source.largest for source in sources)
     cut = whole_bytes(spark)
-    if largest <= (cut if split_bytes is None else split_bytes):
+    if split_bytes is None:
+        small = _bytes(spark, "spark.sql.files.openCostInBytes")
+        split_bytes = max(small, min(cut, total // spark.sparkContext.defaultParallelism))
+    if largest <= split_bytes:
         records = whole_records(spark, paths, largest, total, width)
     else:
         records = split_records(spark, paths, total, width, cut)

@@ -10,7 +10,7 @@ file a first scan composes the maps of each split, for both states it may be ent
 keeps numbers only. Over the splits of a file, one small row each, the true states follow. A
 second scan, which knows them, puts together the records that lie in a split; where a record
 crosses splits, one more scan takes its lines from their edges. No line goes through a join
-that shuffles it.
+that shuffles it. Files without any quote need no first scan.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from dustline.sources.shared import staged
 # Tasks get this code with the job, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SMALL_SPLIT = 32 << 20
+SMALL_SPLIT = 4 << 20
 #: Splits of one load, about; beyond these, splits grow. The driver holds three numbers of each.
 MANY_SPLITS = 50_000
 #: How far into a file its header must end.
@@ -41,6 +41,12 @@ EDGES = (
     "file long, split long, out0 boolean, out1 boolean, starts0 long, starts1 long, "
     "inside_until long, last0 long, last1 long"
 )
+STATES = (
+    "file long, split long, enters_inside boolean, leaves_inside boolean, starts long, "
+    "records_before long, inside_until long, last long"
+)
+#: Stands for the states of splits of files without any quote: all are entered outside.
+UNQUOTED = "unquoted"
 RECORDS = "file long, number long, record string"
 
 
@@ -140,24 +146,28 @@ def split_records(
 ) -> DataFrame:
     """Rows ``(file, number, record)`` of files in splits; the header of a file is its number 1.
 
-    Splits are small while they are not many.
+    Splits are small enough to keep all cores busy, while they are not many.
     """
-    size = min(split_bytes, max(SMALL_SPLIT, total // MANY_SPLITS))
+    cores = spark.sparkContext.defaultParallelism
+    size = min(split_bytes, max(SMALL_SPLIT, total // (8 * cores)))
     fixed = _own_session(spark, max(size, total // MANY_SPLITS))
     lines = scan_lines(fixed, paths, width).select(*LINES)
-    edges = staged(lines.mapInArrow(_edges, EDGES), "csv-edges")
-    splits = staged(_true_states(edges), "csv-splits")
-    unclosed = splits.groupBy("file").agg(F.max_by("leaves_inside", "split").alias("open"))
-    if not unclosed.where("open").isEmpty():
+    if lines.where(F.col("value").contains('"')).isEmpty():
+        return lines.mapInArrow(lambda batches: _records(batches, UNQUOTED), RECORDS)
+    edges = staged(lines.drop("value").mapInArrow(_edges, EDGES), "csv-edges")
+    splits = _true_states(edges).collect()
+    last = {row["file"]: row for row in sorted(splits, key=lambda row: row["split"])}
+    if any(row["leaves_inside"] for row in last.values()):
         raise ValueError("a quote is never closed")
     entries = {
         (row["file"], row["split"]): (row["enters_inside"], row["records_before"])
-        for row in splits.select("file", "split", "enters_inside", "records_before").collect()
+        for row in splits
     }
     within = lines.mapInArrow(lambda batches: _records(batches, entries), RECORDS)
-    if not any(inside for inside, _ in entries.values()):
+    crossed = [row for row in splits if row["enters_inside"] or row["leaves_inside"]]
+    if not crossed:
         return within
-    return within.unionByName(_crossing_records(lines, splits))
+    return within.unionByName(_crossing_records(lines, fixed.createDataFrame(crossed, STATES)))
 
 
 def _true_states(edges: DataFrame) -> DataFrame:
@@ -201,9 +211,7 @@ def _crossing_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
 
     The splits, as many as there are at most, are small enough to broadcast to the lines.
     """
-    held = lines.join(
-        F.broadcast(splits.where("enters_inside OR leaves_inside")), ["file", "split"]
-    )
+    held = lines.join(F.broadcast(splits), ["file", "split"])
     in_head = F.col("enters_inside") & (
         F.col("inside_until").isNull() | (F.col("pos") < F.col("inside_until"))
     )
@@ -285,12 +293,14 @@ def _edge_row(seen: dict) -> pa.RecordBatch:
 
 
 def _records(
-    batches: Iterator[pa.RecordBatch], entries: Mapping[tuple[int, int], tuple[bool, int]] | None
+    batches: Iterator[pa.RecordBatch],
+    entries: Mapping[tuple[int, int], tuple[bool, int]] | str | None,
 ) -> Iterator[pa.RecordBatch]:
     """The records that lie within a split.
 
     ``entries`` says of each split whether it is entered inside quotes and how many records
-    begin before it; without, each file is one split. The last record seen is held back until
+    begin before it; without, each file is one split. Of files without quotes numbers only tell
+    the header, which is in the first split, from other records. The last record seen is held back until
     the next begins or its split ends; one that the split leaves open is not for here, nor are
     the lines before the first record.
     """
@@ -315,7 +325,10 @@ def _records(
             split = batch.column("split")[0].as_py()
             if entries is None and split:
                 raise ValueError("a file that was taken for whole is cut")
-            inside_now, number = entries[file, split] if entries is not None else (False, 0)
+            if entries is None or entries == UNQUOTED:
+                inside_now, number = False, min(split, 1)
+            else:
+                inside_now, number = entries[file, split]
         inside, inside_now = _inside(batch, inside_now)
         starts = ~inside & ~_bools(batch, "blank")
         of_record = np.flatnonzero(starts | inside)

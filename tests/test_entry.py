@@ -64,6 +64,15 @@ def test_entry(spark):
     ]
 
 
+def test_session_is_left_as_it_was(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        registered.queries()["stale_rows"](spark, str(DATA / "sf0.001"))
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_registered_alike():
     assert set(registered.usage_and_ingest_sql()) == set(registered.usage_and_ingest())
     assert set(registered.oracle_sql()) <= set(registered.queries())

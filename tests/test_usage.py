@@ -267,3 +267,21 @@ def test_materialize_partitioned_at_a_path(spark, database, tmp_path):
     assert kept.where("k = 1").count() == 5
     assert (tmp_path / "t" / "k=1").is_dir()
     assert materialize(df.limit(3), "parted", database=database, path=path).count() == 3
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_data_check_keeps_the_logs_time(spark, kind):
+    """Also a time that a zone's clock change leaves out is the one that was logged."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        log = spark.sql(
+            f"SELECT 'from db.s.t' AS query_text, CAST('2024-03-10 02:30:00' AS {kind}) AS end_time"
+        )
+        rows = spark.sql("SELECT DATE '2000-01-01' AS last_accessed_timestamp")
+        found = data_check(log, rows, "db.s.t", "1 day")
+        mentioned = object_mentions(log, "db.s.t")
+        assert found.schema["last_usage"].dataType.simpleString() == kind
+        assert found.first()["last_usage"] == mentioned.first()["last_usage"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -294,3 +294,37 @@ def test_combine(spark):
     assert combine_sheets([nothing]).columns == []
     with pytest.raises(ValueError):
         combine_sheets([])
+
+
+@pytest.mark.parametrize("load", [combine_workbook, all_sheets])
+def test_jobs_do_not_grow_with_sheets(spark, tmp_path, load):
+    jobs = {}
+    for count in (2, 20):
+        book = {f"s{i}": [["k", f"c{i % 3}", "empty"], [i, "x", None]] for i in range(count)}
+        path = save(tmp_path, f"{count}.xlsx", book)
+        group = f"{load.__name__}-{count}"
+        spark.sparkContext.setJobGroup(group, group)
+        if load is combine_workbook:
+            out = str(tmp_path / f"{count}.csv")
+            assert combine_workbook(spark, path, out).columns[:2] == ["k", "c0"]
+        else:
+            assert len(all_sheets(spark, path)) == count
+        jobs[count] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[20] == jobs[2]
+
+
+def test_combined_sheets_are_the_combined_frames(spark, tmp_path):
+    book = {
+        "one": [["a", "b", "c"], [1, "x", None], [None, None, None], [2, None, None]],
+        "two": [["C", "a"], ["y", 3], [None, 4]],
+        "blank": [["a", "z"]],
+    }
+    path = save(tmp_path, "w.xlsx", book)
+    out = str(tmp_path / "w.csv")
+    found = combine_workbook(spark, path, out)
+    frames = combine_sheets(all_sheets(spark, path))
+    assert found.columns == frames.columns == ["a", "b", "C"]
+    assert sorted(map(str, found.collect())) == sorted(map(str, frames.collect()))
+    with pytest.raises(ValueError, match="collide"):
+        combine_workbook(spark, save(tmp_path, "x.xlsx", {"s": [["a", "A"], [1, 2]]}), out)

@@ -333,7 +333,7 @@ def test_quality_rules(odd, min_docs):
 def test_quality_keep(clashing, odd, empty):
     found = quality_rules.keep(clashing)
     assert wide(found, clashing)
-    assert found.count() == quality_rules.judge(odd).where("kept").count()
+    assert found.count() == quality_rules.judge(odd).where("kept").count() > 100
     assert quality_rules.judge(empty).count() == 0 == quality_rules.keep(empty).count()
     none = odd.where("text is null")
     assert {r["kept"] for r in quality_rules.judge(none).collect()} == {False}

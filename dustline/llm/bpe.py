@@ -42,7 +42,7 @@ NEVER = 1 << 62
 END = "</w>"
 #: Entries of a table of words or transitions before it is begun anew, code points of a text
 #: worked on at once, and rows handed on at once.
-TABLE = 200_000
+TABLE = 400_000
 STRETCH = 1 << 20
 ROWS = 256
 

@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +66,30 @@ def features_of(text: str | None) -> set:
     return found
 
 
+def hashed(features: Iterable) -> np.ndarray:
+    """A 64-bit number of each feature."""
+    texts = (f if isinstance(f, str) else "\0".join(f) for f in features)
+    return np.array([xxhash.xxh64_intdigest(text) for text in texts], np.uint64)
+
+
+def common_features(texts: list[str]) -> list[list]:
+    """The features of each text, but for those that fewer than LEAST texts have.
+
+    Most pairs of words occur once. They are counted by their hashes, a few bytes each, and
+    dropped before features of all texts are held at once.
+    """
+    values, counts = np.unique(
+        np.concatenate([hashed(features_of(text)) for text in texts]), return_counts=True
+    )
+    common = set(values[counts >= LEAST].tolist())
+    found = []
+    for text in texts:
+        features = list(features_of(text))
+        numbers = hashed(features).tolist()
+        found.append([f for f, n in zip(features, numbers, strict=True) if n in common])
+    return found
+
+
 def log_ratios(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
     """The log ratio of each feature's share of all indicators in either class."""
     sums = np.full((2, size), SMOOTHING)
@@ -124,9 +149,9 @@ def fit_model(texts: list[str], labels: list[int]) -> dict:
         # Nothing to tell apart: the share of class 1, by Laplace's rule.
         share = (marks.sum() + 1) / (len(marks) + 2)
         return {"weights": [], "constant": float(np.log(share / (1 - share))), "sigmoid": [1, 0]}
-    found = [features_of(text) for text in texts]
+    found = common_features(texts)
     counts = Counter(feature for features in found for feature in features)
-    common = [(n, f) for f, n in counts.items() if n >= LEAST]
+    common = [(n, f) for f, n in counts.items()]
     common.sort(key=lambda x: (-x[0], str(x[1])))
     places = {feature: place for place, (_, feature) in enumerate(common[:FEATURES])}
     rows = [np.array(sorted(places[f] for f in fs if f in places), np.int64) for fs in found]

@@ -9,6 +9,8 @@ to the margins of examples left out of a first fit turns margins into scores.
 
 The fit uses a bounded sample of the labelled rows, drawn evenly by hash, and keeps a bounded
 number of features, those in most examples. It runs in one task, which that bound allows.
+Where the texts drawn are more than its bytes, rows are left out of the fit, of long texts the
+longest; a text longer than what is left for long ones is not learned from, but it is scored.
 A null text counts as empty and gets the score of a text without features. Labels that are
 null are not learned from; of several labels of a document the least counts. If one class is
 missing from what is learned, the score is the other's share. Repeated rows are scored alike.
@@ -40,6 +42,8 @@ THRESHOLD = 0.3
 #: The sample: labelled documents and bytes of their texts.
 SAMPLE_DOCS = 8000
 SAMPLE_BYTES = 40_000_000
+#: Texts of more bytes are long: should the sample not fit, they share its bytes with the others.
+LONG = 100_000
 #: Features that a model keeps, each in so many examples at least.
 FEATURES = 150_000
 LEAST = 5
@@ -184,6 +188,25 @@ def fit_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([model])], names=["model"])
 
 
+def affordable(rows: DataFrame) -> DataFrame:
+    """``rows`` (size and n, how many are alike, in ``order``) with n cut to what the bytes allow.
+
+    Texts up to LONG and longer ones may have half of the bytes each, and what the others leave:
+    no long text takes the place of all others. Short ones are taken by hash, long ones by size.
+    """
+    all_bytes, is_long = F.sum(F.col("size") * F.col("n")), F.col("size") > LONG
+    kind = Window.partitionBy("long").orderBy(F.when(is_long, F.col("size")), "order")
+    before = all_bytes.over(kind.rowsBetween(Window.unboundedPreceding, -1))
+    totals = rows.agg(
+        *[F.coalesce(F.sum(F.when(c, F.col("size") * F.col("n"))), F.lit(0)) for c in (~is_long, is_long)]
+    ).first()
+    of_short, of_long = (SAMPLE_BYTES - min(SAMPLE_BYTES // 2, total) for total in totals[::-1])
+    left = F.when(is_long, of_long).otherwise(of_short) - F.coalesce("before", F.lit(0))
+    fits = F.when(F.col("size") == 0, F.col("n")).otherwise(F.floor(F.try_divide(left, F.col("size"))))
+    known = rows.withColumn("long", is_long).withColumn("before", before)
+    return known.withColumn("n", F.least("n", fits).cast("int")).where("n > 0").drop("long", "before")
+
+
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """text and label of a bounded number of rows of ``docs`` that ``labels`` (doc_id, label)
     marks, in one partition."""
@@ -193,14 +216,23 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # At most SAMPLE_DOCS rows of two numbers, so a broadcast is bounded.
     marked = staged(marked.orderBy(*by_hash).limit(SAMPLE_DOCS), "classifier-labels")
     text = F.coalesce("text", F.lit("")).alias("text")
-    found = docs.select("doc_id", text).join(F.broadcast(marked), "doc_id")
-    # doc_id may repeat in docs: the first rows by hash, as far as the bytes reach.
-    order = [F.xxhash64("doc_id", F.lit(1)), F.col("doc_id"), F.xxhash64("text")]
-    found = staged(found.orderBy(*order).limit(SAMPLE_DOCS), "classifier-sample")
-    upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    size = F.sum(F.octet_length("text")).over(upto).alias("bytes")
-    ordered = found.select("text", "label", size)
-    return ordered.where(F.col("bytes") <= SAMPLE_BYTES).select("text", "label")
+    rows = docs.select("doc_id", text).withColumn("hash", F.xxhash64("text"))
+    # doc_id may repeat in docs: the first rows by hash, as far as the bytes reach. They are
+    # chosen by numbers alone, and only then are the texts of those chosen moved.
+    found = rows.select("doc_id", "hash", F.octet_length("text").cast("long").alias("size"))
+    found = found.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "label", "hash", "size")
+    place = F.struct(*[c.alias(f"p{i}") for i, c in enumerate([*by_hash, F.col("hash")])])
+    found = found.agg(F.count("*").alias("n")).withColumn("order", place)
+    found = found.orderBy("order").limit(SAMPLE_DOCS)
+    earlier = Window.orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
+    room = SAMPLE_DOCS - F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    found = found.withColumn("n", F.least("n", room)).where("n > 0")
+    chosen = staged(affordable(staged(found, "classifier-sizes")), "classifier-sample")
+    texts = rows.join(F.broadcast(chosen.select("doc_id", "hash")), ["doc_id", "hash"])
+    texts = texts.groupBy("doc_id", "hash").agg(F.first("text").alias("text"))
+    whole = texts.join(F.broadcast(chosen), ["doc_id", "hash"]).repartition(1)
+    whole = whole.sortWithinPartitions("order").select("text", "label", "n")
+    return whole.select("text", "label", F.explode(F.sequence(F.lit(1), "n"))).select("text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:

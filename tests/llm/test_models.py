@@ -275,3 +275,30 @@ def test_classifier_of_odd_rows(odd, empty, clashing, spark):
     assert {r["score"] for r in quality_classifier.classify(odd, none).collect()} == {0.5}
     ones = labels.withColumn("label", F.lit(1))
     assert all(r["score"] > 0.9 for r in quality_classifier.classify(clashing, ones).collect())
+
+
+def test_long_texts_take_no_place_of_others(judged, monkeypatch):
+    """A labelled text beyond the bytes of the sample, first by hash, is left out alone; long ones
+    that fit stay beside the short ones, however often a row repeats."""
+    monkeypatch.setattr(quality_classifier, "SAMPLE_BYTES", 400_000)
+    monkeypatch.setattr(quality_classifier, "LONG", 5_000, raising=False)
+    docs, labels = judged.drop("label"), judged.drop("text")
+    first = docs.orderBy(F.xxhash64("doc_id", F.lit(1))).first()["doc_id"]
+
+    def drawn(changed):
+        return collections.Counter(map(tuple, quality_classifier.sample(changed, labels).collect()))
+
+    def lengthened(places, size):
+        text = F.rpad("text", size, "long ")
+        return docs.withColumn("text", F.when(places, text).otherwise(F.col("text")))
+
+    whole = collections.Counter((r["text"], r["label"]) for r in judged.collect())
+    assert drawn(docs) == whole
+    without = whole - drawn(lengthened(F.col("doc_id") == first, 500_000))
+    assert len(without) == 1 == sum(without.values())
+    kinds = collections.Counter(len(text) > 5_000 for text, _ in drawn(lengthened(F.col("doc_id") < 50, 20_000)).elements())
+    assert kinds[False] == 650 and 5 <= kinds[True] < 20
+    copies = docs.where(F.col("doc_id") == first).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(10_000))))
+    found = drawn(copies.drop("i").union(docs.where(F.col("doc_id") != first)))
+    # Repeats count, as rows do; a bound of rows or bytes ends within them.
+    assert len(found) == 1 and sum(len(t) * n for (t, _), n in found.items()) <= 400_000

@@ -2,10 +2,12 @@
 
 A document is measured in one pass: shares of symbols, of lines that repeat an earlier one and
 of words in repeated 3-word windows, and the mean length of its words. For each language and
-source a quantile sketch of every measure is kept: the number of documents in each of a fixed
-number of equal bins. Sketches merge by adding the counts of a bin, in any order and without
-loss, and a quantile read from one is off by a bin at most. Thresholds are a fence round
-the quartiles, as wide as some times their distance but no narrower than a tolerance. A
+source a quantile sketch of every measure is kept: the number of documents in each of a bounded
+number of bins, which are equal but for words of more than 81 code points, where a bin is as
+wide as a 4,096th of its values at most. Sketches merge by adding the counts of a bin, in any
+order and without loss, and a quantile read from one is off by a bin at most. Thresholds are a
+fence round the quartiles, as wide as some times their distance but no narrower than a
+tolerance; a document's own value is held against them, however large it is. A
 language and source with few documents gets the merged sketch of its language, a language with
 few that of all documents. The thresholds are joined to the documents by language and source.
 
@@ -37,8 +39,10 @@ MIN_DOCS = 100
 FENCE = 3
 #: Bins that the fence spans at least: thousandths of a share, hundredths of a code point.
 TOLERANCE = {"symbols": 50, "lines": 400, "repeats": 300, "length": 150}
-#: The last bin of word lengths has all from 64 code points on.
+#: The SQL holds all word lengths from 64 code points on for one; the rules do not.
 LONGEST = 6400
+#: Binary digits of a value that tell its bin: values of no more have a bin each.
+DIGITS = 13
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 
 
@@ -120,8 +124,8 @@ def base_failed() -> Column:
     return (_count("n_words") < MIN_WORDS) | repeated
 
 
-def bins() -> dict[str, Column]:
-    """The bin of each measure, in whole numbers; for documents that have words."""
+def values() -> dict[str, Column]:
+    """Each measure in whole numbers; for documents that have words."""
 
     def share(part: str, whole: str, scale: int) -> Column:
         return F.floor(F.try_divide(scale * _count(part), _count(whole)))
@@ -130,10 +134,21 @@ def bins() -> dict[str, Column]:
         "symbols": share("n_symbols", "word_chars", 1000),
         "lines": share("n_dup_lines", "n_lines", 1000),
         "repeats": share("n_repeat_words", "n_words", 1000),
-        "length": F.least(F.lit(LONGEST), share("word_chars", "n_words", 100)).cast("long"),
+        "length": share("word_chars", "n_words", 100),
     }
 
 
+def width(value: Column) -> Column:
+    """How many values share the bin of ``value``: one, or a power of two for large ones."""
+    more = F.greatest(F.lit(0), F.length(F.bin(value)) - DIGITS)
+    return F.call_function("shiftleft", F.lit(1).cast("long"), more)
+
+
+def bins() -> dict[str, Column]:
+    """The bin of each measure: the least value in it."""
+    return {name: value - value % width(value) for name, value in values().items()}
+
+
 def sketches(rows: DataFrame) -> DataFrame:
     """For each lang and source a sketch of every measure: lang, source, measure, bin, docs."""
     each = [F.struct(F.lit(name).alias("measure"), b.alias("bin")) for name, b in bins().items()]
@@ -161,9 +176,10 @@ def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
     def quantile(quarters: int) -> Column:
         return F.min(F.when(4 * F.col("upto") >= quarters * F.col("n"), F.col("bin")))
 
-    quartiles = ranked.groupBy(*by, "measure").agg(
-        F.max("n").alias("n"), quantile(1).alias("q1"), quantile(3).alias("q3")
-    )
+    # From the least value of the lower bin to the largest of the upper one, so that no document
+    # between the quartiles is beyond a fence.
+    top = (quantile(3) + width(quantile(3)) - 1).alias("q3")
+    quartiles = ranked.groupBy(*by, "measure").agg(F.max("n").alias("n"), quantile(1).alias("q1"), top)
     tolerance = F.create_map(*[F.lit(x) for pair in TOLERANCE.items() for x in pair])
     fence = F.greatest(FENCE * (F.col("q3") - F.col("q1")), tolerance[F.col("measure")])
     limits = F.struct((F.col("q1") - fence).alias("low"), (F.col("q3") + fence).alias("high"))
@@ -217,7 +233,7 @@ def judged(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
             | (F.lit(name == "length") & (b < F.col(f"__t.{name}.low"))),
             F.lit(name),
         )
-        for name, b in bins().items()
+        for name, b in values().items()
     ]
     failed = F.when(~F.col("base_failed"), F.array_compact(F.array(*beyond)))
     failed = F.coalesce(failed, F.array().cast("array<string>")).alias("failed")

@@ -330,6 +330,33 @@ def test_quality_rules(odd, min_docs):
     assert plain(quality_rules.judge(odd, min_docs)) == sorted(expected, key=repr)
 
 
+def test_long_words_have_fences_too(spark):
+    """Means from 64 code points on are told apart, in sketches and against the fences."""
+    means = {"dense": [2000 + i % 40 for i in range(120)], "short": [5 + i % 2 * 15 for i in range(120)]}
+    means["alike"] = [10_001] * 120
+    odd_ones = {"dense": [3000, 5000, 300], "short": [64, 66, 5000], "alike": [10_002, 10_010, 9_990]}
+    rows = [
+        (1000 * g + i, "".join(chr(0x4E00 + (17 * i + 7 * k) % 19000) * mean + " " for k in range(50)), "zh", source)
+        for g, source in enumerate(means)
+        for i, mean in enumerate(means[source] + odd_ones[source])
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    failed = {r["doc_id"]: r["failed"] for r in quality_rules.judge(docs.repartition(8)).collect()}
+    # Fences by hand: dense about 2010 - 60 and 2029 + 60, short 20 + 45, alike its bin from
+    # 10,000.64 to 10,001.91 and three times that width on either side.
+    beyond = {120, 121, 122, 1121, 1122, 2121, 2122}
+    assert {i for i, f in failed.items() if f == ["length"]} == beyond
+    assert all(f == [] for i, f in failed.items() if i not in beyond)
+
+
+def test_bins_of_large_values(spark):
+    values = [0, 1, 6399, 6400, 8191, 8192, 8193, 16_383, 16_384, 16_387, 10**9, 2**40 + 5]
+    rows = spark.createDataFrame([(v,) for v in values], "v long")
+    for r in rows.select("v", quality_rules.width(F.col("v")).alias("w")).collect():
+        v, w = r
+        assert w == max(1, 2 ** (v.bit_length() - quality_rules.DIGITS)) and w <= max(1, v / 4096)
+
+
 def test_quality_keep(clashing, odd, empty):
     found = quality_rules.keep(clashing)
     assert wide(found, clashing)

@@ -28,6 +28,7 @@ import regex
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from dustline.sources.shared import staged
 
@@ -88,24 +89,66 @@ def counted_batches(kind: str):
     return run
 
 
+def equal_part(needs: list[int], total: int) -> int:
+    """The part that each may have of a total, if those that need less leave the rest to others."""
+    for place, need in enumerate(sorted(needs)):
+        part = total // (len(needs) - place)
+        if need > part:
+            return part
+        total -= need
+    return max(needs, default=0)
+
+
 def sample(rows: DataFrame) -> DataFrame:
     """A bounded sample of ``rows`` (lang, text, and doc_id to draw by), written.
 
-    Rows are drawn by their hash. Should rows that are all alike then be more than the bounds
-    allow, so many of them are left out at random.
+    Rows are drawn by their hash, at least those of the least hash of each language. Should they
+    be more than the bounds allow, each language gets an equal part of rows and bytes, in which
+    those with less stay whole; the rest of a language is drawn by hash, texts of more than a
+    hundredth of its part last, and one text at least. Repeated rows are counted one by one.
     """
-    counts = staged(rows.groupBy("lang").agg(F.count("*").alias("docs")), "langid-counts")
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = rows.join(counts, "lang").where(draw * F.col("docs") < SAMPLE_EACH)
-    totals = drawn.agg(
-        F.count("*").alias("docs"), F.sum(F.octet_length("text")).alias("bytes")
-    ).first()
-    shares = [SAMPLE_DOCS / max(1, totals["docs"]), SAMPLE_BYTES / max(1, totals["bytes"] or 0)]
-    if min(shares) < 1:
-        drawn = drawn.where(F.rand(7) < min(shares))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("docs"), F.min(draw).alias("least"))
+    counts = staged(counts, "langid-counts")
+    of_share = (draw * F.col("docs") < SAMPLE_EACH) | (draw == F.col("least"))
+    drawn = rows.join(counts, "lang").where(of_share)
+    drawn = drawn.select("lang", "text", F.xxhash64("doc_id", "text").alias("key"))
+    sizes = drawn.withColumn("size", F.octet_length("text").cast("long"))
+    needs = sizes.groupBy("lang").agg(F.count("*").alias("docs"), F.sum("size").alias("bytes"))
+    needs = needs.select("docs", "bytes").collect()
+    docs, size = [r["docs"] for r in needs], [r["bytes"] for r in needs]
+    if sum(docs) > SAMPLE_DOCS or sum(size) > SAMPLE_BYTES:
+        parts = equal_part(docs, SAMPLE_DOCS), equal_part(size, SAMPLE_BYTES)
+        alike = sizes.groupBy("lang", "key", "size").agg(F.count("*").alias("n"))
+        chosen = F.broadcast(staged(_parted(staged(alike, "langid-sizes"), *parts), "langid-chosen"))
+        texts = drawn.join(chosen.select("lang", "key"), ["lang", "key"])
+        texts = texts.groupBy("lang", "key").agg(F.first("text").alias("text"))
+        drawn = texts.join(chosen, ["lang", "key"])
+        drawn = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), "n")))
     return staged(drawn.select("lang", "text"), "langid-sample")
 
 
+def _parted(alike: DataFrame, docs: int, size: int) -> DataFrame:
+    """lang, key and n of ``alike`` (lang, key, size and n rows) within each language's part."""
+    all_bytes = F.sum(F.col("size") * F.col("n"))
+    is_long = (F.col("size") > size // 100) & (F.col("bytes") > size)
+    known = alike.withColumn("bytes", all_bytes.over(Window.partitionBy("lang")))
+    order = Window.partitionBy("lang").orderBy(is_long, F.when(is_long, F.col("size")), "key")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    known = known.select(
+        "lang",
+        "key",
+        "n",
+        "size",
+        F.row_number().over(order).alias("place"),
+        (docs - F.coalesce(F.sum("n").over(before), F.lit(0))).alias("docs"),
+        (size - F.coalesce(all_bytes.over(before), F.lit(0))).alias("left"),
+    )
+    fits = F.least("n", "docs", F.floor(F.try_divide("left", "size")))
+    n = F.when(F.col("place") == 1, F.greatest(F.lit(1), fits)).otherwise(fits)
+    return known.select("lang", "key", n.cast("int").alias("n")).where("n > 0")
+
+
 def _frequent(counts: DataFrame, most: int) -> dict[str, dict[str, int]]:
     """The counts in each language of those with the largest share of some language."""
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))

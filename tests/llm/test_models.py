@@ -214,6 +214,40 @@ def test_sample_is_bounded(voices, monkeypatch):
     assert 50 < language_id.sample(alike).count() < 160
 
 
+def test_small_languages_stay_whole(voices, monkeypatch):
+    """Beyond the bounds a language gets an equal part, the same on any layout of the rows."""
+    rare = voices.where("lang = 'fr'").limit(7).withColumn("lang", F.lit("rare"))
+    alike = voices.withColumns({"doc_id": F.lit(1), "text": F.lit("the same"), "lang": F.lit("one")})
+    rows = voices.unionByName(rare).unionByName(alike).select("doc_id", "lang", "text").persist()
+
+    def drawn(rows):
+        return collections.Counter((r["lang"], r["text"]) for r in language_id.sample(rows).collect())
+
+    def docs(found):
+        return {lang: sum(n for (x, _), n in found.items() if x == lang) for lang in ["rare", "one", *VOICES]}
+
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 100)
+    found = drawn(rows)
+    assert docs(found) == {"rare": 7, **dict.fromkeys(["one", *VOICES], 23)}
+    assert found == drawn(rows.repartition(13)) == drawn(rows.repartition(2, "text"))
+    monkeypatch.setattr(language_id, "SAMPLE_EACH", 200)
+    assert docs(drawn(rows))["one"] == 23
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 40_000)
+    monkeypatch.setattr(language_id, "SAMPLE_BYTES", 50_000)
+    long = rows.where("lang <> 'one'").withColumn(
+        "text", F.when(F.crc32("text") % 20 == 0, F.rpad("text", 100_000, "long ")).otherwise(F.col("text"))
+    )
+    found = drawn(long)
+    assert sum(len(text.encode()) * n for (_, text), n in found.items()) <= 50_000
+    assert docs(found)["rare"] >= 5 and min(docs(found)[lang] for lang in VOICES) > 50
+
+
+def test_equal_parts():
+    assert language_id.equal_part([5, 100, 100], 105) == 50
+    assert language_id.equal_part([5, 6, 7], 18) == 7
+    assert language_id.equal_part([9, 9], 1) == 0 == language_id.equal_part([], 10)
+
+
 # 9: quality
 
 

@@ -3,6 +3,8 @@
 import collections
 import pathlib
 import re
+import struct
+import tempfile
 
 import pytest
 from samples import plain
@@ -103,3 +105,36 @@ def test_stages_on_odd_rows(spark, request, kind):
         assert docs.columns == given
     coded = corpus_pipeline.STAGES[-1][1](spark, docs, "")
     assert coded.count() == docs.count() and (kind == "empty") == (docs.count() == 0)
+
+
+def test_stages_exactly(spark):
+    """Rows of the stages for quality, mixing and encoding, against SQL, a sort and the library."""
+    tokenizers = pytest.importorskip("tokenizers")
+    docs = queries.documents(spark, str(DATA / "sf0.01"))
+    stages = dict(corpus_pipeline.STAGES)
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/sf0.01/documents.parquet'")
+    passed = stages["quality rules"](spark, docs, "").persist()
+    sql = oracles.oracle_sql()
+    expected = connection.sql(f"SELECT doc_id FROM ({sql['op4_quality_rules']}) WHERE kept").fetchall()
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    assert plain(passed) == sorted((tuple(rows[i]) for (i,) in expected), key=repr)
+    dropped = stages["exact dedup"](spark, passed, "")
+    near = stages["simhash near-dedup"](spark, dropped, "").persist()
+    near.toPandas().to_parquet(f"{(folder := tempfile.mkdtemp())}/documents.parquet")
+    connection.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    plan = connection.sql(sql["op1_mix_sources"])
+    place, copies = plan.columns.index("doc_id"), plan.columns.index("copies")
+    expected = +collections.Counter({r[place]: r[copies] for r in plan.fetchall()})
+    mixed = stages["mixing sources to target weights"](spark, near, "").persist()
+    assert plain(mixed) == sorted((tuple(rows[i]) for i in expected.elements()), key=repr)
+    library = tokenizers.Tokenizer.from_file(queries.tokenizer())
+    library.no_padding()
+    library.no_truncation()
+    coded = collections.Counter()
+    for i, n in expected.items():
+        ids = library.encode(rows[i]["text"], add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        coded[i, len(ids), struct.pack(f"<{len(ids)}I", *ids), text] += n
+    found = stages["bpe encoding and decoding"](spark, mixed, "").collect()
+    assert collections.Counter((r["doc_id"], r["n_tokens"], bytes(r["ids"]), r["decoded"]) for r in found) == coded

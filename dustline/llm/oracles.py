@@ -206,6 +206,58 @@ placed AS (
 SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot FROM placed
 """
 
+#: Near words are left the same without the code point at one place, or one is what is left of
+#: the other.
+SPELLING = """
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1
+               THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(i AS BIGINT)) ORDER BY i) AS t
+    FROM range(256) AS r(i)),
+runs AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[A-Za-zÀ-ÿ]+')) AS run
+        FROM documents)
+    GROUP BY doc_id, run),
+hashed AS (
+    SELECT run, n, length(run) AS len, xor(list_reduce(list_transform(
+               regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)), '..'),
+               lambda b: CAST('0x' || b AS BIGINT)),
+               lambda c, v: xor(c >> 8, t[1 + (xor(c, v) & 255)]), 4294967295), 4294967295) AS h
+    FROM runs, crc),
+slipped AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % len) || substr(run, h % len + 2) ELSE run END
+               AS word, n
+    FROM hashed),
+words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+left_over AS (
+    SELECT word, n, 0 AS i, word AS part FROM words
+    UNION ALL SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1)
+    FROM words, range(1, length(word) + 1) AS r(i)),
+near AS (
+    SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS m
+    FROM left_over a JOIN left_over b USING (part)
+    WHERE a.word <> b.word AND (a.i = b.i OR a.i = 0 OR b.i = 0)),
+formed AS (
+    SELECT word, n, count(other) AS n_near,
+           first(other ORDER BY m DESC, encode(other)) AS best, max(m) AS most
+    FROM words LEFT JOIN near USING (word, n) GROUP BY word, n),
+forms AS (
+    SELECT word, n, n_near, CASE WHEN most >= 2 * n THEN best END AS form,
+           CASE WHEN most >= 2 * n THEN most END AS form_n
+    FROM formed),
+chains AS (
+    SELECT word, word AS root FROM forms
+    UNION ALL SELECT c.word, f.form FROM chains c JOIN forms f ON c.root = f.word
+    WHERE f.form IS NOT NULL),
+ends AS (
+    SELECT c.word, c.root FROM chains c JOIN forms f ON c.root = f.word WHERE f.form IS NULL)
+SELECT word, n, n_near, form, form_n, root FROM forms JOIN ends USING (word)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -214,4 +266,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_quality_rules": QUALITY_RULES,
         "op6_secret_scan": SECRETS,
         "op8_rendezvous_shards": SHARDED,
+        "op13_spelling_variants": SPELLING,
     }

@@ -12,25 +12,29 @@ from dustline.llm import (
     exact_dedup,
     language_id,
     mixing,
+    packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     secret_scan,
     sharding,
     simhash,
+    spelling,
     token_lengths,
 )
-from dustline.llm.common import ROW, documents, numbered
+from dustline.llm.common import ROW, WORD, bound, documents, numbered
 
 #: The tokenizer of the registered queries; the operators take the path of any.
 TOKENIZER = "word_bpe_49k.json"
+PACKED_TOKENIZER = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +104,81 @@ def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_lengths.token_lengths(documents(spark, sf_dir), tokenizer())
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of a tenth of the documents, by hash, the words from one on repeat.
+
+    In these, each word from place a on becomes that of place a + (i - a) % p.
+    """
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    drawn = F.floor(hashed / 10).cast("long")
+
+    def repeated(x: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(x["words"]) - 1)
+        again = lambda i: F.when(i < x["a"], i).otherwise(x["a"] + (i - x["a"]) % x["p"])
+        return F.array_join(F.transform(places, lambda i: F.get(x["words"], again(i))), " ")
+
+    def placed(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = drawn % n
+        p = 1 + F.floor((n - a) / (3 + drawn % 8)).cast("long")
+        whole = F.struct(words.alias("words"), a.cast("int").alias("a"), p.cast("int").alias("p"))
+        return F.when(n > 0, bound(whole, repeated)).otherwise(F.col("text"))
+
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    text = F.when(hashed % 10 == 0, bound(words, placed)).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_repeats(documents(spark, sf_dir))
+    found = periodic_runs.periodic_runs(docs, ["doc_id"])
+    # The longest run; of equal ones the first, then that of the smallest period.
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run")))
+    )["run"]
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    longest = found.withColumn("__best", best)
+    exponent = F.floor(1000 * F.col("__best.length") / F.col("__best.period"))
+    return longest.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"__best.{name}").alias(name) for name in ("start", "length", "period")],
+        exponent.cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, sf_dir), tokenizer(PACKED_TOKENIZER), ["doc_id"])
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "cost",
+    )
+
+
+def with_slips(runs: DataFrame) -> DataFrame:
+    """``runs`` with one code point less where 97 divides the hash of doc_id and run."""
+    hashed = F.crc32(F.concat_ws(":", F.col("doc_id").cast("string"), "run").cast("binary"))
+    place = (hashed % F.length("run")).cast("int")
+    less = F.concat(
+        F.substring("run", F.lit(1), place), F.substring("run", place + 2, F.length("run"))
+    )
+    return runs.select("doc_id", F.when(hashed % 97 == 0, less).otherwise(F.col("run")).alias("run"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = with_slips(spelling.letter_runs(documents(spark, sf_dir)))
+    return spelling.group_variants(spelling.count_words(runs))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -112,4 +191,7 @@ def queries() -> dict[str, Query]:
         "op8_rendezvous_shards": op8_rendezvous_shards,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_token_lengths": op10_token_lengths,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_packing": op12_packing,
+        "op13_spelling_variants": op13_spelling_variants,
     }

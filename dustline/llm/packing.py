@@ -7,7 +7,7 @@ in groups of about ``GROUP`` tokens, in the order in which a task reads them. A
 as tokens: full sequences, and one for each power of two that is left over, so nothing is padded. Its
 documents are assigned from the longest down, each to the sequence of lowest cost that has room
 for all of it. Where none has, the lowest one with any room takes the beginning, and the
-rest goes on likewise, so each id lies in one piece.
+rest waits until its length is due, so each id lies in one piece.
 
 A task packs what it reads: nothing is shuffled, and a source or document of any size loads no
 other task. Sequences are numbered by task and by their place in it, so a task that runs again
@@ -150,31 +150,34 @@ def balanced(lengths: list[int], capacity: int, linear: int) -> Iterator[tuple[i
             heapq.heappush(ready, (cost[sequence], sequence))
         return document, start, length, sequence, offset
 
-    for document in sorted(range(len(lengths)), key=lambda d: -lengths[d]):
-        start, length = 0, lengths[document]
-        while length:
-            while roomy and -roomy[0][0] >= length:
-                room, sequence = heapq.heappop(roomy)
-                if set_by[sequence] and -room == left[sequence]:
-                    set_by[sequence] = False
-                    heapq.heappush(ready, (cost[sequence], sequence))
-            while ready and left[ready[0][1]] < length:
-                _, sequence = heapq.heappop(ready)
-                set_by[sequence] = True
-                heapq.heappush(roomy, (-left[sequence], sequence))
-                heapq.heappush(cheap, (cost[sequence], sequence))
-            if ready:
-                yield place(document, start, length, heapq.heappop(ready)[1])
+    # What is to be placed, the longest first, the rests of documents that were cut among them.
+    queue = [(-length, document, 0) for document, length in enumerate(lengths)]
+    heapq.heapify(queue)
+    while queue:
+        less, document, start = heapq.heappop(queue)
+        length = -less
+        while roomy and -roomy[0][0] >= length:
+            room, sequence = heapq.heappop(roomy)
+            if set_by[sequence] and -room == left[sequence]:
+                set_by[sequence] = False
+                heapq.heappush(ready, (cost[sequence], sequence))
+        while ready and left[ready[0][1]] < length:
+            _, sequence = heapq.heappop(ready)
+            set_by[sequence] = True
+            heapq.heappush(roomy, (-left[sequence], sequence))
+            heapq.heappush(cheap, (cost[sequence], sequence))
+        if ready:
+            yield place(document, start, length, heapq.heappop(ready)[1])
+            continue
+        # None has room for all of it: the one of lowest cost takes a part.
+        while True:
+            spent, sequence = heapq.heappop(cheap)
+            if set_by[sequence] and spent == cost[sequence]:
                 break
-            # None has room for all of it: the one of lowest cost takes a part.
-            while True:
-                spent, sequence = heapq.heappop(cheap)
-                if set_by[sequence] and spent == cost[sequence]:
-                    break
-            set_by[sequence] = False
-            part = left[sequence]
-            yield place(document, start, part, sequence)
-            start, length = start + part, length - part
+        set_by[sequence] = False
+        part = left[sequence]
+        yield place(document, start, part, sequence)
+        heapq.heappush(queue, (part - length, document, start + part))
 
 
 class Packer:

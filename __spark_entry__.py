@@ -164,6 +164,42 @@ def _csv_folder_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, loaded)
 
 
+#: Cells of two tables that inference spells anew, or leaves alone for the others in their column.
+TYPED = {
+    "lineitem": {
+        "code": "lpad(CAST(l_orderkey AS STRING), 12, '0')",
+        "with gaps": "CASE WHEN l_linenumber <> 7 THEN CAST(l_linenumber AS STRING) END",
+        "mixed": """CASE WHEN l_linenumber % 2 = 0 THEN CAST(CAST(l_quantity AS INT) AS STRING)
+            ELSE CAST(l_quantity AS STRING) END""",
+        "small": "concat(CAST(l_extendedprice AS STRING), 'e-9')",
+        "truth": "CASE l_returnflag WHEN 'R' THEN 'TRUE' WHEN 'A' THEN 'false' ELSE 'NA' END",
+        "text": "CASE WHEN l_linestatus = 'O' THEN concat('0', CAST(l_linenumber AS STRING)) ELSE 'n/a ' END",
+    },
+    "part": {
+        "code": "CAST(CAST(9223372036854775800 AS DECIMAL(20, 0)) + p_partkey AS STRING)",
+        "with gaps": "CASE WHEN p_size > 1 THEN concat(' +', CAST(p_size AS STRING), ' ') END",
+        "mixed": "CASE WHEN p_size > 25 THEN 'true' ELSE CAST(p_size AS STRING) END",
+        "small": "concat(CAST(p_retailprice AS STRING), 'E13')",
+        "truth": "CASE WHEN p_size % 2 = 0 THEN 'True' ELSE 'fALSE' END",
+        "text": "CASE WHEN p_size = 2 THEN '99999999999999999999' ELSE CAST(-p_size AS STRING) END",
+    },
+}
+
+
+def _csv_inferred_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose columns have types that change how cells are spelled."""
+    exports = {
+        f"{name}.csv": recipes.given(spark, sf_dir, name).select(
+            *[F.expr(cell).alias(column) for column, cell in cells.items()]
+        )
+        for name, cells in TYPED.items()
+    }
+    database = recipes.run_database(spark)
+    ingest_folder(spark, recipes.csv_folder(spark, exports), database, infer=True)
+    loaded = [spark.table(f"{database}.{name}").withColumn("table", F.lit(name)) for name in TYPED]
+    return functools.reduce(DataFrame.unionByName, loaded)
+
+
 def _csv_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with line ends of all kinds, in files whose lines end in all kinds."""
     text = F.expr(
@@ -391,6 +427,7 @@ def usage_and_ingest() -> dict[str, Query]:
         "csv_roundtrip": _csv_roundtrip,
         "csv_folder_ingest": _csv_folder_ingest,
         "csv_line_ends": _csv_line_ends,
+        "csv_inferred_text": _csv_inferred_text,
         "csv_repeated_headers": _csv_repeated_headers,
         "csv_report": _csv_report,
         "csv_reload": _csv_reload,
@@ -460,6 +497,28 @@ def usage_and_ingest_sql() -> dict[str, str]:
         return f"""replace({text}, chr(10), CASE doc_id % 3 WHEN 0 THEN chr(10)
             WHEN 1 THEN chr(13) ELSE chr(13) || chr(10) END)"""
 
+    def typed(name: str, kinds: list[str]) -> str:
+        def cell(column: str, given: str, kind: str) -> str:
+            given = given.replace("AS STRING", "AS VARCHAR")
+            known = f"""CASE WHEN ({given}) IN ({tokens}) THEN NULL ELSE ({given}) END"""
+            value = {
+                "integer": f"CAST(CAST(trim({known}) AS HUGEINT) AS VARCHAR)",
+                "decimal": f"CAST(CAST(trim({known}) AS DOUBLE) AS VARCHAR)",
+                "boolean": f"CASE lower({known}) WHEN 'true' THEN 'True' WHEN 'false' THEN 'False' END",
+                "text": known,
+            }[kind]
+            return f"""coalesce({value}, '') AS "{column.replace(" ", "_")}" """
+
+        cells = [cell(*cell_of, kind) for cell_of, kind in zip(TYPED[name].items(), kinds, strict=True)]
+        return f"""SELECT {", ".join(cells)}, '{name}' AS "table" FROM {name}"""
+
+    inferred = " UNION ALL ".join(
+        [
+            typed("lineitem", ["integer", "decimal", "decimal", "decimal", "boolean", "text"]),
+            typed("part", ["integer", "decimal", "text", "decimal", "boolean", "text"]),
+        ]
+    )
+
     report_rows = """SELECT 'good' AS "table", count(*) AS "rows", NULL AS error FROM orders
         UNION ALL SELECT 'bad', NULL, CAST(count(*) AS VARCHAR) || ' records with more than 2 fields'
         FROM orders WHERE o_orderkey % 2 = 0"""
@@ -509,6 +568,7 @@ def usage_and_ingest_sql() -> dict[str, str]:
         "csv_folder_ingest": loaded,
         "csv_line_ends": f"""SELECT {text("doc_id")} AS doc_id, {ended(read("text"))} AS text,
             {read("lang")} AS lang FROM documents""",
+        "csv_inferred_text": inferred,
         "csv_repeated_headers": f"""SELECT {text("n_nationkey")} AS key, {text("n_name")} AS name,
             {text("n_regionkey")} AS "Unnamed_2", {text("n_name")} AS name_1 FROM nation""",
         "csv_report": report_rows,

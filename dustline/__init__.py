@@ -1,6 +1,7 @@
 """Usage audit and tabular ingest, written as Spark jobs."""
 
 from dustline.operators.checks import object_mentions, stale_rows
+from dustline.operators.inference import infer_types, spell_as
 from dustline.operators.sheets import combine_sheets, drop_empty_columns, drop_empty_rows
 from dustline.operators.text_tables import as_text, export_csv
 from dustline.operators.usage import object_usage
@@ -30,6 +31,7 @@ __all__ = [
     "drop_empty_rows",
     "export_csv",
     "first_sheet",
+    "infer_types",
     "ingest_folder",
     "ingest_workbooks",
     "materialize",
@@ -40,6 +42,7 @@ __all__ = [
     "save_as_text",
     "scan_workbooks",
     "sheet_rows",
+    "spell_as",
     "stale_rows",
     "table",
     "unused_objects",

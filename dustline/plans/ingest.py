@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from dustline.functions.names import column_names, first_clash, quoted, table_name
 from dustline.functions.text import NULL_TOKENS, csv_line
+from dustline.operators.inference import infer_types, spell_as
 from dustline.operators.text_tables import (
     RAW,
     as_text,
@@ -41,13 +42,16 @@ def read_csv_text(
     path: str | CsvSource,
     null_tokens: Sequence[str] = NULL_TOKENS,
     split_bytes: int | None = None,
+    infer: bool = False,
 ) -> DataFrame:
     """A CSV file as text columns with clean names, plus the text of misfit records.
 
     That last column, ``raw-record``, is null for records that fit (see ``read_records``).
+    With ``infer`` each column has a type first, found by a scan of its own, and cells are
+    spelled as values of that type (see ``operators.inference``).
     """
     source = path if isinstance(path, CsvSource) else csv_source(spark, path)
-    return _text(spark, source, read_head(spark, source), null_tokens, split_bytes)
+    return _text(spark, source, read_head(spark, source), null_tokens, split_bytes, infer)
 
 
 def _text(
@@ -56,9 +60,11 @@ def _text(
     head: Sequence[str],
     null_tokens: Sequence[str],
     split_bytes: int | None,
+    infer: bool,
 ) -> DataFrame:
     names = column_names(head)
-    return text_columns(read_records(spark, source, len(names), split_bytes), names, null_tokens)
+    text = text_columns(read_records(spark, source, len(names), split_bytes), names, null_tokens)
+    return spell_as(text, infer_types(text, names)) if infer else text
 
 
 def ingest_folder(
@@ -69,6 +75,7 @@ def ingest_folder(
     null_tokens: Sequence[str] = NULL_TOKENS,
     split_bytes: int | None = None,
     parallel: int = 8,
+    infer: bool = False,
 ) -> DataFrame:
     """Every ``.csv`` of a folder becomes its own all-text table.
 
@@ -77,6 +84,7 @@ def ingest_folder(
     table without a name, stop the run before anything is written. One job reads all
     headers, and files with the same header that are a task's work each are loaded together
     in another; a larger file is a job of its own, of which ``parallel`` are submitted at a time.
+    With ``infer`` every file is, as it has types of its own (see ``read_csv_text``).
     """
     listed = list_csv(spark, folder)
     clash = first_clash(table_name(source.name) for source in listed)
@@ -92,7 +100,7 @@ def ingest_folder(
             source = sources[table]
             if source.path not in heads:
                 raise ValueError("no header")
-            records = _text(spark, source, heads[source.path], null_tokens, split_bytes)
+            records = _text(spark, source, heads[source.path], null_tokens, split_bytes, infer)
             return replace_table(spark, records, database, table, location), None
         except (PySparkException, Py4JJavaError, ValueError) as problem:
             return None, _first_line(problem)
@@ -112,7 +120,8 @@ def ingest_folder(
 
     status: dict[str, tuple[int | None, str | None]] = {}
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        for loaded in pool.map(together, _alike(spark, sources, heads, split_bytes).items()):
+        alike = {} if infer else _alike(spark, sources, heads, split_bytes)
+        for loaded in pool.map(together, alike.items()):
             status |= loaded
         rest = [table for table in sources if table not in status]
         status |= dict(zip(rest, pool.map(alone, rest)))

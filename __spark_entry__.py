@@ -20,17 +20,21 @@ from pyspark.sql import functions as F  # noqa: E402
 import recipes  # noqa: E402
 from dustline import (  # noqa: E402
     access_history,
+    all_object_mentions,
     all_sheets,
     check_table,
     combine_sheets,
     combine_workbook,
     data_check,
+    data_check_all,
     dim_access_history,
     export_csv,
     first_sheet,
+    identifier_mentions,
     ingest_folder,
     ingest_workbooks,
     materialize,
+    mention_index,
     object_mentions,
     object_usage,
     positional_load,
@@ -103,6 +107,57 @@ def _check_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Names that query texts of QUERIES_SQL mention or not; some are parts of others, or patterns.
+NAMES = [
+    "db.sales.click", "DB.Sales.CLICK2", "sales.click", "sales", "db_sales", "d%s.purchase", "db.sales.view",
+    "DB.SALES.SIGNUP", "db.sales.error", "error", "not.there", "orders", "100%", "u=1",
+]
+NAMES += [f"u={i}" for i in range(100)] + [f"u={i}9" for i in range(100)]
+#: Queries that name their object in every way, and some that do so in strings and comments only.
+QUERIES_SQL = """
+    SELECT CASE event_id % 8
+               WHEN 0 THEN concat('select * from DB.SALES.', upper(event_type))
+               WHEN 1 THEN concat('select * from ', event_type, ' /* not db.sales.', event_type, '2 */')
+               WHEN 2 THEN concat('SELECT x.* FROM Sales . ', event_type, ' x')
+               WHEN 3 THEN concat('select * from db.sales.', event_type, '2')
+               WHEN 4 THEN concat('select ''db.sales.', event_type, chr(39), ' /* from ', event_type, ' */')
+               WHEN 5 THEN concat('select * from "DB"."SALES"."', event_type, '"')
+               WHEN 6 THEN concat('select other.', event_type, '.b from db.sales.', event_type)
+           END || ' where u=' || CAST(user_id AS STRING) AS query_text,
+           ts AS end_time
+    FROM events
+"""
+AUDITED = {"click": "F", "purchase": "O", "error": "P", "view": "none"}
+
+
+def _all_object_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return all_object_mentions(recipes.derived(spark, sf_dir, QUERIES_SQL), NAMES)
+
+
+def _check_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of events as tables of orders of one status; one of them has no row."""
+    audited = recipes.given(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").alias("last_accessed_timestamp"), "o_orderstatus"
+    )
+    targets = {
+        f"db.sales.{kind}": audited.where(F.col("o_orderstatus") == status)
+        for kind, status in AUDITED.items()
+    }
+    log = recipes.derived(spark, sf_dir, QUERIES_SQL)
+    return data_check_all(log, targets, CHECK_INTERVAL, CHECK_AS_OF)
+
+
+def _identifier_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = recipes.given(spark, sf_dir, "events").select("event_type").distinct()
+    upper = F.upper("event_type")
+    each = F.explode(F.array(upper, F.concat(upper, F.lit("2")), F.col("event_type")))
+    objects = kinds.select(F.lit("DB").alias("object_database"), each.alias("object_name")).select(
+        "*", F.explode(F.array(F.lit("SALES"), F.lit("OTHER"))).alias("object_schema")
+    )
+    log = recipes.derived(spark, sf_dir, QUERIES_SQL)
+    return identifier_mentions(mention_index(log, "DB", "SALES"), objects)
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with commas, quotes and line breaks under names that need cleaning."""
     return recipes.given(spark, sf_dir, "documents").select(
@@ -420,6 +475,9 @@ def usage_and_ingest() -> dict[str, Query]:
         ),
         "data_check": _data_check,
         "check_table": _check_table,
+        "all_object_mentions": _all_object_mentions,
+        "check_all_tables": _check_all_tables,
+        "identifier_mentions": _identifier_mentions,
     }
     ingest: dict[str, Query] = {
         "csv_ingest": _csv_ingest(None),
@@ -475,6 +533,35 @@ def usage_and_ingest_sql() -> dict[str, str]:
         FROM ({mentions}) JOIN ({recipes.AUDITED_SQL}) ON {older}
         GROUP BY last_usage, query_count"""
 
+    named = ", ".join(f"('{name}')" for name in dict.fromkeys(NAMES))
+    queried = QUERIES_SQL.replace("AS STRING", "AS VARCHAR")
+    mentioned = f"""SELECT object_name, max(end_time) AS last_usage, count(end_time) AS query_count
+        FROM ({{}}) LEFT JOIN ({queried}) ON query_text ILIKE '%' || object_name || '%'
+        GROUP BY object_name"""
+    all_mentions = mentioned.format(f"SELECT * FROM (VALUES {named}) AS names(object_name)")
+    audited = " UNION ALL ".join(
+        f"""SELECT 'db.sales.{kind}' AS object_name, o_orderdate AS last_accessed_timestamp
+            FROM orders WHERE o_orderstatus = '{status}'"""
+        for kind, status in AUDITED.items()
+    )
+    all_checks = f"""SELECT * FROM ({mentioned.format(f"SELECT DISTINCT object_name FROM ({audited})")})
+        JOIN (SELECT object_name, count(*) AS unused_data_count
+              FROM ({audited}) WHERE {older} GROUP BY object_name) USING (object_name)"""
+    # What the texts name, by how they were made.
+    by_identifier = """WITH written AS (
+            SELECT event_id % 8 AS way, event_type AS kind, upper(event_type) AS upper_kind, ts FROM events),
+        named AS (
+            SELECT 'SALES' AS s, upper_kind AS o, ts FROM written WHERE way IN (0, 1, 2, 6)
+            UNION ALL SELECT 'SALES', upper_kind || '2', ts FROM written WHERE way = 3
+            UNION ALL SELECT 'SALES', kind, ts FROM written WHERE way = 5),
+        kinds AS (SELECT DISTINCT kind, upper_kind FROM written),
+        objects AS (
+            SELECT s, o FROM (SELECT unnest([upper_kind, upper_kind || '2', kind]) AS o FROM kinds),
+                (VALUES ('SALES'), ('OTHER')) AS v(s))
+        SELECT 'DB' AS object_database, s AS object_schema, o AS object_name,
+               max(ts) AS last_usage, count(ts) AS query_count
+        FROM objects LEFT JOIN named USING (s, o) GROUP BY s, o"""
+
     tokens = ", ".join(f"'{token}'" for token in NULL_TOKENS)
 
     def text(column: str) -> str:
@@ -560,6 +647,9 @@ def usage_and_ingest_sql() -> dict[str, str]:
         "stale_rows": f"SELECT * FROM ({recipes.AUDITED_SQL}) WHERE {older}",
         "data_check": check,
         "check_table": check,
+        "all_object_mentions": all_mentions,
+        "check_all_tables": all_checks,
+        "identifier_mentions": by_identifier,
         "csv_ingest": documents,
         "csv_ingest_in_splits": documents,
         "csv_roundtrip": f"""SELECT {text("o_orderkey")} AS o_orderkey,

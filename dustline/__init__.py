@@ -2,10 +2,16 @@
 
 from dustline.operators.checks import object_mentions, stale_rows
 from dustline.operators.inference import infer_types, spell_as
+from dustline.operators.mentions import (
+    all_object_mentions,
+    catalog_objects,
+    identifier_mentions,
+    mention_index,
+)
 from dustline.operators.sheets import combine_sheets, drop_empty_columns, drop_empty_rows
 from dustline.operators.text_tables import as_text, export_csv
 from dustline.operators.usage import object_usage
-from dustline.plans.audit import check_table, data_check, unused_objects
+from dustline.plans.audit import check_table, data_check, data_check_all, unused_objects
 from dustline.plans.ingest import (
     combine_workbook,
     ingest_folder,
@@ -20,21 +26,26 @@ from dustline.sources.workbooks import all_sheets, first_sheet, scan_workbooks,
 
 __all__ = [
     "access_history",
+    "all_object_mentions",
     "all_sheets",
     "as_text",
+    "catalog_objects",
     "check_table",
     "combine_sheets",
     "combine_workbook",
     "data_check",
+    "data_check_all",
     "dim_access_history",
     "drop_empty_columns",
     "drop_empty_rows",
     "export_csv",
     "first_sheet",
+    "identifier_mentions",
     "infer_types",
     "ingest_folder",
     "ingest_workbooks",
     "materialize",
+    "mention_index",
     "object_mentions",
     "object_usage",
     "positional_load",

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dustline.functions.moments import days_between, moment
 from dustline.operators.checks import object_mentions, stale_rows
+from dustline.operators.mentions import all_object_mentions
 from dustline.operators.usage import object_usage, repeat_rows, usage_with_fan_out
 from dustline.sources.tables import table
 
@@ -88,3 +91,29 @@ def check_table(
     full_name = f"{database}.{schema}.{object_name}"
     target = table(spark, object_name, schema, database)
     return data_check(query_log, target, full_name, interval, as_of, literal)
+
+
+def data_check_all(
+    query_log: DataFrame,
+    targets: Mapping[str, DataFrame],
+    interval: timedelta | str | Column,
+    as_of: Moment = None,
+    literal: bool = False,
+) -> DataFrame:
+    """:func:`data_check` of many tables, given by full name: object_name and its three numbers.
+
+    One scan of the log for all of them, and one of each table. No row for a table without a stale row.
+    """
+    if not targets:
+        raise ValueError("no table to check")
+    counts = [
+        stale_rows(target, interval, as_of)
+        .agg(F.count("*").alias("unused_data_count"))
+        .withColumn("object_name", F.lit(name))
+        for name, target in targets.items()
+    ]
+    stale = reduce(DataFrame.unionByName, counts).where(F.col("unused_data_count") > 0)
+    mentions = all_object_mentions(query_log, list(targets), literal)
+    return mentions.join(stale, "object_name").select(
+        "object_name", "last_usage", "query_count", "unused_data_count"
+    )

@@ -22,6 +22,7 @@ from dustline import (  # noqa: E402
     access_history,
     all_object_mentions,
     all_sheets,
+    append_folder,
     check_table,
     combine_sheets,
     combine_workbook,
@@ -30,6 +31,7 @@ from dustline import (  # noqa: E402
     dim_access_history,
     export_csv,
     first_sheet,
+    flatten_access_history,
     identifier_mentions,
     ingest_folder,
     ingest_workbooks,
@@ -48,6 +50,7 @@ from dustline import (  # noqa: E402
 from dustline.functions.names import table_name  # noqa: E402
 from dustline.functions.text import NULL_TOKENS, csv_line  # noqa: E402
 from dustline.operators.text_tables import RAW  # noqa: E402
+from dustline.plans.append import LOAD, AppendTable  # noqa: E402
 from dustline.sources.shared import new_folder  # noqa: E402
 
 try:
@@ -323,6 +326,61 @@ def _csv_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.party").withColumn("rows_before", F.lit(rows[0]).cast("long"))
 
 
+def _csv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that come in four files, with runs that end before and after they commit."""
+    orders = recipes.given(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    folder, database = new_folder(spark, "csv"), recipes.run_database(spark)
+
+    def arrive(part: int) -> None:
+        export_csv(orders.where(F.col("o_orderkey") % 4 == part), f"{folder}/orders-{part}.csv")
+
+    target = AppendTable(spark, "orders", database)
+    arrive(0)
+    append_folder(spark, folder, "orders", database)
+    arrive(1)
+    target.stage(folder)  # ends before its commit
+    append_folder(spark, folder, "orders", database)
+    arrive(2)
+    target.commit(target.stage(folder))  # ends after its commit
+    arrive(3)
+    append_folder(spark, folder, "orders", database)
+    append_folder(spark, folder, "orders", database)  # finds nothing new
+    return spark.table(f"{database}.orders").withColumnRenamed(LOAD, "load")
+
+
+#: Arrays of the raw history, by event: none, an empty one, or one to three objects.
+NESTED = {
+    "DIRECT_OBJECTS_ACCESSED": ("direct", 5),
+    "BASE_OBJECTS_ACCESSED": ("base", 4),
+    "OBJECTS_MODIFIED": ("modified", 3),
+}
+
+
+def _flattened_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def nested(kind: str, divisor: int) -> str:
+        return f"""CASE WHEN event_id % {divisor} = 0 THEN NULL ELSE transform(
+            sequence(0, 2), i -> named_struct('objectName', concat('{kind} ', event_type, CAST(i AS STRING)),
+                'objectDomain', 'Table', 'objectId', event_id * 10 + i,
+                'stageKind', CASE WHEN i = 1 THEN 'Internal' END, 'columns', array('c'))) END"""
+
+    def cut(kind: str, divisor: int) -> str:
+        return f"slice({nested(kind, divisor)}, 1, CAST(event_id % {divisor} - 1 AS INT))"
+
+    events = recipes.given(spark, sf_dir, "events").where("event_id IS NOT NULL")
+    raw = events.select(
+        F.col("event_id").cast("string").alias("QUERY_ID"),
+        F.col("ts").alias("QUERY_START_TIME"),
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("USER_NAME"),
+        F.lit(None).cast("string").alias("PARENT_QUERY_ID"),
+        F.col("event_id").cast("string").alias("ROOT_QUERY_ID"),
+        F.expr("CASE WHEN event_id % 3 = 0 THEN props END").alias("OBJECT_MODIFIED_BY_DDL"),
+        *[F.expr(cut(*spec)).alias(name) for name, spec in NESTED.items()],
+    )
+    # One of the arrays comes as text, as a variant would.
+    raw = raw.withColumn("OBJECTS_MODIFIED", F.to_json("OBJECTS_MODIFIED"))
+    return flatten_access_history(raw)
+
+
 def _text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority"))
     orders = recipes.given(spark, sf_dir, "orders").select(
@@ -477,6 +535,7 @@ def usage_and_ingest() -> dict[str, Query]:
         "check_table": _check_table,
         "all_object_mentions": _all_object_mentions,
         "check_all_tables": _check_all_tables,
+        "flattened_history": _flattened_history,
         "identifier_mentions": _identifier_mentions,
     }
     ingest: dict[str, Query] = {
@@ -489,6 +548,7 @@ def usage_and_ingest() -> dict[str, Query]:
         "csv_repeated_headers": _csv_repeated_headers,
         "csv_report": _csv_report,
         "csv_reload": _csv_reload,
+        "csv_append": _csv_append,
         "text_table": _text_table,
         "positional_load": _positional_load(0),
         "positional_load_nulls": _positional_load(10),
@@ -562,6 +622,28 @@ def usage_and_ingest_sql() -> dict[str, str]:
                max(ts) AS last_usage, count(ts) AS query_count
         FROM objects LEFT JOIN named USING (s, o) GROUP BY s, o"""
 
+    # Objects 0 up to as many as there are; a query without any has one without a name.
+    def unnested(kind: str, divisor: int) -> str:
+        return f"""unnest(CASE WHEN event_id % {divisor} <= 1 THEN [NULL]
+            ELSE range(event_id % {divisor} - 1) END) AS {kind}"""
+
+    def object_columns(prefix: str, kind: str) -> str:
+        known = f"CASE WHEN {kind} IS NOT NULL THEN"
+        return f"""{known} 'Table' END AS {prefix}_OBJECT_DOMAIN,
+            event_id * 10 + {kind} AS {prefix}_OBJECT_ID,
+            {known} concat('{kind} ', event_type, CAST({kind} AS VARCHAR)) END AS {prefix}_OBJECT_NAME,
+            CASE WHEN {kind} = 1 THEN 'Internal' END AS {prefix}_OBJECT_STAGE_KIND"""
+
+    flattened = "SELECT * FROM events"
+    for spec in NESTED.values():
+        flattened = f"SELECT *, {unnested(*spec)} FROM ({flattened})"
+    flattened = f"""SELECT CAST(event_id AS VARCHAR) AS QUERY_ID, ts AS QUERY_START_TIME,
+            'U' || CAST(user_id AS VARCHAR) AS USER_NAME, CAST(NULL AS VARCHAR) AS PARENT_QUERY_ID,
+            CASE WHEN event_id % 3 = 0 THEN props END AS OBJECT_MODIFIED_BY_DDL,
+            CAST(event_id AS VARCHAR) AS ROOT_QUERY_ID, {object_columns("DIRECT", "direct")},
+            {object_columns("BASE", "base")}, {object_columns("MODIFIED", "modified")}
+        FROM ({flattened})"""
+
     tokens = ", ".join(f"'{token}'" for token in NULL_TOKENS)
 
     def text(column: str) -> str:
@@ -649,6 +731,7 @@ def usage_and_ingest_sql() -> dict[str, str]:
         "check_table": check,
         "all_object_mentions": all_mentions,
         "check_all_tables": all_checks,
+        "flattened_history": flattened,
         "identifier_mentions": by_identifier,
         "csv_ingest": documents,
         "csv_ingest_in_splits": documents,
@@ -664,6 +747,9 @@ def usage_and_ingest_sql() -> dict[str, str]:
         "csv_report": report_rows,
         "csv_reload": f"""SELECT {text("s_suppkey")} AS key, s_name AS name,
             (SELECT count(*) FROM customer) AS rows_before FROM supplier""",
+        "csv_append": f"""SELECT {text("o_orderkey")} AS o_orderkey, {text("o_custkey")} AS o_custkey,
+            {text("o_orderpriority")} AS o_orderpriority, '0000000' || (1 + o_orderkey % 4) AS load
+            FROM orders""",
         "text_table": f"""SELECT {text("o_orderkey")} AS order_key,
             {text("o_custkey")} AS "3_customer",
             CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority ELSE '' END AS priority_open_

@@ -11,7 +11,9 @@ from dustline.operators.mentions import (
 from dustline.operators.sheets import combine_sheets, drop_empty_columns, drop_empty_rows
 from dustline.operators.text_tables import as_text, export_csv
 from dustline.operators.usage import object_usage
+from dustline.plans.append import append_folder
 from dustline.plans.audit import check_table, data_check, data_check_all, unused_objects
+from dustline.plans.flatten import flatten_access_history
 from dustline.plans.ingest import (
     combine_workbook,
     ingest_folder,
@@ -28,6 +30,7 @@ __all__ = [
     "access_history",
     "all_object_mentions",
     "all_sheets",
+    "append_folder",
     "as_text",
     "catalog_objects",
     "check_table",
@@ -40,6 +43,7 @@ __all__ = [
     "drop_empty_rows",
     "export_csv",
     "first_sheet",
+    "flatten_access_history",
     "identifier_mentions",
     "infer_types",
     "ingest_folder",

@@ -50,7 +50,7 @@ class CsvSource:
 
     @property
     def paths(self) -> list[str]:
-        return [_as_pattern(path) for path, _, _ in self.parts]
+        return [csv_pattern(path) for path, _, _ in self.parts]
 
     @property
     def addresses(self) -> list[str]:
@@ -65,7 +65,7 @@ class CsvSource:
         return sum(size for _, size, _ in self.parts)
 
 
-def _as_pattern(path: str) -> str:
+def csv_pattern(path: str) -> str:
     """A path that Spark, which takes paths for glob patterns, takes for itself."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
@@ -107,7 +107,7 @@ def list_csv(spark: SparkSession, folder: str) -> list[CsvSource]:
     root = qualified(spark, folder)
     found: dict[str, list[tuple[str, int, str]]] = {}
     try:
-        parts = _listed(spark, f"{_as_pattern(root.rstrip('/'))}/*.csv")
+        parts = _listed(spark, f"{csv_pattern(root.rstrip('/'))}/*.csv")
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -123,7 +123,7 @@ def list_csv(spark: SparkSession, folder: str) -> list[CsvSource]:
 def csv_source(spark: SparkSession, path: str) -> CsvSource:
     """A single file or folder of part files as a source."""
     full = qualified(spark, path)
-    parts = tuple(_listed(spark, _as_pattern(full)))
+    parts = tuple(_listed(spark, csv_pattern(full)))
     if not parts:
         raise ValueError(f"no file at {path}")
     return CsvSource(full.rsplit("/", 1)[-1], full, parts)

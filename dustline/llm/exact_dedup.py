@@ -9,14 +9,15 @@ Fingerprints that then count more than one are suspects, and only their texts ar
 again: they are grouped by their bytes, so that a fingerprint shared by chance parts again.
 
 Of equal texts the row with the most code points in the original stays, then the smallest
-doc_id (null last), then the first row. Repeated rows are copies like any other. Other columns
-of the input play no part and pass through, whatever their names. An empty table gives an empty result.
+doc_id (null last), then the first row. Repeated rows are copies like any other, long texts are
+compared whole. Other columns of the input play no part and pass through, whatever their names. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dustline.llm.bitmaps import may_contain
 from dustline.llm.common import ROW, SPACE, numbered, packed, staged_small
 from dustline.sources.shared import staged
 
@@ -34,6 +36,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 RUN = 50_000
 HELD = 1_000_000
 
+#: Groups of more than this part of all rows are joined where their rows lie.
+LARGE = 1000
+
 FILTER = "quotient long, remainders binary, counts binary"
 
 
@@ -125,24 +130,34 @@ def suspects(fingerprints: DataFrame, rows: int) -> DataFrame:
     )
 
 
+def groups_of_bytes(docs: DataFrame, possible: Callable[[Column], Column]) -> DataFrame:
+    """fingerprint, text_sha256 and group_size of texts that are equal byte by byte, of those whose
+    fingerprints are ``possible``."""
+    text = normalised(F.col("text"))
+    return (
+        docs.select(F.xxhash64(text).alias("fingerprint"), text.alias("__bytes"))
+        .where(possible(F.col("fingerprint")))
+        .groupBy("fingerprint", "__bytes")
+        .agg(F.count("*").alias("group_size"))
+        .where(F.col("group_size") > 1)
+        # Never null, so that no filter of it is put where texts are read.
+        .select("fingerprint", F.coalesce(F.sha2("__bytes", 256), F.lit("")).alias("text_sha256"), "group_size")
+    )
+
+
 def copies(docs: DataFrame, slim: DataFrame) -> DataFrame:
     """``slim`` with keep_id, group_size and kept; ``slim`` is the written digests of ``docs``.
 
-    Copies are grouped where they lie before a row for each group and task is shuffled, so
-    a text that makes up much of the corpus is no burden on one task.
+    Suspects are known to every task by a bitmap of bounded size, whatever their number, which
+    passes few texts beside theirs. What passes is grouped where it lies, so one row for
+    each text and task is shuffled: no text that occurs once, but for those few, and a text that makes up
+    much of the corpus is no burden on one task.
     """
     rows = slim.count()
     suspect = suspects(slim.select("fingerprint"), rows).select("fingerprint")
     suspect = staged_small(suspect, "dedup-suspects", rows)
-    text = normalised(F.col("text"))
-    by_bytes = (
-        docs.select(F.xxhash64(text).alias("fingerprint"), text.alias("__bytes"))
-        .join(suspect, "fingerprint", "left_semi")
-        .groupBy("fingerprint", "__bytes")
-        .agg(F.count("*").alias("group_size"))
-        .where(F.col("group_size") > 1)
-        .select("fingerprint", F.sha2("__bytes", 256).alias("text_sha256"), "group_size")
-    )
+    possible = may_contain(suspect, suspect.count())
+    by_bytes = groups_of_bytes(docs, possible)
     # The least: most code points, then the smallest doc_id, null last, then the first row.
     rank = F.struct(
         (-F.col("n_points")).alias("points"),
@@ -151,22 +166,29 @@ def copies(docs: DataFrame, slim: DataFrame) -> DataFrame:
         F.col(ROW).alias("row"),
     )
     keepers = (
-        slim.join(suspect, "fingerprint", "left_semi")
+        slim.where(possible(F.col("fingerprint")))
         .groupBy("fingerprint", "text_sha256")
         .agg(F.min(rank).alias("__keep"))
     )
+    keys = ["fingerprint", "text_sha256"]
     groups = staged(
-        by_bytes.join(keepers, ["fingerprint", "text_sha256"]).select(
-            "fingerprint",
-            "text_sha256",
+        by_bytes.join(keepers, keys).select(
+            *keys,
             "group_size",
             F.col("__keep.doc").alias("__keep_id"),
             F.col("__keep.row").alias("__keep_row"),
         ),
         "dedup-groups",
     )
+    # Groups above a thousandth of all rows are a thousand at most, so they can be sent to where
+    # their rows lie; no key of the others holds more rows than that.
+    large = F.broadcast(groups.where(F.col("group_size") * LARGE > rows))
+    rest = groups.where(F.col("group_size") * LARGE <= rows)
+    named = slim.join(large, keys).unionByName(
+        slim.join(large.select(*keys), keys, "left_anti").join(rest, keys, "left")
+    )
     alone = F.col("group_size").isNull()
-    return slim.join(groups, ["fingerprint", "text_sha256"], "left").select(
+    return named.select(
         ROW,
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("__keep_id")).alias("keep_id"),

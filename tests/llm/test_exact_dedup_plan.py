@@ -36,7 +36,7 @@ def test_same_result_without_broadcasts(spark, odd, no_broadcast):
 
 
 def test_no_text_is_shuffled_before_it_is_grouped(spark, no_broadcast, capsys):
-    docs = corpus(spark, parts=1)
+    docs = corpus(spark)
     slim = numbered(digests(docs), "t")
     by_plan = exact_dedup.copies(docs, slim)
     assert by_plan.where("kept").count() == 1 + 2000 + 1000

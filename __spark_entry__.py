@@ -57,7 +57,9 @@ try:
     import corpus_pipeline
     from dustline.llm import oracles as corpus_oracles
     from dustline.llm import queries as corpus_queries
-except ImportError:  # the operators on a corpus are a part that can be left out
+except ImportError as problem:  # the operators on a corpus can be left out, as a whole
+    if problem.name not in ("corpus_pipeline", "dustline.llm"):
+        raise
     corpus_pipeline = None
 
 USAGE_AS_OF = datetime(2024, 4, 20, 12)
@@ -438,7 +440,7 @@ def _sheet_union_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_text(spark, path).drop(RAW)
 
 
-def _order_books(spark: SparkSession, sf_dir: str) -> str:
+def _order_books(spark: SparkSession, sf_dir: str, damaged: bool = False) -> str:
     orders = recipes.given(spark, sf_dir, "orders").select(
         "o_orderkey",
         "o_orderstatus",
@@ -451,7 +453,7 @@ def _order_books(spark: SparkSession, sf_dir: str) -> str:
         "orders": ["o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "is_open"],
         "owners": ["o_orderkey", "o_custkey"],
     }
-    return recipes.workbook_folder(orders, sheets, "o_orderkey")
+    return recipes.workbook_folder(orders, sheets, "o_orderkey", damaged)
 
 
 def _workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -494,6 +496,40 @@ def _workbook_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, loaded)
 
 
+def _workbook_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status of workbooks of which half end halfway, and the rows that got into tables."""
+    out, database = new_folder(spark, "from-workbooks"), recipes.run_database(spark)
+    books = ingest_workbooks(spark, _order_books(spark, sf_dir, damaged=True), out)
+    books = books.select("csv", "rows", F.col("error").isNotNull().alias("failed"))
+    loaded = ingest_folder(spark, out, database).select(
+        F.regexp_extract("path", r"([^/=]*)$", 1).alias("csv"), F.col("rows").alias("loaded")
+    )
+    loaded = loaded.withColumn("csv", F.replace("csv", F.lit("%20"), F.lit(" ")))
+    return books.join(loaded, "csv", "left")
+
+
+def _csv_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which many have a missing value that is spelled out."""
+    cells = [F.expr(cell).alias(name) for name, cell in SPELLED.items()]
+    documents = recipes.given(spark, sf_dir, "documents").select("doc_id", *cells)
+    database = recipes.run_database(spark)
+    ingest_folder(spark, recipes.csv_folder(spark, {"spelled.csv": documents}), database)
+    return spark.table(f"{database}.spelled")
+
+
+#: Tokens of missing values in turn, some other spellings of them among, which are text.
+SPELLINGS = [*NULL_TOKENS, "Null", " NA", "na", "N/A.", "nil", "-"]
+SPELLED = {
+    "text": "CASE WHEN doc_id % 5 = 0 THEN {} ELSE text END",
+    "lang": "CASE WHEN doc_id % 3 = 1 THEN {} ELSE lang END",
+    "source": "CASE WHEN doc_id % 7 < 5 THEN {} ELSE source END",
+}
+_SPELLED = " ".join(f"WHEN {i} THEN '{token}'" for i, token in enumerate(SPELLINGS))
+SPELLED = {
+    name: cell.format(f"CASE (doc_id DIV 2) % {len(SPELLINGS)} {_SPELLED} END") for name, cell in SPELLED.items()
+}
+
+
 def queries() -> dict[str, Query]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
     found = usage_and_ingest()
@@ -549,6 +585,7 @@ def usage_and_ingest() -> dict[str, Query]:
         "csv_report": _csv_report,
         "csv_reload": _csv_reload,
         "csv_append": _csv_append,
+        "csv_null_tokens": _csv_null_tokens,
         "text_table": _text_table,
         "positional_load": _positional_load(0),
         "positional_load_nulls": _positional_load(10),
@@ -559,6 +596,7 @@ def usage_and_ingest() -> dict[str, Query]:
         "workbook_all_sheets": _workbook_all_sheets,
         "workbook_combined": _workbook_combined,
         "workbook_ingest": _workbook_ingest,
+        "workbook_report": _workbook_report,
     }
 
     def in_utc(query: Query) -> Query:
@@ -662,6 +700,11 @@ def usage_and_ingest_sql() -> dict[str, str]:
         for file, (table, columns) in EXPORTS.items()
     )
 
+    spelled = ", ".join(
+        f"{read(f'({cell})'.replace(' DIV ', ' // '))} AS {name}" for name, cell in SPELLED.items()
+    )
+    spelled = f"SELECT {text('doc_id')} AS doc_id, {spelled} FROM documents"
+
     def ended(text: str) -> str:
         return f"""replace({text}, chr(10), CASE doc_id % 3 WHEN 0 THEN chr(10)
             WHEN 1 THEN chr(13) ELSE chr(13) || chr(10) END)"""
@@ -742,6 +785,7 @@ def usage_and_ingest_sql() -> dict[str, str]:
         "csv_line_ends": f"""SELECT {text("doc_id")} AS doc_id, {ended(read("text"))} AS text,
             {read("lang")} AS lang FROM documents""",
         "csv_inferred_text": inferred,
+        "csv_null_tokens": spelled,
         "csv_repeated_headers": f"""SELECT {text("n_nationkey")} AS key, {text("n_name")} AS name,
             {text("n_regionkey")} AS "Unnamed_2", {text("n_name")} AS name_1 FROM nation""",
         "csv_report": report_rows,
@@ -764,5 +808,8 @@ def usage_and_ingest_sql() -> dict[str, str]:
         "workbook_all_sheets": f"{orders.format(', ' + repr('orders') + ' AS sheet')}"
         f" UNION ALL BY NAME {owners}",
         "workbook_combined": combined,
+        "workbook_report": f"""WITH books AS (SELECT {book} AS book, count(*) AS n FROM orders GROUP BY 1)
+            SELECT 'book ' || book || '.csv' AS csv, n AS "rows", false AS failed, n AS loaded FROM books
+            UNION ALL SELECT 'damaged ' || book || '.csv', 0, true, NULL FROM books""",
         "workbook_ingest": orders.format(f""", 'book_' || {book} AS "table" """),
     }

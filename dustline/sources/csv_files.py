@@ -9,7 +9,8 @@ from __future__ import annotations
 import csv
 import io
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -17,11 +18,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dustline.functions.names import quoted
-from dustline.sources.csv_split import file_id, first_records, split_records, whole_records
+from dustline.sources.csv_split import (
+    file_id,
+    first_record,
+    first_records,
+    look,
+    plain_lines,
+    plain_records,
+    split_records,
+    whole_records,
+)
 
 # Columns beside those of a file, whose clean names have no hyphen.
 RAW = "raw-record"
 FILE = "file-id"
+#: So many files are asked for their headers one by one.
+FEW_FILES = 16
 #: More columns than this, and longer cells, are an error of Spark's parser.
 MAX_COLUMNS = 100_000
 CSV_OPTIONS = {
@@ -130,10 +142,16 @@ def csv_source(spark: SparkSession, path: str) -> CsvSource:
 
 
 def read_heads(spark: SparkSession, sources: Sequence[CsvSource]) -> dict[str, tuple[str, ...]]:
-    """The cells of each source's header, by path, in one job for all; none where there is none."""
+    """The cells of each source's header, by path; none where there is none.
+
+    A few files are asked one by one, several at a time, and many by one job for all.
+    """
+    if len(sources) <= FEW_FILES:
+        with ThreadPoolExecutor(max_workers=FEW_FILES) as pool:
+            found = pool.map(lambda source: first_record(spark, source.paths[0]), sources)
+        heads = zip(sources, found, strict=True)
+        return {source.path: _cells(record) for source, record in heads if record is not None}
     firsts = {source.addresses[0]: source for source in sources}
-    if not firsts:
-        return {}
     paths = [source.paths[0] for source in sources]
     addresses = spark.createDataFrame([(a,) for a in firsts], "address string")
     addresses = addresses.select("address", file_id(F.col("address")).alias("file"))
@@ -180,22 +198,27 @@ def read_records(
     Fields a short record lacks are null. ``raw-record`` holds the text of a record that has
     more or fewer fields than ``width`` and is null for all others.
 
-    Files are read whole, a task each, up to ``split_bytes``, and beyond that in splits. By
-    default files are read whole if that keeps all cores busy and none is larger than a split
-    of the session. The records are the same.
+    Files without a quote are read by lines, in splits of any size. Others are read whole, a task
+    each, up to ``split_bytes``, and beyond that in splits. By default they are read whole if
+    that keeps all cores busy and none is larger than a split of the session. The records are
+    the same.
     """
     sources = [sources] if isinstance(sources, CsvSource) else sources
-    paths = [path for source in sources for path in source.paths]
-    total = sum(source.total for source in sources)
-    largest = max(source.largest for source in sources)
-    cut = whole_bytes(spark)
-    if split_bytes is None:
-        small = _bytes(spark, "spark.sql.files.openCostInBytes")
-        split_bytes = max(small, min(cut, total // spark.sparkContext.defaultParallelism))
-    if largest <= split_bytes:
-        records = whole_records(spark, paths, largest, total, width)
-    else:
-        records = split_records(spark, paths, total, width, cut)
+    parts = {address: (path, size) for source in sources for path, size, address in source.parts}
+    lines = plain_lines(spark, _patterns(parts), sum(size for _, size in parts.values()), width)
+    seen = look(lines)
+    quoted_parts = {address: part for address, part in parts.items() if seen.get(address, (False,))[0]}
+    # Files without any line have no record. Numbers of lines are of one scan of the same files.
+    records = None
+    if len(quoted_parts) < len(parts):
+        if quoted_parts:
+            plain = {address: part for address, part in parts.items() if address not in quoted_parts}
+            lines = plain_lines(spark, _patterns(plain), sum(size for _, size in plain.values()), width)
+            seen = look(lines)
+        records = plain_records(lines, [first for _, first in seen.values()])
+    if quoted_parts:
+        more = _quoted_records(spark, quoted_parts, width, split_bytes)
+        records = more if records is None else records.unionByName(more)
     parsed = F.from_csv("record", _schema(width), CSV_OPTIONS).alias("r")
     return (
         records.where(F.col("number") > 1)
@@ -204,6 +227,23 @@ def read_records(
     )
 
 
+def _patterns(parts: Mapping[str, tuple[str, int]]) -> list[str]:
+    return [csv_pattern(path) for path, _ in parts.values()]
+
+
+def _quoted_records(
+    spark: SparkSession, parts: Mapping[str, tuple[str, int]], width: int, split_bytes: int | None
+) -> DataFrame:
+    paths, sizes = _patterns(parts), [size for _, size in parts.values()]
+    total, largest, cut = sum(sizes), max(sizes), whole_bytes(spark)
+    if split_bytes is None:
+        small = _bytes(spark, "spark.sql.files.openCostInBytes")
+        split_bytes = max(small, min(cut, total // spark.sparkContext.defaultParallelism))
+    if largest <= split_bytes:
+        return whole_records(spark, paths, largest, total, width)
+    return split_records(spark, paths, total, width, cut)
+
+
 def _bytes(spark: SparkSession, setting: str) -> int:
     text = spark.conf.get(setting).lower()
     number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", text).groups()

@@ -10,11 +10,15 @@ file a first scan composes the maps of each split, for both states it may be ent
 keeps numbers only. Over the splits of a file, one small row each, the true states follow. A
 second scan, which knows them, puts together the records that lie in a split; where a record
 crosses splits, one more scan takes its lines from their edges. No line goes through a join
-that shuffles it. Files without any quote need no first scan.
+that shuffles it.
+
+In a file without any quote each line is a record. One look at the lines of all files, with a row
+of numbers for each file, tells these apart, and Spark's own reader of lines is all they need.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -45,11 +49,18 @@ STATES = (
     "file long, split long, enters_inside boolean, leaves_inside boolean, starts long, "
     "records_before long, inside_until long, last long"
 )
-#: Stands for the states of splits of files without any quote: all are entered outside.
-UNQUOTED = "unquoted"
+#: Lines that are looked at for a header at first.
+FIRST_LINES = 16
 RECORDS = "file long, number long, record string"
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    """The largest split of the session."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").lower()
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", text).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
 def file_id(address: Column) -> Column:
     """The number by which lines and records name their file, from its full address."""
     return F.xxhash64(address)
@@ -121,11 +132,61 @@ def scan_lines(spark: SparkSession, paths: Sequence[str], width: int) -> DataFra
     )
 
 
+def plain_lines(spark: SparkSession, paths: Sequence[str], total: int, width: int) -> DataFrame:
+    """Lines at any line end with file, address, and a number; none for a line of blanks.
+
+    The numbers are the same in each scan, as files are cut alike. A line with a quote may be
+    cut here where it should not be.
+    """
+    fixed = _own_session(spark, min(_split_bytes(spark), max(SMALL_SPLIT, total // spark.sparkContext.defaultParallelism)))
+    address = F.col("_metadata.file_path")
+    lines = fixed.read.option("recursiveFileLookup", "true").text(list(paths))
+    return lines.select(
+        file_id(address).alias("file"), address.alias("address"), F.monotonically_increasing_id().alias("pos"), "value"
+    ).where((F.btrim("value", F.lit(" \t")) if width > 1 else F.col("value")) != "")
+
+
+def look(lines: DataFrame) -> dict[str, tuple[bool, int]]:
+    """For each file of ``plain_lines`` by address, whether it has a quote, and the number of its
+    first line. One row of numbers for each file."""
+    found = lines.groupBy("address").agg(
+        F.bool_or(F.col("value").contains('"')).alias("quoted"), F.min("pos").alias("first")
+    )
+    return {row["address"]: (row["quoted"], row["first"]) for row in found.collect()}
+
+
+def plain_records(lines: DataFrame, firsts: Sequence[int]) -> DataFrame:
+    """Rows ``(file, number, record)`` of ``plain_lines`` of files without quotes, but for their
+    headers, whose numbers are ``firsts``: as many as there are files."""
+    spark = lines.sparkSession
+    heads = spark.createDataFrame([(first,) for first in firsts], "pos long")
+    number = F.lit(2).cast("long").alias("number")
+    below = lines.join(F.broadcast(heads), "pos", "left_anti") if len(firsts) > 100 else lines.where(~F.col("pos").isin(*firsts))
+    return below.select("file", number, F.col("value").alias("record"))
+
+
+def first_record(spark: SparkSession, path: str) -> str | None:
+    """The header of one file, if it has one.
+
+    The first lines are read, and more only of a header that is not ended by then.
+    """
+    lines, wanted = scan_lines(spark, [path], 2).select(*LINES, "length"), FIRST_LINES
+    while True:
+        rows = lines.limit(wanted).collect()
+        names = [field.name for field in lines.schema]
+        batch = pa.RecordBatch.from_arrays([pa.array([row[name] for row in rows]) for name in names], names)
+        for head in _heads(iter([batch]), HEAD_BYTES):
+            return head.column("record")[0].as_py()
+        if len(rows) < wanted:
+            return None
+        wanted *= 16
+
+
 def first_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Rows ``(file, number, record)`` with number 1: the header of each file.
+    """Rows ``(file, number, record)`` with number 1: the header of each of many files.
 
     Files are cut into small splits, and a task stops when no split of its own can hold a
-    header any more, so of a large file little more than the first lines is read.
+    header any more.
     """
     fixed = _own_session(
         spark, HEAD_BYTES, spark__sql__execution__arrow__maxRecordsPerBatch="256"
@@ -152,8 +213,6 @@ def split_records(
     size = min(split_bytes, max(SMALL_SPLIT, total // (8 * cores)))
     fixed = _own_session(spark, max(size, total // MANY_SPLITS))
     lines = scan_lines(fixed, paths, width).select(*LINES)
-    if lines.where(F.col("value").contains('"')).isEmpty():
-        return lines.mapInArrow(lambda batches: _records(batches, UNQUOTED), RECORDS)
     edges = staged(lines.drop("value").mapInArrow(_edges, EDGES), "csv-edges")
     splits = _true_states(edges).collect()
     last = {row["file"]: row for row in sorted(splits, key=lambda row: row["split"])}
@@ -294,13 +353,12 @@ def _edge_row(seen: dict) -> pa.RecordBatch:
 
 def _records(
     batches: Iterator[pa.RecordBatch],
-    entries: Mapping[tuple[int, int], tuple[bool, int]] | str | None,
+    entries: Mapping[tuple[int, int], tuple[bool, int]] | None,
 ) -> Iterator[pa.RecordBatch]:
     """The records that lie within a split.
 
     ``entries`` says of each split whether it is entered inside quotes and how many records
-    begin before it; without, each file is one split. Of files without quotes numbers only tell
-    the header, which is in the first split, from other records. The last record seen is held back until
+    begin before it; without, each file is one split. The last record seen is held back until
     the next begins or its split ends; one that the split leaves open is not for here, nor are
     the lines before the first record.
     """
@@ -325,8 +383,8 @@ def _records(
             split = batch.column("split")[0].as_py()
             if entries is None and split:
                 raise ValueError("a file that was taken for whole is cut")
-            if entries is None or entries == UNQUOTED:
-                inside_now, number = False, min(split, 1)
+            if entries is None:
+                inside_now, number = False, 0
             else:
                 inside_now, number = entries[file, split]
         inside, inside_now = _inside(batch, inside_now)

@@ -8,6 +8,7 @@ of every query grows with them. Files go to the shared folder of the session.
 from __future__ import annotations
 
 import io
+import re
 import sys
 import tempfile
 import zipfile
@@ -80,9 +81,9 @@ UNUSED_SQL = """
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """A local session that names no shared folder, as in tests, gets one of its own."""
+    """A session of one machine that names no shared folder, as in tests, gets one of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named and spark.sparkContext.master.startswith("local"):
+    if not named and re.match(r"local(\[|$)", spark.sparkContext.master):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dustline-"))
     return spark
 
@@ -141,11 +142,14 @@ def csv_lines(lines: DataFrame, header: str, path: str) -> None:
 BOOK_ROWS = 5_000
 
 
-def workbook_folder(df: DataFrame, sheets: Mapping[str, Sequence[str]], key: str) -> str:
+def workbook_folder(
+    df: DataFrame, sheets: Mapping[str, Sequence[str]], key: str, damaged: bool = False
+) -> str:
     """A folder of workbooks that together hold ``df``, one per range of a unique key.
 
     Each sheet holds the named columns. The name and the content of a workbook depend on
-    its range only, so a task that runs again writes the same files again.
+    its range only, so a task that runs again writes the same files again. With ``damaged``
+    there is a copy of each workbook that ends halfway.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     folder = new_folder(df.sparkSession, "workbooks")
@@ -160,7 +164,10 @@ def workbook_folder(df: DataFrame, sheets: Mapping[str, Sequence[str]], key: str
             for sheet, columns in sheets.items()
         }
         with files.open_output_stream(f"{root}/book {rows[0]['book']}.xlsx") as stream:
-            stream.write(workbook_bytes(book))
+            stream.write(content := workbook_bytes(book))
+        if damaged:
+            with files.open_output_stream(f"{root}/damaged {rows[0]['book']}.xlsx") as stream:
+                stream.write(content[: len(content) // 2])
         return pa.table({"n": pa.array([len(rows)], pa.int64())})
 
     books = df.withColumn("book", F.floor(F.col(key) / BOOK_ROWS)).repartition(partitions, "book")

@@ -20,7 +20,7 @@ from dustline import (
 from dustline.operators import text_tables
 from dustline.operators.text_tables import RAW, replace_table
 from dustline.plans import ingest
-from dustline.sources import csv_split
+from dustline.sources import csv_files, csv_split
 from dustline.sources.csv_files import csv_source, entry_of, list_csv, read_head, read_records
 from dustline.sources.shared import staged
 
@@ -430,3 +430,35 @@ def test_export_reads_back(spark, tmp_path):
     export_csv(df, path)  # replaces
     back = read_csv_text(spark, path).drop(RAW)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, as_text(df).collect()))
+
+
+@pytest.mark.parametrize("few", [0, 16])
+def test_quoted_and_plain_files_together(spark, database, tmp_path, monkeypatch, few):
+    """One header, files with and without quotes, with every line end: the rows of all."""
+    monkeypatch.setattr(csv_files, "FEW_FILES", few)
+    contents = {
+        "plain": "a,b\n1,x\n\n2,y\n",
+        "quoted": 'a,b\n1,"x\ny"\n2,"z"\n',
+        "returns": "a,b\r1,x\r\r2,y\r",
+        "both": "\r\n ﻿".replace(" ﻿", "") + "a,b\r\n1,x\r\n2,y",
+        "marked": "﻿a,b\n1,x\n",
+        "header": "a,b\n",
+        "late": "\n\n  \na,b\n1,\n",
+    }
+    for name, content in contents.items():
+        (tmp_path / f"mixed_{name}.csv").write_bytes(content.encode())
+    status = ingest_folder(spark, str(tmp_path), database)
+    rows = {r["table"]: (r["rows"], r["error"]) for r in status.collect()}
+    counts = {"plain": 2, "quoted": 2, "returns": 2, "both": 2, "marked": 1, "header": 0, "late": 1}
+    assert rows == {f"mixed_{name}": (n, None) for name, n in counts.items()}
+    cells = [tuple(r) for r in spark.table(f"{database}.mixed_quoted").orderBy("a").collect()]
+    assert cells == [("1", "x\ny"), ("2", "z")]
+    assert [tuple(r) for r in spark.table(f"{database}.mixed_late").collect()] == [("1", "")]
+
+
+def test_plain_files_need_no_python(spark, tmp_path, capsys):
+    (tmp_path / "plain.csv").write_text("a,b\n" + "1,x\n" * 1000)
+    text = csv_files.read_records(spark, csv_files.csv_source(spark, str(tmp_path / "plain.csv")), 2)
+    text.explain()
+    assert "MapInArrow" not in capsys.readouterr().out
+    assert text.count() == 1000

@@ -192,7 +192,7 @@ class Coder:
             yield b"".join(map(self.words.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
-        parts = self.specials.split(text) if self.special and "<" in text else [text]
+        parts = self.specials.split(text) if any(t in text for t in self.special) else [text]
         found = []
         for place, part in enumerate(parts):
             if place % 2:
@@ -206,13 +206,52 @@ class Coder:
         return b" ".join(labels).decode()
 
 
+# How the tokenizers that are built in here change and part a text, in their file.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def differences(parsed: dict) -> list[str]:
+    """What a tokenizer file asks for that is not built in here; nothing of it would be heard."""
+    model = parsed["model"]
+    found = [
+        name
+        for name, built_in in (("normalizer", NORMALIZER), ("pre_tokenizer", PRE_TOKENIZER), ("decoder", None))
+        if parsed.get(name) != built_in
+    ]
+    if model.get("type") != "BPE" or model.get("end_of_word_suffix") != END:
+        found.append("model")
+    for name in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"):
+        if model.get(name):
+            found.append(name)
+    for token in parsed["added_tokens"]:
+        if not token["special"] or any(token[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            found.append(f"added token {token['content']}")
+    return found
+
+
 def read_tokenizer(path: str) -> dict:
-    """What a tokenizer file says of a BPE with word ends."""
+    """What a tokenizer file says of a BPE with word ends, of the kind that is built in here; any
+    other is an error."""
     with open(path, encoding="utf-8") as file:
         parsed = json.load(file)
+    if found := differences(parsed):
+        raise ValueError(f"{path} has another {', '.join(found)}")
     model = parsed["model"]
-    if model["type"] != "BPE" or model["end_of_word_suffix"] != END:
-        raise ValueError(f"not a BPE with word ends: {path}")
     merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
     special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
     return {"vocabulary": model["vocab"], "merges": merges, "special": special}

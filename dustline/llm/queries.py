@@ -24,7 +24,8 @@ from dustline.llm import (
 )
 from dustline.llm.common import ROW, WORD, bound, documents, numbered
 
-#: The tokenizer of the registered queries; the operators take the path of any.
+#: The tokenizers of the registered queries. The BPE automaton takes the path of any of its kind
+#: and refuses others; packing takes any.
 TOKENIZER = "word_bpe_49k.json"
 PACKED_TOKENIZER = "byte_bpe_50k.json"
 

@@ -7,7 +7,7 @@ row for each finding. A run adds what is missing only: blobs that the ledger doe
 and for those it has, rules with a version that it has not seen. Findings are then joined
 back to all rows that hold the blob.
 
-A null text is the empty blob, which has no finding. Equal rows share a blob and each get its
+A null text is the empty blob, which has no finding. Long texts are scanned whole. Equal rows share a blob and each get its
 findings. An empty table adds nothing. Other columns of the input play no part.
 """
 
@@ -19,9 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dustline.llm.common import bound, files_for, staged_small
+from dustline.llm.common import bound, files_for
 from dustline.sources.shared import new_folder, staged
 
+#: Addresses that are sent to all tasks at most, some 30 MB.
+SENT = 200_000
+
 PAIRS = "blob string, rule string"
 FINDINGS = "blob string, rule string, start int, end int"
 
@@ -117,22 +120,38 @@ def _matches(text: Column, rule: Rule) -> Column:
     return F.when(possible & text.rlike(rule.pattern), found)
 
 
-def scan(docs: DataFrame, ledger: Ledger, rules: list[Rule] = RULES) -> None:
-    """Bring the ledger up to all texts of ``docs`` and all ``rules``.
+def due_pairs(blobs: DataFrame, ledger: Ledger, rules: list[Rule]) -> DataFrame:
+    """blob and due: the rules that have not scanned it, for each of ``blobs`` that has any.
 
-    A text is shuffled once, and only one copy for each task that reads it. The texts of one
-    blob meet in one row, so a text that makes up much of the corpus costs nothing.
+    No text takes part. Of the ledger only the pairs of these blobs are grouped.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    blobs = docs.select(blob_of(F.col("text")).alias("blob"), text.alias("text"))
-    blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"))
     names = [rule.name for rule in rules]
-    known = ledger.pairs().where(F.col("rule").isin(names)).groupBy("blob")
-    known = known.agg(F.collect_set("rule").alias("known"))
-    todo = blobs.join(known, "blob", "left")
-    todo = todo.withColumn(
-        "due", F.array_except(F.array(*map(F.lit, names)), F.coalesce("known", F.array().cast("array<string>")))
-    ).where(F.size("due") > 0)
+    known = ledger.pairs().where(F.col("rule").isin(names)).join(blobs, "blob", "left_semi")
+    known = known.groupBy("blob").agg(F.collect_set("rule").alias("known"))
+    none = F.array().cast("array<string>")
+    due = F.array_except(F.array(*map(F.lit, names)), F.coalesce("known", none))
+    return blobs.join(known, "blob", "left").select("blob", due.alias("due")).where(F.size("due") > 0)
+
+
+def scan(docs: DataFrame, ledger: Ledger, rules: list[Rule] = RULES) -> int:
+    """Bring the ledger up to all texts of ``docs`` and all ``rules``; how many blobs were due.
+
+    The ledger is asked first, by content addresses alone. Only texts of blobs that are due are
+    shuffled, once, and one copy for each task that reads it. The texts of one blob meet in one row, so a text
+    that makes up much of the corpus costs nothing. Where due blobs are few, their addresses are sent to
+    where texts are read; where they are most of them, or more than can be sent, a copy of each text is
+    shuffled before it meets what is due.
+    """
+    address = blob_of(F.col("text")).alias("blob")
+    blobs = staged(docs.select(address).distinct(), "secret-blobs")
+    due = staged(due_pairs(blobs, ledger, rules), "secret-due")
+    amount = due.count()
+    if not amount:
+        return 0
+    texts = docs.select(address, F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    if amount <= SENT and 2 * amount <= blobs.count():
+        texts = texts.join(F.broadcast(due.select("blob")), "blob", "left_semi")
+    todo = texts.groupBy("blob").agg(F.first("text").alias("text")).join(due, "blob")
 
     def matches(rule: Rule) -> Column:
         found = F.when(F.array_contains("due", rule.name), _matches(F.col("text"), rule))
@@ -155,7 +174,8 @@ def scan(docs: DataFrame, ledger: Ledger, rules: list[Rule] = RULES) -> None:
         "blob", "rule", (F.col("end") - F.col("m.own")).alias("start"), "end"
     )
     pairs = scanned.select("blob", F.explode("due").alias("rule"))
-    ledger.add(pairs, findings, files_for(scanned.count() * len(rules)))
+    ledger.add(pairs, findings, files_for(amount * len(rules)))
+    return amount
 
 
 def find_secrets(
@@ -174,11 +194,11 @@ def find_secrets(
     finding = F.struct(
         "start", place[F.col("rule")].alias("place"), kinds[F.col("rule")].alias("kind"), "end"
     )
-    by_blob = ledger.findings().where(F.col("rule").isin(names)).groupBy("blob")
-    by_blob = by_blob.agg(F.sort_array(F.collect_list(finding)).alias("findings"))
-    by_blob = staged_small(by_blob, "secret-findings", ledger.pairs().count())
-    none = F.array().cast(by_blob.schema["findings"].dataType)
     held = docs.select("doc_id", blob_of(F.col("text")).alias("blob"))
+    here = ledger.findings().where(F.col("rule").isin(names)).join(held.select("blob"), "blob", "left_semi")
+    by_blob = here.groupBy("blob").agg(F.sort_array(F.collect_list(finding)).alias("findings"))
+    by_blob = staged(by_blob, "secret-findings")
+    none = F.array().cast(by_blob.schema["findings"].dataType)
     return held.join(by_blob, "blob", "left").select(
         "doc_id", "blob", F.coalesce("findings", none).alias("findings")
     )

@@ -32,8 +32,9 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from dustline.llm.common import ROW, ROW_TYPE, packed, row_of, staged_small
+from dustline.llm.common import ROW, packed, row_of, staged_small
 from dustline.sources.shared import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -86,9 +87,9 @@ def fingerprint_batches(size: int):
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, ``__row`` and fingerprint of each row of ``docs``, which is numbered."""
-    return docs.select(
-        F.col("doc_id").cast("long"), ROW, F.col("text").cast("binary").alias("__text")
-    ).mapInArrow(fingerprint_batches(size), f"doc_id long, {ROW} {ROW_TYPE}, fingerprint long")
+    rows = docs.select("doc_id", ROW, F.col("text").cast("binary").alias("__text"))
+    schema = StructType(rows.schema.fields[:-1]).add("fingerprint", "long")
+    return rows.mapInArrow(fingerprint_batches(size), schema)
 
 
 class BKTree:

@@ -1,6 +1,7 @@
 """Tokens against the tokenizers library, models by held-out accuracy and odd rows."""
 
 import collections
+import json
 import math
 import random
 import zlib
@@ -336,3 +337,28 @@ def test_long_texts_take_no_place_of_others(judged, monkeypatch):
     found = drawn(copies.drop("i").union(docs.where(F.col("doc_id") != first)))
     # Repeats count, as rows do; a bound of rows or bytes ends within them.
     assert len(found) == 1 and sum(len(t) * n for (t, _), n in found.items()) <= 400_000
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda t: t.update(normalizer=None),
+        lambda t: t["normalizer"]["normalizers"].pop(),
+        lambda t: t["pre_tokenizer"]["pretokenizers"][0].update(behavior="Isolated"),
+        lambda t: t.update(decoder={"type": "BPEDecoder", "suffix": "</w>"}),
+        lambda t: t["model"].update(ignore_merges=True),
+        lambda t: t["model"].update(byte_fallback=True),
+        lambda t: t["model"].update(unk_token="<|endoftext|>"),
+        lambda t: t["model"].update(end_of_word_suffix="@"),
+        lambda t: t["added_tokens"][0].update(lstrip=True),
+        lambda t: t["added_tokens"][0].update(special=False),
+    ],
+)
+def test_tokenizers_of_another_kind_are_refused(tmp_path, change):
+    with open(PATH, encoding="utf-8") as file:
+        parsed = json.load(file)
+    assert bpe.differences(parsed) == []
+    change(parsed)
+    (tmp_path / "other.json").write_text(json.dumps(parsed))
+    with pytest.raises(ValueError, match="has another"):
+        bpe.read_tokenizer(str(tmp_path / "other.json"))

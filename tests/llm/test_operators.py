@@ -469,3 +469,56 @@ def test_written_shards(odd, spark, tmp_path):
     sharding.write_shards(odd, [1.0, 1.0], path)
     assert spark.read.parquet(path).count() == len(odd_rows())
     assert ROW not in spark.read.parquet(path).columns
+
+
+# Ids of any type, and what a second run need not do
+
+
+def test_ids_may_be_text(spark, odd):
+    """Each operator gives the rows of numeric ids under their text, as far as order agrees."""
+    named = odd.withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 5, "0")))
+    name = lambda i: None if i is None else f"d{i:05d}"
+    near = simhash.find_near_copies(named.where("doc_id is not null")).collect()
+    numeric = simhash.find_near_copies(odd.where("doc_id is not null")).collect()
+    expected = collections.Counter((name(r["doc_id"]), name(r["component_id"])) for r in numeric)
+    assert collections.Counter((r["doc_id"], r["component_id"]) for r in near) == expected
+    copies = exact_dedup.find_copies(named).where("doc_id is not null")
+    other = exact_dedup.find_copies(odd).where("doc_id is not null").collect()
+    expected = collections.Counter((name(r["doc_id"]), name(r["keep_id"])) for r in other)
+    assert collections.Counter((r["doc_id"], r["keep_id"]) for r in copies.collect()) == expected
+    n = odd.count()
+    assert mixed(named).count() == n
+    assert quality_rules.judge(named).count() == n
+    assert secret_scan.find_secrets(named).count() == n
+    assert sharding.assign(named, [1.0] * 4).count() == n
+    assert simhash.deduplicate(named).schema["doc_id"].dataType.simpleString() == "string"
+
+
+def test_known_blobs_are_not_read_again(spark, odd, monkeypatch):
+    ledger = secret_scan.Ledger(spark)
+    blobs = odd.select(secret_scan.blob_of(F.col("text"))).distinct().count()
+    assert secret_scan.scan(odd, ledger) == blobs
+    before = plain(ledger.findings())
+    assert secret_scan.scan(odd, ledger) == 0
+    labels = []
+    usual = secret_scan.staged
+    monkeypatch.setattr(secret_scan, "staged", lambda df, label: labels.append(label) or usual(df, label))
+    found = plain(secret_scan.find_secrets(odd, ledger))
+    assert "secret-scans" not in labels
+    assert found == plain(secret_scan.find_secrets(odd)) and plain(ledger.findings()) == before
+    more = odd.union(odd.limit(1).withColumn("text", F.lit("token = abcdefgh")))
+    assert secret_scan.scan(more, ledger) == 1
+    changed = [secret_scan.Rule("hex", 2, r"[0-9a-f]{30,}")]
+    assert secret_scan.scan(odd.where("text is not null"), ledger, changed) > 1
+
+
+def test_few_due_blobs_meet_texts_where_they_are_read(spark, odd, monkeypatch):
+    """Sent or not, the ledger and the findings are the same."""
+    half = odd.where("doc_id > 210")
+    results = []
+    for sent in (0, secret_scan.SENT):
+        monkeypatch.setattr(secret_scan, "SENT", sent)
+        ledger = secret_scan.Ledger(spark)
+        secret_scan.scan(odd.where("doc_id <= 210"), ledger)
+        results.append((plain(secret_scan.find_secrets(half, ledger)), plain(ledger.pairs())))
+    assert results[0] == results[1]

@@ -44,23 +44,35 @@ def row_of(file: Column, row: Column) -> Column:
     return F.struct(file.cast("long").alias("file"), row.cast("long").alias("row"))
 
 
-def packed(docs: DataFrame, label: str) -> DataFrame:
+def packed(docs: DataFrame, label: str, written: bool = False) -> DataFrame:
     """Each row of ``docs`` whole in ``__doc`` beside its number: no column's name clashes with
     those that an operator adds.
 
-    Rows of a written table have a place in a file, which is their number; they are not written
-    again. Rows of any other frame are, as :func:`numbered` does.
+    The caller says whether ``docs`` is ``written``: a table as it was read from its files, perhaps
+    with some rows or columns left out. Its rows have places there, which are their numbers. Rows
+    of any other frame are written with theirs, as :func:`numbered` does.
     """
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("__doc")
-    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
-        place = row_of(F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index"))
+    if written and "_metadata" not in docs.columns:
+        file = F.xxhash64("_metadata.file_path")
         try:
-            return docs.select(whole, place.alias(ROW))
-        except AnalysisException:  # a format without places of rows, or a column of that name
-            pass
+            rows = docs.select(whole, row_of(file, F.col("_metadata.row_index")).alias(ROW))
+        except AnalysisException:  # files of a format without places of rows
+            return numbered(docs.select(whole), label)
+        check_numbers(docs)
+        return rows
     return numbered(docs.select(whole), label)
 
 
+def check_numbers(docs: DataFrame) -> None:
+    """Raise if two files of ``docs`` have one number. The driver knows their names anyway."""
+    names = [(name,) for name in docs.inputFiles()]
+    files = docs.sparkSession.createDataFrame(names, "name string")
+    both = files.agg(F.count_distinct("name"), F.count_distinct(F.xxhash64("name"))).first()
+    if both[0] != both[1]:
+        raise ValueError("two files have the same number")
+
+
 def files_for(rows: int) -> int:
     """Files that so many narrow rows need."""
     return max(1, -(-rows // ROWS_OF_FILE))

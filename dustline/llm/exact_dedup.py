@@ -204,9 +204,10 @@ def find_copies(docs: DataFrame) -> DataFrame:
     return copies(docs, slim).drop(ROW)
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    rows = packed(docs, "dedup-documents")
+def deduplicate(docs: DataFrame, written: bool = False) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns. A ``written`` table is one as it was
+    read from its files (see ``packed``)."""
+    rows = packed(docs, "dedup-documents", written)
     texts = rows.select(ROW, "__doc.doc_id", "__doc.text")
     slim = staged(digests(texts), "dedup-digests")
     gone = copies(texts, slim).where(~F.col("kept")).select(ROW)

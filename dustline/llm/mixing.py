@@ -6,7 +6,8 @@ including it, divided by the source's weight. All documents are sorted by that t
 mix is what comes before the total budget is used up. A source whose queue runs dry leaves
 its share to the others in proportion to their weights, which is what the targets say.
 
-Null and empty texts have no words; they have a place in the order and take no words. A null
+Null and empty texts have no words; they have a place in the order and take no words. Of a long text
+only its size takes part, and it is taken whole or not at all. A null
 source is a source of its own, last in order. Equal rows are told apart by a row number. An
 empty table gives an empty mix. All columns of the input pass through, whatever their names.
 """
@@ -169,9 +170,11 @@ def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
     max_repeats: int = MAX_REPEATS,
+    written: bool = False,
 ) -> DataFrame:
-    """The documents of the mix with all their columns, each as often as the mix takes it."""
-    rows = packed(docs, "mix-documents")
+    """The documents of the mix with all their columns, each as often as the mix takes it. A
+    ``written`` table is one as it was read from its files (see ``packed``)."""
+    rows = packed(docs, "mix-documents", written)
     size = word_count(F.col("__doc.text")).alias("size")
     sized = staged(rows.select(ROW, "__doc.doc_id", "__doc.source", size), "mix-sized")
     copies = mix_plan(sized, weights, max_repeats).where(F.col("copies") > 0)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dustline.llm import quality_rules as rules
 from dustline.llm.mixing import MAX_REPEATS, WEIGHTS
-from dustline.llm.secret_scan import BASE, RULES
 from dustline.llm.sharding import DIGITS, SHARDS
 
 #: As a regular expression of DuckDB; white space that parts words, and a word.
@@ -66,13 +65,20 @@ FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_points DESC, doc_id)
 """
 
 
-#: The measures as whole numbers of their bins.
-BINS = {
+#: The measures as whole numbers.
+VALUES = {
     "symbols": "1000 * n_symbols // word_chars",
     "lines": "1000 * n_dup_lines // n_lines",
     "repeats": "1000 * n_repeat_words // n_words",
-    "length": f"least({rules.LONGEST}, 100 * word_chars // n_words)",
+    "length": "100 * word_chars // n_words",
 }
+
+
+def _bin(value: str) -> str:
+    """The least value of a bin: of large values 2 ** 12 up to 2 ** 13 share a power of two of them."""
+    return f"({value}) - ({value}) % (CAST(1 AS BIGINT) << greatest(0, length(ltrim(bin({value}), '0')) - {rules.DIGITS}))"
+
+
 LEVELS = {"f": ["lang", "source"], "l": ["lang"], "a": []}
 
 
@@ -86,8 +92,8 @@ def _limits(level: str, measure: str) -> str:
             min(CASE WHEN 4 * place >= n THEN bin END) AS q1,
             min(CASE WHEN 4 * place >= 3 * n THEN bin END) AS q3,
             greatest({rules.FENCE} * (q3 - q1), {tolerance}) AS fence
-        FROM (SELECT {by} {BINS[measure]} AS bin, count(*) OVER ({part}) AS n,
-                  row_number() OVER ({part} ORDER BY {BINS[measure]}) AS place
+        FROM (SELECT {by} {_bin(VALUES[measure])} AS bin, count(*) OVER ({part}) AS n,
+                  row_number() OVER ({part} ORDER BY {VALUES[measure]}) AS place
               FROM m WHERE NOT base_failed)
         {"GROUP BY ALL" if by else ""})"""
 
@@ -100,9 +106,9 @@ def _beyond(measure: str) -> str:
                 THEN l_{measure}.{quartile} {sign} l_{measure}.fence
             ELSE (SELECT {quartile} {sign} fence FROM a_{measure}) END"""
 
-    beyond = f"{BINS[measure]} > {limit('+', 'q3')}"
+    beyond = f"{VALUES[measure]} > {limit('+', 'q3')}"
     if measure == "length":
-        beyond += f" OR {BINS[measure]} < {limit('-', 'q1')}"
+        beyond += f" OR {VALUES[measure]} < {limit('-', 'q1')}"
     return f"CASE WHEN {beyond} THEN '{measure}' END"
 
 
@@ -133,37 +139,48 @@ m AS (
     SELECT *, n_words < {rules.MIN_WORDS}
               OR 100 * n_repeat_words > {rules.MAX_REPEATED} * n_words AS base_failed
     FROM c),
-{", ".join(_limits(level, measure) for level in LEVELS for measure in BINS)},
+{", ".join(_limits(level, measure) for level in LEVELS for measure in VALUES)},
 j AS (
     SELECT m.*, CASE WHEN base_failed THEN '' ELSE concat_ws(',',
-        {", ".join(map(_beyond, BINS))}) END AS failed
+        {", ".join(map(_beyond, VALUES))}) END AS failed
     FROM m
-    {" ".join(f"LEFT JOIN f_{x} ON m.lang IS NOT DISTINCT FROM f_{x}.lang AND m.source IS NOT DISTINCT FROM f_{x}.source LEFT JOIN l_{x} ON m.lang IS NOT DISTINCT FROM l_{x}.lang" for x in BINS)})
+    {" ".join(f"LEFT JOIN f_{x} ON m.lang IS NOT DISTINCT FROM f_{x}.lang AND m.source IS NOT DISTINCT FROM f_{x}.source LEFT JOIN l_{x} ON m.lang IS NOT DISTINCT FROM l_{x}.lang" for x in VALUES)})
 SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words,
        base_failed, failed, NOT base_failed AND failed = '' AS kept
 FROM j
 """
 
 
+#: Kind, pattern, the group that is measured and its least length, as the base kinds are asked for.
+SECRET_KINDS = [
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 0),
+]
+BASE = ("assign", "access", "hex")
+
+
 def _spans(place: int) -> str:
-    rule = RULES[place]
-    pattern = rule.pattern.replace("'", "''")
-    return f"""SELECT doc_id, {place} AS place, '{rule.kind}' AS kind, s AS e, s - length(own) AS b
+    kind, pattern, tested, least = SECRET_KINDS[place]
+    pattern = pattern.replace("'", "''")
+    return f"""SELECT doc_id, {place} AS place, '{kind}' AS kind, s AS e, s - length(own) AS b
         FROM (
             SELECT doc_id, own, tested, sum(length(gap) + length(own)) OVER (
                        PARTITION BY doc_id ORDER BY i {RUNNING}) AS s
             FROM (
                 SELECT doc_id, unnest(owns) AS own, generate_subscripts(owns, 1) AS i,
-                       unnest(regexp_extract_all(t, '{pattern}', {rule.tested})) AS tested,
+                       unnest(regexp_extract_all(t, '{pattern}', {tested})) AS tested,
                        unnest(string_split_regex(t, '{pattern}')[:len(owns)]) AS gap
                 FROM (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS owns FROM d)))
-        WHERE length(tested) >= {rule.least}"""
+        WHERE length(tested) >= {least}"""
 
 
 BASE_KINDS = ", ".join(f"'{kind}'" for kind in BASE)
 SECRETS = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-found AS ({" UNION ALL ".join(_spans(place) for place in range(len(RULES)))}),
+found AS ({" UNION ALL ".join(_spans(place) for place in range(len(SECRET_KINDS)))}),
 listed AS (
     SELECT doc_id, string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, place) AS spans,
         string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, place)

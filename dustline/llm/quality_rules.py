@@ -14,7 +14,7 @@ few that of all documents. The thresholds are joined to the documents by languag
 Null and empty texts have no words and fail the base rules; documents that do are not
 sketched. A null language or source is a group of its own. Repeated rows count as often as
 they occur. In an empty table, or where no document passes the base rules, there are no
-thresholds to fail. Two windows count as equal if their 64-bit hashes are. Other columns of
+thresholds to fail. Long texts are measured whole. Two windows count as equal if their 64-bit hashes are. Other columns of
 the input play no part; those with the names of results are replaced.
 """
 
@@ -39,8 +39,6 @@ MIN_DOCS = 100
 FENCE = 3
 #: Bins that the fence spans at least: thousandths of a share, hundredths of a code point.
 TOLERANCE = {"symbols": 50, "lines": 400, "repeats": 300, "length": 150}
-#: The SQL holds all word lengths from 64 code points on for one; the rules do not.
-LONGEST = 6400
 #: Binary digits of a value that tell its bin: values of no more have a bin each.
 DIGITS = 13
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]

@@ -5,7 +5,7 @@ A draw does not depend on the other shards, so one more shard only takes records
 itself, and a heavier weight wins more. The law is ``key``: doc_id and the shards decide.
 
 A null doc_id is a key like any other: all such records share a shard. Null and empty texts
-have one byte. Equal rows get slots of their own, in any order among themselves. An empty
+have one byte, long ones as many as they have and one. Equal rows get slots of their own, in any order among themselves. An empty
 table gives an empty result. Other columns of the input play no part.
 """
 

@@ -305,9 +305,12 @@ def find_near_copies(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row of each group of ``docs``, with all columns."""
-    rows = packed(docs, "simhash-documents")
+def deduplicate(
+    docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS, written: bool = False
+) -> DataFrame:
+    """One row of each group of ``docs``, with all columns. A ``written`` table is one as it was
+    read from its files (see ``packed``)."""
+    rows = packed(docs, "simhash-documents", written)
     found = groups(rows.select(ROW, "__doc.doc_id", "__doc.text"), size, radius)
     gone = staged(found.where(F.col(ROW) != F.col("__first_row")).select(ROW), "simhash-gone")
     return rows.join(gone, ROW, "left_anti").select("__doc.*")

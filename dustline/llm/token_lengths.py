@@ -6,7 +6,7 @@ length that occurs, however many documents there are. Suffix sums over it, from
 length down, answer for every context limit how many tokens the corpus has, what share
 of documents fits and how many tokens are left if each document is cut at the limit.
 
-A null text has no tokens, like an empty one. Repeated rows count as often as they occur. An
+A null text has no tokens, like an empty one; a long one is encoded whole, in stretches. Repeated rows count as often as they occur. An
 empty table has an empty histogram. Other columns of the input play no part.
 """
 

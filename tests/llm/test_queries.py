@@ -12,6 +12,7 @@ from test_operators import classes, counted, simhash_of, words
 
 import corpus_pipeline
 from dustline.llm import mixing, oracles, queries, quality_rules
+from dustline.sources.shared import staged
 from pyspark.sql import functions as F
 
 duckdb = pytest.importorskip("duckdb")
@@ -68,7 +69,7 @@ def test_stages(spark):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     given, kept = docs.columns, [docs]
     for _, stage in corpus_pipeline.STAGES:
-        kept.append(stage(spark, kept[-1], folder).persist())
+        kept.append(staged(stage(spark, kept[-1], folder), "t"))
     assert all(df.columns == given for df in kept[:-1])
     texts = [{r["doc_id"]: r["text"] for r in df.collect()} for df in kept[:-1]]
 

@@ -1,7 +1,14 @@
 """From raw documents to a tokenized mix, stage by stage.
 
 Every stage takes all rows that the one before it kept and decides on their whole texts. All
-but the last return the columns of ``documents``.
+but the last return the columns of ``documents``. What comes into a stage is a table as it was read
+from its files.
+
+Null and empty texts fail the quality rules, so later stages meet none of ``documents``; given some, they
+count them as empty: one of them stays after exact dedup, they take no words of the mix, and
+have no ids. Null ids, languages and sources pass through. Long texts are worked on whole, repeated rows
+are copies, ties go to the smaller doc_id, and an empty table gives an empty one. Columns beside those
+of ``documents``, whatever their names, pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -21,17 +28,17 @@ def pass_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return exact_dedup.deduplicate(docs)
+    return exact_dedup.deduplicate(docs, written=True)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints."""
-    return simhash.deduplicate(docs, simhash.SHINGLE, simhash.RADIUS)
+    return simhash.deduplicate(docs, simhash.SHINGLE, simhash.RADIUS, written=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixing.mix(docs)
+    return mixing.mix(docs, written=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import recipes  # noqa: E402
 from dustline import (  # noqa: E402
+    UsageState,
     access_history,
     all_object_mentions,
     all_sheets,
@@ -51,7 +52,7 @@ from dustline.functions.names import table_name  # noqa: E402
 from dustline.functions.text import NULL_TOKENS, csv_line  # noqa: E402
 from dustline.operators.text_tables import RAW  # noqa: E402
 from dustline.plans.append import LOAD, AppendTable  # noqa: E402
-from dustline.sources.shared import new_folder  # noqa: E402
+from dustline.sources.shared import new_folder, staged  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -93,6 +94,18 @@ def _unused(multiplicity: str) -> Query:
     )
 
 
+def _unused_objects_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from a state that read three arrivals one by one, each with rows of all times."""
+    history = _history(spark, sf_dir)
+    arrival = F.date_add(F.lit("2024-04-18").cast("date"), (F.col("QUERY_ID").cast("long") % 3).cast("int"))
+    history = staged(history.withColumn("arrived", arrival), "history", ["arrived"])
+    state = UsageState(spark, new_folder(spark, "usage-state"))
+    for day in ("2024-04-18", "2024-04-19", "2024-04-20"):
+        state.catch_up(history.where(F.col("arrived") <= F.lit(day).cast("date")), "arrived")
+    state.catch_up(history, "arrived")  # finds nothing new
+    return state.unused_objects(USAGE_AS_OF, 90)
+
+
 def _dim_access_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = dim_access_history(_history(spark, sf_dir))
     return materialize(model, "dim_access_history", database=recipes.run_database(spark))
@@ -560,6 +573,7 @@ def usage_and_ingest() -> dict[str, Query]:
         "unused_objects": _unused("rows"),
         "unused_objects_counted": _unused("count"),
         "unused_objects_distinct": _unused("distinct"),
+        "unused_objects_incremental": _unused_objects_incremental,
         "dim_access_history": _dim_access_history,
         "object_mentions": lambda spark, sf_dir: object_mentions(
             _query_log(spark, sf_dir), "db.sales.click"
@@ -766,6 +780,7 @@ def usage_and_ingest_sql() -> dict[str, str]:
         "unused_objects": f"{unused} SELECT * FROM unused_objects",
         "unused_objects_counted": f"""{unused} SELECT *, count(*) AS fan_out
             FROM unused_objects GROUP BY ALL""",
+        "unused_objects_incremental": f"{unused} SELECT * FROM unused_objects",
         "unused_objects_distinct": f"{unused} SELECT DISTINCT * FROM unused_objects",
         "dim_access_history": recipes.HISTORY_SQL,
         "object_mentions": mentions,

@@ -14,6 +14,7 @@ from dustline.operators.usage import object_usage
 from dustline.plans.append import append_folder
 from dustline.plans.audit import check_table, data_check, data_check_all, unused_objects
 from dustline.plans.flatten import flatten_access_history
+from dustline.plans.incremental import UsageState
 from dustline.plans.ingest import (
     combine_workbook,
     ingest_folder,
@@ -27,6 +28,7 @@ from dustline.sources.tables import table
 from dustline.sources.workbooks import all_sheets, first_sheet, scan_workbooks, sheet_rows
 
 __all__ = [
+    "UsageState",
     "access_history",
     "all_object_mentions",
     "all_sheets",

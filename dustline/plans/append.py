@@ -14,11 +14,9 @@ Two runs at a time cannot both write the next manifest; the slower one fails and
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +25,11 @@ from dustline.functions.names import column_names, quoted
 from dustline.functions.text import NULL_TOKENS
 from dustline.operators.text_tables import RAW, fault_text, literal, new_content, text_columns, too_long
 from dustline.sources.csv_files import FILE, CsvSource, csv_pattern, read_heads, read_records
+from dustline.sources.manifests import Manifests
 
 #: The table's own column beside those of the files, whose names have no hyphen.
 LOAD = "load-id"
-ENTRY = "address string, path string, size long, modified long, digest string, load string, folder string, files int"
+ENTRY = "address string, path string, size long, modified long, digest string, folder string"
 
 
 @dataclass(frozen=True)
@@ -43,6 +42,13 @@ class Load:
     rows: int
 
 
+def entries(load: Load) -> Iterator[dict]:
+    """What the manifest of a load says of each file."""
+    for address, path, size, modified, digest in load.files:
+        entry = {"address": address, "path": path, "size": size, "modified": modified, "digest": digest}
+        yield entry | {"folder": load.folder}
+
+
 class AppendTable:
     """A table of text columns that grows by loads, below ``location`` or its database's folder."""
 
@@ -51,24 +57,11 @@ class AppendTable:
         self.name = quoted(database, table)
         base = location or spark.catalog.getDatabase(database).locationUri
         self.base, self.location = f"{base.rstrip('/')}/{table}", location
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self.manifests = f"{self.base}/_loads"
-        hadoop = spark._jsparkSession.sessionState().newHadoopConf()
-        self._files = self._path(self.manifests).getFileSystem(hadoop)
+        self.manifests = Manifests(spark, f"{self.base}/_loads")
 
     def ledger(self) -> DataFrame:
         """A row for each file of each committed load."""
-        if not self._files.exists(self._path(self.manifests)):
-            return self.spark.createDataFrame([], ENTRY).drop("files")
-        lines = self.spark.read.schema(ENTRY).json(self.manifests)
-        # The last line has the number of the others; a manifest without it is not complete.
-        whole = lines.groupBy("load").agg(
-            F.count("address").alias("listed"), F.max("files").alias("files")
-        )
-        whole = whole.where(F.col("listed") == F.col("files")).select("load")
-        entries = lines.where(F.col("address").isNotNull()).drop("files")
-        return entries.join(whole, "load", "left_semi")
+        return self.manifests.read(ENTRY).withColumnRenamed("number", "load")
 
     def _digests(self, paths: Sequence[str]) -> DataFrame:
         """The digest of each file's lines by its address."""
@@ -142,39 +135,14 @@ class AppendTable:
         counts = seen.get
         if counts["faults"]:
             raise ValueError(fault_text(counts["faults"], len(columns)))
-        return Load(self._next_number(), content, tuple(files), counts["rows"])
+        return Load(self.manifests.next_number(), content, tuple(files), counts["rows"])
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
-    def _numbers(self) -> list[str]:
-        folder = self._path(self.manifests)
-        found = self._files.listStatus(folder) if self._files.exists(folder) else []
-        return sorted(status.getPath().getName().removesuffix(".json") for status in found)
-
-    def _next_number(self) -> str:
-        taken = [number for number in self._numbers() if number.isdigit()]
-        return f"{int(taken[-1]) + 1 if taken else 1:08d}"
-
     def commit(self, load: Load) -> None:
         """Write the manifest of a load: from now on its files are loaded."""
-        try:
-            out = self._files.create(self._path(f"{self.manifests}/{load.number}.json"), False)
-        except Py4JJavaError as problem:
-            if "AlreadyExists" not in problem.java_exception.getClass().getName():
-                raise
-            raise RuntimeError(f"load {load.number} of {self.name} was written by another run") from None
-        for line in self._lines(load):
-            out.write(bytearray(line.encode()))
-        out.close()
-
-    @staticmethod
-    def _lines(load: Load) -> Iterator[str]:
-        own = {"load": load.number, "folder": load.folder}
-        for address, path, size, modified, digest in load.files:
-            entry = {"address": address, "path": path, "size": size, "modified": modified, "digest": digest}
-            yield json.dumps(entry | own) + "\n"
-        yield json.dumps(own | {"files": len(load.files)}) + "\n"
+        self.manifests.write(load.number, entries(load))
 
     def publish(self) -> list[str]:
         """Show all committed loads to the table, and return those it did not show before.

@@ -31,14 +31,21 @@ def unused_objects(
     with the same names (what a left join back to the history yields), ``"count"`` once
     with that number as ``fan_out``, ``"distinct"`` once.
     """
-    unused = days_between(F.col("last_usage"), moment(as_of)) > days
     if multiplicity == "distinct":
-        return object_usage(history, ddl_only).where(unused)
-    counted = usage_with_fan_out(history, ddl_only).where(unused)
+        usage = object_usage(history, ddl_only)
+        return usage.where(days_between(F.col("last_usage"), moment(as_of)) > days)
+    return report_unused(usage_with_fan_out(history, ddl_only), as_of, days, multiplicity)
+
+
+def report_unused(counted: DataFrame, as_of: Moment, days: int, multiplicity: str) -> DataFrame:
+    """The report on pairs whose usage, and ``fan_out``, are known."""
+    unused = counted.where(days_between(F.col("last_usage"), moment(as_of)) > days)
+    if multiplicity == "distinct":
+        return unused.drop("fan_out")
     if multiplicity == "count":
-        return counted
+        return unused
     if multiplicity == "rows":
-        return repeat_rows(counted, "fan_out")
+        return repeat_rows(unused, "fan_out")
     raise ValueError(f"multiplicity must be rows, count or distinct, not {multiplicity!r}")
 
 

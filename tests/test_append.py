@@ -6,7 +6,7 @@ import pathlib
 import pytest
 
 from dustline import append_folder
-from dustline.plans.append import LOAD, AppendTable
+from dustline.plans.append import LOAD, AppendTable, entries
 
 
 @pytest.fixture
@@ -72,9 +72,9 @@ def test_runs_that_end_halfway(target, tmp_path):
 def test_a_manifest_without_its_end_counts_for_nothing(target, tmp_path):
     write(tmp_path, "1.csv", ["1,x"])
     load = target.stage(str(tmp_path))
-    lines = list(target._lines(load))
+    lines = target.manifests.lines(load.number, entries(load))
     for cut in (lines[0][:20], lines[0]):
-        folder = pathlib.Path(target.manifests.removeprefix("file:"))
+        folder = pathlib.Path(target.manifests.folder.removeprefix("file:"))
         folder.mkdir(parents=True, exist_ok=True)
         (folder / f"{load.number}.json").write_text(cut)
         assert target.ledger().count() == 0 and target.publish() == []

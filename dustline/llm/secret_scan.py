@@ -142,8 +142,17 @@ def scan(docs: DataFrame, ledger: Ledger, rules: list[Rule] = RULES) -> int:
     where texts are read; where they are most of them, or more than can be sent, a copy of each text is
     shuffled before it meets what is due.
     """
+    return scan_blobs(docs, blobs_of(docs), ledger, rules)
+
+
+def blobs_of(docs: DataFrame) -> DataFrame:
+    """The content addresses of ``docs``, each once."""
+    return staged(docs.select(blob_of(F.col("text")).alias("blob")).distinct(), "secret-blobs")
+
+
+def scan_blobs(docs: DataFrame, blobs: DataFrame, ledger: Ledger, rules: list[Rule]) -> int:
+    """:func:`scan` of ``docs`` whose addresses are known."""
     address = blob_of(F.col("text")).alias("blob")
-    blobs = staged(docs.select(address).distinct(), "secret-blobs")
     due = staged(due_pairs(blobs, ledger, rules), "secret-due")
     amount = due.count()
     if not amount:
@@ -187,7 +196,8 @@ def find_secrets(
     places are code points, the end is exclusive.
     """
     ledger = ledger or Ledger(docs.sparkSession)
-    scan(docs, ledger, rules)
+    blobs = blobs_of(docs)
+    scan_blobs(docs, blobs, ledger, rules)
     names = [rule.name for rule in rules]
     place = F.create_map(*[F.lit(x) for i, name in enumerate(names) for x in (name, i)])
     kinds = F.create_map(*[F.lit(x) for rule in rules for x in (rule.name, rule.kind)])
@@ -195,7 +205,7 @@ def find_secrets(
         "start", place[F.col("rule")].alias("place"), kinds[F.col("rule")].alias("kind"), "end"
     )
     held = docs.select("doc_id", blob_of(F.col("text")).alias("blob"))
-    here = ledger.findings().where(F.col("rule").isin(names)).join(held.select("blob"), "blob", "left_semi")
+    here = ledger.findings().where(F.col("rule").isin(names)).join(blobs, "blob", "left_semi")
     by_blob = here.groupBy("blob").agg(F.sort_array(F.collect_list(finding)).alias("findings"))
     by_blob = staged(by_blob, "secret-findings")
     none = F.array().cast(by_blob.schema["findings"].dataType)

@@ -23,6 +23,7 @@ from dustline import (  # noqa: E402
     access_history,
     all_object_mentions,
     all_sheets,
+    append_arrivals,
     append_folder,
     check_table,
     combine_sheets,
@@ -53,6 +54,7 @@ from dustline.functions.text import NULL_TOKENS, csv_line  # noqa: E402
 from dustline.operators.text_tables import RAW  # noqa: E402
 from dustline.plans.append import LOAD, AppendTable  # noqa: E402
 from dustline.sources.shared import new_folder, staged  # noqa: E402
+from dustline.streaming.arrivals import Arrivals  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -363,6 +365,25 @@ def _csv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.orders").withColumnRenamed(LOAD, "load")
 
 
+def _csv_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem that comes in three waves, and a file at fault; a run ends before it loads."""
+    lines = recipes.given(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus")
+    folder, database = new_folder(spark, "csv"), recipes.run_database(spark)
+
+    def arrive(part: int) -> None:
+        export_csv(lines.where(F.col("l_orderkey") % 3 == part), f"{folder}/lines-{part}.csv")
+
+    arrive(0)
+    append_arrivals(spark, folder, "lines", database)
+    arrive(1)
+    Arrivals(spark, folder, "lines", database).notice()  # ends before it loads
+    arrive(2)
+    append_arrivals(spark, folder, "lines", database)
+    export_csv(lines.select("l_linestatus").distinct(), f"{folder}/states.csv")  # has other columns
+    append_arrivals(spark, folder, "lines", database)
+    return spark.table(f"{database}.lines").withColumnRenamed(LOAD, "load")
+
+
 #: Arrays of the raw history, by event: none, an empty one, or one to three objects.
 NESTED = {
     "DIRECT_OBJECTS_ACCESSED": ("direct", 5),
@@ -599,6 +620,7 @@ def usage_and_ingest() -> dict[str, Query]:
         "csv_report": _csv_report,
         "csv_reload": _csv_reload,
         "csv_append": _csv_append,
+        "csv_arrivals": _csv_arrivals,
         "csv_null_tokens": _csv_null_tokens,
         "text_table": _text_table,
         "positional_load": _positional_load(0),
@@ -809,6 +831,10 @@ def usage_and_ingest_sql() -> dict[str, str]:
         "csv_append": f"""SELECT {text("o_orderkey")} AS o_orderkey, {text("o_custkey")} AS o_custkey,
             {text("o_orderpriority")} AS o_orderpriority, '0000000' || (1 + o_orderkey % 4) AS load
             FROM orders""",
+        "csv_arrivals": f"""SELECT {text("l_orderkey")} AS l_orderkey, {text("l_linenumber")} AS l_linenumber,
+            {text("l_linestatus")} AS l_linestatus,
+            CASE WHEN l_orderkey % 3 = 0 THEN '00000001' ELSE '00000002' END AS load
+            FROM lineitem""",
         "text_table": f"""SELECT {text("o_orderkey")} AS order_key,
             {text("o_custkey")} AS "3_customer",
             CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority ELSE '' END AS priority_open_

@@ -26,12 +26,14 @@ from dustline.plans.ingest import (
 from dustline.plans.models import access_history, dim_access_history, materialize
 from dustline.sources.tables import table
 from dustline.sources.workbooks import all_sheets, first_sheet, scan_workbooks, sheet_rows
+from dustline.streaming.arrivals import append_arrivals
 
 __all__ = [
     "UsageState",
     "access_history",
     "all_object_mentions",
     "all_sheets",
+    "append_arrivals",
     "append_folder",
     "as_text",
     "catalog_objects",

@@ -18,7 +18,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from dustline.functions.names import column_names, quoted
@@ -49,6 +49,21 @@ def entries(load: Load) -> Iterator[dict]:
         yield entry | {"folder": load.folder}
 
 
+def csv_files_of(folder: str) -> str:
+    """The pattern of the ``.csv`` files, or folders of part files, directly below a folder."""
+    return f"{csv_pattern(folder.rstrip('/'))}/*.csv"
+
+
+def name_files(listed: DataFrame) -> DataFrame:
+    """Address, path, size and time of files that Spark lists as binary ones, empty ones left out."""
+    return listed.select(
+        F.col("_metadata.file_path").alias("address"),
+        "path",
+        F.col("length").alias("size"),
+        F.unix_micros("modificationTime").alias("modified"),
+    ).where("size > 0")
+
+
 class AppendTable:
     """A table of text columns that grows by loads, below ``location`` or its database's folder."""
 
@@ -76,23 +91,24 @@ class AppendTable:
         """Address, path, size, time and digest of the files of ``folder`` that are to be loaded."""
         listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         try:
-            listed = listed.load(f"{csv_pattern(folder.rstrip('/'))}/*.csv")
+            listed = listed.load(csv_files_of(folder))
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []  # a folder without any
-        listed = listed.select(
-            F.col("_metadata.file_path").alias("address"),
-            "path",
-            F.col("length").alias("size"),
-            F.unix_micros("modificationTime").alias("modified"),
-        ).where("size > 0")
+        return self.changed(self.unloaded(name_files(listed)))
+
+    def unloaded(self, listed: DataFrame) -> list[Row]:
+        """Of files that are listed (see ``name_files``) those whose size or time the ledger does not have."""
         last = self.ledger().groupBy("address").agg(
             F.max(F.struct("load", "size", "modified", "digest")).alias("last")
         )
         same = (F.col("last.size") == F.col("size")) & (F.col("last.modified") == F.col("modified"))
         changed = listed.join(last, "address", "left").where(F.col("last").isNull() | ~same)
-        rows = changed.select("address", "path", "size", "modified", "last.digest").collect()
+        return changed.select("address", "path", "size", "modified", "last.digest").collect()
+
+    def changed(self, rows: Sequence[Row]) -> list[tuple[str, str, int, int, str]]:
+        """Of files that ``unloaded`` gives those with another content than the ledger has."""
         if not rows:
             return []
         digests = {r["address"]: r["digest"] for r in self._digests([r["path"] for r in rows]).collect()}
@@ -110,7 +126,15 @@ class AppendTable:
         Files need the columns of the table, or of each other if there is none. One that has
         others, or a record with too many fields, fails the load.
         """
-        files = self.due(folder)
+        return self.stage_files(self.due(folder), null_tokens, split_bytes)
+
+    def stage_files(
+        self,
+        files: Sequence[tuple[str, str, int, int, str]],
+        null_tokens: Sequence[str] = NULL_TOKENS,
+        split_bytes: int | None = None,
+    ) -> Load | None:
+        """Like ``stage``, of files that are named by address, path, size, time and digest."""
         if not files:
             return None
         sources = [CsvSource(path.rsplit("/", 1)[-1], path, ((path, size, address),)) for address, path, size, *_ in files]

@@ -43,6 +43,7 @@ from dustline import (  # noqa: E402
     object_usage,
     positional_load,
     read_csv_text,
+    read_tables,
     save_as_text,
     scan_workbooks,
     sheet_rows,
@@ -523,11 +524,7 @@ def _workbook_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, database = new_folder(spark, "from-workbooks"), recipes.run_database(spark)
     ingest_workbooks(spark, _order_books(spark, sf_dir), out).count()
     status = ingest_folder(spark, out, database).where("error IS NULL").collect()
-    loaded = [
-        spark.table(f"{database}.{row['table']}").withColumn("table", F.lit(row["table"]))
-        for row in status
-    ]
-    return functools.reduce(DataFrame.unionByName, loaded)
+    return read_tables(spark, database, [row["table"] for row in status])
 
 
 def _workbook_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from dustline.operators.mentions import (
     mention_index,
 )
 from dustline.operators.sheets import combine_sheets, drop_empty_columns, drop_empty_rows
-from dustline.operators.text_tables import as_text, export_csv
+from dustline.operators.text_tables import as_text, export_csv, read_tables
 from dustline.operators.usage import object_usage
 from dustline.plans.append import append_folder
 from dustline.plans.audit import check_table, data_check, data_check_all, unused_objects
@@ -58,6 +58,7 @@ __all__ = [
     "object_usage",
     "positional_load",
     "read_csv_text",
+    "read_tables",
     "save_as_text",
     "scan_workbooks",
     "sheet_rows",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import uuid
 from collections.abc import Mapping, Sequence
@@ -13,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from dustline.functions.names import quoted
 from dustline.functions.text import NULL_TOKENS, field_count
-from dustline.sources.csv_files import FILE, RAW
+from dustline.sources.csv_files import FILE, RAW, csv_pattern, qualified
 from dustline.sources.csv_split import file_id
 
 BROADCAST_NAMES = 100_000  # pairs of short names, some 20 MB
@@ -146,7 +147,7 @@ def point_table(
     full_name = quoted(database, name)
     if spark.catalog.tableExists(full_name):
         same = [(f.name, f.dataType) for f in spark.table(full_name).schema]
-        if same == [(f.name, f.dataType) for f in schema] and _is_external_parquet(spark, full_name):
+        if same == [(f.name, f.dataType) for f in schema] and _is_external_parquet(_described(spark, full_name)):
             spark.sql(f"ALTER TABLE {full_name} SET LOCATION {literal(path)}")
             spark.catalog.refreshTable(full_name)
             return
@@ -159,11 +160,59 @@ def _described(spark: SparkSession, full_name: str) -> dict[str, str]:
     return {row["col_name"]: row["data_type"] for row in rows}
 
 
-def _is_external_parquet(spark: SparkSession, full_name: str) -> bool:
-    said = _described(spark, full_name)
+def _is_external_parquet(said: Mapping[str, str]) -> bool:
     return said.get("Type") == "EXTERNAL" and said.get("Provider", "").lower() == "parquet"
 
 
+def read_tables(
+    spark: SparkSession, database: str, names: Sequence[str], column: str = "table", parallel: int = 8
+) -> DataFrame:
+    """The rows of many tables written here, with the name of each row's table in ``column``.
+
+    All tables of the same columns are one scan, in which a task reads many small files. In a union of
+    them each task reports on every table, so what the driver gets grows with their square.
+    """
+    if not names:
+        raise ValueError("no table to read")
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        found = list(pool.map(lambda name: _columns_and_place(spark, quoted(database, name)), names))
+    alike: dict[str, list[tuple[str, str]]] = {}
+    for name, (columns, place) in zip(names, found, strict=True):
+        alike.setdefault(columns, []).append((place, name))
+    scans = [_scan_places(spark, columns, places, column) for columns, places in alike.items()]
+    return functools.reduce(DataFrame.unionByName, scans)
+
+
+def _columns_and_place(spark: SparkSession, full_name: str) -> tuple[str, str]:
+    """The columns of a table, as SQL, and the full path of its content."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}").collect()
+    said = [(row["col_name"], row["data_type"]) for row in rows]
+    if not _is_external_parquet(dict(said)):
+        raise ValueError(f"not a table written here: {full_name}")
+    # The columns come first, up to a row without a name.
+    columns = said[: [name for name, _ in said].index("")]
+    return ", ".join(f"{quoted(name)} {kind}" for name, kind in columns), qualified(spark, dict(said)["Location"])
+
+
+def _scan_places(
+    spark: SparkSession, columns: str, places: Sequence[tuple[str, str]], column: str
+) -> DataFrame:
+    """The rows at many places, with the name that belongs to each place."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    # Files tell their address, whose odd characters are escaped. No column of a table has a hyphen.
+    named = [(path(place).toUri().toString(), name) for place, name in places]
+    named = spark.createDataFrame(named, "`in-folder` string, `in-table` string")
+    if len(places) <= BROADCAST_NAMES:
+        named = F.broadcast(named)
+    address = F.col("_metadata.file_path")
+    folder = F.left(address, F.length(address) - F.length(F.substring_index(address, "/", -1)) - 1)
+    patterns = [csv_pattern(place) for place in dict.fromkeys(place for place, _ in places)]
+    rows = spark.read.schema(columns).parquet(*patterns).select("*", folder.alias("in-folder"))
+    unknown = F.raise_error(F.concat(F.lit("no table at "), "`in-folder`")).cast("string")
+    rows = rows.join(named, "in-folder", "left").withColumn(column, F.coalesce("`in-table`", unknown))
+    return rows.drop("in-folder", "in-table")
+
+
 def remove_superseded(
     spark: SparkSession, database: str, name: str, location: str | None = None
 ) -> list[str]:

@@ -78,6 +78,8 @@ def _own_session(spark: SparkSession, split_bytes: int, **more: str) -> SparkSes
             fixed.conf.set(setting, value)
     fixed.conf.set("spark.sql.files.minPartitionNum", "1")
     fixed.conf.set("spark.sql.files.maxPartitionBytes", str(max(1, split_bytes)))
+    # Java does not compile longer methods; work on many columns is cut into shorter ones then.
+    fixed.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     for setting, value in more.items():
         fixed.conf.set(setting.replace("__", "."), value)
     return fixed

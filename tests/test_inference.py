@@ -124,3 +124,34 @@ def test_files_in_splits_have_one_type(spark, database, tmp_path, split_bytes):
     assert rows["0"] == ("0.0", "False", "00") and rows["19999"] == ("1.5", "", "x") and len(rows) == 20_000
     text = read_csv_text(spark, str(tmp_path / "kinds.csv"), infer=True)
     assert text.where("num = '7.0'").count() == 1
+
+
+def test_cells_at_the_bounds_of_short_ones(spark):
+    """Lengths at which a cell's value is looked at, and blanks of which only some are taken off."""
+    kinds = {
+        "9" * 18: inference.WHOLE, "0" * 18 + "7": inference.WHOLE, "-" + "0" * 17: inference.WHOLE,
+        "-" + "9" * 17: inference.NEGATIVE, "-" + "9" * 18: inference.NEGATIVE, "9" * 20: inference.HUGE,
+        "9" * 200 + ".5": inference.DECIMAL, "9" * 197 + "e99": inference.DECIMAL, "1e308": inference.DECIMAL,
+        "1e309": inference.TEXT, "9" * 400 + ".5": inference.TEXT, "0." + "1" * 400: inference.DECIMAL,
+        " 5": inference.WHOLE, "5\x0b": inference.WHOLE, "\x015": inference.TEXT, "5\x00": inference.TEXT,
+        "5\x7f": inference.TEXT, " ": inference.TEXT, "i": inference.TEXT, "iNf": inference.DECIMAL,
+        " true": inference.TEXT, "tRUE": inference.BOOLEAN, "": inference.EMPTY, None: inference.EMPTY,
+    }
+    df = spark.createDataFrame([(cell,) for cell in kinds], "cell string")
+    found = df.select("cell", inference.cell_kind(F.col("cell")).alias("kind")).collect()
+    assert {row["cell"]: row["kind"] for row in found} == kinds
+
+
+def test_code_is_compiled_whatever_the_columns(spark, tmp_path):
+    """Java leaves methods beyond 8000 bytes uncompiled, so Spark is told to make shorter ones."""
+    head = [f"c{i}" for i in range(150)]
+    (tmp_path / "wide.csv").write_text(",".join(head) + "\n" + ",".join(f"{i}e-9" for i in range(150)) + "\n")
+    text = read_csv_text(spark, str(tmp_path / "wide.csv"), infer=True)
+    assert text.sparkSession.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    assert text.first()[:12] == ("0.0", *[f"{i}e-09" for i in range(1, 10)], "1e-08", "1.1e-08")
+
+
+def test_names_of_texts_on_the_way_are_free(spark):
+    df = spark.createDataFrame([("1e-5", "x", "2")], "a string, `java-text-0` string, `java-text--1` string")
+    types = {"a": "decimal", "java-text--1": "decimal"}
+    assert spell_as(df, types).first()[:] == ("1e-05", "x", "2.0")
